@@ -25,18 +25,33 @@ from cohort_engine.functions.hashing import hash_key, hash_order
 from cohort_engine.functions.quantiles import exact_quantiles
 from cohort_engine.operators.stats import has_negative
 
-# Rows per bucket of the hash order used for ranking rows inside a class.
+# Size of the 60-bit hash order space (rank buckets are equal slices of it).
 _HASH_SPACE = float(16 ** 15)
+# Per-batch means are inlined as literals up to this many (batch, feature) cells.
+LITERAL_CELLS = 100_000
 
 
-def _moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+def _moments(df: DataFrame, cols: Sequence[str], with_counts: bool = False):
+    """Mean and population std per column in one aggregate; with ``with_counts``
+    also the non-NULL count per column and the row count."""
     if not cols:
-        return {}
-    aggs = []
+        return ({}, {}, 0) if with_counts else {}
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
+        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"), F.count(c).alias(f"n{i}")]
     row = df.agg(*aggs).first()
-    return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+    mom = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
+    if with_counts:
+        return mom, {c: row[f"n{i}"] for i, c in enumerate(cols)}, row["__rows"]
+    return mom
+
+
+def _null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Columns of ``df`` holding at least one NULL (one aggregate)."""
+    if not cols:
+        return []
+    row = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    return [c for i, c in enumerate(cols) if row[f"n{i}"] < row["__rows"]]
 
 
 def _medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
@@ -46,6 +61,14 @@ def _medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     return {r["feature"]: r["value"] for r in rows}
 
 
+def _any_below_zero(cols: Sequence[str]) -> Column:
+    cond = None
+    for c in cols:
+        e = F.col(c) < 0
+        cond = e if cond is None else (cond | e)
+    return cond
+
+
 def log2_normalize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``log2(x + 1)``; x <= -1 gives NULL (the reference's -inf / NaN)."""
     return df.withColumns({c: F.log2(F.col(c) + F.lit(1.0)) for c in cols})
@@ -65,9 +88,17 @@ def zscore_normalize(df: DataFrame, cols: Sequence[str],
     return df.withColumns(out)
 
 
-def fill_bad(df: DataFrame, cols: Sequence[str], medians: dict[str, float | None] | None = None) -> DataFrame:
-    """NULL (NaN, +/-inf at ingest) -> the column median, else 0.0."""
-    medians = medians if medians is not None else _medians(df, cols)
+def fill_bad(df: DataFrame, cols: Sequence[str], medians: dict[str, float | None] | None = None,
+             nullable: Sequence[str] | None = None) -> DataFrame:
+    """NULL (NaN, +/-inf at ingest) -> the column median, else 0.0.
+
+    Medians are computed only for the columns that hold a NULL (``nullable``, or
+    found by one aggregate); a column without NULLs is left as it is.
+    """
+    if medians is None:
+        nullable = list(nullable) if nullable is not None else _null_columns(df, cols)
+        medians = _medians(df, nullable)
+        cols = nullable
     fills: dict[str, Column] = {}
     for c in cols:
         m = medians.get(c)
@@ -82,14 +113,20 @@ def batch_means(df: DataFrame, cols: Sequence[str], batch: str) -> DataFrame:
 def batch_center(df: DataFrame, cols: Sequence[str], batch: str = "batch") -> DataFrame:
     """T4 / T5: subtract each feature's mean within its batch; NULL batch is a batch.
 
-    Rows are not shuffled by batch (a hot batch would land in one task): per-batch
-    means are aggregated map-side into a ``batches x features`` table, whose row
-    count is checked before it is broadcast; beyond the bound it is a regular join,
-    where AQE splits a skewed batch.
+    Rows are never shuffled by batch (a hot batch would land in one task): per-batch
+    means are aggregated map-side into a ``batches x features`` table.  At most
+    ``LITERAL_CELLS / features + 1`` of its rows are fetched; when that is all of
+    them the means become literal lookups in a narrow projection, otherwise the
+    table is joined (broadcast below ``BROADCAST_ROWS`` rows, else a shuffle join
+    where AQE splits a skewed batch).
     """
     if batch not in df.columns or not cols:
         return df
     means = batch_means(df, cols, batch).withColumnRenamed(batch, "__bkey")
+    cap = max(1, LITERAL_CELLS // max(1, len(cols)))
+    got = means.limit(cap + 1).collect()
+    if len(got) <= cap:
+        return _center_literal(df, cols, batch, got)
     n_batches = means.count()
     side = F.broadcast(means) if n_batches * max(1, len(cols)) <= BROADCAST_ROWS else means
     joined = df.join(side, df[batch].eqNullSafe(side["__bkey"]), "left")
@@ -97,6 +134,20 @@ def batch_center(df: DataFrame, cols: Sequence[str], batch: str = "batch") -> Da
     return centred.drop("__bkey", *[f"__bm_{c}" for c in cols]).select(*df.columns)
 
 
+def _center_literal(df: DataFrame, cols: Sequence[str], batch: str, rows) -> DataFrame:
+    keyed = [r for r in rows if r["__bkey"] is not None]
+    null_row = next((r for r in rows if r["__bkey"] is None), None)
+    out = {}
+    for c in cols:
+        pairs = []
+        for r in keyed:
+            pairs += [F.lit(r["__bkey"]), F.lit(r[f"__bm_{c}"])]
+        looked = F.element_at(F.create_map(*pairs), F.col(batch)) if pairs else F.lit(None)
+        mean = F.when(F.col(batch).isNull(), F.lit(null_row[f"__bm_{c}"] if null_row else None)).otherwise(looked)
+        out[c] = F.col(c) - mean.cast("double")
+    return df.withColumns(out)
+
+
 # the standalone name used by the reference's placeholder function
 combat_batch_correction = batch_center
 
@@ -118,8 +169,16 @@ class NormalizerModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         own = self.stats == "self"
-        out = self.normalize(df, None if own else self.fit_moments)
-        out = fill_bad(out, self.cols, None if own else self.fit_medians)
+        if not own:
+            out = fill_bad(self.normalize(df, self.fit_moments), self.cols, self.fit_medians)
+        elif self.use_zscore:
+            mom, counts, rows = _moments(df, self.cols, with_counts=True)
+            out = self.normalize(df, mom)
+            # a z-score is NULL where the cell is NULL or the column has no spread
+            nullable = [c for c in self.cols if counts[c] < rows or not mom[c][1]]
+            out = fill_bad(out, self.cols, nullable=nullable)
+        else:
+            out = fill_bad(self.normalize(df), self.cols)
         if self.batch_col and self.batch_col in df.columns:
             out = batch_center(out, self.cols, self.batch_col)
         return out
@@ -136,6 +195,33 @@ class Normalizer:
     batch_col: str | None = "batch"
     stats: str = "self"
 
+    def fit_transform(self, df: DataFrame) -> tuple[NormalizerModel, DataFrame]:
+        """Fit and transform the same frame with one statistics pass: the sign test,
+        the z-score moments and the NULL counts of both branches come together."""
+        if self.stats != "self" or not self.cols:
+            model = self.fit(df)
+            return model, model.transform(df)
+        aggs = [F.count(F.lit(1)).alias("__rows"),
+                F.coalesce(F.bool_or(_any_below_zero(self.cols)), F.lit(False)).alias("__neg")]
+        for i, c in enumerate(self.cols):
+            aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"), F.count(c).alias(f"n{i}"),
+                     F.count(F.log2(F.col(c) + F.lit(1.0))).alias(f"l{i}")]
+        row = df.agg(*aggs).first()
+        use_z = bool(row["__neg"])
+        model = NormalizerModel(self.cols, use_z, self.batch_col, self.stats)
+        rows = row["__rows"]
+        if use_z:
+            mom = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(self.cols)}
+            out = zscore_normalize(df, self.cols, mom)
+            nullable = [c for i, c in enumerate(self.cols) if row[f"n{i}"] < rows or not row[f"s{i}"]]
+        else:
+            out = log2_normalize(df, self.cols)
+            nullable = [c for i, c in enumerate(self.cols) if row[f"l{i}"] < rows]
+        out = fill_bad(out, self.cols, nullable=nullable)
+        if self.batch_col and self.batch_col in df.columns:
+            out = batch_center(out, self.cols, self.batch_col)
+        return model, out
+
     def fit(self, df: DataFrame) -> NormalizerModel:
         use_z = has_negative(df, self.cols)
         model = NormalizerModel(self.cols, use_z, self.batch_col, self.stats)

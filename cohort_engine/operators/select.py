@@ -39,6 +39,39 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str = "response") -> Data
     return parts.select("feature", F.when(F.col("k") > 1, f).alias("f_score"))
 
 
+WIDE_LIMIT = 400     # above this many features the per-class aggregate is done in long form
+
+
+def anova_ranking(df: DataFrame, cols: Sequence[str], label: str = "response") -> list[str]:
+    """Features in ANOVA-F order (best first, NULL last, ties by name).
+
+    One grouped aggregate per class (``classes x features`` numbers come back) and
+    the F formula of :func:`anova_f` finished on the driver.  Very wide tables go
+    through :func:`anova_f` instead.
+    """
+    cols = list(cols)
+    if len(cols) > WIDE_LIMIT:
+        return ranked(anova_f(df, cols, label))
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}")]
+    rows = df.groupBy(label).agg(*aggs).collect()
+    scores = {}
+    for i, c in enumerate(cols):
+        groups = [(r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]) for r in rows if r[f"n{i}"]]
+        k = len(groups)
+        n = sum(g[0] for g in groups)
+        f = None
+        if k > 1 and n > k:
+            grand = sum(g[0] * g[1] for g in groups) / n
+            ssb = sum(g[0] * (g[1] - grand) ** 2 for g in groups)
+            ssw = sum(g[0] * g[2] for g in groups)
+            if ssw > 0:
+                f = (ssb / (k - 1)) / (ssw / (n - k))
+        scores[c] = f
+    return sorted(cols, key=lambda c: (scores[c] is None, -(scores[c] or 0.0), c))
+
+
 def top_k(scores: DataFrame, k: int, score_col: str = "f_score") -> DataFrame:
     """Best ``k`` features: score descending, NULL last, ties by name."""
     return scores.orderBy(F.col(score_col).desc_nulls_last(), F.col("feature")).limit(k)

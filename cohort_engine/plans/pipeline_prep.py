@@ -55,8 +55,8 @@ class Preparer:
         """
         self._cached = []
         df = self._keep(nan_to_null(C.encode_sex(df)))
-        norm = P.Normalizer(self.features, self.batch_col, self.stats).fit(df)
-        normed = self._keep(norm.transform(df))
+        norm, normed = P.Normalizer(self.features, self.batch_col, self.stats).fit_transform(df)
+        normed = self._keep(normed)
         scaler = P.StandardScaler(self.features).fit(normed)
         scaled = scaler.transform(normed)
         imputer = P.ImputerModel([], {})
