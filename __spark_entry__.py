@@ -166,6 +166,11 @@ def q_anova_c3(spark, d):
     return rounded(S.anova_f(FX.c3_documents(spark, d), FX.C3_FEATURES, "response"))
 
 
+def q_mutual_info(spark, d):
+    from cohort_engine.operators.mutual_info import mutual_info
+    return rounded(mutual_info(FX.c3_documents(spark, d), FX.C3_FEATURES, "response", "patient_id"))
+
+
 def q_folds(spark, d):
     return stratified_folds(FX.c5_signal(spark, d).select("patient_id", "response"),
                             "response", "patient_id", k=10, seed=42)
@@ -247,6 +252,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "outliers_iqr": q_outliers_iqr,
     "outliers_zscore": q_outliers_zscore,
     "anova_scores": q_anova_c3,
+    "mutual_info": q_mutual_info,
     "stratified_folds": q_folds,
     "confusion": q_confusion,
     "class_scores": q_class_scores,

@@ -354,6 +354,28 @@ b AS (SELECT qty, row_number() OVER (ORDER BY {_md5(42, "'0'", "'qty'", 'patient
 SELECT a.patient_id, a.response, round(b.qty, 6) AS qty FROM a JOIN b USING (r)
 """
 
+MUTUAL_INFO = f"""
+WITH l AS (SELECT patient_id, response, feature, value
+           FROM {_unpivot(C3_SQL, C3_FEATURES, ['patient_id', 'response'])}),
+cnt AS (SELECT feature, response, count(*) AS n_c FROM l GROUP BY feature, response),
+p AS (SELECT l.*, c.n_c, least(3, c.n_c - 1) AS k FROM l JOIN cnt c USING (feature, response) WHERE c.n_c > 1),
+dd AS (SELECT a.feature, a.patient_id, abs(a.value - b.value) AS d,
+              row_number() OVER (PARTITION BY a.feature, a.patient_id ORDER BY abs(a.value - b.value)) AS rn
+       FROM p a JOIN p b ON a.feature = b.feature AND a.response = b.response AND a.patient_id <> b.patient_id),
+r AS (SELECT p.*, dd.d AS r FROM p JOIN dd ON dd.feature = p.feature AND dd.patient_id = p.patient_id
+      AND dd.rn = p.k),
+m AS (SELECT r.feature, r.patient_id, r.k, r.n_c, count(*) AS m
+      FROM r JOIN p b ON b.feature = r.feature
+       AND (CASE WHEN r.r > 0 THEN abs(b.value - r.value) < r.r ELSE b.value = r.value END)
+      GROUP BY r.feature, r.patient_id, r.k, r.n_c),
+h AS (SELECT i AS n,
+             sum(CASE WHEN i = 1 THEN 0.0 ELSE 1.0 / (i - 1) END) OVER (ORDER BY i) - 0.5772156649015329 AS psi
+      FROM (SELECT unnest(range(1, (SELECT count(*) FROM l) + 2)) AS i)),
+agg AS (SELECT m.feature, count(*) AS big_n, avg(hk.psi) AS pk, avg(hn.psi) AS pn, avg(hm.psi) AS pm
+        FROM m JOIN h hk ON hk.n = m.k JOIN h hn ON hn.n = m.n_c JOIN h hm ON hm.n = m.m GROUP BY m.feature)
+SELECT a.feature, round(greatest(0.0, hb.psi + a.pk - a.pn - a.pm), 6) AS mi FROM agg a JOIN h hb ON hb.n = a.big_n
+"""
+
 ORACLE: dict[str, str] = {
     "flagship_anova_topk": FLAGSHIP,
     "c1_cohort": _round_all(C1_SQL, C1_DOUBLES),
@@ -380,6 +402,7 @@ ORACLE: dict[str, str] = {
     "outliers_iqr": OUT_IQR,
     "outliers_zscore": OUT_Z,
     "anova_scores": ANOVA_C3,
+    "mutual_info": MUTUAL_INFO,
     "stratified_folds": FOLDS,
     "confusion": CONFUSION,
     "class_scores": CLASS_SCORES,
