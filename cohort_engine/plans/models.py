@@ -12,6 +12,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -85,8 +86,6 @@ class FittedModel:
 
 def _rff_map(df: DataFrame, col: str, W: np.ndarray, b: np.ndarray) -> DataFrame:
     """z = sqrt(2/D) cos(W x + b), vectorised per Arrow batch."""
-    import pandas as pd
-
     scale = math.sqrt(2.0 / W.shape[0])
 
     @F.pandas_udf("array<double>")
