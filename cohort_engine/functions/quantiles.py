@@ -36,12 +36,15 @@ def _grid(spark, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     return spark.createDataFrame([(c, float(q)) for c in cols for q in probs], _QSCHEMA)
 
 
-def cut_points(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: float = 0.001) -> list[list[float]]:
+def cut_points(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: float = 0.001,
+               with_count: bool = False):
     """Strictly increasing inner cut points per column at the ``i / n_buckets``
-    approximate quantiles (one aggregate pass; ``len(cols) x n_buckets`` numbers)."""
+    approximate quantiles (one aggregate pass; ``len(cols) x n_buckets`` numbers).
+    With ``with_count`` the row count of the same pass is returned too."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(100, int(round(1.0 / rel_err)))
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"c{i}")
+    row = df.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"c{i}")
                    for i, c in enumerate(cols)]).first()
     out = []
     for i in range(len(cols)):
@@ -50,14 +53,16 @@ def cut_points(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: floa
             if v is not None and (not inner or v > inner[-1]):
                 inner.append(float(v))
         out.append(inner)
-    return out
+    return (out, row["__rows"]) if with_count else out
 
 
-def _long_with_buckets(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: float) -> DataFrame:
+def _long_with_buckets(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: float,
+                       cuts: list[list[float]] | None = None) -> DataFrame:
     """Rows (feature, bucket, value) for every non-null cell of ``cols``."""
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     if n_buckets > 1:
-        splits = [[float("-inf")] + inner + [float("inf")] for inner in cut_points(cast, cols, n_buckets, rel_err)]
+        cuts = cuts if cuts is not None else cut_points(cast, cols, n_buckets, rel_err)
+        splits = [[float("-inf")] + inner + [float("inf")] for inner in cuts]
         bcols = [f"__b{i}" for i in range(len(cols))]
         # Bucketizer needs non-null input; NULL cells are dropped after unpivot.
         filled = cast.select(*cols, *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"__v{i}")
@@ -74,6 +79,25 @@ def _long_with_buckets(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_e
     return src.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
 
+# Below this many cells (rows x columns, counted first) Spark's exact ``percentile``
+# -- whose buffer holds every distinct value of a column in one task -- is safe and
+# takes one pass; above it the distributed selection below is used.
+SMALL_EXACT_CELLS = 1_000_000
+
+
+def _small_exact(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    spark = df.sparkSession
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), [float(q) for q in probs]).alias(f"p{i}")
+                   for i, c in enumerate(cols)]).first()
+    out = []
+    for i, c in enumerate(cols):
+        vals = row[f"p{i}"]
+        for j, q in enumerate(probs):
+            out.append((c, float(q), None if vals is None else vals[j]))
+    schema = T.StructType(list(_QSCHEMA.fields) + [T.StructField("value", T.DoubleType(), True)])
+    return spark.createDataFrame(out, schema)
+
+
 _WANTED = T.StructType([
     T.StructField("feature", T.StringType()), T.StructField("bucket", T.IntegerType()),
     T.StructField("b_off", T.LongType()), T.StructField("q", T.DoubleType()),
@@ -98,7 +122,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols = list(cols)
     n_buckets = n_buckets if n_buckets is not None else shuffle_partitions(spark)
     rel_err = rel_err if rel_err is not None else min(0.01, 0.25 / max(1, n_buckets))
-    long = _long_with_buckets(df, cols, n_buckets, rel_err)
+    cuts = None
+    if n_buckets > 1:
+        cuts, n_rows = cut_points(df, cols, n_buckets, rel_err, with_count=True)
+        if n_rows * max(1, len(cols)) <= SMALL_EXACT_CELLS:
+            return _small_exact(df, cols, probs)
+    long = _long_with_buckets(df, cols, n_buckets, rel_err, cuts)
 
     sizes = long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("b_n"))
     before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

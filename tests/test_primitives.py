@@ -19,7 +19,13 @@ def test_running_sum_matches_cumsum(spark):
     assert len(m) == 5000 and (m["cum_id"] == m["want"]).all()
 
 
-def test_exact_quantiles_with_hot_value_and_nulls(spark):
+import pytest
+
+
+@pytest.mark.parametrize("small_cells", [0, 1_000_000])
+def test_exact_quantiles_with_hot_value_and_nulls(spark, monkeypatch, small_cells):
+    import cohort_engine.functions.quantiles as Q
+    monkeypatch.setattr(Q, "SMALL_EXACT_CELLS", small_cells)     # 0 forces the distributed path
     rows = [(float(i % 50) if i % 3 else 0.0, None if i % 7 == 0 else float(i)) for i in range(3000)]
     df = spark.createDataFrame(rows, "a double, b double")
     q = quantile_dict(exact_quantiles(df, ["a", "b"], [0.1, 0.25, 0.5, 0.9]))
