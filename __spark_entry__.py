@@ -53,10 +53,13 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = coerce(FX.c1_orders(spark, sf_dir))
     feats = cohort_features(raw)
     _, kept, _ = C.drop_constant(C.encode_sex(raw), feats)
-    _, prepared = Preparer(kept).fit(raw.select("patient_id", "response", "batch", *kept))
+    preparer = Preparer(kept)
+    _, prepared = preparer.fit(raw.select("patient_id", "response", "batch", *kept))
     scores = S.anova_f(prepared, kept, "response")
     k = S.k_range(len(kept))[0]
-    return rounded(S.top_k(scores, k))
+    top = rounded(S.top_k(scores, k)).collect()            # k rows: the report itself
+    preparer.release()
+    return spark.createDataFrame(top, "feature string, f_score double")
 
 
 def q_c1_cohort(spark, d):

@@ -8,15 +8,26 @@ from pyspark.sql import DataFrame
 
 ROWS_PER_PARTITION_CONF = "cohort.rowsPerPartition"
 DEFAULT_ROWS_PER_PARTITION = 1_000_000
+# never split below this many rows per partition just to occupy idle cores
+MIN_ROWS_PER_PARTITION = 50_000
+
+
+def target_partitions(df: DataFrame, n_rows: int) -> int:
+    """``ceil(rows / rows_per_partition)``, raised to the core count while each
+    partition still keeps ``MIN_ROWS_PER_PARTITION`` rows."""
+    rpp = int(df.sparkSession.conf.get(ROWS_PER_PARTITION_CONF, str(DEFAULT_ROWS_PER_PARTITION)))
+    by_size = math.ceil(n_rows / max(1, rpp))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    by_cores = min(cores, math.ceil(n_rows / MIN_ROWS_PER_PARTITION))
+    return max(1, by_size, by_cores)
 
 
 def right_size(df: DataFrame, n_rows: int) -> DataFrame:
-    """Coalesce to ``ceil(n_rows / rows_per_partition)`` partitions (never more).
+    """Coalesce to :func:`target_partitions` partitions (never more than now).
 
     Iterative fits run one job per iteration over every partition, so a frame of a
     few thousand rows spread over hundreds of partitions spends its time
     scheduling.  Call it on a persisted parent: ``coalesce`` is narrow and would
     otherwise reduce the parallelism of the stage that computes the rows.
     """
-    rpp = int(df.sparkSession.conf.get(ROWS_PER_PARTITION_CONF, str(DEFAULT_ROWS_PER_PARTITION)))
-    return df.coalesce(max(1, math.ceil(n_rows / max(1, rpp))))
+    return df.coalesce(target_partitions(df, n_rows))

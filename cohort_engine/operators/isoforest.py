@@ -158,9 +158,10 @@ def isolation_report(df: DataFrame, cols: Sequence[str], threshold: float = 0.05
     for c in counts:
         out = c if out is None else out.unionByName(c)
     share = out.groupBy("feature").agg((F.sum("outliers") / F.lit(float(n))).alias("outlier_share"))
-    grid = spark.createDataFrame([(c,) for c in cols], "feature string")
-    base_done = grid.join(share, "feature", "left").fillna(0.0, subset=["outlier_share"])
-    return base_done.withColumn("flagged", F.col("outlier_share") > F.lit(threshold))
+    got = {r["feature"]: r["outlier_share"] for r in share.collect()}   # one row per column
+    base.unpersist()
+    rows = [(c, float(got.get(c) or 0.0), bool((got.get(c) or 0.0) > threshold)) for c in cols]
+    return spark.createDataFrame(rows, "feature string, outlier_share double, flagged boolean")
 
 
 def _score_chunk(base: DataFrame, feats: list[str], steps: dict) -> DataFrame:

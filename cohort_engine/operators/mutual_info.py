@@ -119,5 +119,9 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str = "response", id_
         F.avg(digamma_int(F.col("m"))).alias("pm"))
     mi = agg.select("feature", F.greatest(F.lit(0.0), digamma_int(F.col("big_n")) + F.col("pk") - F.col("pn")
                                           - F.col("pm")).alias("mi"))
-    grid = spark.createDataFrame([(c,) for c in cols], T.StructType([T.StructField("feature", T.StringType())]))
-    return grid.join(F.broadcast(mi), "feature", "left").fillna(0.0, subset=["mi"])
+    got = {r["feature"]: r["mi"] for r in mi.collect()}                 # one row per column
+    for cached in (pts, ranked, per):
+        cached.unpersist()
+    rows = [(c, float(got.get(c) or 0.0)) for c in cols]
+    return spark.createDataFrame(rows, T.StructType([T.StructField("feature", T.StringType()),
+                                                     T.StructField("mi", T.DoubleType())]))

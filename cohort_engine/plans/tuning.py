@@ -271,6 +271,7 @@ def nested_cv(df: DataFrame, features: list[str], cfg: SearchConfig, seed: int =
                                         F.col("prediction").cast("int").alias("prediction"), "p1",
                                         F.lit(o).alias("fold"))
         oof_parts.append(pred.checkpoint())
+    folds.unpersist()
     oof = oof_parts[0]
     for p in oof_parts[1:]:
         oof = oof.unionByName(p)
