@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from cohort_engine.functions.hashing import hash_order  # noqa: E402
 from cohort_engine.operators import columns as C  # noqa: E402
 from cohort_engine.operators import metrics as M  # noqa: E402
 from cohort_engine.operators import outliers as O  # noqa: E402
@@ -70,6 +69,30 @@ def q_c3_cohort(spark, d):
     return rounded(FX.c3_documents(spark, d))
 
 
+def q_c2_cohort(spark, d):
+    return rounded(FX.c2_embeddings(spark, d))
+
+
+def q_c4_scores(spark, d):
+    return rounded(FX.c4_scores(spark, d))
+
+
+def q_c5_cohort(spark, d):
+    return rounded(FX.c5_signal(spark, d))
+
+
+def q_anova_topk_c2(spark, d):
+    """F1 + F5: ANOVA F of 64 embedding features, top k by the k-range rule (k = 60)."""
+    c2 = FX.c2_embeddings(spark, d)
+    k = S.k_range(len(FX.C2_FEATURES))[-1]
+    return rounded(S.top_k(S.anova_f(c2, FX.C2_FEATURES, "response"), k))
+
+
+def q_mutual_info_c2(spark, d):
+    from cohort_engine.operators.mutual_info import mutual_info
+    return rounded(mutual_info(FX.c2_embeddings(spark, d), FX.C2_FEATURES, "response", "patient_id"))
+
+
 def q_dirty_violations(spark, d):
     return violations(FX.dirty_orders(spark, d))
 
@@ -350,6 +373,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_anova_topk": flagship,
     "c1_cohort": q_c1_cohort,
     "c3_cohort": q_c3_cohort,
+    "c2_cohort": q_c2_cohort,
+    "c4_scores": q_c4_scores,
+    "c5_cohort": q_c5_cohort,
+    "anova_topk_c2": q_anova_topk_c2,
+    "mutual_info_c2": q_mutual_info_c2,
     "dirty_violations": q_dirty_violations,
     "dirty_coerced": q_dirty_coerced,
     "cohort_union": q_cohort_union,

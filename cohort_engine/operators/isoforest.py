@@ -79,7 +79,8 @@ def _tree_samples(df: DataFrame, id_col: str, n: int, psi: int, trees: int, seed
     pool = df.select(id_col).where(unit < rate)
     pairs = pool.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     pairs = pairs.withColumn("__h", F.xxhash64(F.lit(seed), F.col("tree"), F.col(id_col)))
-    w = Window.partitionBy("tree").orderBy("__h", id_col)           # groups of about 2 psi rows
+    # one group per tree holding the pool (about 2 x trees x psi rows, independent of n)
+    w = Window.partitionBy("tree").orderBy("__h", id_col)
     return pairs.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= psi).select("tree", id_col)
 
 

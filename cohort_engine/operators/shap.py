@@ -18,6 +18,7 @@ Every result is long: ``(row id, feature, value, phi, base, fx)``; ``base + sum(
 from __future__ import annotations
 
 import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
@@ -229,9 +230,12 @@ def sampled_shap(pipe, df: DataFrame, id_col: str = "patient_id", n_rows: int |
     feats = list(pipe.features)
     M = len(feats)
     prepared = _prepared_sample(pipe, df, id_col, n_rows, seed).select(id_col, *feats).persist()
-    nb = prepared.count()
-    bg = prepared.select(F.monotonically_increasing_id().alias("__bid"), *[F.col(f).alias(f"__b_{f}") for f in feats])
-    bg = bg.withColumn("__bi", F.row_number().over(Window.orderBy("__bid")) - 1).drop("__bid")   # <= n_rows rows
+    # background = the explained rows themselves (at most n_rows), indexed on the driver
+    bg_rows = prepared.select(*feats).collect()
+    nb = len(bg_rows)
+    bg = prepared.sparkSession.createDataFrame(
+        [(i, *[float(r[f]) for f in feats]) for i, r in enumerate(bg_rows)],
+        ", ".join(["__bi long"] + [f"__b_{f} double" for f in feats]))
     draws = prepared.select(id_col, *feats, F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("__s"))
     draws = draws.withColumn("__bi", hash_order(seed, F.lit("bg"), id_col, F.col("__s")) % F.lit(nb))
     draws = draws.join(F.broadcast(bg), "__bi")

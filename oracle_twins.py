@@ -376,10 +376,27 @@ agg AS (SELECT m.feature, count(*) AS big_n, avg(hk.psi) AS pk, avg(hn.psi) AS p
 SELECT a.feature, round(greatest(0.0, hb.psi + a.pk - a.pn - a.pm), 6) AS mi FROM agg a JOIN h hb ON hb.n = a.big_n
 """
 
+ANOVA_TOPK_C2 = f"""
+WITH l AS (SELECT response, feature, value FROM {_unpivot(C2_SQL, C2_FEATURES, ['response'])}),
+{_anova('l')},
+n AS (SELECT count(DISTINCT feature) AS p FROM l)
+SELECT feature, round(f_score, 6) AS f_score FROM fs
+QUALIFY row_number() OVER (ORDER BY f_score DESC NULLS LAST, feature)
+        <= (SELECT CASE WHEN p >= 10 THEN (CASE WHEN p >= 60 THEN 60 ELSE p - p % 5 END) ELSE p END FROM n)
+"""
+
+MUTUAL_INFO_C2 = MUTUAL_INFO.replace(_unpivot(C3_SQL, C3_FEATURES, ['patient_id', 'response']),
+                                     _unpivot(C2_SQL, C2_FEATURES, ['patient_id', 'response']))
+
 ORACLE: dict[str, str] = {
     "flagship_anova_topk": FLAGSHIP,
     "c1_cohort": _round_all(C1_SQL, C1_DOUBLES),
     "c3_cohort": _round_all(C3_SQL, C3_FEATURES),
+    "c2_cohort": _round_all(C2_SQL, C2_FEATURES),
+    "c4_scores": _round_all(C4_SQL, ["score"]),
+    "c5_cohort": _round_all(C5_SQL, [c for c in C1_DOUBLES if c != "lines"]),
+    "anova_topk_c2": ANOVA_TOPK_C2,
+    "mutual_info_c2": MUTUAL_INFO_C2,
     "dirty_violations": VIOLATIONS,
     "dirty_coerced": COERCED,
     "cohort_union": UNION,
