@@ -107,11 +107,14 @@ _WANTED = T.StructType([
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    n_buckets: int | None = None, rel_err: float | None = None) -> DataFrame:
+                    n_buckets: int | None = None, rel_err: float | None = None,
+                    n_rows: int | None = None) -> DataFrame:
     """Long table ``(feature, q, value)``: exact quantiles of each column.
 
     Linear interpolation between the order statistics at ``floor`` and ``ceil`` of
     ``q * (n - 1)``; NULL cells are skipped; an all-NULL column gives NULL.
+    ``n_rows`` (when the caller already counted) lets small inputs skip straight
+    to the one-pass exact aggregate.
 
     Only the buckets that hold a wanted rank are ever sorted: bucket sizes locate
     each wanted rank's bucket and offset (``2 x columns x probs`` rows, collected),
@@ -122,6 +125,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols = list(cols)
     n_buckets = n_buckets if n_buckets is not None else shuffle_partitions(spark)
     rel_err = rel_err if rel_err is not None else min(0.01, 0.25 / max(1, n_buckets))
+    if n_rows is not None and n_rows * max(1, len(cols)) <= SMALL_EXACT_CELLS:
+        return _small_exact(df, cols, probs)                 # row count known: one pass
     cuts = None
     if n_buckets > 1:
         cuts, n_rows = cut_points(df, cols, n_buckets, rel_err, with_count=True)

@@ -54,10 +54,10 @@ def _null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for i, c in enumerate(cols) if row[f"n{i}"] < row["__rows"]]
 
 
-def _medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+def _medians(df: DataFrame, cols: Sequence[str], n_rows: int | None = None) -> dict[str, float | None]:
     if not cols:
         return {}
-    rows = exact_quantiles(df, cols, [0.5]).collect()
+    rows = exact_quantiles(df, cols, [0.5], n_rows=n_rows).collect()
     return {r["feature"]: r["value"] for r in rows}
 
 
@@ -89,7 +89,7 @@ def zscore_normalize(df: DataFrame, cols: Sequence[str],
 
 
 def fill_bad(df: DataFrame, cols: Sequence[str], medians: dict[str, float | None] | None = None,
-             nullable: Sequence[str] | None = None) -> DataFrame:
+             nullable: Sequence[str] | None = None, n_rows: int | None = None) -> DataFrame:
     """NULL (NaN, +/-inf at ingest) -> the column median, else 0.0.
 
     Medians are computed only for the columns that hold a NULL (``nullable``, or
@@ -97,7 +97,7 @@ def fill_bad(df: DataFrame, cols: Sequence[str], medians: dict[str, float | None
     """
     if medians is None:
         nullable = list(nullable) if nullable is not None else _null_columns(df, cols)
-        medians = _medians(df, nullable)
+        medians = _medians(df, nullable, n_rows)
         cols = nullable
     fills: dict[str, Column] = {}
     for c in cols:
@@ -217,7 +217,7 @@ class Normalizer:
         else:
             out = log2_normalize(df, self.cols)
             nullable = [c for i, c in enumerate(self.cols) if row[f"l{i}"] < rows]
-        out = fill_bad(out, self.cols, nullable=nullable)
+        out = fill_bad(out, self.cols, nullable=nullable, n_rows=rows)
         if self.batch_col and self.batch_col in df.columns:
             out = batch_center(out, self.cols, self.batch_col)
         return model, out

@@ -17,6 +17,17 @@ def k_range(n_features: int) -> list[int]:
 
 
 def anova_f(df: DataFrame, cols: Sequence[str], label: str = "response") -> DataFrame:
+    """F1 scores ``(feature, f_score)``.  Up to ``WIDE_LIMIT`` columns: one grouped
+    aggregate (classes x columns numbers) finished on the driver; wider tables:
+    :func:`anova_f_long`."""
+    cols = list(cols)
+    if len(cols) > WIDE_LIMIT:
+        return anova_f_long(df, cols, label)
+    scores = _anova_wide(df, cols, label)
+    return df.sparkSession.createDataFrame([(c, scores[c]) for c in cols], "feature string, f_score double")
+
+
+def anova_f_long(df: DataFrame, cols: Sequence[str], label: str = "response") -> DataFrame:
     """F1 scores: one-way ANOVA F of each feature against the class.
 
     From per-(feature, class) count, mean and population variance (a partial
@@ -51,7 +62,12 @@ def anova_ranking(df: DataFrame, cols: Sequence[str], label: str = "response") -
     """
     cols = list(cols)
     if len(cols) > WIDE_LIMIT:
-        return ranked(anova_f(df, cols, label))
+        return ranked(anova_f_long(df, cols, label))
+    scores = _anova_wide(df, cols, label)
+    return sorted(cols, key=lambda c: (scores[c] is None, -(scores[c] or 0.0), c))
+
+
+def _anova_wide(df: DataFrame, cols: list[str], label: str) -> dict[str, float | None]:
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}")]
@@ -69,7 +85,7 @@ def anova_ranking(df: DataFrame, cols: Sequence[str], label: str = "response") -
             if ssw > 0:
                 f = (ssb / (k - 1)) / (ssw / (n - k))
         scores[c] = f
-    return sorted(cols, key=lambda c: (scores[c] is None, -(scores[c] or 0.0), c))
+    return scores
 
 
 def top_k(scores: DataFrame, k: int, score_col: str = "f_score") -> DataFrame:
