@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,10 +59,16 @@ def _order_key(long: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def mutual_info(df: DataFrame, cols: Sequence[str], label: str = "response", id_col: str = "patient_id",
                 n_neighbors: int = N_NEIGHBORS) -> DataFrame:
-    """``(feature, mi)`` for every column (NULL cells are skipped)."""
+    """``(feature, mi)`` for every column (NULL cells are skipped).  Rows sharing an
+    id (resampled copies) are separate points."""
     spark = df.sparkSession
     cols = list(cols)
-    long = to_long(df, cols, keys=[id_col, label]).withColumnRenamed(label, "__y")
+    # resampled rows repeat their id: number the copies so every row is its own point
+    occ = Window.partitionBy(id_col).orderBy(*[F.col(c) for c in cols])
+    keyed = df.withColumn("__occ", F.row_number().over(occ))
+    keyed = keyed.withColumn("__rid", F.concat_ws(":", F.col(id_col).cast("string"), F.col("__occ").cast("string")))
+    id_col = "__rid"
+    long = to_long(keyed, cols, keys=[id_col, label]).withColumnRenamed(label, "__y")
     long = _order_key(long, cols)
     n_c = long.groupBy("feature", "__y").agg(F.count(F.lit(1)).alias("n_c"))
     # classes x features rows; classes of a 0/1 response are few, broadcast is safe

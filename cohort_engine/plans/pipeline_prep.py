@@ -64,6 +64,8 @@ class Preparer:
         removed: list[str] = []
         if self.outlier_method:
             removed = O.flagged(O.report(out, self.features, self.outlier_method, **self.outlier_params))
+            if len(removed) == len(self.features):
+                raise ValueError(f"outlier screening '{self.outlier_method}' flagged every feature")
             out = C.drop_features(out, removed)
         return PreparedModel(self.features, norm, scaler, imputer, removed), out
 

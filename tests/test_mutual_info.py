@@ -37,3 +37,19 @@ def test_mi_matches_brute_force(spark):
     got = {r.feature: r.mi for r in mutual_info(df, ["a", "b"]).collect()}
     assert abs(got["a"] - brute_mi(a, y)) < 1e-9
     assert abs(got["b"] - brute_mi(b, y)) < 1e-9
+
+
+def test_mi_with_repeated_ids(spark):
+    """Resampled copies share an id but are separate points (distance 0 apart)."""
+    rng = np.random.default_rng(11)
+    n = 200
+    y = rng.integers(0, 2, n)
+    a = rng.normal(y * 2.0, 1.0)
+    rows = [(int(i), int(y[i]), float(a[i])) for i in range(n)]
+    rows += [rows[i] for i in range(0, n, 4)]                # 50 copies with repeated ids
+    df = spark.createDataFrame(rows, "patient_id long, response int, a double")
+    got = mutual_info(df, ["a"]).first().mi
+    ys = np.array([r[1] for r in rows])
+    xs = np.array([r[2] for r in rows])
+    want = brute_mi(xs, ys)
+    assert want > 0.1 and abs(got - want) < 1e-9
