@@ -32,6 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -53,5 +54,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cohort_engine`` importable in Python workers (the ``--py-files`` route).
+
+    Arrow UDFs and ``mapInPandas`` functions refer to functions of this package;
+    executors import them by name.  When the package is not installed on the
+    executors, a zip of it is added to the context once per session.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_cohort_engine_shipped", False):
+        return
+    import zipfile
+
+    import cohort_engine
+    pkg_dir = os.path.dirname(os.path.abspath(cohort_engine.__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="cohort_engine-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._cohort_engine_shipped = True
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
