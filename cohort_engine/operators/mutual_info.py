@@ -9,26 +9,30 @@ discrete one (Ross 2014): for every point with at least one class mate,
 
 MI = psi(N) + mean psi(k) - mean psi(n_c) - mean psi(m), floored at 0.
 
-In one dimension the k nearest class mates are among the k predecessors and k
-successors in sorted order, so everything is ranks and counts:
-
-1. rank inside (feature, class) -- a bucketed running count, never one window
-   per feature;
-2. the 2k neighbours by an equi-join on ``rank +/- j`` (uniform keys);
-3. m from a running count over (distinct point values  U  distinct probe values),
-   probes ordered before (``<``) or after (``<=``) equal point values; on the
+Everything runs on **distinct values with multiplicities** -- a value held by a
+third of a column is one row -- and in one dimension:
+
+1. per (feature, class) the distinct values are ranked by a bucketed running
+   count (never one window per feature);
+2. a value with multiplicity c has c - 1 class mates at distance 0; the remaining
+   k - c + 1 nearest lie among the k nearest distinct values on each side, fetched
+   by an equi-join on ``rank +/- j`` (uniform keys); r is where the cumulative
+   multiplicity, in distance order, reaches them;
+3. m comes from a running count over (distinct values of all classes  U  probe
+   values), probes ordered before (``<``) or after (``<=``) equal values; on the
    neighbour's side the probe is the neighbour's own value, so no ``x +/- r``
-   rounding enters there.
+   rounding enters there;
+4. every term is weighted by the multiplicity.
 
-Unlike the reference library, no random jitter is added to the values (the
-estimate is deterministic); exact ties are handled by the r = 0 rule.
+Resampled copies (repeated ids) are separate points at distance 0, as in the
+reference.  No random jitter is added (the estimate is deterministic).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,12 +43,10 @@ from cohort_engine.operators.stats import to_long
 N_NEIGHBORS = 3
 
 
-def _order_key(long: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _order_key(df: DataFrame, cols: Sequence[str], mm: dict) -> DataFrame:
     """A single numeric key ordering rows by (feature, value): feature index plus
     the value scaled into [0, 0.5] by the feature's min / max (``len(cols)`` rows
     of statistics).  Range buckets on it split every feature by its own values."""
-    mm = {r["feature"]: (r["lo"], r["hi"]) for r in
-          long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
     idx, lo, span = [], [], []
     for i, c in enumerate(cols):
         a, b = mm.get(c, (0.0, 0.0))
@@ -53,45 +55,58 @@ def _order_key(long: DataFrame, cols: Sequence[str]) -> DataFrame:
         span += [F.lit(c), F.lit(float((b - a) if (a is not None and b is not None and b > a) else 1.0))]
     f = F.col("feature")
     scaled = (F.col("value") - F.element_at(F.create_map(*lo), f)) / F.element_at(F.create_map(*span), f)
-    return long.withColumn("__key", F.element_at(F.create_map(*idx), f) + F.least(F.greatest(scaled, F.lit(0.0)),
-                                                                                  F.lit(1.0)) * 0.5)
+    return df.withColumn("__key", F.element_at(F.create_map(*idx), f)
+                         + F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)) * 0.5)
 
 
 def mutual_info(df: DataFrame, cols: Sequence[str], label: str = "response", id_col: str = "patient_id",
                 n_neighbors: int = N_NEIGHBORS) -> DataFrame:
-    """``(feature, mi)`` for every column (NULL cells are skipped).  Rows sharing an
-    id (resampled copies) are separate points."""
+    """``(feature, mi)`` for every column (NULL cells are skipped).  ``id_col`` is
+    not needed: points are identified by their value and counted with multiplicity."""
     spark = df.sparkSession
     cols = list(cols)
-    # resampled rows repeat their id: number the copies so every row is its own point
-    occ = Window.partitionBy(id_col).orderBy(*[F.col(c) for c in cols])
-    keyed = df.withColumn("__occ", F.row_number().over(occ))
-    keyed = keyed.withColumn("__rid", F.concat_ws(":", F.col(id_col).cast("string"), F.col("__occ").cast("string")))
-    id_col = "__rid"
-    long = to_long(keyed, cols, keys=[id_col, label]).withColumnRenamed(label, "__y")
-    long = _order_key(long, cols)
-    n_c = long.groupBy("feature", "__y").agg(F.count(F.lit(1)).alias("n_c"))
-    # classes x features rows; classes of a 0/1 response are few, broadcast is safe
-    pts = (long.join(F.broadcast(n_c), ["feature", "__y"]).where(F.col("n_c") > 1)
-           .withColumn("k", F.least(F.lit(n_neighbors), F.col("n_c") - 1)))
-    pts = pts.persist()
-
-    ranked = running_sum(pts.withColumn("__one", F.lit(1)), ["__key", "value", id_col], ["__one"],
+    K = n_neighbors
+    long = to_long(df, cols, keys=[label]).withColumnRenamed(label, "__y")
+    # distinct values per (feature, class) with multiplicity: map-side pre-aggregation
+    dv = long.groupBy("feature", "__y", "value").agg(F.count(F.lit(1)).alias("c"))
+    n_c = dv.groupBy("feature", "__y").agg(F.sum("c").alias("n_c"))
+    # classes x features rows; the class column of a 0/1 response has few values
+    dv = (dv.join(F.broadcast(n_c), ["feature", "__y"]).where(F.col("n_c") > 1)
+          .withColumn("k", F.least(F.lit(K), F.col("n_c") - 1))).persist()
+    mm = {r["feature"]: (r["lo"], r["hi"]) for r in
+          dv.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
+
+    ranked = running_sum(_order_key(dv, cols, mm).withColumn("__one", F.lit(1)), ["__key", "value"], ["__one"],
                          partition_cols=["feature", "__y"])
-    ranked = ranked.withColumn("rank", F.col("cum___one") - 1).drop("__one", "cum___one").persist()
+    ranked = ranked.withColumn("rank", F.col("cum___one") - 1).drop("__one", "cum___one", "__key").persist()
 
-    steps = [j for j in range(-n_neighbors, n_neighbors + 1) if j != 0]
-    req = ranked.select("feature", "__y", id_col, "value", "k", "n_c", "__key", "rank",
-                      F.explode(F.array(*[F.lit(j) for j in steps])).alias("j")) \
+    steps = [j for j in range(-K, K + 1) if j != 0]
+    req = ranked.select("feature", "__y", "value", "c", "k", "n_c", "rank",
+                        F.explode(F.array(*[F.lit(j) for j in steps])).alias("j")) \
         .withColumn("nr", F.col("rank") + F.col("j"))
-    nb = ranked.select("feature", "__y", F.col("rank").alias("nr"), F.col("value").alias("nv"))
-    near = req.join(nb, ["feature", "__y", "nr"])
-    cand = F.struct(F.abs(F.col("nv") - F.col("value")).alias("d"), F.col("j").alias("j"), F.col("nv").alias("nv"))
-    per = near.groupBy("feature", "__y", id_col, "value", "k", "n_c", "__key").agg(
-        F.sort_array(F.collect_list(cand)).alias("c"))                      # at most 2k entries
-    kth = F.element_at(F.col("c"), F.col("k").cast("int"))
-    per = per.select("feature", id_col, "value", "k", "n_c", "__key",
-                     kth["d"].alias("r"), kth["j"].alias("side"), kth["nv"].alias("nv"))
+    nb = ranked.select("feature", "__y", F.col("rank").alias("nr"), F.col("value").alias("nv"),
+                       F.col("c").alias("nc"))
+    near = req.join(nb, ["feature", "__y", "nr"], "left")
+    cand = F.when(F.col("nv").isNotNull(), F.struct(F.abs(F.col("nv") - F.col("value")).alias("d"),
+                                                  F.col("j").alias("j"), F.col("nv").alias("nv"),
+                                                  F.col("nc").alias("nc")))
+    per = near.groupBy("feature", "__y", "value", "c", "k", "n_c").agg(
+        F.sort_array(F.collect_list(cand)).alias("cands"))                 # at most 2k entries
+    need = F.col("k") - F.col("c") + 1
+    hit_type = "struct<cum:bigint,d:double,j:int,nv:double>"
+    walk = F.aggregate(
+        "cands",
+        F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("d"),
+                 F.lit(None).cast("int").alias("j"), F.lit(None).cast("double").alias("nv")).cast(hit_type),
+        lambda acc, x: F.when(acc["d"].isNull() & (acc["cum"] + x["nc"] >= need),
+                              F.struct((acc["cum"] + x["nc"]).alias("cum"), x["d"].alias("d"), x["j"].alias("j"),
+                                       x["nv"].alias("nv")))
+        .otherwise(F.struct((acc["cum"] + x["nc"]).alias("cum"), acc["d"].alias("d"), acc["j"].alias("j"),
+                            acc["nv"].alias("nv"))).cast(hit_type))
+    per = per.withColumn("__hit", F.when(need <= 0, F.lit(None)).otherwise(walk))
+    per = per.select("feature", "value", "c", "k", "n_c",
+                     F.coalesce(F.col("__hit.d"), F.lit(0.0)).alias("r"),
+                     F.col("__hit.j").alias("side"), F.col("__hit.nv").alias("nv"))
     # probes: (value, kind) with kind 0 = counted strictly below, 2 = at or below
     up = F.when(F.col("r") == 0, F.struct(F.col("value").alias("pv"), F.lit(2).alias("kind"))) \
         .when(F.col("side") > 0, F.struct(F.col("nv").alias("pv"), F.lit(0).alias("kind"))) \
@@ -101,12 +116,11 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str = "response", id_
         .otherwise(F.struct((F.col("value") - F.col("r")).alias("pv"), F.lit(2).alias("kind")))
     per = per.withColumn("up", up).withColumn("down", down).persist()
 
-    point_vals = pts.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")) \
-        .withColumn("kind", F.lit(1))
+    point_vals = dv.groupBy("feature", "value").agg(F.sum("c").alias("cnt")).withColumn("kind", F.lit(1))
     probes = (per.select("feature", F.col("up.pv").alias("value"), F.col("up.kind").alias("kind"))
               .union(per.select("feature", F.col("down.pv").alias("value"), F.col("down.kind").alias("kind")))
               .distinct().withColumn("cnt", F.lit(0).cast("long")))
-    merged = _order_key(point_vals.unionByName(probes).select("feature", "value", "kind", "cnt"), cols)
+    merged = _order_key(point_vals.unionByName(probes).select("feature", "value", "kind", "cnt"), cols, mm)
     counted = running_sum(merged, ["__key", "value", "kind"], ["cnt"], partition_cols=["feature"])
     probe_counts = counted.where(F.col("kind") != 1).select("feature", F.col("value").alias("pv"), "kind",
                                                             F.col("cum_cnt").alias("below"))
@@ -118,15 +132,16 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str = "response", id_
              .withColumn("d_pv", F.col("down.pv")).withColumn("d_kind", F.col("down.kind"))
              .join(pc_up, ["feature", "u_pv", "u_kind"]).join(pc_dn, ["feature", "d_pv", "d_kind"])
              .withColumn("m", F.col("u_below") - F.col("d_below")))
+    cw = F.col("c").cast("double")
     agg = withm.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("big_n"),
-        F.avg(digamma_int(F.col("k"))).alias("pk"),
-        F.avg(digamma_int(F.col("n_c"))).alias("pn"),
-        F.avg(digamma_int(F.col("m"))).alias("pm"))
+        F.sum("c").alias("big_n"),
+        (F.sum(cw * digamma_int(F.col("k"))) / F.sum(cw)).alias("pk"),
+        (F.sum(cw * digamma_int(F.col("n_c"))) / F.sum(cw)).alias("pn"),
+        (F.sum(cw * digamma_int(F.col("m"))) / F.sum(cw)).alias("pm"))
     mi = agg.select("feature", F.greatest(F.lit(0.0), digamma_int(F.col("big_n")) + F.col("pk") - F.col("pn")
                                           - F.col("pm")).alias("mi"))
     got = {r["feature"]: r["mi"] for r in mi.collect()}                 # one row per column
-    for cached in (pts, ranked, per):
+    for cached in (dv, ranked, per):
         cached.unpersist()
     rows = [(c, float(got.get(c) or 0.0)) for c in cols]
     return spark.createDataFrame(rows, T.StructType([T.StructField("feature", T.StringType()),

@@ -53,3 +53,15 @@ def test_mi_with_repeated_ids(spark):
     xs = np.array([r[2] for r in rows])
     want = brute_mi(xs, ys)
     assert want > 0.1 and abs(got - want) < 1e-9
+
+
+def test_mi_with_hot_value(spark):
+    """A value held by 40 % of the rows (both classes) is one pre-aggregated row."""
+    rng = np.random.default_rng(5)
+    n = 400
+    y = rng.integers(0, 2, n)
+    a = np.where(rng.random(n) < 0.4, 0.0, np.round(rng.normal(y * 1.5, 1.0), 2))
+    rows = [(int(i), int(y[i]), float(a[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "patient_id long, response int, a double")
+    got = mutual_info(df, ["a"]).first().mi
+    assert abs(got - brute_mi(a, y)) < 1e-9
