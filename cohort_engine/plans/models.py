@@ -32,9 +32,11 @@ MODEL_GRIDS: dict[str, dict[str, list]] = {
 }
 LASSO_ALPHAS = [0.001, 0.01, 0.1, 1]
 
-# fixed values: the reference estimators' default stopping tolerances
+# fixed values: the reference estimators' default stopping tolerances and the
+# number of internal folds behind SVM probabilities
 LR_TOL = 1e-4
 SVM_TOL = 1e-3
+CALIBRATION_FOLDS = 5
 
 SPARK_MAX_DEPTH = 30          # Spark's tree depth limit stands in for "unlimited"
 RFF_COMPONENTS = 200          # random Fourier features for the RBF kernel
@@ -68,7 +70,7 @@ class FittedModel:
     algorithm: str
     params: dict
     model: object
-    platt: object | None = None           # SVM: logistic calibration of the margin
+    platt: object | None = None           # SVM: logistic calibration of out-of-fold margins
     rff: tuple | None = None              # RBF SVM: (W, b) of the feature map
 
     def transform(self, df: DataFrame, features_col: str = "features") -> DataFrame:
@@ -115,9 +117,10 @@ def fit(algorithm: str, params: dict, train: DataFrame, n_train: int, label: str
         svc = LinearSVC(featuresCol=features_col, labelCol=label, regParam=1.0 / (float(p["C"]) * n_train),
                         maxIter=1000, standardization=False, tol=SVM_TOL)
         m = svc.fit(src)
-        margins = (m.transform(src).select(label, array_to_vector(F.array(vector_to_array("rawPrediction")[1]))
-                                           .alias("__mv")))
-        platt = LogisticRegression(featuresCol="__mv", labelCol=label, regParam=0.0, maxIter=100).fit(margins)
+        margins = _oof_margins(src, svc, features_col, label, seed) if CALIBRATION_FOLDS > 1 else \
+            m.transform(src).select(label, vector_to_array("rawPrediction")[1].alias("__m"))
+        platt = LogisticRegression(featuresCol="__mv", labelCol=label, regParam=0.0, maxIter=100).fit(
+            margins.select(label, array_to_vector(F.array("__m")).alias("__mv")))
         return FittedModel(a, params, m, platt, rff)
     if a == "xgboost":
         est = GBTClassifier(featuresCol=features_col, labelCol=label, maxIter=int(p["n_estimators"]),
@@ -137,6 +140,24 @@ def fit(algorithm: str, params: dict, train: DataFrame, n_train: int, label: str
     return FittedModel(a, params, est.fit(train))
 
 
+def _oof_margins(src: DataFrame, svc: LinearSVC, features_col: str, label: str, seed: int) -> DataFrame:
+    """SVM margins of each training row from a model that did not see it
+    (``CALIBRATION_FOLDS``-fold, as the reference's probability calibration).
+    Folds hash the row's content, so resampled copies of a row share a fold."""
+    fold = F.pmod(F.xxhash64(F.lit(seed), vector_to_array(features_col), F.col(label)),
+                  F.lit(CALIBRATION_FOLDS))
+    keyed = src.withColumn("__cf", fold)
+    parts = []
+    for f in range(CALIBRATION_FOLDS):
+        mf = svc.fit(keyed.where(F.col("__cf") != f))
+        parts.append(mf.transform(keyed.where(F.col("__cf") == f))
+                     .select(label, vector_to_array("rawPrediction")[1].alias("__m")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
 def _rff_weights(train: DataFrame, features_col: str, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """gamma = 1 / (p * Var(X)) over all training cells ('scale'), W ~ N(0, 2 gamma)."""
     arr = train.select(F.explode(vector_to_array(features_col)).alias("x"))
