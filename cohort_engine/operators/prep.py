@@ -106,11 +106,14 @@ def fill_bad(df: DataFrame, cols: Sequence[str], medians: dict[str, float | None
     return df.withColumns(fills)
 
 
-def batch_means(df: DataFrame, cols: Sequence[str], batch: str) -> DataFrame:
-    return df.groupBy(batch).agg(*[F.avg(c).alias(f"__bm_{c}") for c in cols])
+def batch_means(df: DataFrame, cols: Sequence[str], batch: str, with_moments: bool = False) -> DataFrame:
+    aggs = [F.avg(c).alias(f"__bm_{c}") for c in cols]
+    if with_moments:
+        aggs += [F.count(c).alias(f"__bn_{c}") for c in cols] + [F.var_pop(c).alias(f"__bv_{c}") for c in cols]
+    return df.groupBy(batch).agg(*aggs)
 
 
-def batch_center(df: DataFrame, cols: Sequence[str], batch: str = "batch") -> DataFrame:
+def batch_center(df: DataFrame, cols: Sequence[str], batch: str = "batch", with_moments: bool = False):
     """T4 / T5: subtract each feature's mean within its batch; NULL batch is a batch.
 
     Rows are never shuffled by batch (a hot batch would land in one task): per-batch
@@ -119,19 +122,39 @@ def batch_center(df: DataFrame, cols: Sequence[str], batch: str = "batch") -> Da
     them the means become literal lookups in a narrow projection, otherwise the
     table is joined (broadcast below ``BROADCAST_ROWS`` rows, else a shuffle join
     where AQE splits a skewed batch).
+
+    With ``with_moments`` also returns ``{col: (mean, population std)}`` of the
+    centred values -- mean 0 and the pooled within-batch spread, from the same
+    aggregate -- so a scaler fitted next needs no pass of its own.
     """
     if batch not in df.columns or not cols:
-        return df
-    means = batch_means(df, cols, batch).withColumnRenamed(batch, "__bkey")
+        return (df, None) if with_moments else df
+    means = batch_means(df, cols, batch, with_moments).withColumnRenamed(batch, "__bkey")
     cap = max(1, LITERAL_CELLS // max(1, len(cols)))
     got = means.limit(cap + 1).collect()
     if len(got) <= cap:
-        return _center_literal(df, cols, batch, got)
+        out = _center_literal(df, cols, batch, got)
+        mom = _pooled(cols, got) if with_moments else None
+        return (out, mom) if with_moments else out
+    mom = None
+    if with_moments:
+        row = means.agg(*[F.sum(F.col(f"__bn_{c}") * F.col(f"__bv_{c}")).alias(f"s{i}") for i, c in enumerate(cols)],
+                        *[F.sum(f"__bn_{c}").alias(f"n{i}") for i, c in enumerate(cols)]).first()
+        mom = {c: (0.0, (row[f"s{i}"] / row[f"n{i}"]) ** 0.5 if row[f"n{i}"] else None) for i, c in enumerate(cols)}
     n_batches = means.count()
     side = F.broadcast(means) if n_batches * max(1, len(cols)) <= BROADCAST_ROWS else means
     joined = df.join(side, df[batch].eqNullSafe(side["__bkey"]), "left")
-    centred = joined.withColumns({c: F.col(c) - F.col(f"__bm_{c}") for c in cols})
-    return centred.drop("__bkey", *[f"__bm_{c}" for c in cols]).select(*df.columns)
+    centred = joined.withColumns({c: F.col(c) - F.col(f"__bm_{c}") for c in cols}).select(*df.columns)
+    return (centred, mom) if with_moments else centred
+
+
+def _pooled(cols: Sequence[str], rows) -> dict[str, tuple[float, float | None]]:
+    out = {}
+    for c in cols:
+        n = sum(r[f"__bn_{c}"] or 0 for r in rows)
+        s = sum((r[f"__bn_{c}"] or 0) * (r[f"__bv_{c}"] or 0.0) for r in rows)
+        out[c] = (0.0, (s / n) ** 0.5 if n else None)
+    return out
 
 
 def _center_literal(df: DataFrame, cols: Sequence[str], batch: str, rows) -> DataFrame:
@@ -218,8 +241,9 @@ class Normalizer:
             out = log2_normalize(df, self.cols)
             nullable = [c for i, c in enumerate(self.cols) if row[f"l{i}"] < rows]
         out = fill_bad(out, self.cols, nullable=nullable, n_rows=rows)
+        self.out_moments = None
         if self.batch_col and self.batch_col in df.columns:
-            out = batch_center(out, self.cols, self.batch_col)
+            out, self.out_moments = batch_center(out, self.cols, self.batch_col, with_moments=True)
         return model, out
 
     def fit(self, df: DataFrame) -> NormalizerModel:

@@ -55,9 +55,15 @@ class Preparer:
         """
         self._cached = []
         df = self._keep(nan_to_null(C.encode_sex(df)))
-        norm, normed = P.Normalizer(self.features, self.batch_col, self.stats).fit_transform(df)
+        normalizer = P.Normalizer(self.features, self.batch_col, self.stats)
+        norm, normed = normalizer.fit_transform(df)
         normed = self._keep(normed)
-        scaler = P.StandardScaler(self.features).fit(normed)
+        mom = getattr(normalizer, "out_moments", None)
+        if mom is not None:              # centred data: mean 0, pooled within-batch spread
+            scaler = P.ScalerModel(list(self.features), {c: 0.0 for c in self.features},
+                                   {c: (mom[c][1] if mom[c][1] else 1.0) for c in self.features})
+        else:
+            scaler = P.StandardScaler(self.features).fit(normed)
         scaled = scaler.transform(normed)
         imputer = P.ImputerModel([], {})
         out = imputer.transform(scaled)
