@@ -71,16 +71,21 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 def running_sum(df: DataFrame, order_cols: Sequence[str | Column], value_cols: Sequence[str],
                 partition_cols: Sequence[str] = (), bucket_col: str | None = None,
-                n_buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
+                n_buckets: int | None = None, prefix: str = "cum_", max_groups: int | None = None) -> DataFrame:
     """Add ``prefix + v`` = inclusive running sum of each ``v`` in ``value_cols``.
 
     Order is ``order_cols`` (ties must be broken by the caller if the result should
     be unique per row) within ``partition_cols``.  The first order column must be
     numeric; it defines the range buckets unless ``bucket_col`` is given (a column
     whose order agrees with the order columns inside every partition group).
+    ``max_groups`` (a known bound on the partition groups; 1 without
+    ``partition_cols``) decides the offset broadcast without counting the table.
     """
     order_exprs = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     part = list(partition_cols)
+    n_b = n_buckets or shuffle_partitions(df.sparkSession)
+    if not part:
+        max_groups = 1
     if bucket_col is None:
         first = order_cols[0]
         if not isinstance(first, str):
@@ -103,9 +108,13 @@ def running_sum(df: DataFrame, order_cols: Sequence[str | Column], value_cols: S
     offsets = totals.select(
         *part, bucket_col,
         *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in value_cols])
-    n_groups_buckets = offsets.count()
-    joined = _null_safe_join(within, offsets, part + [bucket_col],
-                             broadcast=n_groups_buckets <= BROADCAST_ROWS)
+    # the offsets table has at most groups x buckets rows; an explicit bucket column
+    # is bounded only when the caller states its bucket count in ``n_buckets``
+    if max_groups is not None and (drop_bucket or n_buckets is not None):
+        small = max_groups * (n_b + 1) <= BROADCAST_ROWS
+    else:
+        small = offsets.count() <= BROADCAST_ROWS
+    joined = _null_safe_join(within, offsets, part + [bucket_col], broadcast=small)
     out = joined
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"__in_{v}") + F.col(f"__o_{v}"))

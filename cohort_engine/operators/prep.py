@@ -310,7 +310,8 @@ class MedianImputer:
 # resampling
 # ---------------------------------------------------------------------------
 
-def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = 42, out: str = "__rank") -> DataFrame:
+def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = 42, out: str = "__rank",
+                  n_classes: int | None = None) -> DataFrame:
     """0-based position of each row inside its class in ``md5(seed:id)`` order.
 
     A running count in hash-range buckets: the hash is uniform, so bucket bounds
@@ -323,7 +324,8 @@ def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = 42, out: s
              .withColumn("__hk", hash_key(seed, id_col))
              .withColumn("__one", F.lit(1))
              .withColumn("__hb", F.floor(F.col("__h") / F.lit(_HASH_SPACE / n_buckets))))
-    ranked = running_sum(keyed, ["__h", "__hk", id_col], ["__one"], partition_cols=[label], bucket_col="__hb")
+    ranked = running_sum(keyed, ["__h", "__hk", id_col], ["__one"], partition_cols=[label], bucket_col="__hb",
+                         n_buckets=n_buckets, max_groups=n_classes)
     return ranked.withColumn(out, F.col("cum___one") - 1).drop("__h", "__hk", "__one", "__hb", "cum___one")
 
 
@@ -343,7 +345,7 @@ def oversample(df: DataFrame, label: str = "response", id_col: str = "patient_id
     extra = {c: n_max - n for c, n in counts.items() if n < n_max}
     if not extra:
         return df
-    ranked = rank_in_class(df, label, id_col, seed)
+    ranked = rank_in_class(df, label, id_col, seed, n_classes=len(counts))
     draws = None
     from cohort_engine.session import shuffle_partitions
     parts = shuffle_partitions(spark)
@@ -369,7 +371,7 @@ def undersample(df: DataFrame, label: str = "response", id_col: str = "patient_i
     if len(counts) < 2:
         return df
     n_min = min(counts.values())
-    ranked = rank_in_class(df, label, id_col, seed)
+    ranked = rank_in_class(df, label, id_col, seed, n_classes=len(counts))
     return ranked.where(F.col("__rank") < n_min).drop("__rank")
 
 

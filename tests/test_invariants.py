@@ -57,3 +57,21 @@ def test_confusion_zero_cells_and_mcc(spark):
     assert cm == {(0, 0): 0, (0, 1): 1, (1, 0): 0, (1, 1): 2}
     s = M.classification_scores(df).first()
     assert s.mcc == 0.0 and abs(s.accuracy - 2 / 3) < 1e-12
+
+
+def test_permuted_copies_are_full_permutations(spark):
+    from cohort_engine.operators.explain import permute_column, permuted_copies
+    c5 = FX.c5_signal(spark, SF_SMALL).select("patient_id", "response", "qty", "tax")
+    n = c5.count()
+    cp = permuted_copies(c5, ["qty", "tax"], "patient_id", repeats=3, seed=42).persist()
+    sizes = {(r["__f"], r["__rep"]): r["count"] for r in cp.groupBy("__f", "__rep").count().collect()}
+    assert sizes == {(f, r): n for f in ("qty", "tax") for r in range(3)}
+    orig = sorted(r.qty for r in c5.select("qty").collect())
+    assert sorted(r.qty for r in cp.where("__f = 'qty' AND __rep = 1").select("qty").collect()) == orig
+    # the untouched column stays with its row
+    same = cp.where("__f = 'qty'").join(c5.select("patient_id", F.col("tax").alias("t0")), "patient_id")
+    assert same.where("tax <> t0").count() == 0
+    # copy (qty, 0) is exactly the SQL-checked single-column permutation
+    one = permute_column(c5, "qty", "patient_id", seed=42, repeat=0).select("patient_id", F.col("qty").alias("q1"))
+    both = cp.where("__f = 'qty' AND __rep = 0").join(one, "patient_id")
+    assert both.count() == n and both.where("qty <> q1").count() == 0
