@@ -8,6 +8,7 @@ Floating outputs are rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -443,10 +444,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return _shipped(flagship)(spark, SMOKE_DIR)
 
 
+def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and twins of the training-data subpackage and the pipeline, where they are present."""
+    if importlib.util.find_spec("cohort_engine.llm") is None:
+        return {}, {}
+    from cohort_engine.llm.queries import ORACLE, QUERIES
+    fns, twins = dict(QUERIES), dict(ORACLE)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+        fns["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            twins["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return fns, twins
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _shipped(fn) for name, fn in _QUERIES.items()}
+    return {name: _shipped(fn) for name, fn in (_QUERIES | _llm()[0]).items()}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_twins import ORACLE
-    return {k: v for k, v in ORACLE.items() if k in _QUERIES}
+    return {k: v for k, v in ORACLE.items() if k in _QUERIES} | _llm()[1]

@@ -40,7 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to a shared file system.  Only when it is
-    unset (tests, a laptop) do we fall back to a fresh local folder.
+    unset and the master is local (tests, a laptop) a fresh local folder is taken;
+    elsewhere executors could not see each other's files, so that is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cohort-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)
