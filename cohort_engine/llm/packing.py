@@ -11,7 +11,9 @@
      configurations found so far, and a knapsack over its dual prices for the next one;
    * whole multiples of the configurations are opened and the group's actual documents
      substituted, longest first; what the rounding down leaves over is placed best fit
-     decreasing, then the small lengths, best fit, into the space left.
+     decreasing, then the small lengths, best fit, into the space left;
+   * sequences that rounding left with space are packed again, best fit decreasing, where
+     that saves sequences.
    Identical sequences are kept as runs with a count, so the plan's size depends on the
    numbers of groups and lengths alone.
 3. The plan becomes, per length, ranges of ranks with their first sequence and offset.
@@ -24,7 +26,9 @@ each; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -34,43 +38,56 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohort_engine.llm.common import cell_ranks, prepare, table
 from cohort_engine.llm.token_counts import ADDED, CACHE, DIGITS, LETTERS, PLAIN_TEXT, SPACES, load_tokenizer
 
 MAX_TOKENS = 2048
 END_ID = 0
-GROUPS = 48              # groups of large lengths
-SMALL = 8                # lengths under capacity / SMALL are small
+GROUPS = 24              # groups of large lengths
+SMALL = 4                # lengths under capacity / SMALL are small
+REFIT = (256, 64, 16, 8)    # sequences with more than capacity / REFIT left are packed again, where that saves some
 ROWS_PER_CELL = 1_000    # rows of one length that a window numbers at once
 
 #: The splitting rule of byte_bpe_50k.json for plain characters (fixed pattern of the vocabulary).
 BYTE_PIECES = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{SPACES}{LETTERS}{DIGITS}]+"
                f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+#: A piece is already split; the ranks encode it whole.
+PIECE = r"(?s:.+)"
 
 
 class IdBytes(dict):
-    """Little-endian ids of one pre-token piece, from the tokenizer when first seen."""
+    """Little-endian ids of one pre-token piece, encoded when first seen (at most ``CACHE`` a worker).
 
-    def __init__(self, path: str):
+    ``path`` is the vocabulary for tokenizers, which encodes every text that is not plain;
+    ``ranks_path`` the same vocabulary as ranks, by which single pieces are encoded."""
+
+    def __init__(self, path: str, ranks_path: str):
         super().__init__()
+        import tiktoken
         self.tokenizer = load_tokenizer(path)
         self.find = re.compile(BYTE_PIECES).findall
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.pieces = tiktoken.Encoding("pieces", pat_str=PIECE, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.find(t) if PLAIN_TEXT.fullmatch(t) and ADDED not in t else None for t in texts]
+    def __missing__(self, piece: str) -> bytes:
         if len(self) > CACHE:
             self.clear()
-        new = list({p for ps in split if ps for p in ps}.difference(self))
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[p] = np.asarray(e.ids, "<u4").tobytes()
+        ids = self.pieces.encode_ordinary(piece)
+        self[piece] = out = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [self.find(t) if PLAIN_TEXT.fullmatch(t) and ADDED not in t else None for t in texts]
         get = self.__getitem__
         return [b"".join(map(get, ps)) if ps is not None else
                 np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
                 for t, ps in zip(texts, split)]
 
 
-_WORKER: dict[str, IdBytes] = {}
+_WORKER: dict[tuple[str, str], IdBytes] = {}
 
 
 def piece_spans(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -79,16 +96,16 @@ def piece_spans(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
+def token_pieces(docs: DataFrame, paths: tuple[str, str], capacity: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every document."""
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if path not in _WORKER:
-            _WORKER[path] = IdBytes(path)
+        if paths not in _WORKER:
+            _WORKER[paths] = IdBytes(*paths)
         for pdf in batches:
             out = []
-            for doc, ids in zip(pdf["doc_id"], _WORKER[path].encode(["" if t is None else t for t in pdf["text"]])):
+            for doc, ids in zip(pdf["doc_id"], _WORKER[paths].encode(["" if t is None else t for t in pdf["text"]])):
                 ids = memoryview(ids + end)
                 for k, (start, n) in enumerate(piece_spans(len(ids) // 4, capacity)):
                     out.append((doc, k, start, n, zlib.crc32(ids[4 * start:4 * (start + n)])))
@@ -190,31 +207,35 @@ class Runs:
         self.order.remove(room)
         return self.free.pop(room)
 
+    def copy(self) -> Runs:
+        out = Runs(self.capacity)
+        out.order = list(self.order)
+        for room, runs in self.free.items():
+            out.free[room] = Counter(runs)
+        return out
+
+    def total(self) -> int:
+        return sum(n for runs in self.free.values() for n in runs.values())
+
     def best_fit(self, length: int, n: int) -> None:
         """Place ``n`` items of one length, each where the least space remains."""
         while n:
             at = bisect_left(self.order, length)
-            if at == len(self.order):
+            if at == len(self.order):            # no open sequence has room: new ones
                 each = self.capacity // length
-                self.add((length,) * each, n // each)if n >= each else self.add((length,) * n, 1)
-                n = n % each if n >= each else 0
-                continue
-            room = self.order[at]
-            each = room // length
-            runs = self.take(room)
-            for contents, m in runs.items():
-                full = min(m, n // each)
-                if full:
-                    self.add(contents + (length,) * each, full)
-                    n -= full * each
-                if full < m:
-                    part = min(n, each)          # fewer than a whole share are left, or none
-                    if 0 < part < each or (part and full < m and n < each):
-                        self.add(contents + (length,) * part, 1)
-                        n -= part
-                        full += 1
-                    if m - full:
-                        self.add(contents, m - full)
+                if n // each:
+                    self.add((length,) * each, n // each)
+                if n % each:
+                    self.add((length,) * (n % each), 1)
+                return
+            each = self.order[at] // length
+            for contents, m in self.take(self.order[at]).items():
+                full = min(m, n // each)         # of these sequences take a whole share,
+                part = n % each if full < m and n < m * each else 0      # one the last few
+                for items, times in ((each, full), (part, bool(part)), (0, m - full - bool(part))):
+                    if times:
+                        self.add(contents + (length,) * items, times)
+                n -= full * each + part
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int, groups: int = GROUPS, small: int = SMALL) -> list[tuple[tuple[int, ...], int]]:
@@ -241,11 +262,26 @@ def plan_sequences(histogram: dict[int, int], capacity: int, groups: int = GROUP
         for st in stock:
             rest.update(dict_of(st))
     rest.update({k: n for k, n in histogram.items() if k < capacity // small})
-    for length in sorted(rest, reverse=True):
-        runs.best_fit(length, rest[length])
+    best_fit_all(runs, rest)
+    for share in REFIT:                          # sequences with that much space left are packed again
+        again = runs.copy()
+        loose: Counter = Counter()
+        for room in [r for r in again.order if r * share >= capacity]:
+            for contents, n in again.take(room).items():
+                for length in contents:
+                    loose[length] += n
+        best_fit_all(again, loose)
+        if again.total() < runs.total():
+            runs = again
     return [(c, n) for room in runs.order for c, n in runs.free[room].items()]
 
 
+def best_fit_all(runs: Runs, lengths: Counter) -> None:
+    """Best fit decreasing."""
+    for length in sorted(lengths, reverse=True):
+        runs.best_fit(length, lengths[length])
+
+
 def dict_of(pairs: list[tuple[int, int]]) -> Counter:
     out: Counter = Counter()
     for k, n in pairs:
@@ -311,7 +347,8 @@ def pack(pieces: DataFrame, capacity: int = MAX_TOKENS, groups: int = GROUPS) ->
     ranked = cell_ranks(pieces.join(F.broadcast(sizes), "length"), ["length"],
                         F.ceil(F.col("_of_length") / ROWS_PER_CELL), ["doc_id", "piece"]).drop("_of_length")
     shared = spark.sparkContext.broadcast(ranges)     # bounded by groups and lengths
-    schema = ranked.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*ranked.schema.fields, T.StructField("sequence_id", T.LongType()),
+                           T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         plan = shared.value
@@ -334,7 +371,8 @@ def op4_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
-def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     import public_tokenizers
-    pieces = token_pieces(docs, path or public_tokenizers.path("byte_bpe_50k.json")).checkpoint()
+    pieces = token_pieces(docs, paths or (public_tokenizers.path("byte_bpe_50k.json"),
+                                          public_tokenizers.path("byte_bpe_50k.tiktoken"))).checkpoint()
     return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from cohort_engine.llm.packing import op4_linear_grouping
 from cohort_engine.llm.sharding import op8_ring_sharding
+from cohort_engine.llm.token_counts import op3_token_counts
 
-QUERIES = {f.__name__: f for f in (op8_ring_sharding,)}
+QUERIES = {f.__name__: f for f in (op3_token_counts, op4_linear_grouping, op8_ring_sharding)}
 ORACLE: dict[str, str] = {}

@@ -34,7 +34,7 @@ from cohort_engine.llm.common import prepare, table
 CHUNK_CHARS = 1 << 15
 OVERLAP = 512
 MAX_TOKENS = 2048
-CACHE = 400_000          # pieces remembered by a worker
+CACHE = 600_000          # pieces remembered by a worker
 PLAIN_END = 0x250        # characters below have had fixed classes since the first Unicode versions
 
 
