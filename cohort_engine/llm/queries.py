@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from cohort_engine.llm import decontaminate
+from cohort_engine.llm import decontaminate, near_duplicates
 from cohort_engine.llm.decontaminate import op5_decontamination
+from cohort_engine.llm.near_duplicates import op7_near_duplicates
 from cohort_engine.llm.packing import op4_linear_grouping
 from cohort_engine.llm.sharding import op8_ring_sharding
 from cohort_engine.llm.token_counts import op3_token_counts
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_linear_grouping, op5_decontamination, op8_ring_sharding)}
-ORACLE: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op3_token_counts, op4_linear_grouping, op5_decontamination, op7_near_duplicates,
+                                    op8_ring_sharding)}
+ORACLE: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL,
+                          "op7_near_duplicates": near_duplicates.ORACLE_SQL}
