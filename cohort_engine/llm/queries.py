@@ -8,8 +8,9 @@ from cohort_engine.llm.near_duplicates import op7_near_duplicates
 from cohort_engine.llm.packing import op4_linear_grouping
 from cohort_engine.llm.sharding import op8_ring_sharding
 from cohort_engine.llm.token_counts import op3_token_counts
+from cohort_engine.llm.vector_search import op9_graph_search
 
 QUERIES = {f.__name__: f for f in (op3_token_counts, op4_linear_grouping, op5_decontamination, op7_near_duplicates,
-                                    op8_ring_sharding)}
+                                    op8_ring_sharding, op9_graph_search)}
 ORACLE: dict[str, str] = {"op5_decontamination": decontaminate.ORACLE_SQL,
                           "op7_near_duplicates": near_duplicates.ORACLE_SQL}
