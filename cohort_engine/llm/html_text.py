@@ -27,7 +27,7 @@ from cohort_engine.llm.common import prepare, table
 
 RAW = "script|style|title|textarea|iframe|noembed|noframes|template|noscript|svg|math"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*+>",
+    rf"<!--.*?(?:-->|\Z)|<(?:{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*+(?:>|\Z)",
     re.S | re.I)
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)")
 HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

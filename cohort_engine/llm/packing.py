@@ -41,13 +41,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohort_engine.llm.common import cell_ranks, prepare, table
-from cohort_engine.llm.token_counts import ADDED, CACHE, DIGITS, LETTERS, PLAIN_TEXT, SPACES, load_tokenizer
+from cohort_engine.llm.token_counts import ADDED, DIGITS, LETTERS, PLAIN_TEXT, SPACES, load_tokenizer
 
 MAX_TOKENS = 2048
 END_ID = 0
 GROUPS = 24              # groups of large lengths
 SMALL = 4                # lengths under capacity / SMALL are small
 REFIT = (256, 64, 16, 8)    # sequences with more than capacity / REFIT left are packed again, where that saves some
+CACHE = 400_000          # pieces remembered by a worker
 ROWS_PER_CELL = 1_000    # rows of one length that a window numbers at once
 
 #: The splitting rule of byte_bpe_50k.json for plain characters (fixed pattern of the vocabulary).

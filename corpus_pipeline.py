@@ -35,8 +35,8 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
     The rejected ids are cut off from their lineage first; Spark broadcasts them where it
     measures them to be small and shuffles otherwise."""
-    return docs.join(rejected.select(F.col("doc_id").alias("_rejected")).distinct().checkpoint(),
-                     F.col("doc_id") == F.col("_rejected"), "left_anti").select(*docs.columns)
+    gone = rejected.select("doc_id").distinct().checkpoint()
+    return docs.alias("docs").join(gone.alias("gone"), F.col("docs.doc_id") == F.col("gone.doc_id"), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
