@@ -11,14 +11,20 @@
    which pairs meet adapts by itself: shallow where a region is sparse, as deep as the
    signatures go where it is dense.  Partition edges are paired in a second small step.
    Two sets of similarity 0.8 meet at depth ``ROOT`` in some order but for 3 in a million.
-3. Confirmation on whole sets, in two rounds: first every class's strongest candidate
+3. Sets are made again for the classes that have a candidate, and their shingles counted
+   among these.  A shingle no other of them holds can be in no intersection, which bounds
+   a pair's similarity from above exactly; pairs bounded below the threshold drop out.
+   In every region of every order (equal first ``ROOT`` minhashes) the class with the
+   smallest share of such lone shingles, the one nearest to what the region has in common,
+   becomes a further candidate of all others: in a dense region, where the neighbours do
+   not reach everyone, a class that is linked to anything is linked to that one first.
+4. Confirmation on whole sets, in two rounds: first every class's strongest candidate
    (most orders agree); then, of the other candidates, those that join different
    components.  Signatures that agree in under ``MAYBE`` of their places (five standard
-   deviations off 0.8) need no confirmation.  Sets are made again for the documents
-   concerned only.
-4. Components of the confirmed links by large-star and small-star steps.
+   deviations off 0.8) need no confirmation.
+5. Components of the confirmed links by large-star and small-star steps.
 
-Pairs are linear in the number of classes: at most ``TREES * NEIGHBOURS`` each.
+Pairs are linear in the number of classes: at most ``TREES * (NEIGHBOURS + 1)`` each.
 
 Defined results: NULL, empty and white-space texts have an empty set, no links, and
 themselves as component; rows that repeat a doc_id belong to one component; a NULL
@@ -44,7 +50,7 @@ SHINGLE = 4
 PERCENT = 80             # 100 * intersection >= PERCENT * union
 TREES, ROOT, DEPTH = 24, 4, 12
 HASHES = TREES * ROOT
-NEIGHBOURS = 6
+NEIGHBOURS = 4
 MAYBE = 0.6
 BLOCK = 2048             # shingles hashed at once
 BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast at most
@@ -158,36 +164,65 @@ def forest_candidates(classes: DataFrame) -> DataFrame:
             .groupBy("a", "b").agg(F.count("*").alias("votes")).checkpoint())
 
 
-def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose signatures agree often enough to be worth a confirmation."""
-    short = classes.select("id", "sig", "n_shingles")
+def shingle_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, n, shingles) of the documents that occur in ``pairs``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sets = [shingle_set(t) for t in pdf["text"]]
+            yield pd.DataFrame({"id": pdf["id"], "n": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct().checkpoint()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return (docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
+            .mapInPandas(run, "id long, n long, shingles binary"))
+
+
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """(id, n, shared): set sizes, and how many of the shingles another set holds as well."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = np.frombuffer(b"".join(pdf["sig_a"]), "<u4").reshape(len(pdf), HASHES)
-            y = np.frombuffer(b"".join(pdf["sig_b"]), "<u4").reshape(len(pdf), HASHES)
-            yield pdf.loc[(x == y).mean(axis=1) >= MAYBE, ["a", "b"]]
+            arrays = [np.frombuffer(x, np.int64) for x in pdf["shingles"]]
+            if arrays:
+                yield pd.DataFrame({"shingle": np.concatenate(arrays), "id": np.repeat(pdf["id"].to_numpy(np.int64), [len(a) for a in arrays])})
 
-    a = short.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("n_shingles").alias("n_a"))
-    b = short.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.col("n_shingles").alias("n_b"))
-    near_size = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
-    return (pairs.select("a", "b").join(a, "a").join(b, "b").where(near_size)
-            .select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long"))
+    lone = (sets.mapInPandas(run, "shingle long, id long").groupBy("shingle").agg(F.count("*").alias("holders"), F.min("id").alias("id"))
+            .where("holders = 1").groupBy("id").agg(F.count("*").alias("lone")))
+    return sets.select("id", "n").join(lone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"))
 
 
-def shingle_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, shingles) of the documents that occur in ``pairs``."""
+def leader_pairs(classes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b): every class with the most typical class of each of its regions."""
+    linkable = sizes.where(F.col("shared") * 100 >= F.col("n") * PERCENT)
+    rows = (classes.join(linkable, "id").select("id", "sig").mapInPandas(order_rows, "tree int, k0 long, k1 long, k2 long, id long")
+            .select("tree", "k0", "id").join(linkable.select("id", (1 - F.col("shared") / F.col("n")).alias("lone")), "id"))
+    leaders = rows.groupBy("tree", "k0").agg(F.min(F.struct("lone", "id"))["id"].alias("leader"), F.count("*").alias("members"))
+    return (rows.join(leaders.where("members > 1"), ["tree", "k0"]).where("id <> leader")
+            .select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")))
+
+
+def possible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs that can reach the threshold: an intersection holds shared shingles only."""
+    a = sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"))
+    b = sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"))
+    most = F.least("s_a", "s_b")
+    return pairs.join(a, "a").join(b, "b").where(most * 100 >= (F.col("n_a") + F.col("n_b") - most) * PERCENT).select(*pairs.columns)
+
+
+def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree often enough to be worth a confirmation."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "shingles": [shingle_set(t).tobytes() for t in pdf["text"]]})
+            x = np.frombuffer(b"".join(pdf["sig_a"]), "<u4").reshape(len(pdf), HASHES)
+            y = np.frombuffer(b"".join(pdf["sig_b"]), "<u4").reshape(len(pdf), HASHES)
+            yield pdf.loc[(x == y).mean(axis=1) >= MAYBE, ["a", "b"]]
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return (docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-            .mapInPandas(run, "id long, shingles binary"))
+    a = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
+    b = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
+    return (pairs.select("a", "b").join(a, "a").join(b, "b")
+            .select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long"))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -198,27 +233,27 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield pdf.loc[keep, ["a", "b"]]
 
-    sets = shingle_sets(docs, pairs).checkpoint()
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    near_size = F.least(F.length("x"), F.length("y")) * 100 >= F.greatest(F.length("x"), F.length("y")) * PERCENT
-    return pairs.join(a, "a").join(b, "b").where(near_size).mapInPandas(run, "a long, b long")
+    return pairs.join(a, "a").join(b, "b").mapInPandas(run, "a long, b long")
 
 
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, component) of the classes that are linked to another one."""
-    candidates = forest_candidates(classes)
+    near = forest_candidates(classes)
+    sets = shingle_sets(docs, near).checkpoint()
+    sizes = shared_sizes(sets).checkpoint()
+    led = leader_pairs(classes, sizes).groupBy("a", "b").agg(F.count("*").alias("votes"))
+    candidates = possible(near.unionByName(led).groupBy("a", "b").agg(F.sum("votes").alias("votes")), sizes).checkpoint()
     strength = F.struct("votes", F.xxhash64("a", "b"), "b")
     strongest = candidates.groupBy("a").agg(F.max(strength).alias("s")).select("a", F.col("s.b").alias("b"))
-    sure = confirm(alike(strongest, classes).checkpoint(), docs).checkpoint()
-    if candidates.isEmpty():
-        return connected_components(sure)
+    sure = confirm(alike(strongest, classes).checkpoint(), sets).checkpoint()
     first = connected_components(sure).checkpoint()
     of_a = first.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     of_b = first.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     other = (candidates.select("a", "b").join(strongest, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
              .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    more = confirm(alike(other, classes).checkpoint(), docs)
+    more = confirm(alike(other, classes).checkpoint(), sets)
     roots = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return connected_components(roots.unionByName(more))
 
