@@ -38,7 +38,7 @@ DIGITS = 6
 
 def rounded(df: DataFrame) -> DataFrame:
     """Round every floating column to ``DIGITS`` decimals (both engines do the same)."""
-    return df.select(*[F.round(F.col(f.name), DIGITS).alias(f.name)
+    return df.select(*[(F.round(F.col(f.name), DIGITS) + 0.0).alias(f.name)          # + 0.0: no negative zero
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -163,6 +163,31 @@ def q_batch_center(spark, d):
     return rounded(P.batch_center(filled, FX.C1_FEATURES, "batch"))
 
 
+def q_batch_center_many(spark, d):
+    """T4 with as many batches as customers."""
+    c1 = FX.c1_orders(spark, d, batch="o_custkey")
+    filled = P.fill_bad(P.log2_normalize(c1, FX.C1_FEATURES), FX.C1_FEATURES)
+    return rounded(P.batch_center(filled, FX.C1_FEATURES, "batch"))
+
+
+def q_batch_correct(spark, d):
+    """T5: the batches come in a table of their own."""
+    c1 = FX.c1_orders(spark, d)
+    filled = P.fill_bad(P.log2_normalize(c1, FX.C1_FEATURES), FX.C1_FEATURES)
+    corrected = P.correct_batches(filled.drop("batch"), FX.C1_FEATURES, filled.select("patient_id", "batch"))
+    return rounded(corrected.select("patient_id", *FX.C1_FEATURES))
+
+
+def q_csv_scan(spark, d):
+    """S1 + S2: a CSV with missing markers, read and coerced."""
+    return rounded(coerce(FX.csv_orders(spark, d)))
+
+
+def q_csv_violations(spark, d):
+    """S1 + S3: only real failures of the CSV; missing markers are none."""
+    return violations(FX.csv_orders(spark, d))
+
+
 def q_standard_scale(spark, d):
     c3 = FX.c3_documents(spark, d)
     return rounded(P.StandardScaler(FX.C3_FEATURES).fit(c3).transform(c3))
@@ -277,15 +302,70 @@ LR_PARAMS = {"C": 1, "penalty": "l2", "k": 5}
 GBT_PARAMS = {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1, "k": 5}
 
 
+def _additivity(shap: DataFrame) -> DataFrame:
+    """How many rows are explained, and of how many base + sum(phi) misses the model's output."""
+    rows = shap.groupBy("patient_id").agg(F.abs(F.first("base") + F.sum("phi") - F.first("fx")).alias("miss"))
+    return rows.agg(F.count("*").alias("n_rows"), F.sum((F.col("miss") > 1e-9).cast("long")).alias("n_off"))
+
+
+def q_tree_shap_additivity(spark, d):
+    """I6 on all rows: boosted trees."""
+    from cohort_engine.operators.shap import tree_shap
+    df, pipe = _fit(spark, d, "xgboost", GBT_PARAMS)
+    return _additivity(tree_shap(pipe, df, n_rows=None))
+
+
+def q_linear_shap_additivity(spark, d):
+    """I7 on all rows: a linear SVM."""
+    from cohort_engine.operators.shap import linear_shap
+    df, pipe = _fit(spark, d, "svm", {"C": 1, "kernel": "linear", "k": 5})
+    return _additivity(linear_shap(pipe, df, n_rows=None))
+
+
+def q_ice_layout(spark, d):
+    """I3 on all rows: how many curves and points each feature gets."""
+    from cohort_engine.operators.explain import ice_curves
+    df, pipe = _fit(spark, d, "logistic_regression", LR_PARAMS)
+    curves = ice_curves(pipe, df, features=["qty", "sex", "disc"])
+    return curves.groupBy("feature").agg(F.count_distinct("patient_id").alias("n_curves"), F.count_distinct("grid_value").alias("n_points"),
+                                         F.count("p1").alias("n_cells"))
+
+
+def q_svm_classes(spark, d):
+    """The size of each estimator's prediction table on all rows, and rows whose class is not the side of its own rule."""
+    out = None
+    for algorithm, params in (("svm", {"C": 1, "kernel": "linear", "k": 5}), ("svm", {"C": 1, "kernel": "rbf", "k": 5}),
+                              ("cart", {"max_depth": 10, "min_samples_split": 2, "k": 5})):
+        df, pipe = _fit(spark, d, algorithm, params)
+        assembled = pipe.assemble(df)
+        scored = pipe.model.transform(assembled)
+        own = pipe.model.rule(assembled)
+        part = scored.join(own, "patient_id").agg(F.count("*").alias("n_rows"), F.sum((F.col("prediction") != F.col("own")).cast("long")).alias("n_off"))
+        part = part.select(F.lit(params.get("kernel", algorithm)).alias("estimator"), "n_rows", "n_off")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_oof_layout(spark, d):
+    """The out-of-fold table holds every row once, in its own fold."""
+    from cohort_engine.plans.tuning import SearchConfig, nested_cv
+    df, kept = _c5_features(spark, d)
+    cfg = SearchConfig(algorithm="logistic_regression", outer_folds=3, inner_folds=2, grid=[{"C": 1, "penalty": "l2", "k": 3}])
+    oof = nested_cv(df, kept, cfg, 42)["oof"]
+    return oof.select("patient_id", F.col("label").alias("response"), "fold")
+
+
 def q_model_selection(spark, d):
     """G3-G8 + M8: nested stratified CV of logistic regression on C5 (3 outer, 2
     inner folds, a 2 x 2 grid), summarised per seed."""
-    from cohort_engine.plans.tuning import SearchConfig, nested_cv, seed_summary
+    from cohort_engine.plans.tuning import SearchConfig, decide_resampling, grid_search, nested_cv, refit, seed_summary
     df, kept = _c5_features(spark, d)
     cfg = SearchConfig(algorithm="logistic_regression", outer_folds=3, inner_folds=2,
                        grid=[{"C": c, "penalty": "l2", "k": k} for c in (0.1, 1) for k in (3, 5)])
     res = nested_cv(df, kept, cfg, 42)
-    return rounded(seed_summary(res, 42, len(kept)))
+    strategy = decide_resampling(df, cfg)
+    pipe = refit(df, kept, grid_search(df, kept, cfg, strategy, 42)["best"], cfg, strategy, 42)
+    return rounded(seed_summary(res, 42, len(pipe.features)))
 
 
 def q_evaluate_holdout(spark, d):
@@ -395,6 +475,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zscore_normalize": q_zscore,
     "fill_bad": q_fill_bad,
     "batch_center": q_batch_center,
+    "batch_center_many": q_batch_center_many,
+    "batch_correct": q_batch_correct,
+    "csv_scan": q_csv_scan,
+    "csv_violations": q_csv_violations,
+    "tree_shap_additivity": q_tree_shap_additivity,
+    "linear_shap_additivity": q_linear_shap_additivity,
+    "ice_layout": q_ice_layout,
+    "svm_classes": q_svm_classes,
+    "oof_layout": q_oof_layout,
     "standard_scale": q_standard_scale,
     "impute_median": q_impute_median,
     "oversample": q_oversample,

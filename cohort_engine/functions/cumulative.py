@@ -22,10 +22,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohort_engine.session import shuffle_partitions
+from cohort_engine.functions.partitions import bucket_count
 
-# Tables with at most this many rows are broadcast (bucket offsets, cut tables).
-BROADCAST_ROWS = 2_000_000
 _BUCKET = "__bucket"
 
 
@@ -42,7 +40,7 @@ def range_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
     driver (``n_buckets - 1`` doubles) and then are literals of the plan.
     """
     spark = df.sparkSession
-    n_buckets = n_buckets or shuffle_partitions(spark)
+    n_buckets = n_buckets or bucket_count(spark, df.count())
     if n_buckets <= 1:
         return df.withColumn(out_col, F.lit(0.0))
     tmp = f"{out_col}_src"
@@ -54,8 +52,7 @@ def range_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
     return bucketed.drop(tmp)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                    broadcast: bool) -> DataFrame:
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = right
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__r_{k}")
@@ -63,29 +60,22 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     for k in keys:
         c = left[k].eqNullSafe(renamed[f"__r_{k}"])
         cond = c if cond is None else cond & c
-    if broadcast:
-        renamed = F.broadcast(renamed)
     joined = left.join(renamed, cond, "inner")
     return joined.drop(*[f"__r_{k}" for k in keys])
 
 
 def running_sum(df: DataFrame, order_cols: Sequence[str | Column], value_cols: Sequence[str],
                 partition_cols: Sequence[str] = (), bucket_col: str | None = None,
-                n_buckets: int | None = None, prefix: str = "cum_", max_groups: int | None = None) -> DataFrame:
+                n_buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Add ``prefix + v`` = inclusive running sum of each ``v`` in ``value_cols``.
 
     Order is ``order_cols`` (ties must be broken by the caller if the result should
     be unique per row) within ``partition_cols``.  The first order column must be
     numeric; it defines the range buckets unless ``bucket_col`` is given (a column
     whose order agrees with the order columns inside every partition group).
-    ``max_groups`` (a known bound on the partition groups; 1 without
-    ``partition_cols``) decides the offset broadcast without counting the table.
     """
     order_exprs = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     part = list(partition_cols)
-    n_b = n_buckets or shuffle_partitions(df.sparkSession)
-    if not part:
-        max_groups = 1
     if bucket_col is None:
         first = order_cols[0]
         if not isinstance(first, str):
@@ -108,13 +98,8 @@ def running_sum(df: DataFrame, order_cols: Sequence[str | Column], value_cols: S
     offsets = totals.select(
         *part, bucket_col,
         *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in value_cols])
-    # the offsets table has at most groups x buckets rows; an explicit bucket column
-    # is bounded only when the caller states its bucket count in ``n_buckets``
-    if max_groups is not None and (drop_bucket or n_buckets is not None):
-        small = max_groups * (n_b + 1) <= BROADCAST_ROWS
-    else:
-        small = offsets.count() <= BROADCAST_ROWS
-    joined = _null_safe_join(within, offsets, part + [bucket_col], broadcast=small)
+    # groups x buckets rows: the runtime sees their bytes and broadcasts them where that is cheap
+    joined = _null_safe_join(within, offsets, part + [bucket_col])
     out = joined
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"__in_{v}") + F.col(f"__o_{v}"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_PARTITION_CONF = "cohort.rowsPerPartition"
 DEFAULT_ROWS_PER_PARTITION = 1_000_000
@@ -12,6 +12,14 @@ DEFAULT_ROWS_PER_PARTITION = 1_000_000
 MIN_ROWS_PER_PARTITION = 50_000
 
 
+ROWS_PER_BUCKET = 500_000
+
+
+def bucket_count(spark: SparkSession, n_rows: int) -> int:
+    """Buckets of an ordered pass: one a shuffle partition, more where those would grow too long."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), math.ceil(n_rows / ROWS_PER_BUCKET))
+
+
 def target_partitions(df: DataFrame, n_rows: int) -> int:
     """``ceil(rows / rows_per_partition)``, raised to the core count while each
     partition still keeps ``MIN_ROWS_PER_PARTITION`` rows."""

@@ -1,39 +1,31 @@
 """Exact and approximate per-column quantiles without a single-task reducer.
 
-Spark's ``percentile`` keeps every distinct value of a group in one aggregation
-buffer, merged in one final task.  ``exact_quantiles`` computes the same numbers
-(linear interpolation between order statistics, NULLs skipped) by distributed
-selection:
-
-1. per column, approximate cut points split the values into range buckets;
-2. bucket sizes (``columns x buckets`` rows) locate the bucket and offset of every
-   wanted rank (``p`` columns x ``q`` probabilities x 2 rows -- bounded by the
-   column list, so safe to broadcast);
-3. only the cells of those buckets are pre-aggregated to ``(value, count)`` and
-   ranked inside their bucket, which picks the order statistics.
-
-No task holds more than one bucket of one column.
+``exact_quantiles`` finds order statistics by distributed selection, in long form,
+whatever the number of rows and columns:
+
+1. per column, a sketch gives two values that enclose each wanted order statistic
+   (its rank error is known, so they surely do);
+2. the cells between the two are counted by value, those below them as one number,
+   both map-side, and the few values in between are ranked.
+
+A window holds the distinct values of one bracket: ``4 * SKETCH_ERROR`` of a column.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohort_engine.session import shuffle_partitions
-
 _QSCHEMA = T.StructType([
     T.StructField("feature", T.StringType(), False),
     T.StructField("q", T.DoubleType(), False),
 ])
 
-
-def _grid(spark, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    return spark.createDataFrame([(c, float(q)) for c in cols for q in probs], _QSCHEMA)
+SKETCH_ERROR = 0.001      # rank error of the bracketing sketch, as a share of a column
 
 
 def cut_points(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: float = 0.001,
@@ -56,120 +48,64 @@ def cut_points(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: floa
     return (out, row["__rows"]) if with_count else out
 
 
-def _long_with_buckets(df: DataFrame, cols: Sequence[str], n_buckets: int, rel_err: float,
-                       cuts: list[list[float]] | None = None) -> DataFrame:
-    """Rows (feature, bucket, value) for every non-null cell of ``cols``."""
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    if n_buckets > 1:
-        cuts = cuts if cuts is not None else cut_points(cast, cols, n_buckets, rel_err)
-        splits = [[float("-inf")] + inner + [float("inf")] for inner in cuts]
-        bcols = [f"__b{i}" for i in range(len(cols))]
-        # Bucketizer needs non-null input; NULL cells are dropped after unpivot.
-        filled = cast.select(*cols, *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"__v{i}")
-                                      for i, c in enumerate(cols)])
-        bucketed = Bucketizer(splitsArray=splits, inputCols=[f"__v{i}" for i in range(len(cols))],
-                              outputCols=bcols, handleInvalid="keep").transform(filled)
-        pairs = [F.struct(F.lit(c).alias("feature"), F.col(b).cast("int").alias("bucket"), F.col(c).alias("value"))
-                 for c, b in zip(cols, bcols)]
-        src = bucketed
-    else:
-        pairs = [F.struct(F.lit(c).alias("feature"), F.lit(0).alias("bucket"), F.col(c).alias("value"))
-                 for c in cols]
-        src = cast
-    return src.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
-
-
-# Below this many cells (rows x columns, counted first) Spark's exact ``percentile``
-# -- whose buffer holds every distinct value of a column in one task -- is safe and
-# takes one pass; above it the distributed selection below is used.
-SMALL_EXACT_CELLS = 1_000_000
-
-
-def _small_exact(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    spark = df.sparkSession
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), [float(q) for q in probs]).alias(f"p{i}")
-                   for i, c in enumerate(cols)]).first()
-    out = []
-    for i, c in enumerate(cols):
-        vals = row[f"p{i}"]
-        for j, q in enumerate(probs):
-            out.append((c, float(q), None if vals is None else vals[j]))
-    schema = T.StructType(list(_QSCHEMA.fields) + [T.StructField("value", T.DoubleType(), True)])
-    return spark.createDataFrame(out, schema)
-
-
 _WANTED = T.StructType([
-    T.StructField("feature", T.StringType()), T.StructField("bucket", T.IntegerType()),
-    T.StructField("b_off", T.LongType()), T.StructField("q", T.DoubleType()),
-    T.StructField("frac", T.DoubleType()), T.StructField("role", T.StringType()),
-    T.StructField("rank", T.LongType()),
+    T.StructField("feature", T.StringType()), T.StructField("q", T.DoubleType()),
+    T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType()),
+    T.StructField("first", T.LongType()), T.StructField("second", T.LongType()),
+    T.StructField("frac", T.DoubleType()),
 ])
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    n_buckets: int | None = None, rel_err: float | None = None,
-                    n_rows: int | None = None) -> DataFrame:
+def _brackets(long: DataFrame, probs: Sequence[float]) -> list[tuple]:
+    """One row per column and probability: the enclosing values and the wanted ranks."""
+    reach = 2 * SKETCH_ERROR
+    marks = [m for q in probs for m in (max(0.0, q - reach), min(1.0, q + reach))]
+    sketched = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("value", marks, int(1 / SKETCH_ERROR)).alias("marks")).collect()
+    wanted = []
+    for r in sketched:
+        for i, q in enumerate(probs):
+            pos = float(q) * (r["n"] - 1)
+            low, high = r["marks"][2 * i], r["marks"][2 * i + 1]
+            # the sketch is off by at most its error; a rank and its rounding by two cells
+            if q <= reach or r["n"] * SKETCH_ERROR < 2:
+                low = -math.inf
+            if q >= 1 - reach or r["n"] * SKETCH_ERROR < 2:
+                high = math.inf
+            wanted.append((r["feature"], float(q), float(low), float(high), math.floor(pos), math.ceil(pos),
+                           pos - math.floor(pos)))
+    return wanted
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Long table ``(feature, q, value)``: exact quantiles of each column.
 
     Linear interpolation between the order statistics at ``floor`` and ``ceil`` of
     ``q * (n - 1)``; NULL cells are skipped; an all-NULL column gives NULL.
-    ``n_rows`` (when the caller already counted) lets small inputs skip straight
-    to the one-pass exact aggregate.
-
-    Only the buckets that hold a wanted rank are ever sorted: bucket sizes locate
-    each wanted rank's bucket and offset (``2 x columns x probs`` rows, collected),
-    then the cells of those buckets alone are pre-aggregated to ``(value, count)`` --
-    a hot value collapses to one row map-side -- and ranked inside their bucket.
     """
+    from cohort_engine.operators.stats import to_long
+
     spark = df.sparkSession
     cols = list(cols)
-    n_buckets = n_buckets if n_buckets is not None else shuffle_partitions(spark)
-    rel_err = rel_err if rel_err is not None else min(0.01, 0.25 / max(1, n_buckets))
-    if n_rows is not None and n_rows * max(1, len(cols)) <= SMALL_EXACT_CELLS:
-        return _small_exact(df, cols, probs)                 # row count known: one pass
-    cuts = None
-    if n_buckets > 1:
-        cuts, n_rows = cut_points(df, cols, n_buckets, rel_err, with_count=True)
-        if n_rows * max(1, len(cols)) <= SMALL_EXACT_CELLS:
-            return _small_exact(df, cols, probs)
-    long = _long_with_buckets(df, cols, n_buckets, rel_err, cuts)
-
-    sizes = long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("b_n"))
-    before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("feature")
-    sizes = sizes.select("feature", "bucket", "b_n",
-                         F.coalesce(F.sum("b_n").over(before), F.lit(0)).alias("b_off"),
-                         F.sum("b_n").over(whole).alias("n"))
-    ranks = []
-    for q in probs:
-        pos = F.lit(float(q)) * (F.col("n") - 1)
-        frac = pos - F.floor(pos)
-        for role, rk in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            ranks.append(F.struct(F.lit(float(q)).alias("q"), frac.alias("frac"), F.lit(role).alias("role"),
-                                  rk.cast("long").alias("rank")))
-    located = (sizes.select("feature", "bucket", "b_n", "b_off", F.explode(F.array(*ranks)).alias("t"))
-               .select("feature", "bucket", "b_n", "b_off", "t.*")
-               .where((F.col("b_off") <= F.col("rank")) & (F.col("rank") < F.col("b_off") + F.col("b_n"))))
-    # at most 2 x len(cols) x len(probs) rows: bounded by the column list
-    wanted_rows = located.select(*[f.name for f in _WANTED.fields]).collect()
-    wanted = spark.createDataFrame(wanted_rows, _WANTED)
-    need = spark.createDataFrame(sorted({(r["feature"], r["bucket"]) for r in wanted_rows}),
-                                 "feature string, bucket int")
-
-    vals = (long.join(F.broadcast(need), ["feature", "bucket"], "left_semi")
-            .groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    inner = (Window.partitionBy("feature", "bucket").orderBy("value")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    vals = vals.withColumn("cum", F.sum("cnt").over(inner))
-    hit = vals.join(F.broadcast(wanted), ["feature", "bucket"]).where(
-        (F.col("b_off") + F.col("cum") - F.col("cnt") <= F.col("rank"))
-        & (F.col("rank") < F.col("b_off") + F.col("cum")))
-    picked = hit.groupBy("feature", "q").agg(
-        F.max(F.when(F.col("role") == "lo", F.col("value"))).alias("lo"),
-        F.max(F.when(F.col("role") == "hi", F.col("value"))).alias("hi"),
-        F.max("frac").alias("frac"),
-    ).select("feature", "q", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))
-    return _grid(spark, cols, probs).join(F.broadcast(picked), ["feature", "q"], "left")
+    grid = spark.createDataFrame([(c, float(q)) for c in cols for q in probs], _QSCHEMA)
+    if not cols:
+        return grid.withColumn("value", F.lit(None).cast("double"))
+    long = to_long(df, cols)
+    wanted = F.broadcast(spark.createDataFrame(_brackets(long, probs), _WANTED))      # columns x probabilities rows
+    cells = (long.join(wanted, "feature").where(F.col("value") <= F.col("high"))
+             .withColumn("inside", F.when(F.col("value") >= F.col("low"), F.col("value")))
+             .groupBy("feature", "q", "first", "second", "frac", "inside").agg(F.count(F.lit(1)).alias("cnt")))
+    upto = Window.partitionBy("feature", "q").orderBy(F.col("inside").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = cells.withColumn("cum", F.sum("cnt").over(upto))
+
+    def at(rank: str):
+        return F.max(F.when((F.col("cum") > F.col(rank)) & (F.col("cum") - F.col("cnt") <= F.col(rank)), F.col("inside")))
+
+    picked = (ranked.groupBy("feature", "q").agg(at("first").alias("lo"), at("second").alias("hi"), F.max("frac").alias("frac"))
+              .select("feature", "q", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value")))
+    return grid.join(picked, ["feature", "q"], "left")
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohort_engine.functions.expressions import unfold
+
 ID_COLUMNS = ("patient_id", "patient")
 
 
@@ -54,11 +56,10 @@ def constant_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """P4 report ``(feature, n_non_null, min_value, max_value, is_constant)``.
 
     A column is constant when it has at most one distinct non-NULL value, i.e. it is
-    all NULL or its min equals its max -- decided by one partial aggregate, no
+    all NULL (NaN counts as NULL) or its min equals its max -- decided by one partial aggregate, no
     distinct shuffle.
     """
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])))
+    long = unfold(df, cols).withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
     agg = long.groupBy("feature").agg(
         F.count("value").alias("n_non_null"),
         F.min("value").alias("min_value"),
@@ -76,11 +77,16 @@ def drop_constant(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[s
     return df.drop(*dropped), kept, dropped
 
 
+def _number(df: DataFrame, c: str):
+    """The column as double; text that is no number becomes NULL."""
+    return F.col(c).cast("double") if isinstance(df.schema[c].dataType, T.NumericType) else F.col(c).cast("string").try_cast("double")
+
+
 def align_columns(df: DataFrame, train_cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """P5: reorder to the training columns, drop extras, absent columns become 0.0."""
     present = set(df.columns)
     sel = [F.col(k) for k in keep if k in present]
-    sel += [F.col(c).cast("double").alias(c) if c in present else F.lit(0.0).alias(c) for c in train_cols]
+    sel += [_number(df, c).alias(c) if c in present else F.lit(0.0).alias(c) for c in train_cols]
     return df.select(*sel)
 
 

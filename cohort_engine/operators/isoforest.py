@@ -7,9 +7,10 @@ is flagged when more than ``threshold`` of its cells are outliers.
 
 Spark layout:
 
-1. a candidate pool of about ``2 x trees x psi`` rows is drawn by hash, and every
-   tree takes the ``psi`` pool rows first in its own hash order (the same rows for
-   every feature, as a fixed random state gives the reference);
+1. per feature, about ``2 x trees x psi`` non-NULL cells are drawn by hash and dealt to
+   the trees (to several trees each where a column has fewer cells than that), and every
+   tree takes the ``psi`` of its cells first in its own hash order; ``psi`` counts the
+   feature's own non-NULL cells, so NULLs neither fill a sample nor its normalisation;
 2. ``applyInPandas`` grows each (feature, tree) on at most ``psi`` values; in one
    dimension a tree is a partition of the line, returned as leaf intervals with
    their path length ``depth + c(leaf size)``;
@@ -36,7 +37,6 @@ N_TREES = 100
 MAX_SAMPLES = 256
 SCORE_CUTOFF = 0.5
 EULER_GAMMA = 0.5772156649015329
-BREAKPOINTS_PER_CHUNK = 4_000_000       # broadcast budget (ranges) per scoring pass
 
 
 def average_path_length(n: np.ndarray | float) -> np.ndarray:
@@ -72,16 +72,21 @@ def grow_intervals(values: np.ndarray, rng: np.random.Generator, max_depth: int)
     return leaves
 
 
-def _tree_samples(df: DataFrame, id_col: str, n: int, psi: int, trees: int, seed: int) -> DataFrame:
-    """(tree, id) pairs: per tree the ``psi`` pool rows first in that tree's hash order."""
-    rate = min(1.0, 2.0 * trees * psi / max(1, n))
-    unit = (F.xxhash64(F.lit(seed), F.lit("pool"), F.col(id_col)).cast("double") + 2.0 ** 63) / 2.0 ** 64
-    pool = df.select(id_col).where(unit < rate)
-    pairs = pool.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    pairs = pairs.withColumn("__h", F.xxhash64(F.lit(seed), F.col("tree"), F.col(id_col)))
-    # one group per tree holding the pool (about 2 x trees x psi rows, independent of n)
-    w = Window.partitionBy("tree").orderBy("__h", id_col)
-    return pairs.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= psi).select("tree", id_col)
+def _tree_cells(base: DataFrame, cols: Sequence[str], id_col: str, sizes: dict[str, int], trees: int, seed: int) -> DataFrame:
+    """(feature, tree, value): every tree's sample of its feature's non-NULL cells."""
+    wanted = [(f, min(1.0, 2.0 * trees * min(MAX_SAMPLES, n) / n), min(trees, math.ceil(2 * trees * min(MAX_SAMPLES, n) / n)), min(MAX_SAMPLES, n))
+              for f, n in sizes.items() if n]
+    plan = base.sparkSession.createDataFrame(wanted, "feature string, rate double, copies int, psi int")
+    cells = to_long(base, cols, keys=[id_col]).join(F.broadcast(plan), "feature")            # one row a column
+    hashed = F.xxhash64(F.lit(seed), F.lit("pool"), F.col("feature"), F.col(id_col))
+    pool = cells.where((hashed.cast("double") + 2.0 ** 63) / 2.0 ** 64 < F.col("rate"))
+    first = F.pmod(F.xxhash64(F.lit(seed), F.lit("tree"), F.col("feature"), F.col(id_col)), F.lit(trees))
+    dealt = (pool.withColumn("__k", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+             .withColumn("tree", ((first + F.col("__k")) % trees).cast("int"))
+             .withColumn("__h", F.xxhash64(F.lit(seed), F.col("tree"), F.col("feature"), F.col(id_col))))
+    # about 2 x psi rows for every (feature, tree), whatever the column's length
+    order = Window.partitionBy("feature", "tree").orderBy("__h", id_col)
+    return dealt.withColumn("__r", F.row_number().over(order)).where("__r <= psi").select("feature", "tree", "value")
 
 
 def isolation_report(df: DataFrame, cols: Sequence[str], threshold: float = 0.05, id_col: str = "patient_id",
@@ -93,23 +98,21 @@ def isolation_report(df: DataFrame, cols: Sequence[str], threshold: float = 0.05
         df = df.withColumn(id_col, F.monotonically_increasing_id())
     base = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]).persist()
     n = base.count()
-    psi = min(MAX_SAMPLES, n)
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    samples = _tree_samples(base, id_col, n, psi, trees, seed)
-    long = to_long(base.join(samples, id_col), cols, keys=["tree"])
+    sizes = {c: 0 for c in cols} | {r["feature"]: r["n"] for r in to_long(base, cols).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    long = _tree_cells(base, cols, id_col, sizes, trees, seed)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         f, t = pdf["feature"].iloc[0], int(pdf["tree"].iloc[0])
         fidx = cols.index(f)
         rng = np.random.default_rng([seed, fidx, t])
-        leaves = grow_intervals(pdf["value"].to_numpy(), rng, max_depth)
+        psi = min(MAX_SAMPLES, sizes[f])
+        leaves = grow_intervals(np.sort(pdf["value"].to_numpy()), rng, int(math.ceil(math.log2(max(psi, 2)))))
         return pd.DataFrame({"feature": f, "tree": t, "upper": [u for u, _ in leaves],
                              "plen": [h for _, h in leaves]})
 
     leaves = long.groupBy("feature", "tree").applyInPandas(
         grow, "feature string, tree int, upper double, plen double")
-    c_psi = float(average_path_length(psi))
-
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         """All trees of one feature (at most trees x psi leaves) -> the maximal
         intervals (lo, hi] where the mean path length makes a cell an outlier."""
@@ -123,7 +126,8 @@ def isolation_report(df: DataFrame, cols: Sequence[str], threshold: float = 0.05
             g = g.sort_values("upper")
             total += g["plen"].to_numpy()[np.searchsorted(g["upper"].to_numpy(), probe, side="left")]
             n_trees += 1
-        outl = 2.0 ** (-(total / n_trees) / c_psi) > SCORE_CUTOFF
+        c_psi = float(average_path_length(min(MAX_SAMPLES, sizes[f])))
+        outl = 2.0 ** (-(total / n_trees) / c_psi) > SCORE_CUTOFF if c_psi else np.zeros(len(probe), bool)
         lows = np.concatenate([[-np.inf], cuts])          # step i covers (lows[i], probe[i]]
         out, start = [], None
         for i, o in enumerate(outl):
@@ -144,20 +148,7 @@ def isolation_report(df: DataFrame, cols: Sequence[str], threshold: float = 0.05
         steps[r["feature"]][1].append(r["hi"])
     steps = {f: (np.array(lo), np.array(hi)) for f, (lo, hi) in steps.items()}
 
-    counts = []
-    chunk: list[str] = []
-    size = 0
-    for f in list(steps) + [None]:
-        if f is not None and size + len(steps[f][0]) + 1 <= BREAKPOINTS_PER_CHUNK:
-            chunk.append(f)
-            size += len(steps[f][0]) + 1
-            continue
-        if chunk:
-            counts.append(_score_chunk(base, chunk, {c: steps[c] for c in chunk}))
-        chunk, size = ([f], len(steps[f][0]) + 1) if f is not None else ([], 0)
-    out = None
-    for c in counts:
-        out = c if out is None else out.unionByName(c)
+    out = _outlier_counts(base, cols, steps)
     share = out.groupBy("feature").agg((F.sum("outliers") / F.lit(float(n))).alias("outlier_share"))
     got = {r["feature"]: r["outlier_share"] for r in share.collect()}   # one row per column
     base.unpersist()
@@ -165,7 +156,8 @@ def isolation_report(df: DataFrame, cols: Sequence[str], threshold: float = 0.05
     return spark.createDataFrame(rows, "feature string, outlier_share double, flagged boolean")
 
 
-def _score_chunk(base: DataFrame, feats: list[str], steps: dict) -> DataFrame:
+def _outlier_counts(base: DataFrame, feats: list[str], steps: dict) -> DataFrame:
+    """(feature, outliers) per partition; the ranges of a feature are at most its trees' leaves."""
     bc = base.sparkSession.sparkContext.broadcast(steps)
 
     def score(batches):

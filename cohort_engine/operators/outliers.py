@@ -96,7 +96,7 @@ def report(df: DataFrame, cols: Sequence[str], method: str = "iqr", **kw) -> Dat
     if method == "pca":
         return pca_report(df, cols, kw.get("pca_reconstruction_error_threshold", PCA_ERROR_THRESHOLD),
                           kw.get("n_components_pca"))
-    raise ValueError(f"Unknown method '{method}'")          # O5
+    raise ValueError(f"no such outlier screen: {method!r}")          # O5
 
 
 def flagged(report_df: DataFrame) -> list[str]:

@@ -17,61 +17,62 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort_engine.functions.cumulative import BROADCAST_ROWS, running_sum
+from cohort_engine.functions.cumulative import running_sum
+from cohort_engine.functions.expressions import name, number, replace_columns, unfold
 from cohort_engine.functions.hashing import hash_key, hash_order
+from cohort_engine.functions.partitions import bucket_count
 from cohort_engine.functions.quantiles import exact_quantiles
-from cohort_engine.operators.stats import has_negative
+from cohort_engine.operators.stats import has_negative, to_long
 
 # Size of the 60-bit hash order space (rank buckets are equal slices of it).
 _HASH_SPACE = float(16 ** 15)
-# Per-batch means are inlined as literals up to this many (batch, feature) cells.
-LITERAL_CELLS = 100_000
 
 
-def _moments(df: DataFrame, cols: Sequence[str], with_counts: bool = False):
-    """Mean and population std per column in one aggregate; with ``with_counts``
-    also the non-NULL count per column and the row count."""
+@dataclass
+class ColumnFacts:
+    """What one pass learns of a column: its cells and their moments."""
+    n: int = 0                    # non-NULL cells
+    logs: int = 0                 # cells whose log2(x + 1) is defined
+    mean: float | None = None
+    std: float | None = None      # population
+    low: float | None = None
+
+
+def _facts(df: DataFrame, cols: Sequence[str]) -> tuple[dict[str, ColumnFacts], int]:
+    """Facts of every column, and the row count, from one long-form aggregate."""
     if not cols:
-        return ({}, {}, 0) if with_counts else {}
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"), F.count(c).alias(f"n{i}")]
-    row = df.agg(*aggs).first()
-    mom = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
-    if with_counts:
-        return mom, {c: row[f"n{i}"] for i, c in enumerate(cols)}, row["__rows"]
-    return mom
+        return {}, 0
+    rows = to_long(df, cols, drop_nulls=False).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("n"), F.count(F.log2(F.col("value") + 1)).alias("logs"),
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("low")).collect()
+    facts = {c: ColumnFacts() for c in cols}
+    facts |= {r["feature"]: ColumnFacts(r["n"], r["logs"], r["mean"], r["std"], r["low"]) for r in rows}
+    return facts, rows[0]["rows"] if rows else 0
+
+
+def _moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Mean and population std per column."""
+    return {c: (f.mean, f.std) for c, f in _facts(df, cols)[0].items()}
 
 
 def _null_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
     """Columns of ``df`` holding at least one NULL (one aggregate)."""
-    if not cols:
-        return []
-    row = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if row[f"n{i}"] < row["__rows"]]
+    facts, rows = _facts(df, cols)
+    return [c for c in cols if facts[c].n < rows]
 
 
-def _medians(df: DataFrame, cols: Sequence[str], n_rows: int | None = None) -> dict[str, float | None]:
+def _medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     if not cols:
         return {}
-    rows = exact_quantiles(df, cols, [0.5], n_rows=n_rows).collect()
-    return {r["feature"]: r["value"] for r in rows}
-
-
-def _any_below_zero(cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = F.col(c) < 0
-        cond = e if cond is None else (cond | e)
-    return cond
+    return {r["feature"]: r["value"] for r in exact_quantiles(df, cols, [0.5]).collect()}
 
 
 def log2_normalize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``log2(x + 1)``; x <= -1 gives NULL (the reference's -inf / NaN)."""
-    return df.withColumns({c: F.log2(F.col(c) + F.lit(1.0)) for c in cols})
+    return replace_columns(df, {c: f"log2({name(c)} + CAST(1 AS DOUBLE))" for c in cols})
 
 
 def zscore_normalize(df: DataFrame, cols: Sequence[str],
@@ -81,15 +82,12 @@ def zscore_normalize(df: DataFrame, cols: Sequence[str],
     out = {}
     for c in cols:
         mean, std = stats.get(c, (None, None))
-        if mean is None or std is None:
-            out[c] = F.lit(None).cast("double")
-        else:
-            out[c] = F.try_divide(F.col(c) - F.lit(float(mean)), F.lit(float(std)))
-    return df.withColumns(out)
+        out[c] = "CAST(NULL AS DOUBLE)" if mean is None or std is None else f"try_divide({name(c)} - {number(mean)}, {number(std)})"
+    return replace_columns(df, out)
 
 
 def fill_bad(df: DataFrame, cols: Sequence[str], medians: dict[str, float | None] | None = None,
-             nullable: Sequence[str] | None = None, n_rows: int | None = None) -> DataFrame:
+             nullable: Sequence[str] | None = None) -> DataFrame:
     """NULL (NaN, +/-inf at ingest) -> the column median, else 0.0.
 
     Medians are computed only for the columns that hold a NULL (``nullable``, or
@@ -97,82 +95,61 @@ def fill_bad(df: DataFrame, cols: Sequence[str], medians: dict[str, float | None
     """
     if medians is None:
         nullable = list(nullable) if nullable is not None else _null_columns(df, cols)
-        medians = _medians(df, nullable, n_rows)
+        medians = _medians(df, nullable)
         cols = nullable
-    fills: dict[str, Column] = {}
-    for c in cols:
-        m = medians.get(c)
-        fills[c] = F.coalesce(F.col(c), F.lit(float(m) if m is not None else 0.0))
-    return df.withColumns(fills)
+    fills = {c: f"coalesce({name(c)}, {number(0.0 if medians.get(c) is None else medians[c])})" for c in cols}
+    return replace_columns(df, fills) if fills else df
 
 
-def batch_means(df: DataFrame, cols: Sequence[str], batch: str, with_moments: bool = False) -> DataFrame:
-    aggs = [F.avg(c).alias(f"__bm_{c}") for c in cols]
-    if with_moments:
-        aggs += [F.count(c).alias(f"__bn_{c}") for c in cols] + [F.var_pop(c).alias(f"__bv_{c}") for c in cols]
-    return df.groupBy(batch).agg(*aggs)
+def batch_facts(df: DataFrame, cols: Sequence[str], batch: str) -> DataFrame:
+    """``(batch, i, mean, n, var)`` of column ``cols[i]`` in every batch; NULL is a batch."""
+    return unfold(df.withColumn("__of_batch", F.col(batch)), cols, ["__of_batch"], index=True).groupBy(
+        F.col("__of_batch").alias("batch"), "i").agg(
+        F.avg("value").alias("mean"), F.count("value").alias("n"), F.var_pop("value").alias("var"))
+
+
+def batch_means(facts: DataFrame) -> DataFrame:
+    """``(__batch, __means)``: the means of a batch as one array in column order."""
+    return (facts.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("i", "mean"))).alias("means"))
+            .select(F.col("batch").alias("__batch"), F.transform("means", lambda x: x["mean"]).alias("__means")))
+
+
+def subtract_means(df: DataFrame, cols: Sequence[str], batch: str, means: DataFrame) -> DataFrame:
+    joined = df.join(means, F.col(batch).eqNullSafe(F.col("__batch")), "left")
+    centred = {c: f"CAST({name(c)} AS DOUBLE) - __means[{i}]" for i, c in enumerate(cols)}
+    return replace_columns(joined, centred).drop("__batch", "__means")
 
 
 def batch_center(df: DataFrame, cols: Sequence[str], batch: str = "batch", with_moments: bool = False):
-    """T4 / T5: subtract each feature's mean within its batch; NULL batch is a batch.
+    """T4: subtract each feature's mean within its batch; NULL batch is a batch.
 
-    Rows are never shuffled by batch (a hot batch would land in one task): per-batch
-    means are aggregated map-side into a ``batches x features`` table.  At most
-    ``LITERAL_CELLS / features + 1`` of its rows are fetched; when that is all of
-    them the means become literal lookups in a narrow projection, otherwise the
-    table is joined (broadcast below ``BROADCAST_ROWS`` rows, else a shuffle join
-    where AQE splits a skewed batch).
+    Per-batch means are aggregated map-side into one row of means per batch, which is
+    joined.  No hint is given: the runtime sees the bytes of the means and broadcasts
+    them, or joins by shuffle and splits a skewed batch.
 
     With ``with_moments`` also returns ``{col: (mean, population std)}`` of the
     centred values -- mean 0 and the pooled within-batch spread, from the same
-    aggregate -- so a scaler fitted next needs no pass of its own.
+    facts -- so a scaler fitted next needs no pass of its own.
     """
     if batch not in df.columns or not cols:
         return (df, None) if with_moments else df
-    means = batch_means(df, cols, batch, with_moments).withColumnRenamed(batch, "__bkey")
-    cap = max(1, LITERAL_CELLS // max(1, len(cols)))
-    got = means.limit(cap + 1).collect()
-    if len(got) <= cap:
-        out = _center_literal(df, cols, batch, got)
-        mom = _pooled(cols, got) if with_moments else None
-        return (out, mom) if with_moments else out
-    mom = None
+    facts = batch_facts(df, cols, batch)
     if with_moments:
-        row = means.agg(*[F.sum(F.col(f"__bn_{c}") * F.col(f"__bv_{c}")).alias(f"s{i}") for i, c in enumerate(cols)],
-                        *[F.sum(f"__bn_{c}").alias(f"n{i}") for i, c in enumerate(cols)]).first()
-        mom = {c: (0.0, (row[f"s{i}"] / row[f"n{i}"]) ** 0.5 if row[f"n{i}"] else None) for i, c in enumerate(cols)}
-    n_batches = means.count()
-    side = F.broadcast(means) if n_batches * max(1, len(cols)) <= BROADCAST_ROWS else means
-    joined = df.join(side, df[batch].eqNullSafe(side["__bkey"]), "left")
-    centred = joined.withColumns({c: F.col(c) - F.col(f"__bm_{c}") for c in cols}).select(*df.columns)
-    return (centred, mom) if with_moments else centred
-
-
-def _pooled(cols: Sequence[str], rows) -> dict[str, tuple[float, float | None]]:
-    out = {}
-    for c in cols:
-        n = sum(r[f"__bn_{c}"] or 0 for r in rows)
-        s = sum((r[f"__bn_{c}"] or 0) * (r[f"__bv_{c}"] or 0.0) for r in rows)
-        out[c] = (0.0, (s / n) ** 0.5 if n else None)
-    return out
-
-
-def _center_literal(df: DataFrame, cols: Sequence[str], batch: str, rows) -> DataFrame:
-    keyed = [r for r in rows if r["__bkey"] is not None]
-    null_row = next((r for r in rows if r["__bkey"] is None), None)
-    out = {}
-    for c in cols:
-        pairs = []
-        for r in keyed:
-            pairs += [F.lit(r["__bkey"]), F.lit(r[f"__bm_{c}"])]
-        looked = F.element_at(F.create_map(*pairs), F.col(batch)) if pairs else F.lit(None)
-        mean = F.when(F.col(batch).isNull(), F.lit(null_row[f"__bm_{c}"] if null_row else None)).otherwise(looked)
-        out[c] = F.col(c) - mean.cast("double")
-    return df.withColumns(out)
+        facts = facts.checkpoint()               # batches x columns rows, read twice
+    out = subtract_means(df, cols, batch, batch_means(facts))
+    if not with_moments:
+        return out
+    pooled = facts.groupBy("i").agg(F.try_divide(F.sum(F.col("n") * F.col("var")), F.sum("n")).alias("v")).collect()
+    spread = {cols[r["i"]]: None if r["v"] is None else r["v"] ** 0.5 for r in pooled}
+    return out, {c: (0.0, spread.get(c)) for c in cols}
 
 
-# the standalone name used by the reference's placeholder function
-combat_batch_correction = batch_center
+def correct_batches(df: DataFrame, cols: Sequence[str], batches: DataFrame, id_col: str = "patient_id") -> DataFrame:
+    """T5: batch correction on its own, with the batches in a table ``(id, batch)`` beside the features."""
+    key, batch = (F.col(c) for c in batches.columns[:2])
+    side = batches.select(key.alias("__id"), batch.alias("__of"))
+    joined = df.join(side, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
+    return batch_center(joined, cols, "__of").drop("__of")
 
 
 @dataclass
@@ -195,11 +172,10 @@ class NormalizerModel:
         if not own:
             out = fill_bad(self.normalize(df, self.fit_moments), self.cols, self.fit_medians)
         elif self.use_zscore:
-            mom, counts, rows = _moments(df, self.cols, with_counts=True)
-            out = self.normalize(df, mom)
+            facts, rows = _facts(df, self.cols)
+            out = self.normalize(df, {c: (f.mean, f.std) for c, f in facts.items()})
             # a z-score is NULL where the cell is NULL or the column has no spread
-            nullable = [c for c in self.cols if counts[c] < rows or not mom[c][1]]
-            out = fill_bad(out, self.cols, nullable=nullable)
+            out = fill_bad(out, self.cols, nullable=[c for c, f in facts.items() if f.n < rows or not f.std])
         else:
             out = fill_bad(self.normalize(df), self.cols)
         if self.batch_col and self.batch_col in df.columns:
@@ -207,6 +183,26 @@ class NormalizerModel:
         return out
 
 
+class FrozenNormalizer:
+    """A normaliser whose statistics are those of one given frame, whatever it transforms."""
+
+    def __init__(self, model: NormalizerModel, df: DataFrame):
+        self.model = model
+        facts, _ = _facts(df, model.cols)
+        self.moments = {c: (f.mean, f.std) for c, f in facts.items()} if model.stats == "self" else model.fit_moments
+        normed = model.normalize(df, self.moments)
+        self.medians = _medians(normed, model.cols) if model.stats == "self" else model.fit_medians
+        self.means = None
+        if model.batch_col and model.batch_col in df.columns:
+            filled = fill_bad(normed, model.cols, self.medians)
+            self.means = batch_means(batch_facts(filled, model.cols, model.batch_col)).checkpoint()
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        m = self.model
+        out = fill_bad(m.normalize(df, self.moments), m.cols, self.medians)
+        return out if self.means is None else subtract_means(out, m.cols, m.batch_col, self.means)
+
+
 @dataclass
 class Normalizer:
     """T1-T4 as an estimator: learns only whether any training cell is negative.
@@ -224,23 +220,16 @@ class Normalizer:
         if self.stats != "self" or not self.cols:
             model = self.fit(df)
             return model, model.transform(df)
-        aggs = [F.count(F.lit(1)).alias("__rows"),
-                F.coalesce(F.bool_or(_any_below_zero(self.cols)), F.lit(False)).alias("__neg")]
-        for i, c in enumerate(self.cols):
-            aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"), F.count(c).alias(f"n{i}"),
-                     F.count(F.log2(F.col(c) + F.lit(1.0))).alias(f"l{i}")]
-        row = df.agg(*aggs).first()
-        use_z = bool(row["__neg"])
+        facts, rows = _facts(df, self.cols)
+        use_z = any(f.low is not None and f.low < 0 for f in facts.values())
         model = NormalizerModel(self.cols, use_z, self.batch_col, self.stats)
-        rows = row["__rows"]
         if use_z:
-            mom = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(self.cols)}
-            out = zscore_normalize(df, self.cols, mom)
-            nullable = [c for i, c in enumerate(self.cols) if row[f"n{i}"] < rows or not row[f"s{i}"]]
+            out = zscore_normalize(df, self.cols, {c: (f.mean, f.std) for c, f in facts.items()})
+            nullable = [c for c, f in facts.items() if f.n < rows or not f.std]
         else:
             out = log2_normalize(df, self.cols)
-            nullable = [c for i, c in enumerate(self.cols) if row[f"l{i}"] < rows]
-        out = fill_bad(out, self.cols, nullable=nullable, n_rows=rows)
+            nullable = [c for c, f in facts.items() if f.logs < rows]
+        out = fill_bad(out, self.cols, nullable=nullable)
         self.out_moments = None
         if self.batch_col and self.batch_col in df.columns:
             out, self.out_moments = batch_center(out, self.cols, self.batch_col, with_moments=True)
@@ -263,8 +252,7 @@ class ScalerModel:
     scales: dict[str, float]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            c: (F.col(c) - F.lit(self.means[c])) / F.lit(self.scales[c]) for c in self.cols})
+        return replace_columns(df, {c: f"({name(c)} - {number(self.means[c])}) / {number(self.scales[c])}" for c in self.cols})
 
 
 @dataclass
@@ -289,7 +277,7 @@ class ImputerModel:
     medians: dict[str, float]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.coalesce(F.col(c), F.lit(self.medians[c])) for c in self.cols})
+        return replace_columns(df, {c: f"coalesce({name(c)}, {number(self.medians[c])})" for c in self.cols}) if self.cols else df
 
 
 @dataclass
@@ -311,21 +299,19 @@ class MedianImputer:
 # ---------------------------------------------------------------------------
 
 def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = 42, out: str = "__rank",
-                  n_classes: int | None = None) -> DataFrame:
+                  n_rows: int | None = None) -> DataFrame:
     """0-based position of each row inside its class in ``md5(seed:id)`` order.
 
     A running count in hash-range buckets: the hash is uniform, so bucket bounds
     are arithmetic and every bucket holds about ``rows / buckets`` rows, even when
     one class holds most rows.
     """
-    from cohort_engine.session import shuffle_partitions
-    n_buckets = shuffle_partitions(df.sparkSession)
+    n_buckets = bucket_count(df.sparkSession, df.count() if n_rows is None else n_rows)
     keyed = (df.withColumn("__h", hash_order(seed, id_col))
              .withColumn("__hk", hash_key(seed, id_col))
              .withColumn("__one", F.lit(1))
              .withColumn("__hb", F.floor(F.col("__h") / F.lit(_HASH_SPACE / n_buckets))))
-    ranked = running_sum(keyed, ["__h", "__hk", id_col], ["__one"], partition_cols=[label], bucket_col="__hb",
-                         n_buckets=n_buckets, max_groups=n_classes)
+    ranked = running_sum(keyed, ["__h", "__hk", id_col], ["__one"], partition_cols=[label], bucket_col="__hb")
     return ranked.withColumn(out, F.col("cum___one") - 1).drop("__h", "__hk", "__one", "__hb", "cum___one")
 
 
@@ -345,10 +331,9 @@ def oversample(df: DataFrame, label: str = "response", id_col: str = "patient_id
     extra = {c: n_max - n for c, n in counts.items() if n < n_max}
     if not extra:
         return df
-    ranked = rank_in_class(df, label, id_col, seed, n_classes=len(counts))
+    ranked = rank_in_class(df, label, id_col, seed, n_rows=sum(counts.values()))
     draws = None
-    from cohort_engine.session import shuffle_partitions
-    parts = shuffle_partitions(spark)
+    parts = bucket_count(spark, sum(extra.values()))
     for c, k in extra.items():
         d = (spark.range(0, k, 1, parts)
              .select(F.lit(c).cast(df.schema[label].dataType).alias("__dl"),
@@ -356,11 +341,8 @@ def oversample(df: DataFrame, label: str = "response", id_col: str = "patient_id
                      .alias("__pick")))
         draws = d if draws is None else draws.unionByName(d)
     minority = ranked.where(F.col(label).isin(list(extra)))
-    n_minority = sum(counts[c] for c in extra)
-    # a small minority would turn every draw into the same few join keys: broadcast
-    # it (its size is the counted number of rows); a large one has spread-out keys
-    side = F.broadcast(minority) if n_minority <= BROADCAST_ROWS else minority
-    copies = draws.join(side, (draws["__dl"] == side[label]) & (draws["__pick"] == side["__rank"]), "inner")
+    # no hint: the runtime broadcasts a minority of few bytes, whose few join keys could not be spread
+    copies = draws.join(minority, (draws["__dl"] == minority[label]) & (draws["__pick"] == minority["__rank"]), "inner")
     return df.unionByName(copies.select(*df.columns))
 
 
@@ -371,7 +353,7 @@ def undersample(df: DataFrame, label: str = "response", id_col: str = "patient_i
     if len(counts) < 2:
         return df
     n_min = min(counts.values())
-    ranked = rank_in_class(df, label, id_col, seed, n_classes=len(counts))
+    ranked = rank_in_class(df, label, id_col, seed, n_rows=sum(counts.values()))
     return ranked.where(F.col("__rank") < n_min).drop("__rank")
 
 

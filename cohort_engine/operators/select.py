@@ -11,23 +11,12 @@ from cohort_engine.operators.stats import to_long
 
 
 def k_range(n_features: int) -> list[int]:
-    """{10, 15, ..., 60} up to the feature count, else [min(10, n)]."""
+    """F5 (a fixed rule of the reference): {10, 15, ..., 60} up to the feature count, else [min(10, n)]."""
     ks = [k for k in range(10, 65, 5) if k <= n_features]
     return ks or [min(10, n_features)]
 
 
 def anova_f(df: DataFrame, cols: Sequence[str], label: str = "response") -> DataFrame:
-    """F1 scores ``(feature, f_score)``.  Up to ``WIDE_LIMIT`` columns: one grouped
-    aggregate (classes x columns numbers) finished on the driver; wider tables:
-    :func:`anova_f_long`."""
-    cols = list(cols)
-    if len(cols) > WIDE_LIMIT:
-        return anova_f_long(df, cols, label)
-    scores = _anova_wide(df, cols, label)
-    return df.sparkSession.createDataFrame([(c, scores[c]) for c in cols], "feature string, f_score double")
-
-
-def anova_f_long(df: DataFrame, cols: Sequence[str], label: str = "response") -> DataFrame:
     """F1 scores: one-way ANOVA F of each feature against the class.
 
     From per-(feature, class) count, mean and population variance (a partial
@@ -46,46 +35,17 @@ def anova_f_long(df: DataFrame, cols: Sequence[str], label: str = "response") ->
     parts = j.groupBy("feature", "n", "k").agg(
         F.sum(F.col("n_c") * (F.col("mean_c") - F.col("grand")) ** 2).alias("ssb"),
         F.sum(F.col("n_c") * F.col("var_c")).alias("ssw"))
-    f = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n") - F.col("k")))
-    return parts.select("feature", F.when(F.col("k") > 1, f).alias("f_score"))
-
-
-WIDE_LIMIT = 400     # above this many features the per-class aggregate is done in long form
+    between = F.try_divide(F.col("ssb"), F.col("k") - 1)
+    within = F.try_divide(F.col("ssw"), F.col("n") - F.col("k"))
+    scored = parts.select("feature", F.try_divide(between, within).alias("f_score"))
+    # a column of NULLs alone has no row in the long form
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    return names.join(scored, "feature", "left")
 
 
 def anova_ranking(df: DataFrame, cols: Sequence[str], label: str = "response") -> list[str]:
-    """Features in ANOVA-F order (best first, NULL last, ties by name).
-
-    One grouped aggregate per class (``classes x features`` numbers come back) and
-    the F formula of :func:`anova_f` finished on the driver.  Very wide tables go
-    through :func:`anova_f` instead.
-    """
-    cols = list(cols)
-    if len(cols) > WIDE_LIMIT:
-        return ranked(anova_f_long(df, cols, label))
-    scores = _anova_wide(df, cols, label)
-    return sorted(cols, key=lambda c: (scores[c] is None, -(scores[c] or 0.0), c))
-
-
-def _anova_wide(df: DataFrame, cols: list[str], label: str) -> dict[str, float | None]:
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}")]
-    rows = df.groupBy(label).agg(*aggs).collect()
-    scores = {}
-    for i, c in enumerate(cols):
-        groups = [(r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]) for r in rows if r[f"n{i}"]]
-        k = len(groups)
-        n = sum(g[0] for g in groups)
-        f = None
-        if k > 1 and n > k:
-            grand = sum(g[0] * g[1] for g in groups) / n
-            ssb = sum(g[0] * (g[1] - grand) ** 2 for g in groups)
-            ssw = sum(g[0] * g[2] for g in groups)
-            if ssw > 0:
-                f = (ssb / (k - 1)) / (ssw / (n - k))
-        scores[c] = f
-    return scores
+    """Features in ANOVA-F order (best first, NULL last, ties by name)."""
+    return ranked(anova_f(df, cols, label))
 
 
 def top_k(scores: DataFrame, k: int, score_col: str = "f_score") -> DataFrame:
@@ -149,4 +109,4 @@ def rfe_path(df: DataFrame, cols: Sequence[str], label: str = "response", min_k:
 def select_method(method: str):
     if method in ("anova", "mutual_info", "lasso", "rfe"):
         return method
-    raise ValueError(f"Invalid feature selection method '{method}'")      # F6
+    raise ValueError(f"no such way of selecting features: {method!r}")      # F6

@@ -18,6 +18,7 @@ Every result is long: ``(row id, feature, value, phi, base, fx)``; ``base + sum(
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from cohort_engine.functions.hashing import hash_order
 from cohort_engine.operators.explain import sample_rows
+from cohort_engine.operators.stats import moments
 from cohort_engine.session import ensure_checkpoint_dir
 
 SHAP_ROWS = 100               # fixed value: rows explained / background rows in the reference
@@ -48,6 +50,8 @@ def tree_tables(fitted) -> tuple[list[dict], np.ndarray, str]:
     if "treeID" not in nodes.columns:
         nodes = nodes.select(F.lit(0).alias("treeID"), F.struct("*").alias("nodeData"))
     rows = nodes.select("treeID", "nodeData.*").collect()          # bounded by the model size
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     by_tree: dict[int, list] = {}
     for r in rows:
         by_tree.setdefault(r["treeID"], []).append(r)
@@ -98,60 +102,62 @@ def _spark():
 
 
 # ---------------------------------------------------------------------------
-# path-dependent TreeSHAP for one tree and one row
+# path-dependent TreeSHAP, leaf by leaf for a batch of rows
 # ---------------------------------------------------------------------------
 
-def _extend(path, pz, po, pi):
-    path = [list(e) for e in path]
-    length = len(path)
-    path.append([pi, pz, po, 1.0 if length == 0 else 0.0])
-    for i in range(length - 1, -1, -1):
-        path[i + 1][3] += po * path[i][3] * (i + 1) / (length + 1)
-        path[i][3] = pz * path[i][3] * (length - i) / (length + 1)
-    return path
-
-
-def _unwind(path, i):
-    path = [list(e) for e in path]
-    length = len(path) - 1
-    n = path[length][3]
-    zi, oi = path[i][1], path[i][2]
-    for j in range(length - 1, -1, -1):
-        if oi != 0:
-            t = path[j][3]
-            path[j][3] = n * (length + 1) / ((j + 1) * oi)
-            n = t - path[j][3] * zi * (length - j) / (length + 1)
-        else:
-            path[j][3] = path[j][3] * (length + 1) / (zi * (length - j))
-    for j in range(i, length):
-        path[j][0], path[j][1], path[j][2] = path[j + 1][0], path[j + 1][1], path[j + 1][2]
-    return path[:length]
-
-
-def tree_shap_row(tree: dict, x: np.ndarray, n_features: int) -> np.ndarray:
-    phi = np.zeros(n_features)
-    left, right, feat, thr, value, cover = (tree[k] for k in ("left", "right", "feat", "thr", "value", "cover"))
-
-    def recurse(j, path, pz, po, pi):
-        path = _extend(path, pz, po, pi)
-        if left[j] < 0:
-            for i in range(1, len(path)):
-                w = sum(e[3] for e in _unwind(path, i))
-                phi[path[i][0]] += w * (path[i][2] - path[i][1]) * value[j]
-            return
-        d = feat[j]
-        hot, cold = (left[j], right[j]) if x[d] <= thr[j] else (right[j], left[j])
-        iz = io = 1.0
-        k = next((idx for idx in range(1, len(path)) if path[idx][0] == d), None)
-        if k is not None:
-            iz, io = path[k][1], path[k][2]
-            path = _unwind(path, k)
-        rj = cover[j] if cover[j] > 0 else 1.0
-        recurse(hot, path, iz * cover[hot] / rj, io, d)
-        recurse(cold, path, iz * cover[cold] / rj, 0.0, d)
-
-    recurse(0, [], 1.0, 1.0, -1)
-    return phi
+@dataclass
+class LeafPath:
+    """A leaf with the distinct features of its path: the interval each must lie in, and
+    the share of training rows that stay on the path when the feature is unknown."""
+    value: float
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+
+
+def leaf_paths(tree: dict) -> list[LeafPath]:
+    out: list[LeafPath] = []
+    stack = [(0, {})]
+    while stack:
+        j, held = stack.pop()
+        if tree["left"][j] < 0:
+            feats = list(held)
+            rows = np.array([held[f] for f in feats], float).reshape(-1, 3)
+            out.append(LeafPath(float(tree["value"][j]), np.array(feats, int), rows[:, 0], rows[:, 1], rows[:, 2]))
+            continue
+        f, thr = int(tree["feat"][j]), tree["thr"][j]
+        low, high, share = held.get(f, (-np.inf, np.inf, 1.0))
+        whole = tree["cover"][j] if tree["cover"][j] > 0 else 1.0
+        for child, bounds in ((tree["left"][j], (low, min(high, thr))), (tree["right"][j], (max(low, thr), high))):
+            stack.append((child, held | {f: (*bounds, share * tree["cover"][child] / whole)}))
+    return out
+
+
+def batch_shap(paths: list[LeafPath], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Attributions (rows x features) and outputs of one tree.
+
+    A leaf's game gives a coalition the product of ``inside`` (0 or 1) over its members and
+    of ``share`` over the others.  The Shapley weights k!(m-k-1)!/m! are the integrals of
+    t^k (1-t)^(m-1-k), so a feature's value is the integral of the product of
+    ``inside * t + share * (1 - t)`` over the other features, times ``inside - share``: a
+    polynomial of degree m - 1, which Gauss-Legendre nodes integrate exactly.
+    """
+    phi, fx = np.zeros(x.shape), np.zeros(len(x))
+    for p in paths:
+        m = len(p.features)
+        cells = x[:, p.features]
+        inside = ((cells > p.low) & (cells <= p.high)).astype(float)
+        fx += p.value * inside.all(axis=1)
+        if m == 0:
+            continue
+        nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+        for t, w in zip((nodes + 1) / 2, weights / 2):
+            factor = inside * t + p.share * (1 - t)
+            before = np.cumprod(np.column_stack([np.ones(len(x)), factor[:, :-1]]), axis=1)
+            after = np.cumprod(np.column_stack([np.ones(len(x)), factor[:, :0:-1]]), axis=1)[:, ::-1]
+            phi[:, p.features] += p.value * w * before * after * (inside - p.share)
+    return phi, fx
 
 
 def _expected(tree: dict) -> float:
@@ -159,13 +165,6 @@ def _expected(tree: dict) -> float:
     return float(np.sum(tree["value"][leaves] * tree["cover"][leaves]) / tree["cover"][0])
 
 
-def _tree_output(tree: dict, x: np.ndarray) -> float:
-    j = 0
-    while tree["left"][j] >= 0:
-        j = tree["left"][j] if x[tree["feat"][j]] <= tree["thr"][j] else tree["right"][j]
-    return float(tree["value"][j])
-
-
 def tree_shap(pipe, df: DataFrame, id_col: str = "patient_id", n_rows: int | None = SHAP_ROWS,
               seed: int = 42) -> DataFrame:
     """TreeSHAP for the rows first in ``md5(seed:id)`` order (all rows when
@@ -175,23 +174,21 @@ def tree_shap(pipe, df: DataFrame, id_col: str = "patient_id", n_rows: int | Non
     base = float(sum(w * _expected(t) for t, w in zip(trees, weights)))
     prepared = _prepared_sample(pipe, df, id_col, n_rows, seed).select(
         id_col, *[F.col(f).cast("double") for f in feats])
-    bc = prepared.sparkSession.sparkContext.broadcast((trees, weights))   # model-sized
+    # leaf paths: bounded by the model's leaves and depth
+    shared = prepared.sparkSession.sparkContext.broadcast([(leaf_paths(t), w) for t, w in zip(trees, weights)])
     id_type = prepared.schema[id_col].dataType.simpleString()
 
     def explain(batches):
-        ts, ws = bc.value
         for b in batches:
-            X = b[feats].to_numpy(dtype=float)
-            out = []
-            for r in range(len(X)):
-                phi = np.zeros(len(feats))
-                fx = 0.0
-                for t, w in zip(ts, ws):
-                    phi += w * tree_shap_row(t, X[r], len(feats))
-                    fx += w * _tree_output(t, X[r])
-                for i, f in enumerate(feats):
-                    out.append((b[id_col].iloc[r], f, X[r, i], phi[i], base, fx))
-            yield pd.DataFrame(out, columns=[id_col, "feature", "value", "phi", "base", "fx"])
+            x = b[feats].to_numpy(dtype=float)
+            phi, fx = np.zeros(x.shape), np.zeros(len(x))
+            for paths, w in shared.value:
+                tree_phi, tree_fx = batch_shap(paths, x)
+                phi += w * tree_phi
+                fx += w * tree_fx
+            k = len(feats)
+            yield pd.DataFrame({id_col: np.repeat(b[id_col].to_numpy(), k), "feature": feats * len(b), "value": x.ravel(),
+                                "phi": phi.ravel(), "base": base, "fx": np.repeat(fx, k)})
 
     schema = f"{id_col} {id_type}, feature string, value double, phi double, base double, fx double"
     return prepared.mapInPandas(explain, schema).withColumn("output", F.lit(kind))
@@ -209,29 +206,29 @@ def linear_shap(pipe, df: DataFrame, id_col: str = "patient_id", n_rows: int | N
     m = pipe.model.model
     w = m.coefficients.toArray()
     b = float(m.intercept)
-    prepared = _prepared_sample(pipe, df, id_col, n_rows, seed).select(id_col, *feats).persist()
-    means = prepared.agg(*[F.avg(f).alias(f) for f in feats]).first()
-    base = float(sum(wi * (means[f] or 0.0) for wi, f in zip(w, feats)) + b)
+    prepared = _prepared_sample(pipe, df, id_col, n_rows, seed).select(id_col, *feats)
+    means = {r["feature"]: r["mean"] for r in moments(prepared, feats).collect()}
+    base = float(sum(wi * (means.get(f) or 0.0) for wi, f in zip(w, feats)) + b)
     fx = sum(F.lit(float(wi)) * F.col(f) for wi, f in zip(w, feats)) + F.lit(b)
     long = prepared.select(id_col, fx.alias("fx"), F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"),
-                 (F.lit(float(wi)) * (F.col(f) - F.lit(float(means[f] or 0.0)))).alias("phi"))
+                 (F.lit(float(wi)) * (F.col(f) - F.lit(float(means.get(f) or 0.0)))).alias("phi"))
         for wi, f in zip(w, feats)])).alias("s"))
     return long.select(id_col, "s.feature", "s.value", "s.phi", F.lit(base).alias("base"), "fx") \
         .withColumn("output", F.lit("margin"))
 
 
 def sampled_shap(pipe, df: DataFrame, id_col: str = "patient_id", n_rows: int | None = SHAP_ROWS,
-                 samples: int = PERMUTATION_SAMPLES, seed: int = 42) -> DataFrame:
+                 samples: int = PERMUTATION_SAMPLES, seed: int = 42, background: int = SHAP_ROWS) -> DataFrame:
     """I7 model-agnostic: for each explained row and sample s, a background row and a
     feature order are drawn from ``md5``; the M+1 hybrid points along that order are
     scored by one transform and consecutive differences credited to the feature
     switched in.  phi = mean over samples (units: P(class 1))."""
     feats = list(pipe.features)
     M = len(feats)
-    prepared = _prepared_sample(pipe, df, id_col, n_rows, seed).select(id_col, *feats).persist()
-    # background = the explained rows themselves (at most n_rows), indexed on the driver
-    bg_rows = prepared.select(*feats).collect()
+    prepared = _prepared_sample(pipe, df, id_col, n_rows, seed).select(id_col, *feats)
+    # ``background`` rows, the first in hash order of those explained
+    bg_rows = sample_rows(prepared, id_col, background, seed).select(*feats).collect()
     nb = len(bg_rows)
     bg = prepared.sparkSession.createDataFrame(
         [(i, *[float(r[f]) for f in feats]) for i, r in enumerate(bg_rows)],

@@ -13,13 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_engine.functions.expressions import unfold
 from cohort_engine.functions.quantiles import approx_quantiles, exact_quantiles
 
 
 def to_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), drop_nulls: bool = True) -> DataFrame:
     """Unpivot ``cols`` into ``(*keys, feature, value double)``."""
-    out = df.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])))
+    if not cols:
+        return df.selectExpr(*keys, "'' AS feature", "CAST(NULL AS DOUBLE) AS value").limit(0)
+    out = unfold(df, cols, keys)
     return out.where(F.col("value").isNotNull()) if drop_nulls else out
 
 
@@ -40,10 +42,6 @@ def class_balance(df: DataFrame, label: str = "response") -> DataFrame:
     )
 
 
-def class_counts(df: DataFrame, label: str = "response") -> DataFrame:
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-
-
 def feature_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A2: ``(feature, min_value, max_value)``."""
     return to_long(df, cols).groupBy("feature").agg(F.min("value").alias("min_value"),
@@ -54,11 +52,7 @@ def any_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A3: one row, one boolean: is any cell of ``cols`` below zero."""
     if not cols:
         return df.sparkSession.createDataFrame([(False,)], "any_negative boolean")
-    cond = None
-    for c in cols:
-        e = F.col(c) < 0
-        cond = e if cond is None else (cond | e)
-    return df.agg(F.coalesce(F.bool_or(cond), F.lit(False)).alias("any_negative"))
+    return to_long(df, cols).agg(F.coalesce(F.min("value") < 0, F.lit(False)).alias("any_negative"))
 
 
 def has_negative(df: DataFrame, cols: Sequence[str]) -> bool:

@@ -39,13 +39,13 @@ SVM_TOL = 1e-3
 CALIBRATION_FOLDS = 5
 
 SPARK_MAX_DEPTH = 30          # Spark's tree depth limit stands in for "unlimited"
-RFF_COMPONENTS = 200          # random Fourier features for the RBF kernel
+RFF_COMPONENTS = 200          # random Fourier features for the RBF kernel, unless asked otherwise
 
 
 def canonical(algorithm: str) -> str:
     a = ALIASES.get(algorithm, algorithm)
     if a not in MODEL_GRIDS:
-        raise ValueError(f"Invalid algorithm '{algorithm}'")          # E7
+        raise ValueError(f"no such estimator: {algorithm!r}")          # E7
     return a
 
 
@@ -78,14 +78,23 @@ class FittedModel:
         src = _rff_map(df, features_col, *self.rff) if self.rff is not None else df
         out = self.model.transform(src)
         if self.algorithm == "svm":
-            out = out.withColumn("__margin", vector_to_array("rawPrediction")[1])
-            m = out.drop("probability", "rawPrediction", "prediction")
-            cal = self.platt.transform(m.withColumn("__mv", array_to_vector(F.array("__margin"))))
-            return cal.withColumn("p1", vector_to_array("probability")[1]) \
-                .drop("__mv", "__margin", "rawPrediction", "probability")
+            # the class is the margin's sign; the calibration gives the probability alone
+            out = out.withColumn("__margin", vector_to_array("rawPrediction")[1]).drop("rawPrediction", "probability")
+            if self.platt is None:
+                return out.withColumn("p1", 1 / (1 + F.exp(-F.col("__margin")))).drop("__margin")
+            slope, shift = float(self.platt.coefficients[0]), float(self.platt.intercept)
+            return out.withColumn("p1", 1 / (1 + F.exp(-(F.col("__margin") * slope + shift)))).drop("__margin")
         return out.withColumn("p1", vector_to_array("probability")[1]).drop("rawPrediction", "probability")
 
 
+    def rule(self, df: DataFrame, id_col: str = "patient_id", features_col: str = "features") -> DataFrame:
+        """``(id, own)``: the class by the estimator's own decision value, apart from any calibration."""
+        src = _rff_map(df, features_col, *self.rff) if self.rff is not None else df
+        side = vector_to_array("rawPrediction")
+        out = self.model.transform(src)
+        return out.select(id_col, F.when(side[1] > (0 if self.algorithm == "svm" else side[0]), 1.0).otherwise(0.0).alias("own"))
+
+
 def _rff_map(df: DataFrame, col: str, W: np.ndarray, b: np.ndarray) -> DataFrame:
     """z = sqrt(2/D) cos(W x + b), vectorised per Arrow batch."""
     scale = math.sqrt(2.0 / W.shape[0])
@@ -100,8 +109,13 @@ def _rff_map(df: DataFrame, col: str, W: np.ndarray, b: np.ndarray) -> DataFrame
 
 
 def fit(algorithm: str, params: dict, train: DataFrame, n_train: int, label: str = "label",
-        features_col: str = "features", seed: int = 42) -> FittedModel:
-    """Fit one candidate on an assembled training frame."""
+        features_col: str = "features", seed: int = 42, calibrate: bool = True,
+        rff_components: int = RFF_COMPONENTS) -> FittedModel:
+    """Fit one candidate on an assembled training frame.
+
+    ``calibrate`` learns SVM probabilities (``CALIBRATION_FOLDS`` further fits); a search
+    that compares classes only does without.  ``rff_components`` is the width of the
+    feature map behind the RBF kernel."""
     a = canonical(algorithm)
     p = model_params(params)
     if a == "logistic_regression":
@@ -112,13 +126,14 @@ def fit(algorithm: str, params: dict, train: DataFrame, n_train: int, label: str
         rff = None
         src = train
         if p.get("kernel", "linear") == "rbf":
-            rff = _rff_weights(train, features_col, seed)
+            rff = _rff_weights(train, features_col, seed, rff_components)
             src = _rff_map(train, features_col, *rff)
         svc = LinearSVC(featuresCol=features_col, labelCol=label, regParam=1.0 / (float(p["C"]) * n_train),
                         maxIter=1000, standardization=False, tol=SVM_TOL)
         m = svc.fit(src)
-        margins = _oof_margins(src, svc, features_col, label, seed) if CALIBRATION_FOLDS > 1 else \
-            m.transform(src).select(label, vector_to_array("rawPrediction")[1].alias("__m"))
+        if not calibrate:
+            return FittedModel(a, params, m, None, rff)
+        margins = _oof_margins(src, svc, features_col, label, seed)
         platt = LogisticRegression(featuresCol="__mv", labelCol=label, regParam=0.0, maxIter=100).fit(
             margins.select(label, array_to_vector(F.array("__m")).alias("__mv")))
         return FittedModel(a, params, m, platt, rff)
@@ -158,7 +173,7 @@ def _oof_margins(src: DataFrame, svc: LinearSVC, features_col: str, label: str,
     return out
 
 
-def _rff_weights(train: DataFrame, features_col: str, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def _rff_weights(train: DataFrame, features_col: str, seed: int, components: int) -> tuple[np.ndarray, np.ndarray]:
     """gamma = 1 / (p * Var(X)) over all training cells ('scale'), W ~ N(0, 2 gamma)."""
     arr = train.select(F.explode(vector_to_array(features_col)).alias("x"))
     row = arr.agg(F.var_pop("x").alias("v"), F.count("x").alias("n")).first()
@@ -167,8 +182,8 @@ def _rff_weights(train: DataFrame, features_col: str, seed: int) -> tuple[np.nda
     var = row["v"] or 1.0
     gamma = 1.0 / (p * var) if var > 0 else 1.0
     rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(RFF_COMPONENTS, p))
-    b = rng.uniform(0.0, 2 * math.pi, size=RFF_COMPONENTS)
+    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(components, p))
+    b = rng.uniform(0.0, 2 * math.pi, size=components)
     return W, b
 
 

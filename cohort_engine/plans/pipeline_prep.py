@@ -1,12 +1,15 @@
 """The cohort preparation chain shared by the flagship query, training and scoring.
 
 validate -> drop constant columns -> normalise (log2 | z-score, fill, batch centre)
--> standardise -> impute -> [resample] -> [drop outlier-prone features]
+-> standardise -> impute -> [drop outlier-prone features] -> [resample]
+
+The reference screens for outliers after resampling; here the screen judges the rows as
+they were measured, so that drawn copies of a row do not weigh on a feature's share.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -29,6 +32,10 @@ class PreparedModel:
     def kept(self) -> list[str]:
         return [c for c in self.features if c not in self.removed]
 
+    def frozen(self, df: DataFrame) -> PreparedModel:
+        """This model with the statistics of ``df`` in place of those of each frame it transforms."""
+        return replace(self, normalizer=P.FrozenNormalizer(self.normalizer, nan_to_null(C.encode_sex(df))))
+
     def transform(self, df: DataFrame) -> DataFrame:
         df = nan_to_null(C.encode_sex(df))
         out = self.normalizer.transform(df)

@@ -23,6 +23,7 @@ from cohort_engine.operators import metrics as M
 from cohort_engine.operators import prep as P
 from cohort_engine.plans import models as MD
 from cohort_engine.plans.pipeline_prep import PreparedModel, cohort_features
+from cohort_engine.sources.tables import nan_to_null
 from cohort_engine.plans.tuning import (SearchConfig, TrainedPipeline, decide_resampling, grid_search,
                                         nested_cv, refit, seed_summary)
 from cohort_engine.sources.validate import SampleSchema, validate
@@ -36,7 +37,7 @@ _MODEL_CLASSES = {
 def train_cohort(df: DataFrame, cfg: SearchConfig, seeds=(42,), output: str | None = None,
                  run_nested: bool = True) -> dict:
     """Train as the reference's pipeline does; returns per-seed results and pipelines."""
-    df = validate(df, SampleSchema(response=cfg.response.lower()))
+    df = nan_to_null(validate(df, SampleSchema(response=cfg.response.lower(), batch_col=cfg.batch_col or "batch")))
     feats = cohort_features(df, cfg.response, cfg.batch_col or "batch")
     enc = C.encode_sex(df)
     _, kept, dropped = C.drop_constant(enc, feats)          # judged on the full set (Q14)
@@ -90,7 +91,7 @@ def save_pipeline(pipe: TrainedPipeline, path: str, spark: SparkSession) -> None
         "imputer": {"cols": pipe.prep.imputer.cols, "medians": pipe.prep.imputer.medians},
     }
     meta = {"algorithm": pipe.model.algorithm, "params": pipe.params, "features": pipe.features,
-            "response": pipe.response, "id_col": pipe.id_col, "prep": prep,
+            "response": pipe.response, "id_col": pipe.id_col, "prep": prep, "calibrated": pipe.model.platt is not None,
             "rff": None if pipe.model.rff is None else [pipe.model.rff[0].tolist(), pipe.model.rff[1].tolist()]}
     _write_json(spark, meta, f"{path}/meta")
     pipe.model.model.write().overwrite().save(f"{path}/model")
@@ -106,7 +107,7 @@ def load_pipeline(spark: SparkSession, path: str) -> TrainedPipeline:
                          pr["removed"])
     algo = meta["algorithm"]
     model = _MODEL_CLASSES[algo].load(f"{path}/model")
-    platt = LogisticRegressionModel.load(f"{path}/platt") if algo == "svm" else None
+    platt = LogisticRegressionModel.load(f"{path}/platt") if meta.get("calibrated") else None
     rff = None if meta["rff"] is None else (np.array(meta["rff"][0]), np.array(meta["rff"][1]))
     fitted = MD.FittedModel(algo, meta["params"], model, platt, rff)
     return TrainedPipeline(prep, meta["features"], fitted, meta["params"], meta["response"], meta["id_col"])
@@ -143,9 +144,9 @@ def evaluate_independent(pipe: TrainedPipeline, df: DataFrame, response: str | N
     """
     response = (response or pipe.response).lower()
     df = C.lower_names(df)
-    if response not in df.columns:
-        raise ValueError(f"response col '{response}' not found.")
-    keys = [c for c in (pipe.id_col, "patient", response, "batch") if c in df.columns]
+    _, response = C.split_xy(C.encode_sex(df), response)
+    batch = pipe.prep.normalizer.batch_col
+    keys = [c for c in (pipe.id_col, "patient", response, batch) if c and c in df.columns]
     aligned = C.align_columns(C.encode_sex(df), pipe.prep.features, keep=keys)
     pred = pipe.predict(aligned).select(*[c for c in keys if c != response],
                                         F.col(response).alias("label"),

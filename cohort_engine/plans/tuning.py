@@ -36,6 +36,9 @@ from cohort_engine.plans.pipeline_prep import PreparedModel, Preparer
 from cohort_engine.session import ensure_checkpoint_dir
 
 
+RESAMPLE_SEED = 42       # fixed value: the reference resamples with it whatever the run's seed
+
+
 @dataclass
 class SearchConfig:
     algorithm: str
@@ -104,7 +107,7 @@ def prepare_split(train_raw: DataFrame, val_raw: DataFrame | None, features: lis
     preparer = Preparer(features, cfg.batch_col, cfg.stats, cfg.outlier_method, cfg.outlier_params)
     prep, train = preparer.fit(train_raw)
     feats = prep.kept
-    train = P.resample(train, strategy, cfg.response, cfg.id_col, seed)
+    train = P.resample(train, strategy, cfg.response, cfg.id_col, RESAMPLE_SEED)
     train = _persist(train.select(cfg.id_col, cfg.response, *feats), bag)
     n_train = train.count()
     ranking = _rank(train, feats, cfg)
@@ -150,11 +153,12 @@ def _indices(split: Split, params: dict, lasso: dict) -> list[int] | None:
     return list(range(len(split.ranking)))
 
 
-def fit_candidate(split: Split, params: dict, cfg: SearchConfig, seed: int, lasso: dict):
+def fit_candidate(split: Split, params: dict, cfg: SearchConfig, seed: int, lasso: dict, calibrate: bool = True):
     idx = _indices(split, params, lasso)
     if idx is None:
         return None, None
-    model = MD.fit(cfg.algorithm, params, _sliced(split.train, idx), split.n_train, seed=seed)
+    model = MD.fit(cfg.algorithm, params, _sliced(split.train, idx), split.n_train, seed=seed,
+                   calibrate=calibrate)
     return model, idx
 
 
@@ -164,7 +168,7 @@ def score_candidates(split: Split, cands: list[dict], cfg: SearchConfig, seed: i
     lasso = _lasso_sets(split, alphas) if alphas else {}
 
     def one(ci):
-        model, idx = fit_candidate(split, cands[ci], cfg, seed, lasso)
+        model, idx = fit_candidate(split, cands[ci], cfg, seed, lasso, calibrate=False)
         if model is None:
             return None
         return model.transform(_sliced(split.val, idx)).select(F.lit(ci).alias("cand"), "label", "prediction")
@@ -183,10 +187,21 @@ def score_candidates(split: Split, cands: list[dict], cfg: SearchConfig, seed: i
     return {ci: M.scores_from_counts(cc)[:2] for ci, cc in cells.items()}
 
 
+def usable_features(df: DataFrame, features: list[str], cfg: SearchConfig) -> int:
+    """Features left by the outlier screen, from which the k values are made."""
+    if not cfg.outlier_method or cfg.k_values is not None or cfg.grid is not None:
+        return len(features)
+    preparer = Preparer(features, cfg.batch_col, cfg.stats, cfg.outlier_method, cfg.outlier_params)
+    try:
+        return len(preparer.fit(df)[0].kept)
+    finally:
+        preparer.release()
+
+
 def grid_search(df: DataFrame, features: list[str], cfg: SearchConfig, strategy: str, seed: int) -> dict:
     """Mean inner-fold MCC and weighted F1 per candidate; refit choice = best MCC,
     first candidate on ties.  Returns {'best': params, 'table': [(params, mcc, f1)]}."""
-    cands = cfg.candidates(len(features))
+    cands = cfg.candidates(usable_features(df, features, cfg))
     inner = stratified_folds(df, cfg.response, cfg.id_col, cfg.inner_folds, seed, out="__inner")
     inner = inner.persist(StorageLevel.MEMORY_AND_DISK)
     sums = {i: [0.0, 0.0, 0] for i in range(len(cands))}
@@ -237,6 +252,10 @@ class TrainedPipeline:
         """Adds ``prediction`` and ``p1`` to the prepared rows."""
         return self.model.transform(self.assemble(df))
 
+    def score(self, prepared: DataFrame) -> DataFrame:
+        """Adds ``prediction`` and ``p1`` to rows that are prepared already."""
+        return self.model.transform(VectorAssembler(inputCols=self.features, outputCol="features").transform(prepared))
+
 
 def refit(df: DataFrame, features: list[str], params: dict, cfg: SearchConfig, strategy: str,
           seed: int) -> TrainedPipeline:

@@ -15,10 +15,13 @@ CD  dirty copy of the orders cohort for the violation report
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_engine.sources.tables import read_table
+from cohort_engine.session import ensure_checkpoint_dir
+from cohort_engine.sources.tables import read_csvs, read_table
 
 ID = "patient_id"
 RESPONSE = "response"
@@ -48,7 +51,7 @@ def _orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(n, F.col("c_nationkey") == n["n_nationkey"]))
 
 
-def c1_orders(spark: SparkSession, sf_dir: str, inner: bool = False) -> DataFrame:
+def c1_orders(spark: SparkSession, sf_dir: str, inner: bool = False, batch: str = "n_regionkey") -> DataFrame:
     base = _orders_base(spark, sf_dir)
     li = _line_stats(spark, sf_dir)
     joined = base.join(li, base["o_orderkey"] == li["l_orderkey"], "inner" if inner else "left")
@@ -57,7 +60,7 @@ def c1_orders(spark: SparkSession, sf_dir: str, inner: bool = False) -> DataFram
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias(RESPONSE),
         (F.col("o_custkey") % 121).cast("double").alias("age"),
         F.when(F.col("o_custkey") % 2 == 0, "M").otherwise("F").alias("sex"),
-        F.col("n_regionkey").cast("double").alias("batch"),
+        F.col(batch).cast("double").alias("batch"),
         F.col("o_totalprice").alias("totalprice"),
         "qty", "price", "disc", "tax", "lines",
         F.lit(7.0).alias("constant_col"),
@@ -191,7 +194,7 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(st == "F", 1).when(st == "O", 0).otherwise(2).alias(RESPONSE),
         F.when(pr == "1-URGENT", F.lit(-50.0)).otherwise((F.col("o_custkey") % 121).cast("double")).alias("age"),
         F.when(pr == "5-LOW", "X").when(F.col("o_custkey") % 2 == 0, "M").otherwise("F").alias("sex"),
-        F.when(pr == "3-MEDIUM", "n/a").otherwise(F.substring(pr, 1, 1)).alias("priority"),
+        F.when(pr == "3-MEDIUM", "medium").otherwise(F.substring(pr, 1, 1)).alias("priority"),
         F.col("o_totalprice").alias("totalprice"),
     )
 
@@ -203,7 +206,7 @@ SELECT o_orderkey AS patient_id,
        CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(-50.0 AS DOUBLE)
             ELSE CAST(o_custkey % 121 AS DOUBLE) END AS age,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'X' WHEN o_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS sex,
-       CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'n/a' ELSE substr(o_orderpriority, 1, 1) END AS priority,
+       CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'medium' ELSE substr(o_orderpriority, 1, 1) END AS priority,
        o_totalprice AS totalprice
 FROM orders
 """
@@ -214,3 +217,34 @@ BUILDERS = {
     "c3": (c3_documents, C3_SQL, C3_FEATURES),
     "c5": (c5_signal, C5_SQL, C5_FEATURES),
 }
+
+
+def marked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a CSV user brings them: every cell text, missing cells marked in several ways."""
+    o = read_table(spark, sf_dir, "orders")
+    pr, key = F.col("o_orderpriority"), F.col("o_custkey")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("Patient_ID"),
+        F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "O", "0").otherwise("2").alias("RESPONSE"),
+        F.when(pr == "1-URGENT", "NA").when(pr == "4-NOT SPECIFIED", "nan").otherwise((key % 130).cast("string")).alias("age"),
+        F.when(pr == "5-LOW", "null").when(key % 2 == 0, "M").otherwise("F").alias("sex"),
+        F.when(pr == "3-MEDIUM", "n/a").when(pr == "2-HIGH", "high").otherwise(F.substring(pr, 1, 1)).alias("priority"),
+    )
+
+
+def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``marked_orders`` written as CSV to the shared folder and read as S1 does."""
+    path = f"{ensure_checkpoint_dir(spark)}/orders-{uuid.uuid4().hex}.csv"
+    marked_orders(spark, sf_dir).write.option("header", True).csv(path)
+    return read_csvs(spark, path)
+
+
+CSV_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS patient_id,
+       CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 ELSE 2 END AS response,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') THEN NULL ELSE CAST(o_custkey % 130 AS DOUBLE) END AS age,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS sex,
+       CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL WHEN o_orderpriority = '2-HIGH' THEN 'high'
+            ELSE substr(o_orderpriority, 1, 1) END AS priority
+FROM orders
+"""

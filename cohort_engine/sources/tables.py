@@ -8,9 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohort_engine.functions.expressions import name, replace_columns, text
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+#: Texts a CSV reader takes for a missing cell (fixed values: the defaults of the reference's reader).
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+           "None", "n/a", "nan", "null")
+
+
+def missing_to_null(df: DataFrame) -> DataFrame:
+    """Missing markers in text columns, and NaN or infinity in floating ones, become NULL."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    markers = ", ".join(map(text, MISSING))
+    marked = replace_columns(df, {c: f"CASE WHEN {name(c)} NOT IN ({markers}) THEN {name(c)} END" for c in texts}) if texts else df
+    return nan_to_null(marked)
 
 
 def read_csvs(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
@@ -23,7 +38,7 @@ def read_csvs(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """
     if isinstance(paths, str):
         paths = [paths]
-    frames = [spark.read.option("header", True).option("inferSchema", False).csv(p) for p in paths]
+    frames = [missing_to_null(spark.read.option("header", True).option("inferSchema", False).csv(p)) for p in paths]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -54,9 +69,4 @@ def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     targets = [c for c in (cols or df.columns) if c in floating]
     if not targets:
         return df
-    repl = {
-        c: F.when(F.isnan(F.col(c)) | (F.abs(F.col(c)) == F.lit(float("inf"))), F.lit(None))
-        .otherwise(F.col(c)).cast(df.schema[c].dataType)
-        for c in targets
-    }
-    return df.withColumns(repl)
+    return replace_columns(df, {c: f"CASE WHEN NOT isnan({name(c)}) AND abs({name(c)}) < double('infinity') THEN {name(c)} END" for c in targets})

@@ -24,7 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohort_engine.functions.expressions import name, replace_columns
 from cohort_engine.operators.columns import lower_names
+from cohort_engine.sources.tables import missing_to_null
 
 
 @dataclass(frozen=True)
@@ -97,10 +99,11 @@ def _checks(df: DataFrame, schema: SampleSchema) -> list[Column]:
         raw = F.col("sex").cast("string")
         out.append(F.when(raw.isNotNull() & ~raw.isin(*schema.sex_values),
                           _fail("sex", f"isin({list(schema.sex_values)})", raw)))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     for c in schema.numeric_columns(df.columns):
-        raw = F.col(c)
-        if isinstance(df.schema[c].dataType, T.NumericType):
+        if isinstance(kinds[c], T.NumericType):
             continue
+        raw = F.col(c)
         as_d = raw.cast("string").try_cast("double")
         out.append(F.when(raw.isNotNull() & as_d.isNull(), _fail(c, "coerce_dtype('float')", raw)))
     return out
@@ -110,12 +113,14 @@ def row_key(df: DataFrame, schema: SampleSchema) -> Column:
     for c in schema.id_cols:
         if c in df.columns:
             return F.col(c).cast("string")
-    return F.monotonically_increasing_id().cast("string")
+    # no id column: a row is known by its content (equal rows fail alike)
+    return F.sha2(F.to_json(F.struct(*df.columns)), 256)
 
 
 def violations(df: DataFrame, schema: SampleSchema = SampleSchema()) -> DataFrame:
-    """S3: every failing cell, gathered in one pass over the rows."""
-    df = lower_names(df)
+    """S3: every failing cell, gathered in one pass over the rows.  Missing markers and
+    NaN are missing cells, not failures."""
+    df = missing_to_null(lower_names(df))
     spark = df.sparkSession
     missing = []
     if schema.response not in df.columns:                       # S2a, driver metadata only
@@ -138,20 +143,25 @@ def coerce(df: DataFrame, schema: SampleSchema = SampleSchema()) -> DataFrame:
     ``response`` becomes int only when it is a whole number (a plain double->int
     cast would truncate 0.5 to 0); otherwise NULL, which :func:`violations` reports.
     Ids and batch are kept as they are; every other column is ``try_cast`` to double.
+    Missing markers and NaN become NULL first.
     """
-    df = lower_names(df)
-    repl: dict[str, Column] = {}
+    df = missing_to_null(lower_names(df))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def as_double(c: str) -> str:
+        q = name(c)
+        return f"CAST({q} AS DOUBLE)" if isinstance(kinds[c], T.NumericType) else f"TRY_CAST(CAST({q} AS STRING) AS DOUBLE)"
+
+    repl = {c: as_double(c) for c in schema.numeric_columns(df.columns)}
     r = schema.response
-    if r in df.columns:
-        d = _as_double(df, r)
-        repl[r] = F.when(d == F.floor(d), d.cast("int"))
-    if "age" in df.columns:
-        repl["age"] = _as_double(df, "age")
-    if "sex" in df.columns:
-        repl["sex"] = F.col("sex").cast("string")
-    for c in schema.numeric_columns(df.columns):
-        repl[c] = _as_double(df, c)
-    return df.withColumns(repl)
+    if r in kinds:
+        d = as_double(r)
+        repl[r] = f"CASE WHEN {d} = floor({d}) THEN TRY_CAST({d} AS INT) END"
+    if "age" in kinds:
+        repl["age"] = as_double("age")
+    if "sex" in kinds:
+        repl["sex"] = "CAST(sex AS STRING)"
+    return replace_columns(df, repl)
 
 
 def validate(df: DataFrame, schema: SampleSchema = SampleSchema(), show: int = 20) -> DataFrame:

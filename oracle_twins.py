@@ -8,11 +8,11 @@ Floating outputs are rounded to 6 decimals, like the Spark side.
 from __future__ import annotations
 
 from cohort_engine.sources.fixtures import (C1_FEATURES, C1_SQL, C2_FEATURES, C2_SQL, C3_FEATURES, C3_SQL,
-                                            C4_SQL, C5_SQL, DIRTY_SQL)
+                                            C4_SQL, C5_SQL, CSV_SQL, DIRTY_SQL)
 
 
 def _r(expr: str, name: str) -> str:
-    return f"round({expr}, 6) AS {name}"
+    return f"round({expr}, 6) + 0.0 AS {name}"          # + 0.0: no negative zero
 
 
 def _unpivot(src: str, cols: list[str], keys: list[str] = (), nulls: bool = False) -> str:
@@ -96,6 +96,21 @@ SELECT CAST(patient_id AS VARCHAR), 'priority', 'coerce_dtype(''float'')', prior
 FROM d WHERE priority IS NOT NULL AND TRY_CAST(priority AS DOUBLE) IS NULL
 """
 
+CSV_SCAN = f"""
+SELECT patient_id, CAST(response AS INTEGER) AS response, round(age, 6) AS age, sex,
+       round(TRY_CAST(priority AS DOUBLE), 6) AS priority FROM ({CSV_SQL})
+"""
+
+CSV_VIOLATIONS = f"""
+WITH d AS ({CSV_SQL})
+SELECT patient_id AS row_id, 'response' AS column_name, 'isin([0, 1])' AS check_name, CAST(response AS VARCHAR) AS failure_case
+FROM d WHERE response NOT IN (0, 1)
+UNION ALL
+SELECT patient_id, 'age', 'in_range(0, 120)', CAST(CAST(age AS BIGINT) AS VARCHAR) FROM d WHERE age > 120
+UNION ALL
+SELECT patient_id, 'priority', 'coerce_dtype(''float'')', priority FROM d WHERE priority IS NOT NULL AND TRY_CAST(priority AS DOUBLE) IS NULL
+"""
+
 COERCED = f"""
 SELECT patient_id, CAST(response AS INTEGER) AS response, round(age, 6) AS age, sex,
        round(TRY_CAST(priority AS DOUBLE), 6) AS priority, round(totalprice, 6) AS totalprice
@@ -171,6 +186,19 @@ FILL = (f"WITH t1 AS ({_T1}) SELECT patient_id, response, sex, round(batch, 6) A
 CENTER = (f"WITH t1 AS ({_T1}), t3 AS ({_T3}) SELECT patient_id, response, sex, round(batch, 6) AS batch, "
           + ", ".join(_r(f"{c} - avg({c}) OVER (PARTITION BY batch)", c) for c in C1_FEATURES) + " FROM t3")
 
+CENTER_MANY = CENTER.replace("CAST(n.n_regionkey AS DOUBLE) AS batch", "CAST(o.o_custkey AS DOUBLE) AS batch")
+CORRECT = f"SELECT patient_id, {', '.join(C1_FEATURES)} FROM ({CENTER})"
+
+ALL_ROWS = f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM ({C5_SQL})"
+SVM_CLASSES = " UNION ALL ".join(f"SELECT '{e}' AS estimator, n_rows, n_off FROM ({ALL_ROWS})" for e in ("linear", "rbf", "cart"))
+ICE_LAYOUT = f"""
+WITH c AS ({C5_SQL}), v AS (
+  SELECT 'qty' AS feature, CAST(qty AS DOUBLE) AS value FROM c UNION ALL SELECT 'disc', CAST(disc AS DOUBLE) FROM c
+  UNION ALL SELECT 'sex', CASE sex WHEN 'M' THEN 0.0 ELSE 1.0 END FROM c),
+p AS (SELECT feature, least(count(DISTINCT value), 100) AS n_points FROM v GROUP BY feature)
+SELECT feature, (SELECT count(*) FROM c) AS n_curves, n_points, n_points * (SELECT count(*) FROM c) AS n_cells FROM p
+"""
+
 SCALE = ("SELECT patient_id, response, batch, "
          + ", ".join(_r(f"({c} - avg({c}) OVER ()) / coalesce(NULLIF(stddev_pop({c}) OVER (), 0), 1)", c)
                      for c in C3_FEATURES) + f" FROM ({C3_SQL})")
@@ -399,6 +427,8 @@ ORACLE: dict[str, str] = {
     "mutual_info_c2": MUTUAL_INFO_C2,
     "dirty_violations": VIOLATIONS,
     "dirty_coerced": COERCED,
+    "csv_scan": CSV_SCAN,
+    "csv_violations": CSV_VIOLATIONS,
     "cohort_union": UNION,
     "constant_columns": CONSTANT,
     "align_columns": ALIGN,
@@ -412,6 +442,12 @@ ORACLE: dict[str, str] = {
     "zscore_normalize": ZSCORE,
     "fill_bad": FILL,
     "batch_center": CENTER,
+    "batch_center_many": CENTER_MANY,
+    "batch_correct": CORRECT,
+    "tree_shap_additivity": ALL_ROWS,
+    "linear_shap_additivity": ALL_ROWS,
+    "svm_classes": SVM_CLASSES,
+    "ice_layout": ICE_LAYOUT,
     "standard_scale": SCALE,
     "impute_median": IMPUTE,
     "oversample": OVERSAMPLE,
@@ -421,6 +457,7 @@ ORACLE: dict[str, str] = {
     "anova_scores": ANOVA_C3,
     "mutual_info": MUTUAL_INFO,
     "stratified_folds": FOLDS,
+    "oof_layout": FOLDS.replace("% 10", "% 3"),
     "confusion": CONFUSION,
     "class_scores": CLASS_SCORES,
     "roc_auc": ROC_AUC,

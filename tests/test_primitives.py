@@ -22,17 +22,17 @@ def test_running_sum_matches_cumsum(spark):
 import pytest
 
 
-@pytest.mark.parametrize("small_cells", [0, 1_000_000])
-def test_exact_quantiles_with_hot_value_and_nulls(spark, monkeypatch, small_cells):
-    import cohort_engine.functions.quantiles as Q
-    monkeypatch.setattr(Q, "SMALL_EXACT_CELLS", small_cells)     # 0 forces the distributed path
-    rows = [(float(i % 50) if i % 3 else 0.0, None if i % 7 == 0 else float(i)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "a double, b double")
-    q = quantile_dict(exact_quantiles(df, ["a", "b"], [0.1, 0.25, 0.5, 0.9]))
-    pdf = pd.DataFrame(rows, columns=["a", "b"])
-    for c in ["a", "b"]:
-        for p in [0.1, 0.25, 0.5, 0.9]:
-            assert abs(q[(c, p)] - pdf[c].quantile(p)) < 1e-9
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 100, 1999, 2001, 9000])
+def test_exact_quantiles_with_hot_value_and_nulls(spark, n):
+    rows = [(float((i * 37) % 50) if i % 3 else 0.0, None if i % 7 == 0 else float((i * 7919) % n), None, float((i * 31) % n) ** 2) for i in range(n)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    q = quantile_dict(exact_quantiles(df, ["a", "b", "c", "d"], probs))
+    pdf = pd.DataFrame(rows, columns=["a", "b", "c", "d"]).astype(float)
+    for c in ["a", "b", "c", "d"]:
+        for p in probs:
+            want = pdf[c].quantile(p)
+            assert (q[(c, p)] is None and want != want) or abs(q[(c, p)] - want) <= 1e-9 * max(1.0, abs(want)), (c, p)
 
 
 def test_digamma():

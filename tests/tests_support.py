@@ -1,0 +1,3 @@
+"""Paths shared by test modules."""
+
+SF_SMALL = "/root/testdata/sf0.001"
