@@ -13,7 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _HEX_DIGITS = 15          # 60 bits: a non-negative signed bigint
-_SCALE = float(16 ** _HEX_DIGITS)
 
 
 def _as_col(c) -> Column:
@@ -37,7 +36,3 @@ def hash_order(seed, *parts) -> Column:
     """
     return F.conv(F.substring(hash_key(seed, *parts), 1, _HEX_DIGITS), 16, 10).cast("long")
 
-
-def hash_unit(seed, *parts) -> Column:
-    """A uniform double in [0, 1) derived from :func:`hash_order`."""
-    return hash_order(seed, *parts).cast("double") / F.lit(_SCALE)

@@ -116,7 +116,8 @@ def batch_means(facts: DataFrame) -> DataFrame:
 
 def subtract_means(df: DataFrame, cols: Sequence[str], batch: str, means: DataFrame) -> DataFrame:
     joined = df.join(means, F.col(batch).eqNullSafe(F.col("__batch")), "left")
-    centred = {c: f"CAST({name(c)} AS DOUBLE) - __means[{i}]" for i, c in enumerate(cols)}
+    # a batch the means do not know stays as it is
+    centred = {c: f"CAST({name(c)} AS DOUBLE) - coalesce(__means[{i}], CAST(0 AS DOUBLE))" for i, c in enumerate(cols)}
     return replace_columns(joined, centred).drop("__batch", "__means")
 
 

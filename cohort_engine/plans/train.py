@@ -151,7 +151,7 @@ def evaluate_independent(pipe: TrainedPipeline, df: DataFrame, response: str | N
     pred = pipe.predict(aligned).select(*[c for c in keys if c != response],
                                         F.col(response).alias("label"),
                                         F.col("prediction").cast("int").alias("prediction"), "p1")
-    pred = pred.persist()
+    pred = pred.checkpoint()               # read by three results; Spark cleans it up with the frame
     metrics = M.binary_summary(pred, "label", "prediction", "p1").crossJoin(
         pred.agg(F.count(F.lit(1)).alias("n")))
     return {"metrics": metrics, "confusion": M.confusion(pred, "label", "prediction"), "predictions": pred}

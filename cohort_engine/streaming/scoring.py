@@ -1,10 +1,8 @@
 """Apply a trained pipeline to sample files as they land (Structured Streaming).
 
-The reference scores one independent table at a time; here the same
-``TrainedPipeline.predict`` runs on each micro-batch through ``foreachBatch``, so
-every batch operator (preparation statistics, assembler, model) is reused as is.
-Statistics of the ``'self'`` scope are then those of the micro-batch; pipelines
-trained with ``stats='fit'`` score each sample independently of its batch.
+Preparation statistics are those of a ``reference`` frame (usually the training rows),
+frozen when the stream starts, so a sample's score does not depend on the files it
+happens to arrive with.  A batch label the reference does not hold is not centred.
 Output rows are appended to a parquet sink together with the batch id; the
 checkpoint location makes the query restartable (exactly-once per batch id: a
 replayed batch overwrites its own partition).
@@ -18,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
-def score_stream(spark: SparkSession, pipe, source_dir: str, schema: T.StructType, sink_dir: str,
+def score_stream(spark: SparkSession, pipe, reference: DataFrame, source_dir: str, schema: T.StructType, sink_dir: str,
                  checkpoint_dir: str, available_now: bool = True, max_files_per_trigger: int | None = None
                  ) -> StreamingQuery:
     reader = spark.readStream.schema(schema)
@@ -26,12 +24,13 @@ def score_stream(spark: SparkSession, pipe, source_dir: str, schema: T.StructTyp
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
     id_col = pipe.id_col
+    frozen = pipe.prep.frozen(reference)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         keep = [c for c in (id_col, pipe.response) if c in batch.columns]
-        scored = pipe.predict(batch).select(*keep, F.col("prediction").cast("int").alias("prediction"), "p1")
+        scored = pipe.score(frozen.transform(batch)).select(*keep, F.col("prediction").cast("int").alias("prediction"), "p1")
         (scored.withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink_dir))
