@@ -23,8 +23,13 @@
    components.  Signatures that agree in under ``MAYBE`` of their places (five standard
    deviations off 0.8) need no confirmation.
 5. Components of the confirmed links by large-star and small-star steps.
+6. A region of more than ``NEIGHBOURS + 1`` classes is crowded: some of its pairs were never
+   neighbours.  All pairs of crowded classes whose components still differ are searched by
+   an exact prefix filter (``crowded_pairs``), and what it finds joins components.
 
-Pairs are linear in the number of classes: at most ``TREES * (NEIGHBOURS + 1)`` each.
+Candidates of the forest are linear in the number of classes: at most
+``TREES * (NEIGHBOURS + 1)`` each.  Step 6 keeps links only, but compares in the worst case (a
+dense region of unlinked texts just below the threshold) as many pairs as the region has.
 
 Defined results: NULL, empty and white-space texts have an empty set, no links, and
 themselves as component; rows that repeat a doc_id belong to one component; a NULL
@@ -53,6 +58,7 @@ HASHES = TREES * ROOT
 NEIGHBOURS = 4
 MAYBE = 0.6
 BLOCK = 2048             # shingles hashed at once
+DEALT = 500              # holders of a shingle that are compared in one deal
 BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast at most
 
 _rng = np.random.default_rng(7)
@@ -190,16 +196,62 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     return sets.select("id", "n").join(lone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"))
 
 
-def leader_pairs(classes: DataFrame, sizes: DataFrame) -> DataFrame:
+def regions(classes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(id, leaders, crowded): the most typical classes of a linkable class's regions, and whether one of these regions
+    holds classes beyond its neighbours."""
+    known = sizes.select("id", F.when(F.col("shared") * 100 >= F.col("n") * PERCENT, 1 - F.col("shared") / F.col("n")).alias("lone"))
+    rows = (classes.join(known, "id").select("id", "sig").mapInPandas(order_rows, "tree int, k0 long, k1 long, k2 long, id long")
+            .select("tree", "k0", "id").join(known, "id"))
+    leaders = rows.groupBy("tree", "k0").agg(F.min(F.when(F.col("lone").isNotNull(), F.struct("lone", "id")))["id"].alias("leader"),
+                                             F.count("*").alias("members"), F.count("lone").alias("linkable"))
+    return (rows.where("lone IS NOT NULL").join(leaders.where("linkable > 1"), ["tree", "k0"]).groupBy("id")
+            .agg(F.collect_set(F.when(F.col("id") != F.col("leader"), F.col("leader"))).alias("leaders"),
+                 F.max(F.col("members") > NEIGHBOURS + 1).alias("crowded")))
+
+
+def leader_pairs(places: DataFrame) -> DataFrame:
     """(a, b): every class with the most typical class of each of its regions."""
-    linkable = sizes.where(F.col("shared") * 100 >= F.col("n") * PERCENT)
-    rows = (classes.join(linkable, "id").select("id", "sig").mapInPandas(order_rows, "tree int, k0 long, k1 long, k2 long, id long")
-            .select("tree", "k0", "id").join(linkable.select("id", (1 - F.col("shared") / F.col("n")).alias("lone")), "id"))
-    leaders = rows.groupBy("tree", "k0").agg(F.min(F.struct("lone", "id"))["id"].alias("leader"), F.count("*").alias("members"))
-    return (rows.join(leaders.where("members > 1"), ["tree", "k0"]).where("id <> leader")
+    return (places.select("id", F.explode("leaders").alias("leader"))
             .select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")))
 
 
+def crowded_pairs(places: DataFrame, sets: DataFrame, components: DataFrame) -> DataFrame:
+    """(a, b): the similar enough pairs of crowded classes whose components differ, by an exact prefix filter.
+
+    A shingle all of whose holders are in one component is in no intersection looked for, so only the others (mixed ones)
+    count.  They are put in one order for all sets, rare ones first; two sets with an intersection of c have a first
+    common shingle with at least c places from it to the end in both.  The smaller set of a pair indexes the places that
+    are enough for a partner of its own size, the larger one probes with those enough for any partner."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            arrays = [np.frombuffer(x, np.int64) for x in pdf["shingles"]]
+            if arrays:
+                size = [len(a) for a in arrays]
+                yield pd.DataFrame({"shingle": np.concatenate(arrays)} | {c: np.repeat(pdf[c].to_numpy(np.int64), size) for c in ("id", "n", "component")})
+
+    members = (sets.join(places.where("crowded").select("id").distinct(), "id").join(components.withColumnRenamed("node", "id"), "id", "left")
+               .select("id", "n", F.coalesce("component", "id").alias("component"), "shingles"))
+    rows = members.mapInPandas(run, "shingle long, id long, n long, component long")
+    mixed = (rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low < high").select("shingle", "holders"))
+    held = (rows.join(mixed, "shingle").groupBy("id", "component")
+            .agg(F.min("n").alias("n"), F.sort_array(F.collect_set(F.struct("holders", "shingle"))).alias("ordered"))
+            .withColumn("m", F.size("ordered").cast("long")).where(F.col("m") * 100 >= F.col("n") * PERCENT).checkpoint())
+    first = F.floor((F.col("m") * 100 - F.col("n") * PERCENT) / 100).cast("int") + 1
+    places_of = (held.select("id", "component", "n", "m", F.col("ordered.shingle").alias("whole"), F.posexplode(F.slice("ordered", F.lit(1), first)).alias("place", "at"))
+                 .select("id", "component", "n", "whole", "at.shingle", (F.col("m") - F.col("place")).alias("left"),
+                         F.ceil(F.col("at.holders") / DEALT).cast("int").alias("deals")))
+    probe = places_of.withColumn("deal", F.pmod(F.xxhash64("id"), "deals").cast("int")).alias("p")
+    index = (places_of.where(F.col("left") * (100 + PERCENT) >= F.col("n") * 2 * PERCENT)
+             .withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).alias("i"))
+    size = F.expr(f"(i.n + p.n) * {PERCENT}")
+    enough = (F.col("i.left") * (100 + PERCENT) >= size) & (F.col("p.left") * (100 + PERCENT) >= size)
+    return (index.join(probe, (F.col("i.shingle") == F.col("p.shingle")) & (F.col("i.deal") == F.col("p.deal")) & F.expr("i.component <> p.component")
+                       & F.expr("(i.n < p.n OR i.n = p.n AND i.id < p.id)") & enough
+                       & (F.size(F.array_intersect("i.whole", "p.whole")) * (100 + PERCENT) >= size))
+            .select(F.greatest("i.id", "p.id").alias("a"), F.least("i.id", "p.id").alias("b")).distinct())
+
+
 def possible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """The pairs that can reach the threshold: an intersection holds shared shingles only."""
     a = sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"))
@@ -243,7 +295,8 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     near = forest_candidates(classes)
     sets = shingle_sets(docs, near).checkpoint()
     sizes = shared_sizes(sets).checkpoint()
-    led = leader_pairs(classes, sizes).groupBy("a", "b").agg(F.count("*").alias("votes"))
+    places = regions(classes, sizes).checkpoint()
+    led = leader_pairs(places).groupBy("a", "b").agg(F.count("*").alias("votes"))
     candidates = possible(near.unionByName(led).groupBy("a", "b").agg(F.sum("votes").alias("votes")), sizes).checkpoint()
     strength = F.struct("votes", F.xxhash64("a", "b"), "b")
     strongest = candidates.groupBy("a").agg(F.max(strength).alias("s")).select("a", F.col("s.b").alias("b"))
@@ -255,7 +308,12 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
              .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
     more = confirm(alike(other, classes).checkpoint(), sets)
     roots = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return connected_components(roots.unionByName(more))
+    second = connected_components(roots.unionByName(more)).checkpoint()
+    missed = confirm(crowded_pairs(places, sets, second).checkpoint(), sets).checkpoint()
+    if missed.isEmpty():
+        return second
+    roots = second.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(roots.unionByName(missed))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -81,3 +81,51 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(121)) and got[2001] == 2000 == got[2000]
     assert {got[b] for a, b in edges if a == 1000} == {1000}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_inside_a_dense_region(spark):
+    """Distinct texts about 0.74 alike; planted pairs share one of their three edits and are 0.818 alike."""
+    rnd = random.Random(3)
+    base, new, texts = [f"t{i}" for i in range(163)], iter(range(10 ** 6)), []
+    def edited(shared):
+        places = [p for p, _ in shared]
+        while len(places) < 3:
+            p = rnd.randrange(4, 159)
+            if all(abs(p - q) >= 4 for q in places):
+                places.append(p)
+        words = list(base)
+        for p, w in [*shared, *((p, f"e{next(new)}") for p in places[len(shared):])]:
+            words[p] = w
+        return " ".join(words)
+    for _ in range(100):
+        shared = [(rnd.randrange(4, 159), f"e{next(new)}")]
+        texts += [edited(shared), edited(shared)]
+    texts += [edited([]) for _ in range(1800)]
+    rnd.shuffle(texts)
+    want = all_pairs(texts)
+    assert len(set(want.values())) < len(texts) - 50
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(df).collect()} == want
+
+
+def all_pairs(texts):
+    """Component of every text by the intersection counts of all pairs."""
+    import numpy as np
+    sets = [set(shingle_set(t).tolist()) for t in texts]
+    held = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            held.setdefault(x, []).append(i)
+    both = np.zeros((len(sets), len(sets)), np.int32)
+    for ids in held.values():
+        both[np.ix_(ids, ids)] += 1
+    n = both.diagonal()
+    parent = list(range(len(sets)))
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in zip(*np.nonzero(np.triu(100 * both >= 80 * (n[:, None] + n[None, :] - both), 1))):
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    return {i: int(find(i)) for i in range(len(sets))}
