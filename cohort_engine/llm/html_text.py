@@ -68,6 +68,13 @@ LABELLED = (
     (2, 0, 1, 1, 5, 0, 0, 1, 1, 0, 1), (5, 0, 13, 0, 5, 0, 0, 1, 1, 0, 1), (4, 0, 11, 0, 4, 0, 0, 1, 1, 0, 1), (3, 0, 0, 0, 2, 0, 0, 1, 1, 0, 1),
     (1, 0, 5, 0, 9, 0, 0, 1, 1, 0, 1), (5, 0, 5, 0, 25, 0, 0, 1, 0, 0, 1), (4, 0, 4, 0, 46, 0, 0, 1, 0, 0, 1), (3, 0, 5, 0, 12, 0, 0, 1, 1, 0, 1),
     (4, 0, 13, 0, 4, 0, 0, 1, 1, 0, 1), (2, 0, 2, 0, 8, 0, 0, 1, 0, 0, 1), (7, 0, 24, 0, 90, 0, 0, 1, 1, 0, 1), (4, 0, 4, 0, 0, 0, 0, 1, 0, 0, 1),
+    # after a short heading and before links or the page's end, and text with many links
+    (60, 0, 3, 0, 8, 1, 0, 1, 0, 0, 1), (150, .02, 2, 0, 4, 1, 0, 1, 0, 0, 1), (40, 0, 4, 0, 30, .4, 0, 1, 0, 0, 1), (6, 0, 2, 0, 1, 1, 0, 1, 0, 0, 1),
+    (80, 0, 3, 0, 0, 0, 0, 1, 0, 0, 1), (2, 0, 2, 0, 3, 1, 0, 1, 0, 0, 1), (3, 0, 1, 0, 2, .5, 0, 1, 0, 1, 1), (60, 0, 3, 0, 8, 1, 0, 0, 0, 0, 1),
+    (150, .02, 2, 0, 4, 1, 0, 0, 0, 0, 1), (40, 0, 4, 0, 30, .4, 0, 0, 0, 0, 1), (30, 0, 1, 1, 2, 1, 0, 0, 0, 0, 1), (26, .1, 2, 0, 3, 1, 0, 0, 0, 1, 1),
+    (4, 0, 6, 1, 2, 1, 0, 1, 0, 0, 1), (1, 0, 1, 1, 1, 1, 0, 1, 0, 0, 1), (9, .3, 2, 1, 3, 1, 0, 1, 0, 1, 1), (12, 0, 3, .8, 0, 0, 0, 1, 0, 0, 1),
+    (5, 0, 17, 0, 26, 0, 0, 0, 1, 0, 1), (4, 0, 12, .1, 30, 0, 0, 0, 1, 0, 1), (2, 0, 25, 0, 60, 0, 0, 0, 1, 0, 1),
+    (70, .65, 40, 0, 60, .1, 0, 1, 0, 0, 1), (120, .75, 3, 0, 5, 1, 0, 1, 0, 0, 1), (50, .6, 30, .2, 0, 0, 0, 1, 0, 0, 1),
     (3, 0, 40, 0, 2, 1, 0, 1, 0, 0, 1), (1, 0, 12, 0, 1, 1, 0, 1, 0, 0, 1), (5, 0, 33, 0, 6, .9, 0, 1, 0, 0, 1), (2, 0, 7, 1, 4, 1, 0, 1, 1, 0, 1),
     # links in an article that are not its text
     (4, 1, 60, 0, 5, 1, 0, 1, 0, 1, 0), (5, 1, 4, 1, 3, 1, 0, 1, 0, 1, 0), (3, 1, 5, 1, 11, 0, 0, 1, 0, 1, 0),

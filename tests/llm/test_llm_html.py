@@ -77,3 +77,31 @@ def test_rows(spark):
     got = extract_text(df).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, "x y", 3), (1, "x y", 3)]
     assert extract_text(df.limit(0)).count() == 0
+
+
+def boilerplate_leaves(tree, low, high):
+    """The boilerplate leaves that some block with features between ``low`` and ``high`` reaches."""
+    if tree.low is None:
+        return [] if tree.label else [(low, high)]
+    f, t = tree.feature, tree.threshold
+    below = boilerplate_leaves(tree.low, low, high[:f] + (min(high[f], t),) + high[f + 1:]) if low[f] <= t else []
+    return below + (boilerplate_leaves(tree.high, low[:f] + (max(low[f], t),) + low[f + 1:], high) if high[f] > t else [])
+
+
+def test_no_leaf_drops_unlinked_article_blocks():
+    most = 1e9
+    assert boilerplate_leaves(TREE, (1, 0, 0, 0, 0, 0, 0, 1, 0, 0), (most, .5, most, 1, most, 1, 0, 1, 1, 1)) == []
+    assert boilerplate_leaves(TREE, (25, 0, 0, 0, 0, 0, 0, 0, 0, 0), (most, .25, most, 1, most, 1, 0, 0, 1, 1)) == []
+    assert boilerplate_leaves(TREE, (50, 0, 0, 0, 0, 0, 0, 1, 0, 0), (most, .75, most, 1, most, 1, 0, 1, 0, 0)) == []
+
+
+MENU = "<ul><li><a href=/>Home of it</a><li><a href=/n>All the news</a></ul>"
+
+
+@pytest.mark.parametrize("words", [1, 3, 6, 20, 60, 200, 3000])
+@pytest.mark.parametrize("after", [MENU, "<nav>" + MENU + "</nav>", "<p>See <a href=x>this other text</a></p>", "", "<p><a href=x>next page</a></p>"])
+def test_article_text_between_a_short_heading_and_links(words, after):
+    body = " ".join(f"word{i}" for i in range(words))
+    assert body in text(f"<article><h1>Short title</h1><p>{body}</p></article>{after}").split("\n\n")
+    if words >= 60:
+        assert body in text(f"<body><h2>Short title</h2><p>{body}</p>{after}").split("\n\n")
