@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohort_engine.llm.common import prepare, table
 
-RAW = "script|style|title|textarea|iframe|noembed|noframes|template|noscript|svg|math"
+RAW = "script|style|title|textarea|iframe|noembed|noframes|template|noscript|svg"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?:{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*+(?:>|\Z)",
     re.S | re.I)
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)")
-HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
+HINTS = ("class", "id", "role")
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+ANNOTATION = re.compile(r"</(annotation(?:-xml)?)\s*>|</math\b", re.I)      # a formula's source beside it, which is not shown
 
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup "
@@ -163,18 +165,19 @@ class Block:
 
 def hint_of(tag: str) -> tuple[bool, bool, bool]:
     """Whether class, id and role say boilerplate, comments, article."""
-    words: set[str] = set()
-    for m in HINTS.finditer(tag):
-        value = CAMEL.sub("-", m[1] or m[2] or m[3] or "")
-        words.update(WORD_SPLIT.split(value.lower()))
-    return bool(words & BOILER_WORDS) or bool(HIDDEN.search(tag)), bool(words & COMMENT_WORDS), bool(words & ARTICLE_WORDS)
+    values: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(tag, NAME.match(tag).end()):
+        values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    words = {w for k in HINTS if k in values for w in WORD_SPLIT.split(CAMEL.sub("-", values[k]).lower())}
+    hidden = "hidden" in values or values.get("aria-hidden", "").strip().lower() == "true" or bool(NOT_SHOWN.search(values.get("style", "")))
+    return bool(words & BOILER_WORDS) or hidden, bool(words & COMMENT_WORDS), bool(words & ARTICLE_WORDS)
 
 
 def text_blocks(page: str) -> list[Block]:
     """The page's flat blocks, in order."""
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = []       # open containers: name, boilerplate (2: cannot hold an article), article
-    boiler = article = heading = item = own = link = in_head = 0
+    boiler = article = heading = item = own = link = in_head = in_math = 0
     block = Block()
 
     def finish() -> None:
@@ -202,6 +205,13 @@ def text_blocks(page: str) -> list[Block]:
             close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
             continue
+        if name == "math":
+            in_math = int(not closing and not tag.endswith("/>"))
+            continue
+        if name == "annotation" and in_math and not closing and not tag.endswith("/>"):
+            close = ANNOTATION.search(page, at)
+            at = (close.end() if close[1] else close.start()) if close else at
+            continue
         if name == "a":
             link = 0 if closing else 1
             continue
@@ -227,7 +237,7 @@ def text_blocks(page: str) -> list[Block]:
                     break
             boiler, article = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
             continue
-        says_boiler, says_comments, says_article = hint_of(tag) if " " in tag else (False, False, False)
+        says_boiler, says_comments, says_article = hint_of(tag) if len(tag) > len(name) + 2 else (False, False, False)
         heading = int(name in HEADINGS)
         if name in CONTAINERS:
             link = 0

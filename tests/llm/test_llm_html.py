@@ -105,3 +105,24 @@ def test_article_text_between_a_short_heading_and_links(words, after):
     assert body in text(f"<article><h1>Short title</h1><p>{body}</p></article>{after}").split("\n\n")
     if words >= 60:
         assert body in text(f"<body><h2>Short title</h2><p>{body}</p>{after}").split("\n\n")
+
+
+LONG = " ".join(f"word{i}" for i in range(40))
+
+
+@pytest.mark.parametrize("attributes", ["class='overflow-hidden main'", 'style="overflow:hidden"', 'aria-hidden="false"', 'data-hidden="1"', 'title="hidden"',
+                                        "style='visibility:visible; x-display:none'", "data-state=hidden", 'data-class="banner"'])
+@pytest.mark.parametrize("name", ["article", "div", "p"])
+def test_shown_blocks_stay(name, attributes):
+    assert text(f"<body><h2>A heading of some words</h2><{name} {attributes}>{LONG}</{name}>").endswith(LONG)
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", "class=x hidden", "aria-hidden=true", 'style="color:red; DISPLAY : none"', "\nhidden"])
+def test_hidden_blocks_go(attributes):
+    assert text(f"<body><article><h1>Title</h1><p>{LONG}</p></article><div {attributes}>{LONG} again</div>") == f"Title\n\n{LONG}"
+
+
+def test_formulas_are_inline_text():
+    formula = "<math><semantics><mi>E</mi><mo>=</mo><mi>m</mi><annotation encoding='application/x-tex'>E=m \\x</annotation></semantics></math>"
+    assert text(f"<article><p>So {formula} holds.</p><p>And <annotation>more</annotation> text.</p></article>") == "So E=m holds.\n\nAnd more text."
+    assert text("<article><p>a <math><mi>x</mi><annotation>cut</math> b</p></article>") == "a x b"
