@@ -2,7 +2,8 @@
 
 Every response gets two derivative records.  The ``metadata`` record keeps the source's
 headers and digest, its title and its outlinks as ``application/warc-fields``; the
-``conversion`` record holds the page's plain text.  Both refer to the response by its
+``conversion`` record holds the page's plain text.  Character references are decoded in text, title and
+outlinks; links are read in every attribute quoting.  Both refer to the response by its
 record id, carry a digest of their own block, and keep the target URI and date.  Record
 ids are derived from their content, so a retried task writes the same records.
 
@@ -16,6 +17,11 @@ give equal records; an empty table gives an empty result; further columns are ig
 
 from __future__ import annotations
 
+import re
+from html import unescape
+from html.entities import html5
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +30,7 @@ from cohort_engine.llm.common import prepare, table
 CRLF = "\r\n"
 CAPTURED = "2024-01-01T00:00:00Z"        # capture date of tables that hold none
 #: Patterns of the plain-text conversion, in the order they are applied (Java and RE2 read them alike).
+#: ENTITIES and LINK are those of the SQL twin alone; the operator reads every character reference and attribute quoting.
 DROPPED = r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 BREAKS = (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|"
           r"section|table|td|th|tr|ul)\b[^>]*>")
@@ -43,16 +50,52 @@ def digest(text: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(text.cast("binary"), 256))
 
 
-def decoded(text: Column) -> Column:
-    for a, b in ENTITIES:
-        text = F.replace(text, F.lit(a), F.lit(b))
-    return text
+REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)")
+ANCHOR = re.compile(r"<a(?=[\s/])(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*+)>)", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
+
+
+def decoded(text: str) -> str:
+    """Text with its character references read; a no-break space counts as a space."""
+    return REFERENCE.sub(lambda m: unescape(m[0]).replace("\xa0", " "), text) if "&" in text else text
+
+
+def decoded_value(value: str) -> str:
+    """An attribute's value; there a name without its semicolon is a reference only if no ``=`` follows."""
+    def one(m: re.Match) -> str:
+        name = m[0][1:]
+        if name[0] != "#" and (name not in html5 or name[-1] != ";" and value[m.end():m.end() + 1] == "="):
+            return m[0]
+        return unescape(m[0])
+
+    return REFERENCE.sub(one, value) if "&" in value else value
+
+
+def outlinks(page: str) -> list[str]:
+    """The targets of a page's links, in order, on one line each."""
+    out = []
+    for m in ANCHOR.finditer(page):
+        for a in ATTRIBUTE.finditer(m[1] or m[2] or ""):
+            if a[1].lower() == "href":
+                if (value := next((x for x in a.groups()[1:] if x is not None), None)) is not None:
+                    out.append(re.sub(r"[\t\r\n]", "", decoded_value(value)).strip())
+                break
+    return out
+
+
+def read_page(page: pd.Series, title: pd.Series, text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame({"title": [decoded(t) for t in title], "text": [decoded(t) for t in text],
+                         "links": ["".join(f"outlink: {u}{CRLF}" for u in outlinks(p)) for p in page]})
+
+
+def bare_text(page: Column) -> Column:
+    """The page without markup, with a line feed at every block's edge."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(page, DROPPED, " "), BREAKS, "\n"), TAGS, "")
 
 
-def plain_text(page: Column) -> Column:
-    """Text lines of a page: markup off, one line per block, single spaces."""
-    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(page, DROPPED, " "), BREAKS, "\n"), TAGS, "")
-    lines = F.regexp_replace(F.regexp_replace(decoded(text), r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n")
+def plain_text(text: Column) -> Column:
+    """Text lines of a page: one line per block, single spaces."""
+    lines = F.regexp_replace(F.regexp_replace(text, r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n")
     return F.regexp_replace(lines, r"^[ \n]+|[ \n]+$", "")
 
 
@@ -66,16 +109,15 @@ def responses(pages: DataFrame, captured: str = CAPTURED) -> DataFrame:
 
 def derivatives(source: DataFrame) -> DataFrame:
     """The metadata and conversion record of every response (``record_id, target_uri, warc_date, http_headers, payload``)."""
-    title = F.trim(F.regexp_replace(decoded(F.regexp_extract("payload", TITLE, 1)), r"[ \t\r\n\f]+", " "))
-    outlinks = F.regexp_extract_all("payload", F.lit(LINK), F.lit(1))
-    named = F.array_join(F.transform(outlinks, lambda u: F.concat(F.lit("outlink: "), u, F.lit(CRLF))), "")
+    title = F.trim(F.regexp_replace("read.title", r"[ \t\r\n\f]+", " "))
     headers = F.concat(F.lit("source-header: "), F.replace("http_headers", F.lit(CRLF), F.lit(f"{CRLF}source-header: ")), F.lit(CRLF))
     fields = F.concat(F.lit("source-record: "), F.col("record_id"), F.lit(f"{CRLF}source-payload-digest: "), digest(F.col("payload")),
-                      F.lit(CRLF), headers, F.lit("title: "), title, F.lit(CRLF), named)
+                      F.lit(CRLF), headers, F.lit("title: "), title, F.lit(CRLF), F.col("read.links"))
     both = F.array(F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), fields.alias("block")),
                    F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
-                            plain_text(F.col("payload")).alias("block")))
-    made = source.withColumn("source_digest", digest(F.col("payload"))).withColumn("made", F.explode(both)).select("*", "made.*")
+                            plain_text(F.col("read.text")).alias("block")))
+    read = source.withColumn("read", F.pandas_udf(read_page, "title string, text string, links string")("payload", F.regexp_extract("payload", TITLE, 1), bare_text(F.col("payload"))))
+    made = read.withColumn("source_digest", digest(F.col("payload"))).withColumn("made", F.explode(both)).select("*", "made.*")
     return made.select("page_id", "warc_type", urn(F.col("warc_type"), F.col("record_id")).alias("record_id"),
                        F.col("record_id").alias("refers_to"), "target_uri", "warc_date", "content_type",
                        F.octet_length("block").cast("long").alias("content_length"), digest(F.col("block")).alias("block_digest"),

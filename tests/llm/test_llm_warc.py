@@ -57,3 +57,15 @@ def test_odd_rows(spark):
     assert len(got) == 5 and text[None] == "" and text[2] == "" and text[3] == "a &lt; b\nc\nd" and text[4].count("z") == 20_000
     assert len({r.record_id for r in got}) == 4
     assert derivatives(responses(df.limit(0))).count() == 0
+
+
+def test_references_and_link_quotings(spark):
+    page = """<head><title>It&#8217;s caf&eacute; &ndash; &#x27;x&#X27;&hellip;</title></head><p>a&nbsp;b&#160;c &amp;eacute; &mdash; &lt;b&gt; &#8364;5 &copy 1 &nope;
+      <p><a class=x href='/single?a=1&amp;b=2'>s</a> <a href=/bare>u</a> <A HREF = "/space">v</A> <a data-href="/no" title="a b" href="/after">w</a>
+      <a href="/p?a=1&copy=2&amp;lang=&eacute;">x</a> <a name=y>no</a> <abbr href="/no">n</abbr> <a href="">e</a>"""
+    rows = derivatives(responses(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"))).collect()
+    block = {r.warc_type: r.block for r in rows}
+    fields = block["metadata"].split("\r\n")
+    assert "title: It’s café – 'x'…" in fields
+    assert [x[9:] for x in fields if x.startswith("outlink: ")] == ["/single?a=1&b=2", "/bare", "/space", "/after", "/p?a=1&copy=2&lang=é", ""]
+    assert block["conversion"] == "a b c &eacute; — <b> €5 © 1 &nope;\ns u v w\nx no n e"
