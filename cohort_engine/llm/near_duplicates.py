@@ -40,6 +40,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from hashlib import blake2b
 
 import numpy as np
@@ -222,18 +223,26 @@ def crowded_pairs(places: DataFrame, sets: DataFrame, components: DataFrame) ->
     count.  They are put in one order for all sets, rare ones first; two sets with an intersection of c have a first
     common shingle with at least c places from it to the end in both.  The smaller set of a pair indexes the places that
     are enough for a partner of its own size, the larger one probes with those enough for any partner."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame], head: bool) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             arrays = [np.frombuffer(x, np.int64) for x in pdf["shingles"]]
+            arrays = [a[:len(a) - -(-len(a) * PERCENT // 100) + 1] for a in arrays] if head else arrays
             if arrays:
                 size = [len(a) for a in arrays]
                 yield pd.DataFrame({"shingle": np.concatenate(arrays)} | {c: np.repeat(pdf[c].to_numpy(np.int64), size) for c in ("id", "n", "component")})
 
+    def mixed_of(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
+                .where("low < high").select("shingle", "holders"))
+
     members = (sets.join(places.where("crowded").select("id").distinct(), "id").join(components.withColumnRenamed("node", "id"), "id", "left")
                .select("id", "n", F.coalesce("component", "id").alias("component"), "shingles"))
-    rows = members.mapInPandas(run, "shingle long, id long, n long, component long")
-    mixed = (rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low < high").select("shingle", "holders"))
+    schema = "shingle long, id long, n long, component long"
+    # the same filter in the order of the hashes first, which needs a fifth of the shingles and no counts
+    heads = members.mapInPandas(partial(run, head=True), schema).select("shingle", "id", "component")
+    alive = heads.join(mixed_of(heads).select("shingle"), "shingle", "left_semi").select("id").distinct().checkpoint()
+    rows = members.join(alive, "id").mapInPandas(partial(run, head=False), schema)
+    mixed = mixed_of(rows)
     held = (rows.join(mixed, "shingle").groupBy("id", "component")
             .agg(F.min("n").alias("n"), F.sort_array(F.collect_set(F.struct("holders", "shingle"))).alias("ordered"))
             .withColumn("m", F.size("ordered").cast("long")).where(F.col("m") * 100 >= F.col("n") * PERCENT).checkpoint())
