@@ -13,7 +13,8 @@
      substituted, longest first; what the rounding down leaves over is placed best fit
      decreasing, then the small lengths, best fit, into the space left;
    * sequences that rounding left with space are packed again, best fit decreasing, where
-     that saves sequences.
+     that saves sequences; of the plans for several numbers of groups, and that of best fit
+     decreasing without groups, the one with the fewest sequences is taken.
    Identical sequences are kept as runs with a count, so the plan's size depends on the
    numbers of groups and lengths alone.
 3. The plan becomes, per length, ranges of ranks with their first sequence and offset.
@@ -240,7 +241,16 @@ class Runs:
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int, groups: int = GROUPS, small: int = SMALL) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths in a sequence, number of such sequences), for every piece of the histogram."""
+    """(lengths in a sequence, number of such sequences), for every piece of the histogram: the best of several group
+    numbers, and of one group for each length, which is best fit decreasing alone."""
+    plans = [grouped_plan(histogram, capacity, n, small) for n in (groups, 2 * groups)]
+    plain = Runs(capacity)
+    best_fit_all(plain, Counter(histogram))
+    runs = min([*plans, plain], key=Runs.total)
+    return [(c, n) for room in runs.order for c, n in runs.free[room].items()]
+
+
+def grouped_plan(histogram: dict[int, int], capacity: int, groups: int, small: int) -> Runs:
     runs = Runs(capacity)
     if histogram.get(capacity):
         runs.add((capacity,), histogram[capacity])
@@ -274,7 +284,7 @@ def plan_sequences(histogram: dict[int, int], capacity: int, groups: int = GROUP
         best_fit_all(again, loose)
         if again.total() < runs.total():
             runs = again
-    return [(c, n) for room in runs.order for c, n in runs.free[room].items()]
+    return runs
 
 
 def best_fit_all(runs: Runs, lengths: Counter) -> None:

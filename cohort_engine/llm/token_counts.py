@@ -64,9 +64,12 @@ class PieceCounts(dict):
         super().__init__()
         self.tokenizer = tokenizer
 
-    def learn(self, pieces: list[str]) -> None:
+    def make_room(self) -> None:
+        """Forget all pieces when there are too many; call it before asking which ones are known."""
         if len(self) > CACHE:
             self.clear()
+
+    def learn(self, pieces: list[str]) -> None:
         new = [p for p in dict.fromkeys(pieces) if p not in self]
         for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self[p] = len(e)
@@ -87,6 +90,7 @@ class WordCounter:
                 pieces.append(self.find(unicodedata.normalize("NFC", t).lower()))
             else:
                 pieces.append(None)
+        self.counts.make_room()
         self.counts.learn([p for ps in pieces if ps for p in ps if p not in self.counts])
         get = self.counts.__getitem__
         return [len(self.tokenizer.encode(t, add_special_tokens=False)) if ps is None else sum(map(get, ps))
