@@ -22,13 +22,17 @@ words no longer than ``BROADCAST_CHARS`` (else joined by shuffle, which AQE spli
 Everything is DataFrame code.
 
 Defined results: NULL and wordless texts have no words, hits or windows; repeated rows
-of a table count once each as input and give one row each as output; an empty benchmark
+of a table give one equal row each; rows are searched by id and text together, so a row
+without id is searched like any other and rows that share an id do not share hits; an item
+without id counts its hit words but is no named item; an empty benchmark
 leaves every document clean; an empty corpus gives an empty result; further columns are
 ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -114,6 +118,7 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slack: int
     sized = found.agg(F.count("*").alias("n")).first()["n"]
     ids = found.select("doc_id")
     again = docs.select("doc_id", "text").join(F.broadcast(ids) if sized <= BROADCAST_ROWS else ids, "doc_id", "left_semi")
+    again = again.dropDuplicates(["doc_id"])             # equal rows share a key; only rows with candidates are dealt out
     laid = (again.select("doc_id", words(F.col("text")).alias("doc_words")).join(found, "doc_id")
             .select("doc_id", "doc_words", F.inline("found")).join(items, "item_key"))
     fits = F.transform("item_words", lambda word, j: F.get("doc_words", F.col("shift") + j) == word)
@@ -133,21 +138,28 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, slack: int
     return phrase.unionByName(near.distinct().join(seen, ["doc_id", "item_id"], "left_anti"))
 
 
-def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: words, hit words, items with occurring windows."""
-    docs = docs.select("doc_id", "text")
-    found = matches(docs, bench, window).checkpoint()
-    hit_words = (found.select("doc_id", F.explode(F.sequence(F.col("doc_pos"), F.col("doc_pos") + F.col("length") - 1)).alias("pos"))
-                 .distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit")))
-    hit_items = (found.select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
-                 .groupBy("doc_id").agg(F.array_sort(F.collect_list("item")).alias("items")))
-    hits = hit_words.join(hit_items, "doc_id")
-    return (docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
-            .join(hits, "doc_id", "left")
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of a row's id and text: two independent 64-bit hashes."""
+    return F.struct(*(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias(f"k{seed}") for seed in (1, 2)))
+
+
+def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per document: words, hit words, items with occurring windows; and the columns to ``carry`` along.
+
+    Rows are told apart by id and text, not by the id alone."""
+    rows = docs.select("doc_id", "text", *carry).withColumn("_key", row_key(docs))
+    found = matches(rows.select(F.col("_key").alias("doc_id"), "text"), bench, window).withColumnRenamed("doc_id", "_key").checkpoint()
+    hit_words = (found.select("_key", F.explode(F.sequence(F.col("doc_pos"), F.col("doc_pos") + F.col("length") - 1)).alias("pos"))
+                 .distinct().groupBy("_key").agg(F.count("*").alias("n_hit")))
+    hit_items = (found.select("_key", F.col("item_id").cast("string").alias("item")).distinct()
+                 .groupBy("_key").agg(F.array_sort(F.collect_list("item")).alias("items")))
+    hits = hit_words.join(hit_items, "_key")
+    return (rows.select("doc_id", "_key", F.size(words(F.col("text"))).cast("long").alias("n_words"), *carry)
+            .join(hits, "_key", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
-                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), *carry))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,24 @@ def test_proximity(spark):
                 [(9, "one two three four five")])
     got = {(r.doc_id, r.kind) for r in matches(d, b, window=5, slack=2).collect()}
     assert got == {(1, "phrase"), (2, "proximity")}
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    item = " ".join(f"i{k}" for k in range(12))
+    d, b = make(spark, [(None, f"x {item} y"), (None, "clean words only"), (1, "twelve clean words stand here and none of them hit at all ok"),
+                        (1, f"so {item}"), (2, item), (2, item), (None, None)], [(7, item), (7, item)])
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.contaminated) for r in contamination(d, b).collect())
+    assert got == sorted([("None", 14, 12, 1, True), ("None", 3, 0, 0, False), ("1", 12, 0, 0, False), ("1", 13, 12, 1, True),
+                          ("2", 12, 12, 1, True), ("2", 12, 12, 1, True), ("None", 0, 0, 0, False)])
+
+
+def test_beyond_the_broadcast_bounds(spark, monkeypatch):
+    """Joined by shuffle, as tables beyond the checked sizes are."""
+    from cohort_engine.llm import decontaminate as D
+    rnd = random.Random(8)
+    vocab = [f"w{i}" for i in range(40)]
+    bench = [(i, " ".join(rnd.choices(vocab, k=rnd.choice([3, 10, 14])))) for i in range(12)]
+    docs = [(i, " ".join(rnd.choices(vocab, k=20)) + " " + bench[i % 12][1]) for i in range(40)]
+    d, b = make(spark, docs, bench)
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in D.contamination(d, b).collect()} == brute(docs, bench)
