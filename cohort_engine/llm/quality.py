@@ -1,27 +1,32 @@
-"""Quality scores by positive-unlabelled learning with a non-negative risk.
-
-1. Trusted positives: a bounded sample (``SAMPLE``) of the labelled documents marked good;
-   labels that mark documents bad are not used.  Unlabelled text: a sample of the same
-   size of all documents.
-2. Dense features of whole texts: repetition of words, pairs and lines, shares of
-   capitals, symbols, digits and letters, word and line lengths, function words.
-3. The class prior of the unlabelled text is estimated by the best bin: the least ratio,
-   over score thresholds, of the shares of unlabelled and of positive documents above it,
-   with an allowance for sampling error, under a classifier that tells the two apart.
-4. A small network minimises  prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])
-   with the logistic loss l; where the second term turns negative in a batch its
-   gradient is reversed, as the non-negative estimator prescribes.
-5. One pass over all documents computes features and scores.
+"""Quality scores by positive-unlabelled learning with a non-negative risk over all documents.
+
+1. Dense features of whole texts: repetition of words, pairs and lines, shares of capitals,
+   symbols, digits and letters, word and line lengths, function words; one pass, written.
+2. Trusted positives: a bounded sample (``SAMPLE``) of the labelled documents marked good, one
+   for each id; labels that mark documents bad are not used.  Unlabelled text: all documents.
+3. The score function g is linear in a fixed basis (the standardised features and ``HIDDEN``
+   random tanh units of them).  With the squared loss l(z) = (1 - z)^2 / 4 each expectation of
+   the risk is a quadratic form in its weights, so the second moments of the basis, summed over
+   every row by Spark, hold all that the unlabelled documents say; no row of them is left out.
+4. The class prior is estimated by the best bin: the least ratio, over score thresholds, of the
+   shares of all documents and of held-back positives above it, with an allowance for sampling
+   error, under the function that tells the two apart.  The shares come from a histogram of
+   the scores of all documents.
+5. The weights minimise  prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])  with a
+   small ridge: the unbiased risk is a linear system; where its solution makes the second term
+   negative, the best weights that hold it at zero are found instead.
+6. The squared loss makes (1 + g) / 2 the probability of good; it is the score, cut to [0, 1].
 
 Defined results: NULL and empty texts have zero features and get the score of those;
-without positives every score is 0; repeated rows are scored alike; an empty table gives
-an empty result; further columns are ignored.  Neither id, language nor source enters a
-score.
+without positives every score is 0; repeated rows are scored alike (and count each as
+unlabelled); an empty table gives an empty result; further columns are ignored.  Neither id,
+language nor source enters a score.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
@@ -30,12 +35,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_engine.llm.common import id_remainder, prepare, table
-from cohort_engine.llm.labelled import byte_classes, byte_counts, feature_map, hash_sample, label_sample, labelled_texts
+from cohort_engine.llm.labelled import byte_classes, byte_counts, label_sample
+from cohort_engine.llm.scratch import Scratch
 
 HELD_MOD, HELD = 5, 0
 THRESHOLD = 0.3
-SAMPLE = 12_000          # trusted positives, and unlabelled documents, about
-HIDDEN, ROUNDS, BATCH, RATE, DECAY = 24, 40, 512, 0.01, 1e-4
+SAMPLE = 12_000          # trusted positives, about
+HIDDEN, RIDGE = 64, 1e-2
+BINS = 4096              # of the score histogram, over [-EDGE, EDGE]
+EDGE = 4.0
 SLACK = 0.01             # confidence left out of the prior's bound
 #: Frequent function words of four languages (fixed values).
 FUNCTION_WORDS = frozenset(
@@ -72,101 +80,156 @@ def quality_features(texts: list[str]) -> np.ndarray:
     return np.array([text_row(t) if t else [0.0] * len(FEATURES) for t in texts], float).reshape(-1, len(FEATURES))
 
 
-def sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+class Basis:
+    """Standardised features, random tanh units of them, and 1; the same weights every run."""
 
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, seed: int = 7):
+        rng = np.random.default_rng(seed)
+        self.mean, self.scale = mean, np.where(scale > 1e-9, scale, 1.0)
+        d = len(mean)
+        self.w, self.b = rng.normal(0, 1.2 / np.sqrt(d), (d, HIDDEN)), rng.normal(0, 1, HIDDEN)
 
-class Network:
-    """One hidden layer of tanh units on standardised features; ``g`` is the log-odds of good."""
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        z = np.clip((x - self.mean) / self.scale, -6, 6)
+        return np.concatenate([z / 3, np.tanh(z @ self.w + self.b), np.ones((len(x), 1))], axis=1)
 
-    def __init__(self, x: np.ndarray, seed: int = 7):
-        rng = np.random.default_rng(seed)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        d = x.shape[1]
-        self.w = [rng.normal(0, 1 / np.sqrt(d), (d, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1)]
-        self.m, self.v, self.t = [np.zeros_like(w) for w in self.w], [np.zeros_like(w) for w in self.w], 0
-
-    def standard(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -6, 6)
-
-    def g(self, x: np.ndarray) -> np.ndarray:
-        return np.tanh(self.standard(x) @ self.w[0] + self.w[1]) @ self.w[2] + self.w[3]
-
-    def step(self, z: np.ndarray, slope: np.ndarray) -> None:
-        """One Adam step for the risk's slope in g at standardised rows z."""
-        h = np.tanh(z @ self.w[0] + self.w[1])
-        back = slope[:, None] * self.w[2] * (1 - h * h)
-        grads = [z.T @ back + DECAY * self.w[0], back.sum(axis=0), h.T @ slope + DECAY * self.w[2], slope.sum(keepdims=True)]
-        self.t += 1
-        for k, grad in enumerate(grads):
-            self.m[k] = 0.9 * self.m[k] + 0.1 * grad
-            self.v[k] = 0.999 * self.v[k] + 0.001 * grad * grad
-            self.w[k] -= RATE * (self.m[k] / (1 - 0.9 ** self.t)) / (np.sqrt(self.v[k] / (1 - 0.999 ** self.t)) + 1e-8)
-
-
-def fit(p: np.ndarray, u: np.ndarray, prior: float | None, seed: int = 7) -> Network:
-    """Minimise the non-negative risk; with no prior, the plain risk of telling p from u."""
-    net = Network(np.concatenate([p, u]), seed)
-    rng = np.random.default_rng(seed)
-    zp, zu = net.standard(p), net.standard(u)
-    for _ in range(ROUNDS):
-        order_p, order_u = rng.permutation(len(zp)), rng.permutation(len(zu))
-        batches = max(1, max(len(zp), len(zu)) // BATCH)
-        for ip, iu in zip(np.array_split(order_p, batches), np.array_split(order_u, batches)):
-            if not len(ip) or not len(iu):
-                continue
-            z = np.concatenate([zp[ip], zu[iu]])
-            g = np.tanh(z @ net.w[0] + net.w[1]) @ net.w[2] + net.w[3]
-            s, k = sigmoid(g), len(ip)
-            gp, gu = s[:k], s[k:]
-            if prior is None:
-                slope = np.concatenate([(gp - 1) / k, gu / len(iu)])
-            else:
-                rest = -np.log(np.maximum(1 - gu, 1e-12)).mean() + prior * np.log(np.maximum(1 - gp, 1e-12)).mean()
-                up, down = prior * (gp - 1) / k, np.concatenate([-prior * gp / k, gu / len(iu)])
-                # a negative rest means overfitting: climb back along it instead of descending
-                slope = np.concatenate([up, np.zeros(len(iu))]) + down if rest >= 0 else -down
-            net.step(z, slope)
-    return net
-
-
-def class_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """Share of good documents in ``u``, by the best bin on held-out halves."""
-    net = fit(p[::2], u[::2], None, seed=11)
-    sp, su = np.sort(net.g(p[1::2])), np.sort(net.g(u[1::2]))
-    cuts = sp[: max(1, int(0.95 * len(sp)))]
-    qp = 1 - np.searchsorted(sp, cuts) / len(sp)
-    qu = 1 - np.searchsorted(su, cuts) / len(su)
-    error = np.sqrt(np.log(4 / SLACK) / (2 * len(su))) + np.sqrt(np.log(4 / SLACK) / (2 * len(sp)))
-    best = int(np.argmin((qu + error) / qp))
+
+@dataclass
+class Moments:
+    """Number, mean and mean outer product of basis rows."""
+    n: float
+    mean: np.ndarray
+    second: np.ndarray
+
+    @staticmethod
+    def of(phi: np.ndarray) -> Moments:
+        return Moments(len(phi), phi.mean(axis=0), phi.T @ phi / len(phi))
+
+
+def loss(m: Moments, w: np.ndarray, side: int) -> float:
+    """Mean of (1 - side * g)^2 / 4."""
+    return float(1 - 2 * side * (m.mean @ w) + w @ m.second @ w) / 4
+
+
+def ridge(size: int) -> np.ndarray:
+    out = RIDGE * np.eye(size)
+    out[-1, -1] = 1e-9                   # the constant goes free
+    return out
+
+
+def separator(p: Moments, u: Moments) -> np.ndarray:
+    """Weights that tell positives (1) from unlabelled rows (-1), both weighing alike."""
+    return np.linalg.solve(p.second + u.second + ridge(len(p.mean)), p.mean - u.mean)
+
+
+def positive_unlabelled(p: Moments, u: Moments, prior: float) -> np.ndarray:
+    """Weights of the least non-negative risk.
+
+    The unbiased risk is E_u[l(-g)] - prior * E_p[g], as l(g) - l(-g) = -g.  If its minimum leaves the estimated risk of
+    the negatives below zero, the positives' risk is minimised under a multiplier that holds that term at zero."""
+    r = ridge(len(p.mean))
+
+    def best(t: float) -> np.ndarray:
+        """Minimum of prior * E_p[l(g)] + t * (E_u[l(-g)] - prior * E_p[l(-g)])."""
+        a = prior * p.second + t * (u.second - prior * p.second) + r
+        return np.linalg.solve(a, prior * p.mean - t * (u.mean - prior * p.mean))
+
+    def rest(w: np.ndarray) -> float:
+        return loss(u, w, -1) - prior * loss(p, w, -1)
+
+    w = best(1.0)
+    if rest(w) >= 0:
+        return w
+    low, high = 0.0, 1.0                 # less weight on the term raises it
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if rest(best(mid)) >= 0 else (low, mid)
+    return best(low)
+
+
+def class_prior(p_scores: np.ndarray, u_counts: np.ndarray) -> float:
+    """Share of good rows among the unlabelled, by the best bin of the score histograms (over [-EDGE, EDGE])."""
+    n_u, n_p = u_counts.sum(), len(p_scores)
+    p_counts = np.bincount(score_bin(p_scores), minlength=BINS)
+    qu, qp = (c[::-1].cumsum()[::-1] / n for c, n in ((u_counts, n_u), (p_counts, n_p)))       # shares from each bin on
+    error = np.sqrt(np.log(4 / SLACK) / (2 * n_u)) + np.sqrt(np.log(4 / SLACK) / (2 * n_p))
+    enough = qp >= 0.05
+    best = int(np.argmin(np.where(enough, (qu + error) / np.where(enough, qp, 1), np.inf)))
     return float(np.clip(qu[best] / qp[best], 0.01, 0.99))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every document."""
-    out = docs.select("doc_id", "text")
-    trusted = labelled_texts(out, label_sample(labels.where("quality = 1"), "quality", HELD_MOD, HELD, sample))
-    web = hash_sample(out.select("doc_id").where("doc_id IS NOT NULL"), sample, "web")
-    both = trusted.withColumn("good", F.lit(1)).drop("label").unionByName(
-        out.join(F.broadcast(web.distinct()), "doc_id").withColumn("good", F.lit(0)))
-    rows = both.select("text", "good").mapInPandas(feature_map(quality_features), "good int, x array<double>").toPandas()   # about 2 * sample rows
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    held_out = (id_remainder(F.col("doc_id"), HELD_MOD) == HELD).alias("held_out")
-    x = np.stack(rows["x"].to_numpy()) if len(rows) else np.empty((0, len(FEATURES)))
-    order = np.lexsort(x.T[::-1]) if len(x) else np.empty(0, int)      # rows arrive in any order; fix it before drawing batches
-    x, good = x[order], rows["good"].to_numpy()[order]
-    rng = np.random.default_rng(5)
-    p, u = rng.permutation(x[good == 1]), rng.permutation(x[good == 0])
-    if len(p) < 4 or len(u) < 4:
-        return out.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    net = fit(p, u, class_prior(p, u))
+def score_bin(g: np.ndarray) -> np.ndarray:
+    return np.clip((g + EDGE) / (2 * EDGE) * BINS, 0, BINS - 1).astype(int)
+
+
+def matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()) if len(column) else np.empty((0, len(FEATURES)))
+
+
+def summed(rows: DataFrame, f: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum over all rows of the vector ``f`` makes of a batch's features; one vector a task is merged at a time."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for pdf in batches:
+            if len(pdf):
+                part = f(matrix(pdf["x"]))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"v": [total]})
+
+    parts = rows.select("x").mapInPandas(run, "v array<double>").select(array_to_vector("v").alias("v"))
+    got = parts.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"]
+    return got.toArray()
+
+
+def feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        x = quality_features(["" if t is None else t for t in pdf["text"]])
+        yield pdf.drop(columns="text").assign(x=list(x))
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every document, and the columns to ``carry`` along."""
+    spark, c = docs.sparkSession, F.col
+    kept = ["_id", *carry]
+    # ids travel as text: pandas would turn long ones beside a NULL into floats
+    raw = docs.select(c("doc_id").cast("string").alias("_id"), *carry, "text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.schema.fields if f.name != "text") + ", x array<double>"
+    rows = Scratch(spark, "quality").put(raw.mapInPandas(feature_rows, schema), "features")
+    out = rows.select(c("_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), *carry, "x")
+    held_out = (id_remainder(c("doc_id"), HELD_MOD) == HELD).alias("held_out")
+    trusted = label_sample(labels.where("quality = 1"), "quality", HELD_MOD, HELD, sample)
+    good = (out.join(F.broadcast(trusted.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"))      # one row an id: at most the sample
+            .select("x").collect())
+    if len(good) < 4:
+        return out.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *carry)
+    p = np.array(sorted(r["x"] for r in good), float)               # rows arrive in any order; fix it before drawing halves
+    p = np.random.default_rng(5).permutation(p)
+    sums = summed(rows, lambda x: np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)]))
+    mean, square = np.split(sums[1:] / sums[0], 2)
+    basis = Basis(mean, np.sqrt(np.maximum(0, square - mean * mean)))
+    size = len(FEATURES) + HIDDEN + 1
+
+    def outer(x: np.ndarray) -> np.ndarray:
+        phi = basis(x)
+        return np.concatenate([phi.sum(axis=0), (phi.T @ phi).ravel()])
+
+    both = summed(rows, outer) / sums[0]
+    u, phi_p = Moments(sums[0], both[:size], both[size:].reshape(size, size)), basis(p)
+    apart = separator(Moments.of(phi_p[::2]), u)
+    histogram = summed(rows, lambda x: np.bincount(score_bin(basis(x) @ apart), minlength=BINS).astype(float))
+    w = positive_unlabelled(Moments.of(phi_p), u, class_prior(phi_p[1::2] @ apart, histogram))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            score = sigmoid(net.g(quality_features(["" if t is None else t for t in pdf["text"]])))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": score, "predicted": (score >= THRESHOLD).astype(int)})
+            score = np.clip((1 + basis(matrix(pdf["x"])) @ w) / 2, 0, 1)
+            yield pdf[kept].assign(score=score, predicted=(score >= THRESHOLD).astype(int))
 
-    return out.mapInPandas(run, f"doc_id {kind}, score double, predicted int").select("doc_id", held_out, "score", "predicted")
+    done = rows.mapInPandas(run, schema.replace(", x array<double>", ", score double, predicted int"))
+    return (done.withColumn("doc_id", c("_id").cast(docs.schema["doc_id"].dataType)).select("doc_id", held_out, "score", "predicted", *carry))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ import zlib
 import numpy as np
 import pytest
 
-from cohort_engine.llm.quality import class_prior, fit, quality_features, score_quality, sigmoid
+from cohort_engine.llm.quality import (BINS, FEATURES, Basis, Moments, class_prior, loss, positive_unlabelled, quality_features, score_bin, score_quality,
+                                       separator, summed)
 from cohort_engine.llm.toxicity import ToxicFeatures, score_toxicity, tongue
 
 SF = "/root/testdata/sf0.01"
@@ -60,15 +61,49 @@ def test_features_see_obfuscation_and_address():
     assert tongue("le chat est sur la table et dans le lit".split()) == 1 and tongue([]) == -1
 
 
+def mixture(rng, good, bad, d=4):
+    return rng.permutation(np.concatenate([rng.normal(1.5, 1, (good, d)), rng.normal(-1.5, 1, (bad, d))]))
+
+
 def test_prior_and_risk_recover_a_known_mixture():
     rng = np.random.default_rng(0)
-    p = rng.normal(1.5, 1, (4000, 4))
-    u = np.concatenate([rng.normal(1.5, 1, (2400, 4)), rng.normal(-1.5, 1, (1600, 4))])
-    u = u[rng.permutation(len(u))]
-    assert abs(class_prior(p, u) - 0.6) < 0.06
-    net = fit(p, u, 0.6)
-    assert (sigmoid(net.g(rng.normal(1.5, 1, (1000, 4)))) > 0.5).mean() > 0.95
-    assert (sigmoid(net.g(rng.normal(-1.5, 1, (1000, 4)))) < 0.5).mean() > 0.95
+    p, u = rng.normal(1.5, 1, (4000, 4)), mixture(rng, 24_000, 16_000)
+    basis = Basis(u.mean(axis=0), u.std(axis=0))
+    mp, mu = Moments.of(basis(p)), Moments.of(basis(u))
+    apart = separator(Moments.of(basis(p[::2])), mu)
+    prior = class_prior(basis(p[1::2]) @ apart, np.bincount(score_bin(basis(u) @ apart), minlength=BINS).astype(float))
+    assert abs(prior - 0.6) < 0.06
+    w = positive_unlabelled(mp, mu, 0.6)
+    assert (basis(rng.normal(1.5, 1, (1000, 4))) @ w > 0).mean() > 0.95 and (basis(rng.normal(-1.5, 1, (1000, 4))) @ w < 0).mean() > 0.95
+
+
+def test_risk_of_negatives_stays_non_negative():
+    """Few positives and a prior that is too high: the unbiased risk would go below zero."""
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(1.5, 1, (60, 4)), mixture(rng, 400, 600)
+    basis = Basis(u.mean(axis=0), u.std(axis=0))
+    mp, mu = Moments.of(basis(p)), Moments.of(basis(u))
+    for prior in (0.4, 0.8, 0.97):
+        w = positive_unlabelled(mp, mu, prior)
+        assert loss(mu, w, -1) - prior * loss(mp, w, -1) >= -1e-9 and loss(mp, w, 1) <= 1
+
+
+def test_rare_junk_changes_the_moments():
+    """Every unlabelled row counts: a kind of junk of 1 in 50,000 moves prior and weights."""
+    rng = np.random.default_rng(2)
+    p, u = rng.normal(1.5, 1, (500, 4)), mixture(rng, 30_000, 20_000)
+    basis = Basis(u.mean(axis=0), u.std(axis=0))
+    with_junk = np.concatenate([u, np.full((1, 4), -40.0)])
+    a, b = (positive_unlabelled(Moments.of(basis(p)), Moments.of(basis(x)), 0.6) for x in (u, with_junk))
+    assert not np.array_equal(a, b)
+    apart = separator(Moments.of(basis(p)), Moments.of(basis(u)))
+    assert class_prior(basis(p) @ apart, np.bincount(score_bin(basis(with_junk) @ apart), minlength=BINS)) != class_prior(
+        basis(p) @ apart, np.bincount(score_bin(basis(u) @ apart), minlength=BINS))
+
+
+def test_sums_are_over_all_rows(spark):
+    rows = spark.createDataFrame([([float(i)] * len(FEATURES),) for i in range(1000)], "x array<double>").repartition(7)
+    assert summed(rows, lambda x: np.array([len(x), x[:, 0].sum()])).tolist() == [1000, 499500]
 
 
 def test_quality_features_are_finite():
