@@ -7,6 +7,10 @@ outlinks; links are read in every attribute quoting.  Both refer to the response
 record id, carry a digest of their own block, and keep the target URI and date.  Record
 ids are derived from their content, so a retried task writes the same records.
 
+Text, title and links come from one scan of the page's tags (the one of ``html_text``): a
+bare ``<`` is text, quoted ``>`` belong to their attribute, and comments, scripts, styles
+and templates hold neither text nor links, also where they never end.
+
 ``write_records`` writes them as WARC/1.1 files with Spark's text writer: two CRLFs end
 a WARC record, which is what the writer puts after every row.
 
@@ -26,18 +30,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_engine.llm.common import prepare, table
+from cohort_engine.llm.html_text import ATTRIBUTE, NAME, TOKEN
 
 CRLF = "\r\n"
 CAPTURED = "2024-01-01T00:00:00Z"        # capture date of tables that hold none
-#: Patterns of the plain-text conversion, in the order they are applied (Java and RE2 read them alike).
-#: ENTITIES and LINK are those of the SQL twin alone; the operator reads every character reference and attribute quoting.
-DROPPED = r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-BREAKS = (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|"
-          r"section|table|td|th|tr|ul)\b[^>]*>")
-TAGS = r"<[^>]*>"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-TITLE = r"(?is)<title\b[^>]*>([^<]*)"
-LINK = r'(?i)<a\b[^>]*?href="([^"]*)"'
+#: Elements that start and end a line of the conversion (fixed values).
+LINES = frozenset("address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre "
+                  "section table td th tr ul".split())
+#: Elements whose contents are no text of the page (fixed values); a title is read for the metadata.
+SILENT = frozenset("script style title template iframe noembed noframes".split())
 
 
 def urn(*parts: Column) -> Column:
@@ -51,10 +52,6 @@ def digest(text: Column) -> Column:
 
 
 REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)")
-ANCHOR = re.compile(r"<a(?=[\s/])(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*+)>)", re.I)
-ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
-
-
 def decoded(text: str) -> str:
     """Text with its character references read; a no-break space counts as a space."""
     return REFERENCE.sub(lambda m: unescape(m[0]).replace("\xa0", " "), text) if "&" in text else text
@@ -71,32 +68,54 @@ def decoded_value(value: str) -> str:
     return REFERENCE.sub(one, value) if "&" in value else value
 
 
-def outlinks(page: str) -> list[str]:
-    """The targets of a page's links, in order, on one line each."""
-    out = []
-    for m in ANCHOR.finditer(page):
-        for a in ATTRIBUTE.finditer(m[1] or m[2] or ""):
-            if a[1].lower() == "href":
-                if (value := next((x for x in a.groups()[1:] if x is not None), None)) is not None:
-                    out.append(re.sub(r"[\t\r\n]", "", decoded_value(value)).strip())
-                break
-    return out
-
-
-def read_page(page: pd.Series, title: pd.Series, text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame({"title": [decoded(t) for t in title], "text": [decoded(t) for t in text],
-                         "links": ["".join(f"outlink: {u}{CRLF}" for u in outlinks(p)) for p in page]})
-
-
-def bare_text(page: Column) -> Column:
-    """The page without markup, with a line feed at every block's edge."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(page, DROPPED, " "), BREAKS, "\n"), TAGS, "")
-
-
-def plain_text(text: Column) -> Column:
-    """Text lines of a page: one line per block, single spaces."""
-    lines = F.regexp_replace(F.regexp_replace(text, r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(lines, r"^[ \n]+|[ \n]+$", "")
+def link_target(tag: str) -> str | None:
+    """The target of an ``a`` tag, if it has one."""
+    for m in ATTRIBUTE.finditer(tag, 2):
+        if m[1].lower() == "href":
+            value = next((x for x in m.groups()[1:] if x is not None), None)
+            return None if value is None else re.sub(r"[\t\r\n]", "", decoded_value(value)).strip()
+    return None
+
+
+def read_one(page: str) -> tuple[str, str, list[str]]:
+    """Title, text lines and link targets of a page."""
+    parts: list[str] = []
+    links: list[str] = []
+    title, in_head, at, end = None, False, 0, len(page)
+    while at < end:
+        m = TOKEN.search(page, at)
+        if not in_head:
+            parts.append(page[at:m.start() if m else end])
+        if not m:
+            break
+        at, tag = m.end(), m[0]
+        name_m = NAME.match(tag)
+        if not name_m:
+            continue
+        name, closing = name_m[1].lower(), tag[1] == "/"
+        if name in SILENT:
+            if not closing:
+                close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+                if name == "title" and title is None:
+                    title = page[at:close.start() if close else end]
+                at = close.end() if close else end
+                parts.append(" ")
+        elif name == "head":
+            in_head = not closing
+            parts.append(" ")
+        elif name == "a" and not closing and (target := link_target(tag)) is not None:
+            links.append(target)
+        if name in LINES:
+            in_head = in_head and name != "body"
+            parts.append("\n")
+    text = re.sub(r" ?\n[ \n]*", "\n", re.sub(r"[ \t\r\f]+", " ", decoded("".join(parts)))).strip(" \n")
+    return re.sub(r"[ \t\r\n\f]+", " ", decoded(title or "")).strip(" "), text, links
+
+
+def read_page(page: pd.Series) -> pd.DataFrame:
+    read = [read_one(p) for p in page]
+    return pd.DataFrame({"title": [t for t, _, _ in read], "text": [t for _, t, _ in read],
+                         "links": ["".join(f"outlink: {u}{CRLF}" for u in links) for _, _, links in read]})
 
 
 def responses(pages: DataFrame, captured: str = CAPTURED) -> DataFrame:
@@ -109,14 +128,13 @@ def responses(pages: DataFrame, captured: str = CAPTURED) -> DataFrame:
 
 def derivatives(source: DataFrame) -> DataFrame:
     """The metadata and conversion record of every response (``record_id, target_uri, warc_date, http_headers, payload``)."""
-    title = F.trim(F.regexp_replace("read.title", r"[ \t\r\n\f]+", " "))
     headers = F.concat(F.lit("source-header: "), F.replace("http_headers", F.lit(CRLF), F.lit(f"{CRLF}source-header: ")), F.lit(CRLF))
     fields = F.concat(F.lit("source-record: "), F.col("record_id"), F.lit(f"{CRLF}source-payload-digest: "), digest(F.col("payload")),
-                      F.lit(CRLF), headers, F.lit("title: "), title, F.lit(CRLF), F.col("read.links"))
+                      F.lit(CRLF), headers, F.lit("title: "), F.col("read.title"), F.lit(CRLF), F.col("read.links"))
     both = F.array(F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), fields.alias("block")),
                    F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"),
-                            plain_text(F.col("read.text")).alias("block")))
-    read = source.withColumn("read", F.pandas_udf(read_page, "title string, text string, links string")("payload", F.regexp_extract("payload", TITLE, 1), bare_text(F.col("payload"))))
+                            F.col("read.text").alias("block")))
+    read = source.withColumn("read", F.pandas_udf(read_page, "title string, text string, links string")("payload"))
     made = read.withColumn("source_digest", digest(F.col("payload"))).withColumn("made", F.explode(both)).select("*", "made.*")
     return made.select("page_id", "warc_type", urn(F.col("warc_type"), F.col("record_id")).alias("record_id"),
                        F.col("record_id").alias("refers_to"), "target_uri", "warc_date", "content_type",
@@ -142,6 +160,16 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derivatives(responses(table(spark, sf_dir, "pages")))
 
 
+#: The SQL twin is written with patterns, on another principle than the scan, and reads plainly written pages alone:
+#: tags without quoted ``>``, eight references, double-quoted links.
+DROPPED = r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+BREAKS = rf"(?i)</?(?:{'|'.join(sorted(LINES))})\b[^>]*>"
+TAGS = r"<[^>]*>"
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+TITLE = r"(?is)<title\b[^>]*>([^<]*)"
+LINK = r'(?i)<a\b[^>]*?href="([^"]*)"'
+
+
 def _sql_decoded(text: str) -> str:
     for a, b in ENTITIES:
         text = "replace({}, '{}', '{}')".format(text, a, b.replace("'", "''"))

@@ -69,3 +69,25 @@ def test_references_and_link_quotings(spark):
     assert "title: It’s café – 'x'…" in fields
     assert [x[9:] for x in fields if x.startswith("outlink: ")] == ["/single?a=1&b=2", "/bare", "/space", "/after", "/p?a=1&copy=2&lang=é", ""]
     assert block["conversion"] == "a b c &eacute; — <b> €5 © 1 &nope;\ns u v w\nx no n e"
+
+
+def converted(spark, page):
+    rows = derivatives(responses(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"))).collect()
+    block = {r.warc_type: r.block for r in rows}
+    return block["conversion"], [x[9:] for x in block["metadata"].split("\r\n") if x.startswith("outlink: ")]
+
+
+def test_no_text_is_lost_and_no_markup_kept(spark):
+    assert converted(spark, "<p>if 1 < 2 then</p><p>second paragraph text</p><p>third <b>bold</b></p>")[0] == "if 1 < 2 then\nsecond paragraph text\nthird bold"
+    assert converted(spark, '<p>x <img alt="a > b" src=x>text</p>')[0] == "x text"
+    assert converted(spark, "<p>shown</p><script>var a = 1; if (a<b) {")[0] == "shown"
+    assert converted(spark, "<p>shown</p><!-- never closed <a href='/c'>no</a>") == ("shown", [])
+    text, links = converted(spark, """<!-- <a href="/comment">c</a> --><script>x = '<a href="/script">s</a>';</script><style>a[href="/style"]{}</style>
+      <p><a href="/a?x=1>2">one</a> &lt;<a title='>' href=/b>two</a></p><template><a href="/t">t</a></template>""")
+    assert text == "one <two" and links == ["/a?x=1>2", "/b"]
+    assert converted(spark, "<title>A <b>title</b></title>a<br/>b<BR>c<td>d</td>e")[0] == "a\nb\nc\nd\ne"
+
+
+def test_hostile_pages(spark):
+    for page in ("<" * 50_000, "<a href='" * 20_000, "<p>" * 30_000 + "x", "&" * 50_000, "<script>" * 20_000):
+        assert len(converted(spark, page)[1]) <= 1
