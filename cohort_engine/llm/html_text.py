@@ -6,6 +6,13 @@ density, those of the blocks before and after it, and where it stands (inside a
 boilerplate container, inside an article, a heading, a list item).  A decision tree,
 trained here on the small labelled table ``LABELLED``, tells content from boilerplate.
 
+Whether a container is boilerplate is settled after the scan, when its text is known: a
+class, id or role counts if a whole token of it says so (``site-footer``, not
+``has-header``), never on the page's body nor on a container that holds most of its words;
+a form counts if it has fields and little text.  Links under a heading like "References"
+are the article's text.  A page on which every block is judged boilerplate keeps its best
+ones: unlinked text outside boilerplate, else that of the weakest marks.
+
 Defined results: NULL, empty and markup-only pages give an empty text; broken markup
 (unclosed or stray tags, cut-off pages, bare ``<`` and ``&``) is read as browsers do where
 it matters for text; repeated rows are extracted alike; an empty table gives an empty
@@ -51,8 +58,20 @@ BOILER_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments commentlist disqus discussion replies reply respond responses".split())
 ARTICLE_WORDS = frozenset("article post entry story content main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Words that may stand beside a boilerplate word within one token (fixed values).
+BESIDE_WORDS = frozenset(
+    "site page main global primary secondary left right top bottom box bar list item items links link container wrapper wrap area block inner outer "
+    "section panel content body text title row col column group holder unit slot strip mobile desktop fixed sticky small large new post posts article "
+    "articles user policy law bottom upper lower first last".split())
+#: Headings whose lists of links are text of the article (fixed values).
+REFERENCE_HEADINGS = frozenset(
+    "references sources bibliography literature citations notes footnotes literatur quellen einzelnachweise belege références sources bibliographie notes "
+    "referencias fuentes bibliografía notas".split())
 WORD_SPLIT = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+FIELDS = frozenset("input select textarea button".split())
+FORM_WORDS = 60          # a form with more words than this holds text
+MOST = 0.5               # share of the page's words from which on a container is not judged by its class
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "boiler", "article", "heading", "item")
 
@@ -78,6 +97,7 @@ LABELLED = (
     (5, 0, 17, 0, 26, 0, 0, 0, 1, 0, 1), (4, 0, 12, .1, 30, 0, 0, 0, 1, 0, 1), (2, 0, 25, 0, 60, 0, 0, 0, 1, 0, 1),
     (70, .65, 40, 0, 60, .1, 0, 1, 0, 0, 1), (120, .75, 3, 0, 5, 1, 0, 1, 0, 0, 1), (50, .6, 30, .2, 0, 0, 0, 1, 0, 0, 1),
     (3, 0, 40, 0, 2, 1, 0, 1, 0, 0, 1), (1, 0, 12, 0, 1, 1, 0, 1, 0, 0, 1), (5, 0, 33, 0, 6, .9, 0, 1, 0, 0, 1), (2, 0, 7, 1, 4, 1, 0, 1, 1, 0, 1),
+    (50, 1, 60, 0, 40, 0, 0, 1, 0, 0, 1), (80, 1, 5, 0, 3, 1, 0, 1, 0, 0, 1), (35, 1, 30, .1, 0, 0, 0, 1, 0, 0, 1),
     # links in an article that are not its text
     (4, 1, 60, 0, 5, 1, 0, 1, 0, 1, 0), (5, 1, 4, 1, 3, 1, 0, 1, 0, 1, 0), (3, 1, 5, 1, 11, 0, 0, 1, 0, 1, 0),
     (6, .95, 30, 0, 8, 1, 0, 1, 0, 0, 0), (9, 1, 80, 0, 40, 0, 0, 1, 0, 0, 0), (2, 1, 9, 0, 50, 0, 0, 1, 0, 0, 0),
@@ -152,6 +172,7 @@ class Block:
     words: int = 0
     linked: int = 0
     flags: tuple[int, int, int, int] = (0, 0, 0, 0)
+    strong: bool = False                         # hidden, beside the text, or a reader's comment
     parts: list[tuple[str, bool]] = field(default_factory=list)
 
     def close(self) -> bool:
@@ -163,29 +184,70 @@ class Block:
         return bool(self.text)
 
 
-def hint_of(tag: str) -> tuple[bool, bool, bool]:
-    """Whether class, id and role say boilerplate, comments, article."""
+def says(value: str, words: frozenset) -> bool:
+    """Whether a token of a class, id or role consists of ``words`` and words that stand beside them."""
+    for token in value.split():
+        parts = [w for w in WORD_SPLIT.split(CAMEL.sub("-", token).lower()) if w]
+        if any(w in words for w in parts) and all(w in words or w in BESIDE_WORDS for w in parts):
+            return True
+    return False
+
+
+def hint_of(tag: str) -> tuple[bool, bool, bool, bool]:
+    """Whether class, id and role say boilerplate, comments, article; whether the element is not shown."""
     values: dict[str, str] = {}
     for m in ATTRIBUTE.finditer(tag, NAME.match(tag).end()):
         values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-    words = {w for k in HINTS if k in values for w in WORD_SPLIT.split(CAMEL.sub("-", values[k]).lower())}
+    own = " ".join(values[k] for k in HINTS if k in values)
+    words = set(WORD_SPLIT.split(CAMEL.sub("-", own).lower()))
     hidden = "hidden" in values or values.get("aria-hidden", "").strip().lower() == "true" or bool(NOT_SHOWN.search(values.get("style", "")))
-    return bool(words & BOILER_WORDS) or hidden, bool(words & COMMENT_WORDS), bool(words & ARTICLE_WORDS)
+    return says(own, BOILER_WORDS), says(own, COMMENT_WORDS), bool(words & ARTICLE_WORDS), hidden
+
+
+@dataclass
+class Container:
+    """An element that holds blocks, with what its tag says and, once the page is read, how much it holds."""
+    name: str
+    parent: int
+    boiler: bool = False
+    comments: bool = False
+    article: bool = False
+    hidden: bool = False
+    words: int = 0
+    fields: int = 0
+
+    def settle(self, mark: int, article: int, total: int) -> tuple[int, int]:
+        """Boilerplate (2: cannot hold an article) and article inside, given those outside."""
+        most = self.words > MOST * total
+        if self.hidden or self.comments or self.name in SIDE_TAGS:
+            return 2, article
+        if self.name == "form":
+            says_boiler = self.fields > 0 and self.words <= FORM_WORDS
+        else:
+            says_boiler = self.name in BOILER_TAGS and not (self.name == "header" and article) or self.boiler and not most and not self.article
+        if self.name in ("article", "main") and mark < 2:
+            return 0, 1
+        if says_boiler:
+            return max(mark, 1), article
+        return mark, int(article or self.article and not mark and self.name in ("div", "section"))
 
 
 def text_blocks(page: str) -> list[Block]:
     """The page's flat blocks, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = []       # open containers: name, boilerplate (2: cannot hold an article), article
-    boiler = article = heading = item = own = link = in_head = in_math = 0
+    places: list[tuple[int, int, int, bool, bool]] = []      # per block: container, heading, item, own hint, not shown
+    containers = [Container("", -1)]
+    stack: list[int] = [0]                                   # open containers
+    heading = item = link = in_head = in_math = 0
+    own = unseen = False
     block = Block()
 
     def finish() -> None:
         nonlocal block
         if block.parts:
-            block.flags = (int(bool(boiler or own)), int(bool(article)), heading, item)
             if block.close():
                 out.append(block)
+                places.append((stack[-1], heading, item, own, unseen))
             block = Block()
 
     at, end = 0, len(page)
@@ -201,6 +263,8 @@ def text_blocks(page: str) -> list[Block]:
         if not name_m:
             continue
         name, closing = name_m[1].lower(), tag[1] == "/"
+        if name in FIELDS and not closing:
+            containers[stack[-1]].fields += 1
         if not closing and name in RAW_NAMES:    # raw text ends at its own end tag, or with the page
             close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
@@ -222,7 +286,8 @@ def text_blocks(page: str) -> list[Block]:
         if name not in BLOCKS:
             continue
         finish()
-        own = heading = 0
+        own = unseen = False
+        heading = 0
         if name == "head":
             in_head = 0 if closing else 1
             continue
@@ -231,29 +296,43 @@ def text_blocks(page: str) -> list[Block]:
         item = int(name == "li" and not closing) if name in ("li", "ul", "ol", "p") else item
         if closing:
             link = 0
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
+            for i in range(len(stack) - 1, 0, -1):
+                if containers[stack[i]].name == name:
                     del stack[i:]
                     break
-            boiler, article = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
             continue
-        says_boiler, says_comments, says_article = hint_of(tag) if len(tag) > len(name) + 2 else (False, False, False)
         heading = int(name in HEADINGS)
+        hints = hint_of(tag) if len(tag) > len(name) + 2 and name not in ("body", "html") else (False,) * 4
         if name in CONTAINERS:
             link = 0
-            mark = 2 if says_comments or name in SIDE_TAGS else int(says_boiler or name in BOILER_TAGS)
-            if name in ("article", "main") and boiler < 2 and not says_boiler and not says_comments:
-                boiler, article = 0, 1
-            elif mark and not (mark == 1 and name in ("div", "section", "main", "body") and says_article) and not (
-                    name == "header" and article and not says_comments):
-                boiler = max(boiler, mark)
-            elif says_article and not boiler and name in ("div", "section"):
-                article = 1
-            stack.append((name, boiler, article))
+            containers.append(Container(name, stack[-1], *hints))
+            stack.append(len(containers) - 1)
         else:
-            own = int(says_boiler or says_comments)
+            own, unseen = hints[0] or hints[1], hints[3]
     finish()
-    return out
+    return judged(out, places, containers)
+
+
+def judged(blocks: list[Block], places: list[tuple], containers: list[Container]) -> list[Block]:
+    """The blocks with their flags, now that it is known what each container holds."""
+    for b, place in zip(blocks, places):
+        containers[place[0]].words += b.words
+    for c in reversed(containers[1:]):
+        containers[c.parent].words += c.words
+        containers[c.parent].fields += c.fields
+    inside = [(0, 0)]
+    for c in containers[1:]:                     # parents come first
+        inside.append(c.settle(*inside[c.parent], containers[0].words))
+    cited = False
+    for b, (at, heading, item, own, unseen) in zip(blocks, places):
+        boiler, article = inside[at]
+        if heading:
+            cited = bool(article) and b.text.lower().strip(" :") in REFERENCE_HEADINGS
+        elif cited and article:
+            b.linked = 0                         # the links are what the list says
+        b.flags = (int(bool(boiler or unseen or own and not article)), int(bool(article)), heading, item)
+        b.strong = boiler > 1 or unseen
+    return blocks
 
 
 RAW_NAMES = frozenset(RAW.split("|"))
@@ -276,6 +355,10 @@ def main_text(page: str | None, tree: Tree) -> str:
     if not blocks:
         return ""
     keep = tree.predict(block_features(blocks))
+    if not keep.any():
+        plain = [b.linked < b.words / 2 and not b.strong for b in blocks]
+        clean = [p and not b.flags[0] for p, b in zip(plain, blocks)]
+        keep = clean if any(clean) else [p and b.words >= 10 for p, b in zip(plain, blocks)]
     return "\n\n".join(b.text for b, k in zip(blocks, keep) if k)
 
 
