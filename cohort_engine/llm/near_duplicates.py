@@ -1,45 +1,45 @@
 """MinHash near-duplicates by an LSH forest.
 
 1. A text becomes the set of its distinct four-word shingles (64-bit hashes), a digest
-   of that set and ``TREES * ROOT`` minhashes.  Equal sets form a class (grouped minimum,
-   so a class of any size is one row); from here on only classes are compared.
-2. Forest: tree t orders all classes by the signature read from its own place on.  The
-   order is a range-partitioned sort, so a region of any density is spread over tasks.
-   In every order a class's candidates are its nearest ``NEIGHBOURS`` on both sides that
-   share at least the first ``ROOT`` minhashes, the shallowest prefix at which a pair
-   counts.  Sorted neighbours are those of the longest common prefix, so the depth at
-   which pairs meet adapts by itself: shallow where a region is sparse, as deep as the
-   signatures go where it is dense.  Partition edges are paired in a second small step.
-   Two sets of similarity 0.8 meet at depth ``ROOT`` in some order but for 3 in a million.
-3. Sets are made again for the classes that have a candidate, and their shingles counted
-   among these.  A shingle no other of them holds can be in no intersection, which bounds
-   a pair's similarity from above exactly; pairs bounded below the threshold drop out.
-   In every region of every order (equal first ``ROOT`` minhashes) the class with the
-   smallest share of such lone shingles, the one nearest to what the region has in common,
-   becomes a further candidate of all others: in a dense region, where the neighbours do
-   not reach everyone, a class that is linked to anything is linked to that one first.
-4. Confirmation on whole sets, in two rounds: first every class's strongest candidate
-   (most orders agree); then, of the other candidates, those that join different
-   components.  Signatures that agree in under ``MAYBE`` of their places (five standard
-   deviations off 0.8) need no confirmation.
+   of that set and ``TREES * ROOT`` minhashes.  Equal sets form a class with a number of its
+   own (grouped minimum, so a class of any size is one row); from here on only classes are
+   compared.
+2. Forest: tree t orders all classes by the signature read from its own place on; classes
+   that share their first ``ROOT`` minhashes, the shallowest prefix at which a pair counts,
+   with no other class of the tree are left out.  The order is a range-partitioned sort, so
+   a region of any density is spread over tasks.  In every order a class's candidates are
+   its nearest ``NEIGHBOURS`` on both sides within its region.  Sorted neighbours are those
+   of the longest common prefix, so the depth at which pairs meet adapts by itself: shallow
+   where a region is sparse, as deep as the signatures go where it is dense.  Partition
+   edges are paired in a second small step.  Two sets of similarity 0.8 meet at depth
+   ``ROOT`` in some order but for 3 in a million.
+3. Two bits of every minhash travel along, and a pair whose bits agree in under ``AGREE`` of
+   the places (five standard deviations off 0.8) is dropped where it is found.
+4. Confirmation on whole sets, by hubs: sets are made from the texts where they are needed,
+   those of a hub's partners and the hub's own meet in tasks of bounded size, and nothing
+   is stored.  First every class with its candidate of the most candidates (near copies
+   have such a hub in common); then, of all other pairs, those that join components.
 5. Components of the confirmed links by large-star and small-star steps.
 6. A region of more than ``NEIGHBOURS + 1`` classes is crowded: some of its pairs were never
-   neighbours.  All pairs of crowded classes whose components still differ are searched by
-   an exact prefix filter (``crowded_pairs``), and what it finds joins components.
+   neighbours.  If its classes are of one component, nothing can be missing; the classes of
+   all other crowded regions are searched by an exact prefix filter (``crowded_pairs``), and
+   what it finds joins components.
 
-Candidates of the forest are linear in the number of classes: at most
-``TREES * (NEIGHBOURS + 1)`` each.  Step 6 keeps links only, but compares in the worst case (a
+Tables between steps are written compressed to the shared folder and deleted after their
+last reader.  Candidates of the forest are linear in the number of classes: at most
+``TREES * NEIGHBOURS`` each.  Step 6 keeps links only, but compares in the worst case (a
 dense region of unlinked texts just below the threshold) as many pairs as the region has.
 
 Defined results: NULL, empty and white-space texts have an empty set, no links, and
-themselves as component; rows that repeat a doc_id belong to one component; a NULL
-doc_id has a NULL component and is kept; an empty table gives an empty result; further
+themselves as component; equal rows that repeat a doc_id belong to one component, rows of
+one doc_id with different texts each to that of their text; a row without doc_id links
+nothing, has a NULL component and is kept; an empty table gives an empty result; further
 columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 from hashlib import blake2b
 
@@ -51,13 +51,15 @@ from pyspark.sql import functions as F
 
 from cohort_engine.llm.common import prepare, table
 from cohort_engine.llm.components import connected_components
+from cohort_engine.llm.scratch import Scratch
 
 SHINGLE = 4
 PERCENT = 80             # 100 * intersection >= PERCENT * union
 TREES, ROOT, DEPTH = 24, 4, 12
 HASHES = TREES * ROOT
 NEIGHBOURS = 4
-MAYBE = 0.6
+AGREE = 0.67             # share of places whose two bits agree: 0.85 expected at similarity 0.8, standard deviation 0.036
+DEAL_SHINGLES = 1 << 20  # shingles of a hub's partners that meet in one task, about
 BLOCK = 2048             # shingles hashed at once
 DEALT = 500              # holders of a shingle that are compared in one deal
 BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast at most
@@ -100,43 +102,62 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
+def set_digest(shingles: np.ndarray) -> bytes:
+    return blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         sets = [shingle_set(t) for t in pdf["text"]]
-        yield pd.DataFrame({
-            "doc_id": pdf["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets],
-            "digest": [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+        yield pdf.drop(columns="text").assign(**{
+            "n_shingles": [len(s) for s in sets],
+            "digest": [set_digest(s) if len(s) else None for s in sets],
             "sig": [signature(s).astype("<u4").tobytes() if len(s) else None for s in sets]})
 
 
-def order_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each class and tree: its place in that tree's order as three numbers of four 16-bit minhashes."""
+def region_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each class and tree: its place in that tree's order as three numbers of four 16-bit minhashes, and
+    two bits of all its minhashes as three numbers."""
     turn = (np.arange(TREES)[:, None] * ROOT + np.arange(DEPTH)[None, :]) % HASHES
+    shift = 2 * np.arange(32, dtype=np.uint64)
     for pdf in batches:
         if not len(pdf):
             continue
-        sig = np.frombuffer(b"".join(pdf["sig"]), "<u4").reshape(len(pdf), HASHES).astype(np.uint64) & np.uint64(0xFFFF)
-        keys = sig[:, turn].reshape(len(pdf), TREES, 3, 4)
+        whole = np.frombuffer(b"".join(pdf["sig"]), "<u4").reshape(len(pdf), HASHES)
+        keys = (whole.astype(np.uint64) & np.uint64(0xFFFF))[:, turn].reshape(len(pdf), TREES, 3, 4)
         packed = ((keys[..., 0] << np.uint64(48)) | (keys[..., 1] << np.uint64(32)) | (keys[..., 2] << np.uint64(16)) | keys[..., 3]).view(np.int64)
+        bits = ((whole >> 30).astype(np.uint64).reshape(len(pdf), 3, 32) << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
         yield pd.DataFrame({"tree": np.tile(np.arange(TREES, dtype=np.int32), len(pdf)),
                             "k0": packed[..., 0].ravel(), "k1": packed[..., 1].ravel(), "k2": packed[..., 2].ravel(),
+                            "b0": np.repeat(bits[:, 0], TREES), "b1": np.repeat(bits[:, 1], TREES), "b2": np.repeat(bits[:, 2], TREES),
                             "id": np.repeat(pdf["id"].to_numpy(np.int64), TREES)})
 
 
-def sorted_pairs(tree: np.ndarray, k0: np.ndarray, ids: np.ndarray, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
+def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether enough of the two-bit places of the rows agree."""
+    differ = (x ^ y).view(np.uint64)
+    differ = (differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)
+    return np.bitwise_count(differ).sum(axis=1) <= (1 - AGREE) * HASHES
+
+
+def sorted_pairs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    tree, k0, ids, bits = rows["tree"].to_numpy(), rows["k0"].to_numpy(), rows["id"].to_numpy(np.int64), rows[["b0", "b1", "b2"]].to_numpy(np.int64)
     left, right = [], []
-    for d in range(1, neighbours + 1):
+    for d in range(1, NEIGHBOURS + 1):
         i = np.flatnonzero((tree[d:] == tree[:-d]) & (k0[d:] == k0[:-d]) & (ids[d:] != ids[:-d]))
+        i = i[agreeing(bits[i], bits[i + d])]
         left.append(ids[i])
         right.append(ids[i + d])
     return np.concatenate(left), np.concatenate(right)
 
 
+PAIR_SCHEMA = "id long, other long, edge int, tree int, k0 long, b0 long, b1 long, b2 long, place int"
+
+
 def neighbour_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of neighbours of one sorted partition, and its first and last rows for the edges to the next ones."""
     def edge(rows: pd.DataFrame, number: int, side: int) -> pd.DataFrame:
-        return pd.DataFrame({"a": rows["id"], "b": np.int64(0), "edge": number, "tree": rows["tree"], "k0": rows["k0"],
-                             "place": side * NEIGHBOURS + np.arange(len(rows))})
+        return rows[["id", "tree", "k0", "b0", "b1", "b2"]].assign(other=np.int64(0), edge=number, place=side * NEIGHBOURS + np.arange(len(rows)))
 
     part, tail, first = TaskContext.get().partitionId(), None, True
     for pdf in batches:
@@ -146,106 +167,139 @@ def neighbour_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield edge(pdf.head(NEIGHBOURS), part - 1, 1)
             first = False
         now = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
-        a, b = sorted_pairs(now["tree"].to_numpy(), now["k0"].to_numpy(), now["id"].to_numpy(), NEIGHBOURS)
+        a, b = sorted_pairs(now)
         tail = now.tail(NEIGHBOURS)
-        yield pd.DataFrame({"a": a, "b": b, "edge": -2, "tree": 0, "k0": np.int64(0), "place": 0})
+        yield pd.DataFrame({"id": a, "other": b, "edge": -2, "tree": 0, "k0": np.int64(0), "b0": np.int64(0), "b1": np.int64(0), "b2": np.int64(0), "place": 0})
     if tail is not None:
         yield edge(tail, part, 0)
 
 
 def edge_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("place")
-    a, b = sorted_pairs(rows["tree"].to_numpy(), rows["k0"].to_numpy(), rows["a"].to_numpy(), NEIGHBOURS)
-    return pd.DataFrame({"a": a, "b": b})
+    a, b = sorted_pairs(rows.sort_values("place"))
+    return pd.DataFrame({"id": a, "other": b})
 
 
-def forest_candidates(classes: DataFrame) -> DataFrame:
-    """(a, b, votes): pairs of classes and in how many orders they are neighbours; a > b."""
-    rows = classes.select("id", "sig").mapInPandas(order_rows, "tree int, k0 long, k1 long, k2 long, id long")
-    order = ["tree", "k0", "k1", "k2", "id"]
-    scanned = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-               .mapInPandas(neighbour_pairs, "a long, b long, edge int, tree int, k0 long, place int").checkpoint())
-    edges = scanned.where("edge > -2").groupBy("edge").applyInPandas(edge_pairs, "a long, b long")
-    pairs = scanned.where("edge = -2").select("a", "b").unionByName(edges)
-    return (pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-            .groupBy("a", "b").agg(F.count("*").alias("votes")).checkpoint())
-
+def shared_regions(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(tree, k0, members)``: the regions of the trees that hold several classes."""
+    rows = classes.select("id", "sig").mapInPandas(region_rows, REGION_SCHEMA).select("tree", "k0")
+    return scratch.put(rows.groupBy("tree", "k0").agg(F.count("*").alias("members")).where("members > 1"), "regions")
 
-def shingle_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, n, shingles) of the documents that occur in ``pairs``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sets = [shingle_set(t) for t in pdf["text"]]
-            yield pd.DataFrame({"id": pdf["id"], "n": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct().checkpoint()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return (docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-            .mapInPandas(run, "id long, n long, shingles binary"))
+REGION_SCHEMA = "tree int, k0 long, k1 long, k2 long, b0 long, b1 long, b2 long, id long"
 
 
-def shared_sizes(sets: DataFrame) -> DataFrame:
-    """(id, n, shared): set sizes, and how many of the shingles another set holds as well."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def forest_candidates(classes: DataFrame, regions: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(a, b)``: pairs of classes that are neighbours in some order and agree well enough; a > b."""
+    rows = classes.select("id", "sig").mapInPandas(region_rows, REGION_SCHEMA).join(regions.select("tree", "k0"), ["tree", "k0"], "left_semi")
+    order = ["tree", "k0", "k1", "k2", "id"]
+    columns = [f.split()[0] for f in REGION_SCHEMA.split(", ")]
+    sorted_rows = scratch.put(rows.select(*columns), "rows").repartitionByRange(*order).sortWithinPartitions(*order)
+    scanned = scratch.put(sorted_rows.mapInPandas(neighbour_pairs, PAIR_SCHEMA), "scanned")
+    scratch.drop("rows")
+    edges = scanned.where("edge > -2").groupBy("edge").applyInPandas(edge_pairs, "id long, other long")
+    pairs = scanned.where("edge = -2").select("id", "other").unionByName(edges)
+    found = scratch.put(pairs.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct(), "pairs")
+    scratch.drop("scanned")
+    return found
+
+
+def texts_of(docs: DataFrame, roles: DataFrame) -> DataFrame:
+    """``roles`` (doc, digest, ...) with the texts of rows of that doc_id; the roles are broadcast where they are counted to be few."""
+    roles = F.broadcast(roles) if roles.count() <= BROADCAST_IDS else roles
+    return docs.select(F.col("doc_id").alias("doc"), "text").join(roles, "doc")
+
+
+def made_sets(pdf: pd.DataFrame, seen: set, keys: list[str]) -> tuple[pd.DataFrame, list[np.ndarray]]:
+    """The rows whose text has the set of their class, each once a task, with that set (an id may stand on other texts and on repeated rows)."""
+    made: dict[tuple, np.ndarray] = {}
+    keep, sets = [], []
+    for row in zip(range(len(pdf)), pdf["text"], pdf["digest"], *(pdf[k] for k in keys)):
+        at, text, digest, *key = row
+        if tuple(key) in seen:
+            continue
+        if (key[0], text) not in made:
+            made[key[0], text] = shingle_set(text)
+        x = made[key[0], text]
+        if set_digest(x) == digest:
+            seen.add(tuple(key))
+            keep.append(at)
+            sets.append(x)
+    return pdf.iloc[keep], sets
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``(hub, id)``: those of the pairs whose whole sets are similar enough.
+
+    A hub's partners are dealt to as many tasks as their shingles need, the hub's set goes to each of them."""
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set = set()
         for pdf in batches:
-            arrays = [np.frombuffer(x, np.int64) for x in pdf["shingles"]]
-            if arrays:
-                yield pd.DataFrame({"shingle": np.concatenate(arrays), "id": np.repeat(pdf["id"].to_numpy(np.int64), [len(a) for a in arrays])})
-
-    lone = (sets.mapInPandas(run, "shingle long, id long").groupBy("shingle").agg(F.count("*").alias("holders"), F.min("id").alias("id"))
-            .where("holders = 1").groupBy("id").agg(F.count("*").alias("lone")))
-    return sets.select("id", "n").join(lone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"))
-
-
-def regions(classes: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(id, leaders, crowded): the most typical classes of a linkable class's regions, and whether one of these regions
-    holds classes beyond its neighbours."""
-    known = sizes.select("id", F.when(F.col("shared") * 100 >= F.col("n") * PERCENT, 1 - F.col("shared") / F.col("n")).alias("lone"))
-    rows = (classes.join(known, "id").select("id", "sig").mapInPandas(order_rows, "tree int, k0 long, k1 long, k2 long, id long")
-            .select("tree", "k0", "id").join(known, "id"))
-    leaders = rows.groupBy("tree", "k0").agg(F.min(F.when(F.col("lone").isNotNull(), F.struct("lone", "id")))["id"].alias("leader"),
-                                             F.count("*").alias("members"), F.count("lone").alias("linkable"))
-    return (rows.where("lone IS NOT NULL").join(leaders.where("linkable > 1"), ["tree", "k0"]).groupBy("id")
-            .agg(F.collect_set(F.when(F.col("id") != F.col("leader"), F.col("leader"))).alias("leaders"),
-                 F.max(F.col("members") > NEIGHBOURS + 1).alias("crowded")))
-
-
-def leader_pairs(places: DataFrame) -> DataFrame:
-    """(a, b): every class with the most typical class of each of its regions."""
-    return (places.select("id", F.explode("leaders").alias("leader"))
-            .select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")))
-
-
-def crowded_pairs(places: DataFrame, sets: DataFrame, components: DataFrame) -> DataFrame:
-    """(a, b): the similar enough pairs of crowded classes whose components differ, by an exact prefix filter.
+            rows, made = made_sets(pdf, seen, ["id", "hub", "deal"])
+            yield rows[["id", "hub", "deal"]].assign(shingles=[x.tobytes() for x in made])
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        hub, _ = key
+        own = np.frombuffer(rows.loc[rows["id"] == hub, "shingles"].iloc[0], np.uint64)
+        keep = []
+        for i, raw in zip(rows["id"], rows["shingles"]):
+            x = np.frombuffer(raw, np.uint64)
+            both = len(np.intersect1d(x, own, assume_unique=True))
+            keep.append(i != hub and 100 * both >= PERCENT * (len(x) + len(own) - both))
+        return rows.loc[keep, ["hub", "id"]]
+
+    own = classes.select("id", "n_shingles", "digest", "doc")
+    load = F.ceil((F.sum("n_shingles") + 1) / DEAL_SHINGLES).cast("int")
+    partners = scratch.put(pairs.join(own, "id").select("id", "hub", "n_shingles", "digest", "doc"), f"{name}-partners")
+    deals = partners.groupBy("hub").agg(load.alias("deals"))
+    dealt = partners.join(deals, "hub").select("id", "hub", F.pmod(F.xxhash64("id"), "deals").cast("int").alias("deal"), "digest", "doc")
+    hubs = (dealt.select("hub", "deal").distinct().join(own.select(F.col("id").alias("hub"), "digest", "doc"), "hub")
+            .select(F.col("hub").alias("id"), "hub", "deal", "digest", "doc"))
+    roles = scratch.put(dealt.unionByName(hubs), f"{name}-roles")
+    out = scratch.put(texts_of(docs, roles).mapInPandas(sets, "id long, hub long, deal int, shingles binary").groupBy("hub", "deal")
+                      .applyInPandas(compare, "hub long, id long"), f"{name}-links")
+    scratch.drop(f"{name}-partners", f"{name}-roles")
+    return out
+
+
+def mixed_members(classes: DataFrame, regions: DataFrame, components: DataFrame) -> DataFrame:
+    """(id): the classes of crowded regions whose classes are of several components."""
+    rows = (classes.select("id", "sig").mapInPandas(region_rows, REGION_SCHEMA).select("tree", "k0", "id")
+            .join(regions.where(F.col("members") > NEIGHBOURS + 1).select("tree", "k0"), ["tree", "k0"], "left_semi")
+            .join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    mixed = rows.groupBy("tree", "k0").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return rows.join(mixed, ["tree", "k0"], "left_semi").select("id").distinct()
+
+
+def crowded_pairs(members: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(hub, id): the similar enough pairs of the ``members`` (id, doc, n, component, digest) whose components differ, by an exact prefix filter.
 
     A shingle all of whose holders are in one component is in no intersection looked for, so only the others (mixed ones)
     count.  They are put in one order for all sets, rare ones first; two sets with an intersection of c have a first
     common shingle with at least c places from it to the end in both.  The smaller set of a pair indexes the places that
     are enough for a partner of its own size, the larger one probes with those enough for any partner."""
     def run(batches: Iterator[pd.DataFrame], head: bool) -> Iterator[pd.DataFrame]:
+        seen: set = set()
         for pdf in batches:
-            arrays = [np.frombuffer(x, np.int64) for x in pdf["shingles"]]
+            rows, arrays = made_sets(pdf, seen, ["id"])
             arrays = [a[:len(a) - -(-len(a) * PERCENT // 100) + 1] for a in arrays] if head else arrays
             if arrays:
                 size = [len(a) for a in arrays]
-                yield pd.DataFrame({"shingle": np.concatenate(arrays)} | {c: np.repeat(pdf[c].to_numpy(np.int64), size) for c in ("id", "n", "component")})
+                yield pd.DataFrame({"shingle": np.concatenate(arrays).view(np.int64)} | {c: np.repeat(rows[c].to_numpy(np.int64), size) for c in ("id", "n", "component")})
 
     def mixed_of(rows: DataFrame) -> DataFrame:
         return (rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
                 .where("low < high").select("shingle", "holders"))
 
-    members = (sets.join(places.where("crowded").select("id").distinct(), "id").join(components.withColumnRenamed("node", "id"), "id", "left")
-               .select("id", "n", F.coalesce("component", "id").alias("component"), "shingles"))
     schema = "shingle long, id long, n long, component long"
-    # the same filter in the order of the hashes first, which needs a fifth of the shingles and no counts
-    heads = members.mapInPandas(partial(run, head=True), schema).select("shingle", "id", "component")
-    alive = heads.join(mixed_of(heads).select("shingle"), "shingle", "left_semi").select("id").distinct().checkpoint()
-    rows = members.join(alive, "id").mapInPandas(partial(run, head=False), schema)
+    # the same filter in the order of the hashes first, which needs a fifth of the shingles and no counts; rows that a
+    # repeated row made in another task as well are the same and fall together
+    heads = texts_of(docs, members).mapInPandas(partial(run, head=True), schema).select("shingle", "id", "component")
+    alive = scratch.put(heads.join(mixed_of(heads).select("shingle"), "shingle", "left_semi").select("id").distinct(), "alive")
+    rows = texts_of(docs, members.join(alive, "id", "left_semi")).mapInPandas(partial(run, head=False), schema)
     mixed = mixed_of(rows)
-    held = (rows.join(mixed, "shingle").groupBy("id", "component")
-            .agg(F.min("n").alias("n"), F.sort_array(F.collect_set(F.struct("holders", "shingle"))).alias("ordered"))
-            .withColumn("m", F.size("ordered").cast("long")).where(F.col("m") * 100 >= F.col("n") * PERCENT).checkpoint())
+    held = scratch.put(rows.join(mixed, "shingle").groupBy("id", "component")
+                       .agg(F.min("n").alias("n"), F.sort_array(F.collect_set(F.struct("holders", "shingle"))).alias("ordered"))
+                       .withColumn("m", F.size("ordered").cast("long")).where(F.col("m") * 100 >= F.col("n") * PERCENT), "held")
     first = F.floor((F.col("m") * 100 - F.col("n") * PERCENT) / 100).cast("int") + 1
     places_of = (held.select("id", "component", "n", "m", F.col("ordered.shingle").alias("whole"), F.posexplode(F.slice("ordered", F.lit(1), first)).alias("place", "at"))
                  .select("id", "component", "n", "whole", "at.shingle", (F.col("m") - F.col("place")).alias("left"),
@@ -258,87 +312,76 @@ def crowded_pairs(places: DataFrame, sets: DataFrame, components: DataFrame) ->
     return (index.join(probe, (F.col("i.shingle") == F.col("p.shingle")) & (F.col("i.deal") == F.col("p.deal")) & F.expr("i.component <> p.component")
                        & F.expr("(i.n < p.n OR i.n = p.n AND i.id < p.id)") & enough
                        & (F.size(F.array_intersect("i.whole", "p.whole")) * (100 + PERCENT) >= size))
-            .select(F.greatest("i.id", "p.id").alias("a"), F.least("i.id", "p.id").alias("b")).distinct())
-
+            .select(F.greatest("i.id", "p.id").alias("id"), F.least("i.id", "p.id").alias("hub")).distinct())
 
-def possible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs that can reach the threshold: an intersection holds shared shingles only."""
-    a = sizes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"))
-    b = sizes.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"))
-    most = F.least("s_a", "s_b")
-    return pairs.join(a, "a").join(b, "b").where(most * 100 >= (F.col("n_a") + F.col("n_b") - most) * PERCENT).select(*pairs.columns)
 
+def hubs_first(pairs: DataFrame) -> DataFrame:
+    """``(hub, id, rank)``: every pair from its class of fewer candidates to the one of more."""
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degree = both.groupBy("a").agg(F.count("*").alias("n"))
+    rank_a, rank_b = F.struct("n_a", (-F.col("a")).alias("id")), F.struct("n_b", (-F.col("b")).alias("id"))
+    known = pairs.join(degree.withColumnRenamed("n", "n_a"), "a").join(degree.select(F.col("a").alias("b"), F.col("n").alias("n_b")), "b")
+    up = rank_b > rank_a
+    return known.select(F.when(up, F.col("b")).otherwise(F.col("a")).alias("hub"), F.when(up, F.col("a")).otherwise(F.col("b")).alias("id"),
+                        F.greatest("n_a", "n_b").alias("rank"))
 
-def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose signatures agree often enough to be worth a confirmation."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = np.frombuffer(b"".join(pdf["sig_a"]), "<u4").reshape(len(pdf), HASHES)
-            y = np.frombuffer(b"".join(pdf["sig_b"]), "<u4").reshape(len(pdf), HASHES)
-            yield pdf.loc[(x == y).mean(axis=1) >= MAYBE, ["a", "b"]]
 
-    a = classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
-    b = classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
-    return (pairs.select("a", "b").join(a, "a").join(b, "b")
-            .select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long"))
+def joined_up(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) with further links (hub, id)."""
+    roots = parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(roots.unionByName(links.select(F.col("id").alias("a"), F.col("hub").alias("b"))))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            keep = []
-            for x, y in zip(pdf["x"], pdf["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield pdf.loc[keep, ["a", "b"]]
-
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(a, "a").join(b, "b").mapInPandas(run, "a long, b long")
+def apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (hub, id) of different components."""
+    of_hub = parts.select(F.col("node").alias("hub"), F.col("component").alias("ch"))
+    of_id = parts.select(F.col("node").alias("id"), F.col("component").alias("ci"))
+    return pairs.join(of_hub, "hub", "left").join(of_id, "id", "left").where(F.coalesce("ch", "hub") != F.coalesce("ci", "id")).select("hub", "id")
 
 
-def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def links(classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) of the classes that are linked to another one."""
-    near = forest_candidates(classes)
-    sets = shingle_sets(docs, near).checkpoint()
-    sizes = shared_sizes(sets).checkpoint()
-    places = regions(classes, sizes).checkpoint()
-    led = leader_pairs(places).groupBy("a", "b").agg(F.count("*").alias("votes"))
-    candidates = possible(near.unionByName(led).groupBy("a", "b").agg(F.sum("votes").alias("votes")), sizes).checkpoint()
-    strength = F.struct("votes", F.xxhash64("a", "b"), "b")
-    strongest = candidates.groupBy("a").agg(F.max(strength).alias("s")).select("a", F.col("s.b").alias("b"))
-    sure = confirm(alike(strongest, classes).checkpoint(), sets).checkpoint()
-    first = connected_components(sure).checkpoint()
-    of_a = first.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    of_b = first.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    other = (candidates.select("a", "b").join(strongest, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
-             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    more = confirm(alike(other, classes).checkpoint(), sets)
-    roots = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    second = connected_components(roots.unionByName(more)).checkpoint()
-    missed = confirm(crowded_pairs(places, sets, second).checkpoint(), sets).checkpoint()
-    if missed.isEmpty():
-        return second
-    roots = second.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return connected_components(roots.unionByName(missed))
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = docs.mapInPandas(sketch, "doc_id long, n_shingles long, digest binary, sig binary").checkpoint()
-    classes = (sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-               .agg(F.min("doc_id").alias("id"), F.count("*").alias("members"), F.min_by("sig", "doc_id").alias("sig"),
-                    F.first("n_shingles").alias("n_shingles")).checkpoint())
-    linked = links(classes, docs).checkpoint()
+    regions = shared_regions(classes, scratch)
+    found = forest_candidates(classes, regions, scratch)
+    pairs = scratch.put(hubs_first(found), "hubs")
+    scratch.drop("pairs")
+    one_each = pairs.groupBy("id").agg(F.max_by("hub", F.struct("rank", (-F.col("hub")).alias("first"))).alias("hub"))
+    first = scratch.put(connected_components(confirmed(one_each, classes, docs, scratch, "first").select(F.col("id").alias("a"), F.col("hub").alias("b"))), "parts1")
+    other = scratch.put(apart(pairs.select("hub", "id"), first), "other")
+    scratch.drop("hubs")
+    second = scratch.put(joined_up(first, confirmed(other, classes, docs, scratch, "more")), "parts2")
+    scratch.drop("other", "parts1", "first-links", "more-links")
+    members = mixed_members(classes, regions, second).join(classes.select("id", F.col("n_shingles").alias("n"), "digest", "doc"), "id")
+    members = scratch.put(members.join(second.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "members")
+    scratch.drop("regions")
+    missed = scratch.put(crowded_pairs(members, docs, scratch), "missed")
+    scratch.drop("alive", "held", "members")
+    return second if missed.isEmpty() else scratch.put(joined_up(second, confirmed(missed, classes, docs, scratch, "last")), "parts3")
+
+
+def near_duplicates(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document, and the columns to ``carry`` along."""
+    scratch = Scratch(docs.sparkSession, "near")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[2:])
+    made = given.withColumn("_id", F.col("doc_id").cast("string")).drop("doc_id").mapInPandas(sketch, f"_id string, n_shingles long, digest binary, sig binary{kinds}")
+    sketches = scratch.put(made.withColumn("doc_id", F.col("_id").cast("long")).drop("_id"), "sketches")
+    classes = scratch.put(sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
+                          .agg(F.min("doc_id").alias("doc"), F.count("*").alias("members"), F.min_by("sig", "doc_id").alias("sig"),
+                               F.first("n_shingles").alias("n_shingles"))
+                          .withColumn("id", F.monotonically_increasing_id()), "classes")        # written, so it stays
+    rows = scratch.put(sketches.drop("sig"), "documents")
+    scratch.drop("sketches")
+    linked = links(classes, given, scratch)
     # only classes of several members or with links need a look-up; the others are their own component
-    known = (classes.join(linked, F.col("id") == F.col("node"), "left").where("members > 1 OR node IS NOT NULL")
-             .select("digest", F.coalesce("component", "id").alias("component")))
-    return (sketches.select("doc_id", "n_shingles", "digest").join(known, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    parts = classes.join(linked, F.col("id") == F.col("node"), "left")
+    smallest = parts.where("node IS NOT NULL").groupBy("component").agg(F.min("doc").alias("component_id"))
+    known = scratch.put(parts.where("members > 1 OR node IS NOT NULL").select("digest", "doc", "component").join(smallest, "component", "left")
+                        .select("digest", F.coalesce("component_id", "doc").alias("component")), "known")
+    scratch.drop("classes", "parts2", "parts3")
+    return (rows.select("doc_id", "n_shingles", "digest", *carry).join(known, "digest", "left")
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), *carry)
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "n_shingles", "component_id", "kept", *carry))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,7 +63,29 @@ def test_empty_and_null_ids(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(empty).count() == 0
     got = near_duplicates(spark.createDataFrame([(None, "a b c d e"), (4, "a b c d e"), (2, None)], "doc_id long, text string")).collect()
-    assert {(r.doc_id, r.component_id) for r in got} == {(None, 4), (4, 4), (2, 2)} or {(r.doc_id, r.component_id) for r in got} == {(None, None), (4, 4), (2, 2)}
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(None, None, True), (4, 4, True), (2, 2, True)}
+
+
+def test_one_id_on_several_texts_and_rows(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, base), (1, "quite another text that stands alone here"), (2, base + " more"), (3, "quite another text that stands alone here too"), ((1 << 60) + 1, base + " and more")]
+    got = near_duplicates(spark.createDataFrame([r + ("k",) for r in rows], "doc_id long, text string, key string"), ["key"]).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.key) for r in got) == sorted(
+        [(1, 57, 1, "k"), (1, 57, 1, "k"), (1, 4, 1, "k"), (2, 58, 1, "k"), (3, 5, 1, "k"), ((1 << 60) + 1, 59, 1, "k")])
+
+
+def test_beyond_the_broadcast_bound_and_many_deals(spark, monkeypatch):
+    from cohort_engine.llm import near_duplicates as N
+    monkeypatch.setattr(N, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(N, "DEAL_SHINGLES", 100)
+    rnd = random.Random(2)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(60):
+        now = list(base) if i % 2 else [f"v{k}" for k in range(50)]
+        now[rnd.randrange(len(now))] = f"e{i}"
+        rows.append((i, " ".join(now)))
+    assert result(spark, rows) == brute(rows)
 
 
 def test_signatures_estimate_similarity():
