@@ -16,18 +16,34 @@ def k_range(n_features: int) -> list[int]:
     return ks or [min(10, n_features)]
 
 
-def anova_f(df: DataFrame, cols: Sequence[str], label: str = "response") -> DataFrame:
+def anova_f(df: DataFrame, cols: Sequence[str], label: str = "response", weight: str | None = None) -> DataFrame:
     """F1 scores: one-way ANOVA F of each feature against the class.
 
     From per-(feature, class) count, mean and population variance (a partial
     aggregate over unpivoted cells, NULL cells skipped):
     ``F = [sum_c n_c (mean_c - mean)^2 / (k - 1)] / [sum_c n_c var_c / (N - k)]``.
     Variances come from Spark's stable merge, so large means do not cancel.
-    Undefined F (no within-class spread, one class) is NULL and ranks last.
+    Undefined F (no within-class spread, one class) is NULL and ranks last.  With
+    ``weight``, a row stands for that many equal rows: moments are taken per weight,
+    of which there are few, and merged.
     """
-    long = to_long(df, cols, keys=[label])
-    per = long.groupBy("feature", label).agg(
+    per = to_long(df, cols, keys=[label, *([weight] if weight else [])]).groupBy("feature", label, *([weight] if weight else [])).agg(
         F.count("value").alias("n_c"), F.avg("value").alias("mean_c"), F.var_pop("value").alias("var_c"))
+    if weight:
+        n = F.col("n_c") * F.col(weight)
+        means = per.groupBy("feature", label).agg(F.sum(n).alias("total"), (F.sum(n * F.col("mean_c")) / F.sum(n)).alias("mean"))
+        per = (per.join(means, ["feature", label])
+               .groupBy("feature", label, F.col("total").alias("n_c"), F.col("mean").alias("m"))
+               .agg((F.sum(n * (F.col("var_c") + (F.col("mean_c") - F.col("mean")) ** 2)) / F.first("total")).alias("var_c"))
+               .withColumnRenamed("m", "mean_c"))
+    scored = f_from_moments(per)
+    # a column of NULLs alone has no row in the long form
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    return names.join(scored, "feature", "left")
+
+
+def f_from_moments(per: DataFrame) -> DataFrame:
+    """``(feature, f_score)`` from one row ``(feature, n_c, mean_c, var_c)`` per feature and class."""
     tot = per.groupBy("feature").agg(
         F.sum("n_c").alias("n"), (F.sum(F.col("n_c") * F.col("mean_c")) / F.sum("n_c")).alias("grand"),
         F.count(F.lit(1)).alias("k"))
@@ -37,15 +53,12 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str = "response") -> Data
         F.sum(F.col("n_c") * F.col("var_c")).alias("ssw"))
     between = F.try_divide(F.col("ssb"), F.col("k") - 1)
     within = F.try_divide(F.col("ssw"), F.col("n") - F.col("k"))
-    scored = parts.select("feature", F.try_divide(between, within).alias("f_score"))
-    # a column of NULLs alone has no row in the long form
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
-    return names.join(scored, "feature", "left")
+    return parts.select("feature", F.try_divide(between, within).alias("f_score"))
 
 
-def anova_ranking(df: DataFrame, cols: Sequence[str], label: str = "response") -> list[str]:
+def anova_ranking(df: DataFrame, cols: Sequence[str], label: str = "response", weight: str | None = None) -> list[str]:
     """Features in ANOVA-F order (best first, NULL last, ties by name)."""
-    return ranked(anova_f(df, cols, label))
+    return ranked(anova_f(df, cols, label, weight))
 
 
 def top_k(scores: DataFrame, k: int, score_col: str = "f_score") -> DataFrame:
@@ -75,7 +88,7 @@ def lasso_select(df: DataFrame, cols: Sequence[str], label: str = "response", al
 
 
 def rfe_path(df: DataFrame, cols: Sequence[str], label: str = "response", min_k: int = 1,
-             step: int = 1, reg_c: float = 1.0) -> list[str]:
+             step: int = 1, reg_c: float = 1.0, weight: str | None = None) -> list[str]:
     """recursive feature elimination with logistic regression.
 
     Returns all features in elimination order reversed (the last survivor first),
@@ -88,12 +101,12 @@ def rfe_path(df: DataFrame, cols: Sequence[str], label: str = "response", min_k:
 
     remaining = list(cols)
     eliminated: list[str] = []
-    base = df.select(*cols, F.col(label).cast("double").alias("__y")).persist()
-    n = base.count()
+    base = df.select(*cols, F.col(label).cast("double").alias("__y"), (F.col(weight) if weight else F.lit(1)).cast("double").alias("__w")).persist()
+    n = base.agg(F.sum("__w")).first()[0] or 1
     try:
         while len(remaining) > min_k:
             vec = VectorAssembler(inputCols=remaining, outputCol="__v").transform(base)
-            lr = LogisticRegression(featuresCol="__v", labelCol="__y", regParam=1.0 / (reg_c * n),
+            lr = LogisticRegression(featuresCol="__v", labelCol="__y", weightCol="__w", regParam=1.0 / (reg_c * n),
                                     elasticNetParam=0.0, standardization=False, maxIter=1000)
             w = abs(lr.fit(vec).coefficients.toArray())
             drop_n = min(step, len(remaining) - min_k)
