@@ -60,15 +60,16 @@ def _order_key(df: DataFrame, cols: Sequence[str], mm: dict) -> DataFrame:
 
 
 def mutual_info(df: DataFrame, cols: Sequence[str], label: str = "response", id_col: str = "patient_id",
-                n_neighbors: int = N_NEIGHBORS) -> DataFrame:
+                n_neighbors: int = N_NEIGHBORS, weight: str | None = None) -> DataFrame:
     """``(feature, mi)`` for every column (NULL cells are skipped).  ``id_col`` is
-    not needed: points are identified by their value and counted with multiplicity."""
+    not needed: points are identified by their value and counted with multiplicity;
+    with ``weight``, a row counts that many times."""
     spark = df.sparkSession
     cols = list(cols)
     K = n_neighbors
-    long = to_long(df, cols, keys=[label]).withColumnRenamed(label, "__y")
+    long = to_long(df, cols, keys=[label, *([weight] if weight else [])]).withColumnRenamed(label, "__y")
     # distinct values per (feature, class) with multiplicity: map-side pre-aggregation
-    dv = long.groupBy("feature", "__y", "value").agg(F.count(F.lit(1)).alias("c"))
+    dv = long.groupBy("feature", "__y", "value").agg((F.sum(F.col(weight)) if weight else F.count(F.lit(1))).alias("c"))
     n_c = dv.groupBy("feature", "__y").agg(F.sum("c").alias("n_c"))
     # classes x features rows; the class column of a 0/1 response has few values
     dv = (dv.join(F.broadcast(n_c), ["feature", "__y"]).where(F.col("n_c") > 1)

@@ -316,37 +316,69 @@ def rank_in_class(df: DataFrame, label: str, id_col: str, seed: int = 42, out: s
     return ranked.withColumn(out, F.col("cum___one") - 1).drop("__h", "__hk", "__one", "__hb", "cum___one")
 
 
-def oversample(df: DataFrame, label: str = "response", id_col: str = "patient_id", seed: int = 42) -> DataFrame:
-    """Every class but the largest is topped up to the largest class size by
-    drawing its rows with replacement; the original rows are kept.
+def _draws(df: DataFrame, label: str, counts: dict, seed: int) -> DataFrame | None:
+    """``(__dl, __pick)``: class and rank of every row drawn to top the smaller classes up (None: nothing to draw).
 
-    Draw ``i`` of class ``c`` takes the row at rank ``md5(seed:draw:c:i) mod n_c``.
-    Only the training side of a split may be passed in (resampling before the
-    fold split would leak copies into validation).
-    """
-    spark = df.sparkSession
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
-    if len(counts) < 2:
-        return df
+    Draw ``i`` of class ``c`` takes the row at rank ``md5(seed:draw:c:i) mod n_c``."""
     n_max = max(counts.values())
     extra = {c: n_max - n for c, n in counts.items() if n < n_max}
-    if not extra:
-        return df
-    ranked = rank_in_class(df, label, id_col, seed, n_rows=sum(counts.values()))
     draws = None
-    parts = bucket_count(spark, sum(extra.values()))
+    parts = bucket_count(df.sparkSession, sum(extra.values()))
     for c, k in extra.items():
-        d = (spark.range(0, k, 1, parts)
+        d = (df.sparkSession.range(0, k, 1, parts)
              .select(F.lit(c).cast(df.schema[label].dataType).alias("__dl"),
                      (hash_order(seed, F.lit("draw"), F.lit(str(c)), F.col("id")) % F.lit(counts[c]))
                      .alias("__pick")))
         draws = d if draws is None else draws.unionByName(d)
-    minority = ranked.where(F.col(label).isin(list(extra)))
+    return draws
+
+
+def _class_counts(df: DataFrame, label: str) -> dict:
+    return {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
+
+
+def oversample(df: DataFrame, label: str = "response", id_col: str = "patient_id", seed: int = 42) -> DataFrame:
+    """Every class but the largest is topped up to the largest class size by
+    drawing its rows with replacement; the original rows are kept.
+
+    Only the training side of a split may be passed in (resampling before the
+    fold split would leak copies into validation).  ``resample_weights`` gives the
+    same draws as numbers instead of copies.
+    """
+    counts = _class_counts(df, label)
+    draws = _draws(df, label, counts, seed) if len(counts) > 1 else None
+    if draws is None:
+        return df
+    ranked = rank_in_class(df, label, id_col, seed, n_rows=sum(counts.values()))
+    minority = ranked.where(F.col(label).isin([c for c, n in counts.items() if n < max(counts.values())]))
     # no hint: the runtime broadcasts a minority of few bytes, whose few join keys could not be spread
     copies = draws.join(minority, (draws["__dl"] == minority[label]) & (draws["__pick"] == minority["__rank"]), "inner")
     return df.unionByName(copies.select(*df.columns))
 
 
+def resample_weights(df: DataFrame, strategy: str, label: str = "response", id_col: str = "patient_id", seed: int = 42, out: str = "weight") -> DataFrame:
+    """T8, T9 as multiplicities: every row with the number of times the resampled table holds it (left out: 0 times).
+
+    Draws are counted by rank before they meet the rows, so a row is one row however often it is drawn; statistics and
+    estimators take the number as a weight."""
+    kind = {"oversampling": "over", "over": "over", "undersampling": "under", "under": "under", "none": None, None: None}
+    if strategy not in kind:
+        raise ValueError(f"unknown resampling strategy '{strategy}'")
+    counts = _class_counts(df, label) if kind[strategy] else {}
+    if len(counts) < 2:
+        return df.withColumn(out, F.lit(1).cast("long"))
+    if kind[strategy] == "under":
+        ranked = rank_in_class(df, label, id_col, seed, n_rows=sum(counts.values()))
+        return ranked.where(F.col("__rank") < min(counts.values())).drop("__rank").withColumn(out, F.lit(1).cast("long"))
+    draws = _draws(df, label, counts, seed)
+    if draws is None:
+        return df.withColumn(out, F.lit(1).cast("long"))
+    ranked = rank_in_class(df, label, id_col, seed, n_rows=sum(counts.values()))
+    times = draws.groupBy("__dl", "__pick").agg(F.count(F.lit(1)).alias("__times"))
+    met = ranked.join(times, (ranked[label] == times["__dl"]) & (ranked["__rank"] == times["__pick"]), "left")
+    return met.withColumn(out, F.lit(1) + F.coalesce("__times", F.lit(0))).drop("__dl", "__pick", "__times", "__rank")
+
+
 def undersample(df: DataFrame, label: str = "response", id_col: str = "patient_id", seed: int = 42) -> DataFrame:
     """Every class is cut to the smallest class size, keeping the first rows in
     ``md5(seed:id)`` order (no replacement)."""

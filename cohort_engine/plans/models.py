@@ -110,52 +110,54 @@ def _rff_map(df: DataFrame, col: str, W: np.ndarray, b: np.ndarray) -> DataFrame
 
 def fit(algorithm: str, params: dict, train: DataFrame, n_train: int, label: str = "label",
         features_col: str = "features", seed: int = 42, calibrate: bool = True,
-        rff_components: int = RFF_COMPONENTS) -> FittedModel:
+        rff_components: int = RFF_COMPONENTS, weight: str | None = None) -> FittedModel:
     """Fit one candidate on an assembled training frame.
 
     ``calibrate`` learns SVM probabilities (``CALIBRATION_FOLDS`` further fits); a search
     that compares classes only does without.  ``rff_components`` is the width of the
-    feature map behind the RBF kernel."""
+    feature map behind the RBF kernel.  ``weight`` names the column that says how often a
+    row counts; ``n_train`` is the sum of it."""
     a = canonical(algorithm)
     p = model_params(params)
+    w = {"weightCol": weight} if weight else {}
     if a == "logistic_regression":
-        est = LogisticRegression(featuresCol=features_col, labelCol=label, maxIter=1000, elasticNetParam=0.0,
+        est = LogisticRegression(featuresCol=features_col, labelCol=label, **w, maxIter=1000, elasticNetParam=0.0,
                                  regParam=1.0 / (float(p["C"]) * n_train), standardization=False, tol=LR_TOL)
         return FittedModel(a, params, est.fit(train))
     if a == "svm":
         rff = None
         src = train
         if p.get("kernel", "linear") == "rbf":
-            rff = _rff_weights(train, features_col, seed, rff_components)
+            rff = _rff_weights(train, features_col, seed, rff_components, weight)
             src = _rff_map(train, features_col, *rff)
-        svc = LinearSVC(featuresCol=features_col, labelCol=label, regParam=1.0 / (float(p["C"]) * n_train),
+        svc = LinearSVC(featuresCol=features_col, labelCol=label, **w, regParam=1.0 / (float(p["C"]) * n_train),
                         maxIter=1000, standardization=False, tol=SVM_TOL)
         m = svc.fit(src)
         if not calibrate:
             return FittedModel(a, params, m, None, rff)
-        margins = _oof_margins(src, svc, features_col, label, seed)
-        platt = LogisticRegression(featuresCol="__mv", labelCol=label, regParam=0.0, maxIter=100).fit(
-            margins.select(label, array_to_vector(F.array("__m")).alias("__mv")))
+        margins = _oof_margins(src, svc, features_col, label, seed, weight)
+        platt = LogisticRegression(featuresCol="__mv", labelCol=label, **w, regParam=0.0, maxIter=100).fit(
+            margins.select(label, *w.values(), array_to_vector(F.array("__m")).alias("__mv")))
         return FittedModel(a, params, m, platt, rff)
     if a == "xgboost":
-        est = GBTClassifier(featuresCol=features_col, labelCol=label, maxIter=int(p["n_estimators"]),
+        est = GBTClassifier(featuresCol=features_col, labelCol=label, **w, maxIter=int(p["n_estimators"]),
                             maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
                             lossType="logistic", seed=seed)
         return FittedModel(a, params, est.fit(train))
     if a == "random_forest":
         depth = SPARK_MAX_DEPTH if p["max_depth"] is None else int(p["max_depth"])
-        est = RandomForestClassifier(featuresCol=features_col, labelCol=label, numTrees=int(p["n_estimators"]),
+        est = RandomForestClassifier(featuresCol=features_col, labelCol=label, **w, numTrees=int(p["n_estimators"]),
                                      maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed)
         return FittedModel(a, params, est.fit(train))
     depth = SPARK_MAX_DEPTH if p["max_depth"] is None else int(p["max_depth"])
     # no minimum-split parameter in Spark: a split needs both children >= half of it
     min_node = max(1, int(p.get("min_samples_split", 2)) // 2)
-    est = DecisionTreeClassifier(featuresCol=features_col, labelCol=label, maxDepth=depth,
+    est = DecisionTreeClassifier(featuresCol=features_col, labelCol=label, **w, maxDepth=depth,
                                  minInstancesPerNode=min_node, seed=seed)
     return FittedModel(a, params, est.fit(train))
 
 
-def _oof_margins(src: DataFrame, svc: LinearSVC, features_col: str, label: str, seed: int) -> DataFrame:
+def _oof_margins(src: DataFrame, svc: LinearSVC, features_col: str, label: str, seed: int, weight: str | None = None) -> DataFrame:
     """SVM margins of each training row from a model that did not see it
     (``CALIBRATION_FOLDS``-fold, as the reference's probability calibration).
     Folds hash the row's content, so resampled copies of a row share a fold."""
@@ -166,17 +168,18 @@ def _oof_margins(src: DataFrame, svc: LinearSVC, features_col: str, label: str,
     for f in range(CALIBRATION_FOLDS):
         mf = svc.fit(keyed.where(F.col("__cf") != f))
         parts.append(mf.transform(keyed.where(F.col("__cf") == f))
-                     .select(label, vector_to_array("rawPrediction")[1].alias("__m")))
+                     .select(label, *([weight] if weight else []), vector_to_array("rawPrediction")[1].alias("__m")))
     out = parts[0]
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
 
 
-def _rff_weights(train: DataFrame, features_col: str, seed: int, components: int) -> tuple[np.ndarray, np.ndarray]:
+def _rff_weights(train: DataFrame, features_col: str, seed: int, components: int, weight: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """gamma = 1 / (p * Var(X)) over all training cells ('scale'), W ~ N(0, 2 gamma)."""
-    arr = train.select(F.explode(vector_to_array(features_col)).alias("x"))
-    row = arr.agg(F.var_pop("x").alias("v"), F.count("x").alias("n")).first()
+    arr = train.select(F.explode(vector_to_array(features_col)).alias("x"), (F.col(weight) if weight else F.lit(1)).alias("w"))
+    center = arr.agg(F.sum(F.col("x") * F.col("w")) / F.sum("w")).first()[0] or 0.0
+    row = arr.agg((F.sum(F.col("w") * (F.col("x") - center) ** 2) / F.sum("w")).alias("v")).first()
     first = train.select(features_col).first()
     p = len(first[0]) if first is not None else 1
     var = row["v"] or 1.0

@@ -22,10 +22,11 @@ from cohort_engine.operators import columns as C
 from cohort_engine.operators import metrics as M
 from cohort_engine.operators import prep as P
 from cohort_engine.plans import models as MD
+from cohort_engine.plans.ledger import WHOLE, SearchLedger
 from cohort_engine.plans.pipeline_prep import PreparedModel, cohort_features
 from cohort_engine.sources.tables import nan_to_null
 from cohort_engine.plans.tuning import (SearchConfig, TrainedPipeline, decide_resampling, grid_search,
-                                        nested_cv, refit, seed_summary)
+                                        nested_cv, refit, seed_report)
 from cohort_engine.sources.validate import SampleSchema, validate
 
 _MODEL_CLASSES = {
@@ -36,24 +37,31 @@ _MODEL_CLASSES = {
 
 def train_cohort(df: DataFrame, cfg: SearchConfig, seeds=(42,), output: str | None = None,
                  run_nested: bool = True) -> dict:
-    """Train as the reference's pipeline does; returns per-seed results and pipelines."""
+    """Train as the reference's pipeline does; returns per-seed results and pipelines.
+
+    With ``output``, every finished split is kept in a ledger there: a run that was killed
+    fits what is missing when it is started again."""
     df = nan_to_null(validate(df, SampleSchema(response=cfg.response.lower(), batch_col=cfg.batch_col or "batch")))
     feats = cohort_features(df, cfg.response, cfg.batch_col or "batch")
     enc = C.encode_sex(df)
     _, kept, dropped = C.drop_constant(enc, feats)          # judged on the full set (Q14)
     keys = [c for c in (cfg.id_col, cfg.response, cfg.batch_col) if c and c in df.columns]
     cohort = enc.select(*keys, *kept)
-    summaries, pipelines, nested = [], {}, {}
+    summaries, pipelines, nested, tables = [], {}, {}, {}
+    ledger = SearchLedger(df.sparkSession, f"{output}/ledger/{MD.canonical(cfg.algorithm)}_{cfg.selection}") if output else None
     for seed in seeds:
         if run_nested:
-            res = nested_cv(cohort, kept, cfg, seed)
+            res = nested_cv(cohort, kept, cfg, seed, ledger)
             nested[seed] = res
         strategy = decide_resampling(cohort, cfg)
-        best = grid_search(cohort, kept, cfg, strategy, seed)["best"]
+        search = grid_search(cohort, kept, cfg, strategy, seed, ledger)
+        best, tables[seed] = search["best"], search["table"]
         pipe = refit(cohort, kept, best, cfg, strategy, seed)
         pipelines[seed] = pipe
         if run_nested:
-            summaries.append(seed_summary(nested[seed], seed, len(pipe.features)))
+            summaries.append(seed_report(nested[seed], seed, cfg, pipe, dropped))
+        if ledger:
+            ledger.record_choice(seed, WHOLE, best, strategy, pipe.features, pipe.prep.removed)
         if output:
             save_pipeline(pipe, f"{output}/{MD.canonical(cfg.algorithm)}_{cfg.selection}/seed={seed}",
                           df.sparkSession)
@@ -62,13 +70,14 @@ def train_cohort(df: DataFrame, cfg: SearchConfig, seeds=(42,), output: str | No
         table = s if table is None else table.unionByName(s)
     if output and table is not None:
         write_results(table, f"{output}/all_seeds_results")
-    return {"dropped_constant": dropped, "pipelines": pipelines, "nested": nested, "summary": table}
+    return {"dropped_constant": dropped, "pipelines": pipelines, "nested": nested, "summary": table, "tables": tables, "ledger": ledger}
 
 
 def write_results(table: DataFrame, path: str) -> None:
     """The per-seed summary table as parquet and a header CSV."""
     table.write.mode("overwrite").parquet(path + ".parquet")
-    table.coalesce(1).write.mode("overwrite").option("header", True).csv(path + ".csv")
+    flat = [F.array_join(c, ";").alias(c) if kind.startswith("array") else F.col(c) for c, kind in table.dtypes]       # a CSV cell holds no list
+    table.select(*flat).coalesce(1).write.mode("overwrite").option("header", True).csv(path + ".csv")
 
 
 # ---------------------------------------------------------------------------

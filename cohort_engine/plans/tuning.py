@@ -9,8 +9,11 @@ Layout of the work, per seed:
   training rows; for every inner split the preparation chain, resampling and the
   feature ranking are fitted **once** and shared by all candidates (the reference
   refits them per candidate);
-* candidate fits are Spark jobs submitted from a small driver thread pool; their
-  validation predictions are unioned and scored by one grouped metrics job;
+* resampling gives every training row the number of times it is drawn; ranking and
+  estimators take it as a weight, nothing is copied;
+* logistic regressions of all candidates are fitted together, one pass a Newton step
+  (``multi_fit``); other candidate fits are Spark jobs submitted from a small driver
+  thread pool, whose validation predictions are unioned and scored by one grouped job;
 * one outer pass yields the fold MCCs (G4), the out-of-fold classes (G5) and the
   out-of-fold probabilities (G6) -- the reference runs that pass three times.
 """
@@ -22,6 +25,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +35,14 @@ from cohort_engine.operators import prep as P
 from cohort_engine.operators import select as S
 from cohort_engine.operators import stats as A
 from cohort_engine.plans import models as MD
+from cohort_engine.plans import multi_fit as MF
 from cohort_engine.plans.folds import stratified_folds
+from cohort_engine.plans.ledger import WHOLE, SearchLedger, as_json
 from cohort_engine.plans.pipeline_prep import PreparedModel, Preparer
 from cohort_engine.session import ensure_checkpoint_dir
 
 
+WEIGHT = "__weight"       # how often the resampled training rows hold a row
 RESAMPLE_SEED = 42       # fixed value: the reference resamples with it whatever the run's seed
 
 
@@ -92,12 +99,12 @@ def decide_resampling(df: DataFrame, cfg: SearchConfig) -> str:
 
 def _rank(train: DataFrame, feats: list[str], cfg: SearchConfig) -> list[str]:
     if cfg.selection == "anova":
-        return S.anova_ranking(train, feats, cfg.response)
+        return S.anova_ranking(train, feats, cfg.response, WEIGHT)
     if cfg.selection == "mutual_info":
         from cohort_engine.operators.mutual_info import mutual_info
-        return S.ranked(mutual_info(train, feats, cfg.response), "mi")
+        return S.ranked(mutual_info(train, feats, cfg.response, weight=WEIGHT), "mi")
     if cfg.selection == "rfe":
-        return S.rfe_path(train, feats, cfg.response)
+        return S.rfe_path(train, feats, cfg.response, weight=WEIGHT)
     return list(feats)                    # lasso chooses per alpha
 
 
@@ -107,20 +114,20 @@ def prepare_split(train_raw: DataFrame, val_raw: DataFrame | None, features: lis
     preparer = Preparer(features, cfg.batch_col, cfg.stats, cfg.outlier_method, cfg.outlier_params)
     prep, train = preparer.fit(train_raw)
     feats = prep.kept
-    train = P.resample(train, strategy, cfg.response, cfg.id_col, RESAMPLE_SEED)
-    train = _persist(train.select(cfg.id_col, cfg.response, *feats), bag)
-    n_train = train.count()
+    train = P.resample_weights(train, strategy, cfg.response, cfg.id_col, RESAMPLE_SEED, WEIGHT)
+    train = _persist(train.select(cfg.id_col, cfg.response, WEIGHT, *feats), bag)
+    n_rows, n_train = train.agg(F.count(F.lit(1)), F.coalesce(F.sum(WEIGHT), F.lit(0))).first()
     ranking = _rank(train, feats, cfg)
     assembler = VectorAssembler(inputCols=ranking, outputCol="features")
 
     def vec(d: DataFrame) -> DataFrame:
         return assembler.transform(d.withColumn("label", F.col(cfg.response).cast("double"))) \
-            .select(cfg.id_col, "label", "features")
+            .select(cfg.id_col, "label", "features", *([WEIGHT] if WEIGHT in d.columns else []))
 
-    tr = _persist(right_size(vec(train), n_train), bag)
+    tr = _persist(right_size(vec(train), n_rows), bag)
     va = None
     if val_raw is not None:
-        va = _persist(right_size(vec(prep.transform(val_raw).select(cfg.id_col, cfg.response, *feats)), n_train),
+        va = _persist(right_size(vec(prep.transform(val_raw).select(cfg.id_col, cfg.response, *feats)), n_rows),
                       bag)
     preparer.release()
     return Split(prep, ranking, tr, va, n_train, bag)
@@ -137,7 +144,7 @@ def _lasso_sets(split: Split, alphas: list[float]) -> dict[float, list[int]]:
     from pyspark.ml.regression import LinearRegression
     out = {}
     for a in alphas:
-        lr = LinearRegression(featuresCol="features", labelCol="label", regParam=a, elasticNetParam=1.0,
+        lr = LinearRegression(featuresCol="features", labelCol="label", weightCol=WEIGHT, regParam=a, elasticNetParam=1.0,
                               standardization=False, maxIter=10_000, tol=1e-6)
         coef = lr.fit(split.train).coefficients.toArray()
         out[a] = [i for i, w in enumerate(coef) if abs(w) > 1e-5]
@@ -158,12 +165,14 @@ def fit_candidate(split: Split, params: dict, cfg: SearchConfig, seed: int, lass
     if idx is None:
         return None, None
     model = MD.fit(cfg.algorithm, params, _sliced(split.train, idx), split.n_train, seed=seed,
-                   calibrate=calibrate)
+                   calibrate=calibrate, weight=WEIGHT)
     return model, idx
 
 
 def score_candidates(split: Split, cands: list[dict], cfg: SearchConfig, seed: int) -> dict[int, tuple]:
-    """Fit every candidate on the split's training rows; (mcc, f1) on its validation rows."""
+    """Fit every candidate on the split's training rows; (mcc, f1, rows) on its validation rows."""
+    if MD.canonical(cfg.algorithm) == "logistic_regression" and all("k" in c for c in cands) and len(split.ranking) <= MF.MAX_FEATURES:
+        return score_together(split, cands)
     alphas = sorted({float(c["alpha"]) for c in cands if "alpha" in c})
     lasso = _lasso_sets(split, alphas) if alphas else {}
 
@@ -184,7 +193,16 @@ def score_candidates(split: Split, cands: list[dict], cfg: SearchConfig, seed: i
     cells: dict[int, dict] = {}
     for r in allp.groupBy("cand", "label", "prediction").count().collect():
         cells.setdefault(r["cand"], {})[(r["label"], r["prediction"])] = r["count"]
-    return {ci: M.scores_from_counts(cc)[:2] for ci, cc in cells.items()}
+    return {ci: (*M.scores_from_counts(cc)[:2], sum(cc.values())) for ci, cc in cells.items()}
+
+
+def score_together(split: Split, cands: list[dict]) -> dict[int, tuple]:
+    """All logistic regressions of a split in one pass a step, and one pass over its validation rows."""
+    own = [MF.Candidate(float(c["C"]), min(int(c["k"]), len(split.ranking))) for c in cands]
+    x = vector_to_array("features").alias("x")
+    fits = MF.multi_fit_lr(split.train.select("label", x, F.array(F.col(WEIGHT).cast("double")).alias("w")), own)
+    counts = MF.fit_counts(split.val.select("label", x), fits)
+    return {i: (*M.scores_from_counts(c)[:2], sum(c.values())) for i, c in counts.items() if c}
 
 
 def usable_features(df: DataFrame, features: list[str], cfg: SearchConfig) -> int:
@@ -198,15 +216,28 @@ def usable_features(df: DataFrame, features: list[str], cfg: SearchConfig) -> in
         preparer.release()
 
 
-def grid_search(df: DataFrame, features: list[str], cfg: SearchConfig, strategy: str, seed: int) -> dict:
+def _add(sums: dict, scores: dict[int, tuple]) -> None:
+    for ci, (mcc, f1, _) in scores.items():
+        sums[ci][0] += mcc
+        sums[ci][1] += f1
+        sums[ci][2] += 1
+
+
+def grid_search(df: DataFrame, features: list[str], cfg: SearchConfig, strategy: str, seed: int,
+                ledger: SearchLedger | None = None, outer: int = WHOLE) -> dict:
     """Mean inner-fold MCC and weighted F1 per candidate; refit choice = best MCC,
-    first candidate on ties.  Returns {'best': params, 'table': [(params, mcc, f1)]}."""
+    first candidate on ties.  Returns {'best': params, 'table': [(params, mcc, f1)]}.
+    With a ``ledger``, splits it holds are not fitted again."""
     cands = cfg.candidates(usable_features(df, features, cfg))
     inner = stratified_folds(df, cfg.response, cfg.id_col, cfg.inner_folds, seed, out="__inner")
     inner = inner.persist(StorageLevel.MEMORY_AND_DISK)
     sums = {i: [0.0, 0.0, 0] for i in range(len(cands))}
     try:
         for f in range(cfg.inner_folds):
+            res = ledger.known(seed, outer, f, cands) if ledger else None
+            if res is not None:
+                _add(sums, res)
+                continue
             split = prepare_split(inner.where(F.col("__inner") != f).drop("__inner"),
                                   inner.where(F.col("__inner") == f).drop("__inner"),
                                   features, cfg, strategy, seed)
@@ -214,10 +245,9 @@ def grid_search(df: DataFrame, features: list[str], cfg: SearchConfig, strategy:
                 res = score_candidates(split, cands, cfg, seed)
             finally:
                 split.release()
-            for ci, (mcc, f1) in res.items():
-                sums[ci][0] += mcc
-                sums[ci][1] += f1
-                sums[ci][2] += 1
+            if ledger:
+                ledger.record(seed, outer, f, cands, res)
+            _add(sums, res)
     finally:
         inner.unpersist()
     table = []
@@ -271,9 +301,10 @@ def refit(df: DataFrame, features: list[str], params: dict, cfg: SearchConfig, s
     return TrainedPipeline(split.prep, names, model, params, cfg.response, cfg.id_col)
 
 
-def nested_cv(df: DataFrame, features: list[str], cfg: SearchConfig, seed: int = 42) -> dict:
+def nested_cv(df: DataFrame, features: list[str], cfg: SearchConfig, seed: int = 42, ledger: SearchLedger | None = None) -> dict:
     """G4-G6 for one seed: per outer fold the inner grid search, the refit and the
-    validation predictions.  Returns fold metrics, OOF predictions, chosen params."""
+    validation predictions.  Returns fold metrics, OOF predictions, chosen params.
+    With a ``ledger``, outer folds and splits it holds are not fitted again."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     strategy = decide_resampling(df, cfg)
@@ -281,15 +312,19 @@ def nested_cv(df: DataFrame, features: list[str], cfg: SearchConfig, seed: int =
     folds = right_size(folds, folds.count()).persist(StorageLevel.MEMORY_AND_DISK)
     oof_parts, chosen = [], []
     for o in range(cfg.outer_folds):
+        if ledger and (known := ledger.predictions(seed, o)) is not None:
+            chosen.append((o, ledger.choice(seed, o)))
+            oof_parts.append(known)
+            continue
         train = folds.where(F.col("__outer") != o).drop("__outer")
         val = folds.where(F.col("__outer") == o).drop("__outer")
-        best = grid_search(train, features, cfg, strategy, seed)["best"]
+        best = grid_search(train, features, cfg, strategy, seed, ledger, o)["best"]
         chosen.append((o, best))
         pipe = refit(train, features, best, cfg, strategy, seed)
         pred = pipe.predict(val).select(cfg.id_col, F.col(cfg.response).alias("label"),
                                         F.col("prediction").cast("int").alias("prediction"), "p1",
                                         F.lit(o).alias("fold"))
-        oof_parts.append(pred.checkpoint())
+        oof_parts.append(ledger.record_outer(seed, o, pred, best, strategy, pipe.features, pipe.prep.removed) if ledger else pred.checkpoint())
     folds.unpersist()
     oof = oof_parts[0]
     for p in oof_parts[1:]:
@@ -308,3 +343,14 @@ def seed_summary(result: dict, seed: int, n_features: int) -> DataFrame:
             .select(F.lit(seed).alias("seed"), F.col("mcc_mean").alias("cv_mcc"),
                     F.col("mcc_std").alias("cv_mcc_std"), "cv_f1", "cv_auc",
                     F.lit(n_features).alias("n_features")))
+
+
+def seed_report(result: dict, seed: int, cfg: SearchConfig, pipe: TrainedPipeline, dropped: list[str]) -> DataFrame:
+    """The whole row of a seed: summary, pooled confusion, resampling, chosen parameters, features kept and left out."""
+    cell = {f"{name}": F.count_if((F.col("label") == a) & (F.col("prediction") == b)) for name, a, b in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))}
+    confusion = result["oof"].agg(*(c.alias(k) for k, c in cell.items()))
+    texts = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
+    return (seed_summary(result, seed, len(pipe.features)).crossJoin(confusion)          # one row each
+            .select("*", F.lit(MD.canonical(cfg.algorithm)).alias("algorithm"), F.lit(cfg.selection).alias("selection"), F.lit(result["strategy"]).alias("resampling"),
+                    F.lit(as_json(pipe.params)).alias("params"), texts(pipe.features).alias("features"),
+                    texts(pipe.prep.removed).alias("removed_outliers"), texts(dropped).alias("dropped_constant")))
