@@ -27,8 +27,19 @@ from cohort_engine.functions.partitions import bucket_count
 _BUCKET = "__bucket"
 
 
-def _cut_points(df: DataFrame, col: str, n_buckets: int, rel_err: float) -> list[float]:
+#: Quantiles of the pass that counts the rows as well; more buckets than that take a second one.
+PROBED = 512
+
+
+def _cut_points(df: DataFrame, col: str, n_buckets: int | None, rel_err: float) -> list[float]:
+    """Inner cut points for ``n_buckets`` ranges, or for as many as the rows ask for."""
     from cohort_engine.functions.quantiles import cut_points
+    if n_buckets is None:
+        (fine,), rows = cut_points(df, [col], PROBED, rel_err, with_count=True)
+        n_buckets = bucket_count(df.sparkSession, rows)
+        if n_buckets <= PROBED:
+            step = max(1, len(fine) // n_buckets)
+            return fine[step - 1::step]
     return cut_points(df, [col], n_buckets, rel_err)[0]
 
 
@@ -39,9 +50,7 @@ def range_buckets(df: DataFrame, col: str, n_buckets: int | None = None,
     Bucket order follows the order of ``col``.  Cut points are computed once on the
     driver (``n_buckets - 1`` doubles) and then are literals of the plan.
     """
-    spark = df.sparkSession
-    n_buckets = n_buckets or bucket_count(spark, df.count())
-    if n_buckets <= 1:
+    if n_buckets is not None and n_buckets <= 1:
         return df.withColumn(out_col, F.lit(0.0))
     tmp = f"{out_col}_src"
     src = df.withColumn(tmp, F.col(col).cast("double"))

@@ -68,9 +68,14 @@ def _fail(column: str, check: str, value: Column | None) -> Column:
 
 
 def _as_double(df: DataFrame, c: str) -> Column:
-    if isinstance(df.schema[c].dataType, T.NumericType):
-        return F.col(c).cast("double")
-    return F.col(c).cast("string").try_cast("double")
+    """The number a cell holds: its cast, which ``_with_numbers`` has put beside it once."""
+    return F.col(f"__as_double_{c}") if f"__as_double_{c}" in df.columns else F.col(c).cast("double")
+
+
+def _with_numbers(df: DataFrame) -> DataFrame:
+    """Every text column's cast to double beside it, so that checks do not cast again."""
+    texts = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NumericType)]
+    return df.selectExpr("*", *(f"TRY_CAST(CAST({name(c)} AS STRING) AS DOUBLE) AS {name('__as_double_' + c)}" for c in texts)) if texts else df
 
 
 def _checks(df: DataFrame, schema: SampleSchema) -> list[Column]:
@@ -100,11 +105,11 @@ def _checks(df: DataFrame, schema: SampleSchema) -> list[Column]:
         out.append(F.when(raw.isNotNull() & ~raw.isin(*schema.sex_values),
                           _fail("sex", f"isin({list(schema.sex_values)})", raw)))
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    for c in schema.numeric_columns(df.columns):
+    for c in schema.numeric_columns([c for c in df.columns if not c.startswith("__as_double_")]):
         if isinstance(kinds[c], T.NumericType):
             continue
         raw = F.col(c)
-        as_d = raw.cast("string").try_cast("double")
+        as_d = _as_double(df, c)
         out.append(F.when(raw.isNotNull() & as_d.isNull(), _fail(c, "coerce_dtype('float')", raw)))
     return out
 
@@ -125,9 +130,11 @@ def violations(df: DataFrame, schema: SampleSchema = SampleSchema()) -> DataFram
     missing = []
     if schema.response not in df.columns:                       # S2a, driver metadata only
         missing.append((None, schema.response, "column_in_dataframe", None))
+    key = row_key(df, schema)
+    df = _with_numbers(df)
     checks = _checks(df, schema)
     if checks:
-        cells = df.select(row_key(df, schema).alias("row_id"),
+        cells = df.select(key.alias("row_id"),
                           F.filter(F.array(*checks), lambda x: x.isNotNull()).alias("__f"))
         rep = cells.select("row_id", F.inline("__f"))
     else:
