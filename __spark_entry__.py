@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
+from cohort_engine.operators import blocks as B  # noqa: E402
 from cohort_engine.operators import columns as C  # noqa: E402
 from cohort_engine.operators import metrics as M  # noqa: E402
 from cohort_engine.operators import outliers as O  # noqa: E402
@@ -202,6 +203,71 @@ def q_oversample(spark, d):
     return rounded(P.oversample(FX.c2_embeddings(spark, d), "response", "patient_id", 42))
 
 
+def q_oversample_weights(spark, d):
+    """T8 as multiplicities: how often the resampled table holds each row."""
+    return P.resample_weights(FX.c2_embeddings(spark, d), "oversampling", "response", "patient_id", 42).select("patient_id", "weight")
+
+
+def q_wide_moments(spark, d):
+    """A2, A4 on 2,080 columns in blocks."""
+    return rounded(B.wide_moments(FX.c6_products(spark, d)))
+
+
+def q_wide_anova(spark, d):
+    """F1 on 2,080 columns in blocks."""
+    return rounded(B.wide_anova(FX.c6_products(spark, d), "response"))
+
+
+def q_wide_quartiles(spark, d):
+    """A5, A6 on 2,080 columns in blocks, by radix selection."""
+    q = B.wide_quantiles(FX.c6_products(spark, d).persist(), [0.25, 0.5, 0.75])
+    return rounded(q.groupBy("feature").agg(*(F.max(F.when(F.col("q") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3")))))
+
+
+def q_wide_prepared(spark, d):
+    """T1-T4, T6 on 2,080 columns in blocks: every column of the prepared matrix in figures that depend on all its cells."""
+    out, _ = B.prepare_wide(FX.c6_products(spark, d).persist(), "batch")
+    v = F.col("value")
+    return rounded(out.long().groupBy("feature").agg(F.count(v).alias("n"), F.avg(F.abs(v)).alias("mean_size"), F.min(v).alias("least"), F.max(v).alias("most"),
+                                                     F.sum(v * (F.col("patient_id") % 7 - 3)).alias("by_row")))
+
+
+def q_multi_fit_lr(spark, d):
+    """24 candidates (3 sets of training rows, 4 strengths, 2 numbers of features) fitted together, and
+    whether the gradient of each one's objective vanishes at its coefficients."""
+    from cohort_engine.plans.multi_fit import Candidate, fit_table, multi_fit_lr
+    df, kept = _c5_features(spark, d)
+    preparer = Preparer(kept)
+    _, prepared = preparer.fit(df)
+    order = S.anova_ranking(prepared, kept)
+    drawn = P.resample_weights(prepared, "oversampling", "response", "patient_id", 42)
+    dealt = stratified_folds(drawn, "response", "patient_id", k=5, seed=42)
+    own = F.array(*((F.col("weight") * (F.col("fold") != f).cast("int")).cast("double") for f in (0, 1, 5)))
+    rows = dealt.select(F.col("response").cast("double").alias("label"), F.array(*order).alias("x"), own.alias("w")).persist()
+    fits = multi_fit_lr(rows, [Candidate(c, k, g) for g in range(3) for c in (0.01, 0.1, 1.0, 10.0) for k in (3, 5)])
+    table = fit_table(rows, fits).select("candidate", "c", "k", "fold", "n_rows", (F.col("worst") <= 1e-7).alias("optimal")).checkpoint()
+    rows.unpersist()
+    preparer.release()
+    return table
+
+
+def q_search_ledger(spark, d):
+    """A nested search whose splits are kept; started again, it fits nothing."""
+    import uuid
+
+    from cohort_engine.plans.ledger import SearchLedger
+    from cohort_engine.plans import tuning as TU
+    df, kept = _c5_features(spark, d)
+    cfg = TU.SearchConfig(algorithm="logistic_regression", outer_folds=2, inner_folds=2, grid=[{"C": c, "penalty": "l2", "k": k} for c, k in ((0.1, 3), (1, 3), (1, 5))])
+    ledger = SearchLedger(spark, f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}")
+    TU.nested_cv(df, kept, cfg, 42, ledger)
+    before = ledger.scores().checkpoint()
+    TU.nested_cv(df, kept, cfg, 42, ledger)
+    again = before.join(ledger.scores(), ["seed", "outer", "inner", "candidate", "params", "mcc", "f1", "n_rows"], "left_anti").count()
+    left = sum(ledger.missing(42, o, 2, 3).count() for o in range(2))
+    return before.select("outer", "inner", "candidate", "n_rows", F.lit(again + left).cast("long").alias("fitted_again"))
+
+
 def q_undersample(spark, d):
     return rounded(P.undersample(FX.c5_signal(spark, d), "response", "patient_id", 42))
 
@@ -487,6 +553,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standard_scale": q_standard_scale,
     "impute_median": q_impute_median,
     "oversample": q_oversample,
+    "oversample_weights": q_oversample_weights,
+    "wide_moments": q_wide_moments,
+    "wide_anova": q_wide_anova,
+    "wide_quartiles": q_wide_quartiles,
+    "wide_prepared": q_wide_prepared,
+    "multi_fit_lr": q_multi_fit_lr,
+    "search_ledger": q_search_ledger,
     "undersample": q_undersample,
     "outliers_iqr": q_outliers_iqr,
     "outliers_zscore": q_outliers_zscore,

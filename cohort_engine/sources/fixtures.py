@@ -7,6 +7,7 @@ each operator.
 
 C1  orders cohort: non-negative features, NULLs, batches, age and sex
 C2  embedding cohort: 64 features with negatives, strong imbalance
+C6  products of embedding coordinates: 2,080 features, as column blocks
 C3  document cohort: text statistics, batch = source, carries signal
 C4  score table: fixed labels / scores / predictions for metric checks
 C5  signal cohort: C1 restricted to orders with line items, response = many lines
@@ -20,6 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohort_engine.operators.blocks import BlockMatrix, from_arrays
 from cohort_engine.session import ensure_checkpoint_dir
 from cohort_engine.sources.tables import read_csvs, read_table
 
@@ -99,6 +101,28 @@ C2_SQL = ("SELECT vec_id AS patient_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS
           + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i:02d}" for i in range(64))
           + " FROM embeddings")
 
+C6_FEATURES = [f"q{i:02d}_{j:02d}" for i in range(64) for j in range(i, 64)]
+
+
+def c6_products(spark: SparkSession, sf_dir: str) -> BlockMatrix:
+    """A wide cohort: all 2,080 products of two embedding coordinates, with holes, as column blocks."""
+    e = read_table(spark, sf_dir, "embeddings").withColumn("e", F.col("embedding").cast("array<double>"))
+    hole = lambda i, j: (F.col("vec_id") + i + j) % 23 == 0
+    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.transform(
+        F.sequence(i, F.lit(63)), lambda j: F.when(~hole(i, j), F.get("e", i) * F.get("e", j)))))
+    rows = e.select(F.col("vec_id").alias(ID), F.when(F.col("label") == 0, 1).otherwise(0).alias(RESPONSE),
+                    (F.col("vec_id") % 5).cast("double").alias("batch"), cells.alias("cells"))
+    return from_arrays(rows, [ID, RESPONSE, "batch"], "cells", C6_FEATURES)
+
+
+#: The same in long form: ``(patient_id, response, batch, feature, value)``.
+C6_SQL = """
+SELECT vec_id AS patient_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS response, CAST(vec_id % 5 AS DOUBLE) AS batch,
+       'q' || lpad(CAST(i AS VARCHAR), 2, '0') || '_' || lpad(CAST(j AS VARCHAR), 2, '0') AS feature,
+       CASE WHEN (vec_id + i + j) % 23 <> 0 THEN CAST(embedding[i + 1] AS DOUBLE) * CAST(embedding[j + 1] AS DOUBLE) END AS value
+FROM embeddings, range(64) a(i), range(64) b(j) WHERE i <= j
+"""
+
 # Word separators used by the document statistics (both engines read this class alike).
 _WS = "[ \\t\\n\\r\\f]+"
 

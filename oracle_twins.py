@@ -8,7 +8,7 @@ Floating outputs are rounded to 6 decimals, like the Spark side.
 from __future__ import annotations
 
 from cohort_engine.sources.fixtures import (C1_FEATURES, C1_SQL, C2_FEATURES, C2_SQL, C3_FEATURES, C3_SQL,
-                                            C4_SQL, C5_SQL, CSV_SQL, DIRTY_SQL)
+                                            C4_SQL, C5_SQL, C6_SQL, CSV_SQL, DIRTY_SQL)
 
 
 def _r(expr: str, name: str) -> str:
@@ -228,6 +228,67 @@ SELECT * EXCLUDE (rk) FROM r
 WHERE rk < (SELECT min(n) FROM (SELECT count(*) AS n FROM c GROUP BY response))
 """, [c for c in C1_DOUBLES if c != "lines"])
 
+
+def _drawn(src: str) -> str:
+    """(patient_id, response, weight): how often the oversampled table holds each row."""
+    return f"""
+WITH c AS (SELECT patient_id, response FROM ({src})),
+r AS (SELECT *, row_number() OVER (PARTITION BY response ORDER BY {_md5(42, 'patient_id')}, patient_id) - 1 AS rk FROM c),
+cnt AS (SELECT response, count(*) AS n FROM c GROUP BY response),
+mx AS (SELECT max(n) AS m FROM cnt),
+d AS (SELECT cnt.response, cnt.n, unnest(range(0, mx.m - cnt.n)) AS i FROM cnt, mx WHERE cnt.n < mx.m),
+p AS (SELECT response, {_hash60(_md5(42, "'draw'", 'response', 'i'))} % n AS rk FROM d),
+t AS (SELECT response, rk, count(*) AS n FROM p GROUP BY response, rk)
+SELECT r.patient_id, r.response, CAST(1 + coalesce(t.n, 0) AS BIGINT) AS weight FROM r LEFT JOIN t ON t.response = r.response AND t.rk = r.rk
+"""
+
+
+def _folds(src: str, k: int, by: str = "response") -> str:
+    return (f"SELECT *, CAST((row_number() OVER (PARTITION BY {by} ORDER BY {_md5(42, 'patient_id')}, patient_id) - 1) % {k} AS INTEGER) AS fold FROM ({src})")
+
+
+OVERSAMPLE_WEIGHTS = f"SELECT patient_id, weight FROM ({_drawn(C2_SQL)})"
+
+# candidates in the query's order: folds, then strengths, then numbers of features; fold 5 leaves nothing out
+MULTI_FIT = f"""
+WITH w AS ({_drawn(C5_SQL)}), f AS ({_folds(C5_SQL, 5)}),
+g AS (SELECT * FROM (VALUES (0, 0), (1, 1), (2, 5)) t(pos, fold)),
+n AS (SELECT g.pos, CAST(sum(weight) AS BIGINT) AS n_rows FROM g JOIN f ON f.fold <> g.fold JOIN w USING (patient_id) GROUP BY g.pos),
+c AS (SELECT * FROM (VALUES (0, 0.01), (1, 0.1), (2, 1.0), (3, 10.0)) t(pos, c)), k AS (SELECT * FROM (VALUES (0, 3), (1, 5)) t(pos, k))
+SELECT CAST(8 * n.pos + 2 * c.pos + k.pos AS INTEGER) AS candidate, CAST(c.c AS DOUBLE) AS c, CAST(k.k AS INTEGER) AS k, CAST(n.pos AS INTEGER) AS fold, n.n_rows, true AS optimal
+FROM n, c, k
+"""
+
+SEARCH_LEDGER = f"""
+WITH o AS ({_folds(f"SELECT patient_id, response FROM ({C5_SQL})", 2)}),
+t AS (SELECT patient_id, response, u.outer FROM o JOIN (VALUES (0), (1)) u("outer") ON o.fold <> u.outer),
+i AS (SELECT "outer", fold AS "inner" FROM ({_folds("SELECT * FROM t", 2, by='"outer", response')}))
+SELECT CAST("outer" AS INTEGER) AS "outer", "inner", CAST(cand AS INTEGER) AS candidate, count(*) AS n_rows, CAST(0 AS BIGINT) AS fitted_again
+FROM i, (VALUES (0), (1), (2)) c(cand) GROUP BY ALL
+"""
+
+WIDE_MOMENTS = f"""
+SELECT feature, count(value) AS n, {_r('avg(value)', 'mean')}, {_r('stddev_pop(value)', 'std_pop')}, {_r('min(value)', 'min_value')}, {_r('max(value)', 'max_value')}
+FROM ({C6_SQL}) GROUP BY feature
+"""
+WIDE_ANOVA = f"""
+WITH l AS ({C6_SQL}), {_anova('l')}
+SELECT feature, round(f_score, 6) AS f_score FROM fs
+"""
+WIDE_QUARTILES = f"""
+SELECT feature, {_r('quantile_cont(value, 0.25)', 'q1')}, {_r('quantile_cont(value, 0.5)', 'median')}, {_r('quantile_cont(value, 0.75)', 'q3')}
+FROM ({C6_SQL}) GROUP BY feature
+"""
+WIDE_PREPARED = f"""
+WITH z AS (SELECT patient_id, batch, feature, (value - avg(value) OVER f) / NULLIF(stddev_pop(value) OVER f, 0) AS v FROM ({C6_SQL}) WINDOW f AS (PARTITION BY feature)),
+m AS (SELECT feature, quantile_cont(v, 0.5) AS med FROM z GROUP BY feature),
+b AS (SELECT batch, feature, patient_id, coalesce(v, med, 0.0) AS v FROM z JOIN m USING (feature)),
+c AS (SELECT feature, patient_id, v - avg(v) OVER (PARTITION BY feature, batch) AS v FROM b),
+s AS (SELECT feature, patient_id, (v - avg(v) OVER f) / coalesce(NULLIF(stddev_pop(v) OVER f, 0), 1) AS v FROM c WINDOW f AS (PARTITION BY feature))
+SELECT feature, count(v) AS n, {_r('avg(abs(v))', 'mean_size')}, {_r('min(v)', 'least')}, {_r('max(v)', 'most')},
+       {_r('sum(v * ((patient_id % 7) - 3))', 'by_row')} FROM s GROUP BY feature
+"""
+
 OUT_IQR = f"""
 WITH l AS (SELECT feature, value FROM {_unpivot(C2_SQL, C2_FEATURES, nulls=True)}),
 q AS (SELECT feature, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM l GROUP BY feature),
@@ -451,6 +512,13 @@ ORACLE: dict[str, str] = {
     "standard_scale": SCALE,
     "impute_median": IMPUTE,
     "oversample": OVERSAMPLE,
+    "oversample_weights": OVERSAMPLE_WEIGHTS,
+    "multi_fit_lr": MULTI_FIT,
+    "search_ledger": SEARCH_LEDGER,
+    "wide_moments": WIDE_MOMENTS,
+    "wide_anova": WIDE_ANOVA,
+    "wide_quartiles": WIDE_QUARTILES,
+    "wide_prepared": WIDE_PREPARED,
     "undersample": UNDERSAMPLE,
     "outliers_iqr": OUT_IQR,
     "outliers_zscore": OUT_Z,
