@@ -5,10 +5,10 @@ columns), the last one the packed pieces.  ``run`` writes every stage's result t
 shared checkpoint folder and reads it again as the next one's documents, so a lost
 executor costs at most a stage's own work.
 
-Stages filter by ``doc_id``.  Rows that repeat a ``doc_id`` are kept or dropped together;
-rows without one are scored like the others by their text alone and kept by stages that
-decide on ids.  Columns of ``documents`` other than ``doc_id`` and ``text`` pass through
-untouched, whatever their names.
+Stages decide on rows, known by a 128-bit key of id and text: a rejected text takes no
+other text of its id along, and a row without id is judged like any other.  Near-dedup
+gives rows without id a stand-in above all ids and keeps one of equal rows.  Columns of
+``documents`` other than ``doc_id`` and ``text`` pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,33 +30,53 @@ from cohort_engine.session import ensure_checkpoint_dir
 ORACLE_SQL = None
 
 
+KEYS = ["_row_a", "_row_b"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` as (doc_id, text) with two independent 64-bit hashes of both."""
+    return docs.select("doc_id", "text", *(F.xxhash64(F.lit(k), F.col("doc_id").cast("string"), F.col("text")).alias(c) for k, c in enumerate(KEYS)))
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but for the rejected ids; NULL ids stay.
+    """``docs`` but for the rows with rejected keys.
 
-    The rejected ids are cut off from their lineage first; Spark broadcasts them where it
+    The rejected keys are cut off from their lineage first; Spark broadcasts them where it
     measures them to be small and shuffles otherwise."""
-    gone = rejected.select("doc_id").distinct().checkpoint()
-    return docs.alias("docs").join(gone.alias("gone"), F.col("docs.doc_id") == F.col("gone.doc_id"), "left_anti")
+    gone = rejected.select(*KEYS).distinct().checkpoint()
+    rows = docs.select(*(F.xxhash64(F.lit(k), F.col("doc_id").cast("string"), F.col("text")).alias(c) for k, c in enumerate(KEYS)), F.struct(*docs.columns).alias("_row"))
+    return rows.join(gone, KEYS, "left_anti").select("_row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return without(docs, score_toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    return without(docs, score_toxicity(keyed(docs), table(spark, sf_dir, "labels"), carry=KEYS).where("predicted = 1"))
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return without(docs, score_quality(docs, table(spark, sf_dir, "labels")).where("predicted = 0"))
+    return without(docs, score_quality(keyed(docs), table(spark, sf_dir, "labels"), carry=KEYS).where("predicted = 0"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component stays: of the smallest id, and of equal rows the first."""
     prepare(spark)
-    return without(docs, near_duplicates(docs).where("NOT kept"))
+    rows = keyed(docs)
+    stand_in = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
+    found = near_duplicates(rows.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), stand_in)), carry=KEYS).checkpoint()
+    left = without(docs, found.where("NOT kept"))
+    # what is still there several times: equal rows, and texts without words that repeat an id
+    repeated = found.where("kept").groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1").select(*KEYS).checkpoint()
+    if repeated.isEmpty():
+        return left
+    both = left.withColumn("_row", F.struct(*left.columns)).select("_row", *(F.xxhash64(F.lit(k), F.col("_row.doc_id").cast("string"), F.col("_row.text")).alias(c) for k, c in enumerate(KEYS)))
+    once = both.join(repeated, KEYS, "left_semi").groupBy(*KEYS).agg(F.first("_row").alias("_row"))
+    return both.join(repeated, KEYS, "left_anti").select("_row.*").unionByName(once.select("_row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return without(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    return without(docs, contamination(keyed(docs), table(spark, sf_dir, "benchmark"), carry=KEYS).where("contaminated"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
