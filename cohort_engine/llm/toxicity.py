@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -168,9 +168,9 @@ def learn_lexicon(texts: DataFrame) -> list[tuple[int, str, bool, float]]:
     return [(r["tongue"], r["entry"], r["whole"], r["odds"]) for r in rows]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every document."""
-    out = docs.select("doc_id", "text")
+def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every document, and the columns to ``carry`` along."""
+    out = docs.select("doc_id", "text", *carry)
     known = labelled_texts(out, label_sample(labels, "toxic", HELD_MOD, HELD, sample)).withColumn(
         "part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(5))).checkpoint()
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -183,17 +183,22 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     if len(counts) < 2 or fitted.where("part = 4").isEmpty():
         fitted.unpersist()
         share = float(counts.get(1, 0)) / max(1, sum(counts.values()))
-        return out.select("doc_id", held_out, F.lit(share).alias("score"), F.lit(int(share >= THRESHOLD)).alias("predicted"))
+        return out.select("doc_id", held_out, F.lit(share).alias("score"), F.lit(int(share >= THRESHOLD)).alias("predicted"), *carry)
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7).fit(fitted.where("part < 4"))
     margin = vector_to_array("probability")[1]
     ladder = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="step").fit(
         trees.transform(fitted.where("part = 4")).select(margin.alias("p"), F.col("label").cast("double").alias("label")))
     fitted.unpersist()
-    scored = (out.mapInPandas(feature_map(features), f"doc_id {kind}, x array<double>").withColumn("features", array_to_vector("x")))
+    # ids travel as text: pandas would turn long ones beside a NULL into floats
+    sent = out.withColumn("doc_id", F.col("doc_id").cast("string"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields if f.name != "text")
+    scored = (sent.mapInPandas(feature_map(features), f"{kinds}, x array<double>")
+              .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)).withColumn("features", array_to_vector("x")))
     scored = ladder.transform(trees.transform(scored).withColumn("p", margin))
     # the steps of the ladder are flat; a hundredth of the trees' own probability orders documents on one step
     score = (0.99 * F.col("step") + 0.01 * F.col("p")).alias("score")
-    return scored.select("doc_id", held_out, score).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return scored.select("doc_id", held_out, score, *carry).select(
+        "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), *carry)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

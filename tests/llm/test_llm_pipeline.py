@@ -33,9 +33,22 @@ def test_stages_take_effect_in_order(spark, tmp_path):
 def test_odd_documents(spark):
     docs = spark.createDataFrame([(None, "a b c d e", "x", None, 1), (1, None, None, "s", 2), (2, "", "en", "s", 3), (3, "a b c d e", "en", "s", 3),
                                   (4, "a b c d e", "en", "s", 3), (4, "a b c d e", "en", "s", 3)], "doc_id long, text string, lang string, source string, _rejected long")
-    assert ids(P.drop_near_duplicates(spark, docs.where("doc_id IS NOT NULL"), SF)) == [1, 2, 3]
+    assert ids(P.drop_near_duplicates(spark, docs, SF)) == [1, 2, 3]
+    twice = docs.where("doc_id <= 2").unionByName(docs.where("doc_id <= 2"))
+    assert ids(P.drop_near_duplicates(spark, twice, SF)) == [1, 2]
     for _, stage in P.STAGES[:4]:
         got = stage(spark, docs, SF)
         assert got.columns == docs.columns
         got.collect()
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_rows_are_decided_by_id_and_text(spark):
+    """A rejected text takes no other text of its id along; rows without id are rejected like others."""
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").first().text
+    docs = spark.createDataFrame([(None, bench, "en", "s", 1), (None, "short and clean", "en", "s", 1), (5, bench, "en", "s", 1), (5, "clean as well", "en", "s", 1)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = P.drop_contaminated(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in left) == [("5", "clean as well"), ("None", "short and clean")]
+    gone = P.without(docs, P.keyed(docs).where("text = 'clean as well'"))
+    assert gone.count() == 3 and gone.columns == docs.columns
