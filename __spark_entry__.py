@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import numpy as np  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
@@ -268,6 +269,43 @@ def q_search_ledger(spark, d):
     return before.select("outer", "inner", "candidate", "n_rows", F.lit(again + left).cast("long").alias("fitted_again"))
 
 
+def q_lasso_path(spark, d):
+    """weights for every strength, on all rows and with each of three folds left out, from one pass of sums; and whether
+    they meet the conditions of the minimum."""
+    from cohort_engine.plans.lasso_path import lasso_path, optimality
+    from cohort_engine.plans.models import LASSO_ALPHAS
+    df, kept = _c5_features(spark, d)
+    preparer = Preparer(kept)
+    _, prepared = preparer.fit(df)
+    dealt = stratified_folds(prepared, "response", "patient_id", k=3, seed=42).select("response", "fold", *kept).persist()
+    path = lasso_path(dealt, kept, "response", LASSO_ALPHAS, "fold", folds=range(3))
+    table = optimality(dealt, kept, "response", path, "fold").select("fold", "alpha", "n_rows", (F.col("worst") <= 1e-8).alias("optimal")).checkpoint()
+    dealt.unpersist()
+    preparer.release()
+    return table
+
+
+def q_newton_first_tree(spark, d):
+    """Gains, cuts and leaf weights of the first second-order tree (depth 2) at given cut points."""
+    from cohort_engine.plans.newton_boost import fit_newton
+    cuts = {"age": range(10, 120, 10), "qty": range(10, 300, 10), "tax": (0.005, 0.015, 0.025, 0.035, 0.045, 0.055, 0.065, 0.075)}
+    model = fit_newton(FX.c5_signal(spark, d), list(cuts), "response", trees=1, depth=2, rate=0.1, cuts=[np.array(list(c), float) for c in cuts.values()])
+    return rounded(spark.createDataFrame(model.table(), "tree int, node int, feature string, cut double, gain double, weight double, cover double"))
+
+
+def q_project_features(spark, d):
+    """The selected features and the keys."""
+    return rounded(C.select_features(FX.c1_orders(spark, d), ["qty", "disc"], keep=["patient_id", "response", "not_there"]))
+
+
+def q_top_features(spark, d):
+    """The ten largest importances, here those of the class means' distance in the embedding cohort."""
+    from cohort_engine.operators.explain import top_features
+    per = A.moments(FX.c2_embeddings(spark, d), FX.C2_FEATURES, ["response"])
+    apart = per.groupBy("feature").agg(F.abs(F.max(F.when(F.col("response") == 1, F.col("mean"))) - F.max(F.when(F.col("response") == 0, F.col("mean")))).alias("importance"))
+    return rounded(top_features(apart))
+
+
 def q_undersample(spark, d):
     return rounded(P.undersample(FX.c5_signal(spark, d), "response", "patient_id", 42))
 
@@ -560,6 +598,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wide_prepared": q_wide_prepared,
     "multi_fit_lr": q_multi_fit_lr,
     "search_ledger": q_search_ledger,
+    "lasso_path": q_lasso_path,
+    "newton_first_tree": q_newton_first_tree,
+    "project_features": q_project_features,
+    "top_features": q_top_features,
     "undersample": q_undersample,
     "outliers_iqr": q_outliers_iqr,
     "outliers_zscore": q_outliers_zscore,

@@ -34,6 +34,7 @@ from cohort_engine.operators import metrics as M
 from cohort_engine.operators import prep as P
 from cohort_engine.operators import select as S
 from cohort_engine.operators import stats as A
+from cohort_engine.plans import lasso_path as LP
 from cohort_engine.plans import models as MD
 from cohort_engine.plans import multi_fit as MF
 from cohort_engine.plans.folds import stratified_folds
@@ -141,14 +142,19 @@ def _sliced(df: DataFrame, idx: list[int]) -> DataFrame:
 
 
 def _lasso_sets(split: Split, alphas: list[float]) -> dict[float, list[int]]:
-    from pyspark.ml.regression import LinearRegression
-    out = {}
-    for a in alphas:
-        lr = LinearRegression(featuresCol="features", labelCol="label", weightCol=WEIGHT, regParam=a, elasticNetParam=1.0,
-                              standardization=False, maxIter=10_000, tol=1e-6)
-        coef = lr.fit(split.train).coefficients.toArray()
-        out[a] = [i for i, w in enumerate(coef) if abs(w) > 1e-5]
-    return out
+    """Features that the lasso keeps at each strength, all from one pass of sums; beyond the columns whose products
+    fit, by a solver run for each strength."""
+    if len(split.ranking) > LP.MAX_FEATURES:
+        from pyspark.ml.regression import LinearRegression
+        out = {}
+        for a in alphas:
+            lr = LinearRegression(featuresCol="features", labelCol="label", weightCol=WEIGHT, regParam=a, elasticNetParam=1.0,
+                                  standardization=False, maxIter=10_000, tol=1e-6)
+            out[a] = [i for i, w in enumerate(lr.fit(split.train).coefficients.toArray()) if abs(w) > LP.SELECTED]
+        return out
+    rows = split.train.select(vector_to_array("features").alias("x"), F.col("label").alias("y"), F.col(WEIGHT).cast("double").alias("w"), F.lit(0).alias("fold"))
+    paths = LP.lasso_paths(rows, len(split.ranking), alphas)
+    return {a: [i for i, w in enumerate(paths[LP.ALL, a]) if abs(w) > LP.SELECTED] for a in alphas}
 
 
 def _indices(split: Split, params: dict, lasso: dict) -> list[int] | None:

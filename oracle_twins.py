@@ -267,6 +267,47 @@ SELECT CAST("outer" AS INTEGER) AS "outer", "inner", CAST(cand AS INTEGER) AS ca
 FROM i, (VALUES (0), (1), (2)) c(cand) GROUP BY ALL
 """
 
+LASSO_PATH = f"""
+WITH f AS ({_folds(C5_SQL, 3)}), g AS (SELECT * FROM (VALUES (-1), (0), (1), (2)) t(fold)), a AS (SELECT * FROM (VALUES (0.001), (0.01), (0.1), (1.0)) t(alpha))
+SELECT CAST(g.fold AS INTEGER) AS fold, CAST(a.alpha AS DOUBLE) AS alpha, count(*) AS n_rows, true AS optimal FROM g JOIN f ON f.fold <> g.fold, a GROUP BY ALL
+"""
+
+
+def _newton_gains(rows: str, out: str) -> str:
+    """The best (node, feature, cut) of every node by second-order gain, from rows (node, g, h, age, qty, tax)."""
+    return f"""
+{out}_all AS (SELECT node, sum(g) AS gs, sum(h) AS hs FROM {rows} GROUP BY node),
+{out}_cut AS (SELECT r.node, c.place, c.feature, c.cut, sum(r.g) AS gl, sum(r.h) AS hl FROM {rows} r
+              JOIN cuts c ON CASE c.feature WHEN 'age' THEN r.age WHEN 'qty' THEN r.qty ELSE r.tax END <= c.cut GROUP BY ALL),
+{out} AS (SELECT * FROM (
+            SELECT c.*, (gl ^ 2 / (hl + 1) + (gs - gl) ^ 2 / (hs - hl + 1) - gs ^ 2 / (hs + 1)) / 2 AS gain FROM {out}_cut c JOIN {out}_all USING (node)
+            WHERE hl >= 1 AND hs - hl >= 1) WHERE gain > 0
+          QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 7) DESC, place, cut) = 1)"""
+
+
+NEWTON_TREE = f"""
+WITH cuts AS (SELECT 0 AS place, 'age' AS feature, CAST(c AS DOUBLE) AS cut FROM range(10, 120, 10) t(c) UNION ALL SELECT 1, 'qty', CAST(c AS DOUBLE) FROM range(10, 300, 10) t(c)
+              UNION ALL SELECT 2, 'tax', c / 1000.0 FROM range(5, 80, 10) t(c)),
+r0 AS (SELECT 1 AS node, 0.5 - response AS g, 0.25 AS h, age, CAST(qty AS DOUBLE) AS qty, CAST(tax AS DOUBLE) AS tax FROM ({C5_SQL})),
+{_newton_gains('r0', 's0')},
+r1 AS (SELECT CASE WHEN s.node IS NULL THEN -1 WHEN CASE s.feature WHEN 'age' THEN age WHEN 'qty' THEN qty ELSE tax END <= s.cut THEN 2 * r.node ELSE 2 * r.node + 1 END AS node,
+              g, h, age, qty, tax FROM r0 r LEFT JOIN s0 s USING (node)),
+{_newton_gains('r1', 's1')},
+r2 AS (SELECT CASE WHEN s.node IS NULL THEN -1 WHEN CASE s.feature WHEN 'age' THEN age WHEN 'qty' THEN qty ELSE tax END <= s.cut THEN 2 * r.node ELSE 2 * r.node + 1 END AS node,
+              g, h FROM r1 r LEFT JOIN s1 s USING (node)),
+nodes AS (SELECT node, g, h FROM r0 UNION ALL SELECT node, g, h FROM r1 UNION ALL SELECT node, g, h FROM r2),
+splits AS (SELECT node, feature, cut, gain FROM s0 UNION ALL SELECT node, feature, cut, gain FROM s1)
+SELECT 0 AS tree, CAST(n.node AS INTEGER) AS node, any_value(s.feature) AS feature, round(any_value(s.cut), 6) AS cut, {_r('coalesce(any_value(s.gain), 0.0)', 'gain')},
+       {_r('-sum(g) / (sum(h) + 1)', 'weight')}, CAST(count(*) AS DOUBLE) AS cover
+FROM nodes n LEFT JOIN splits s USING (node) WHERE n.node > 0 GROUP BY n.node
+"""
+PROJECT = f"SELECT patient_id, response, {_r('qty', 'qty')}, {_r('disc', 'disc')} FROM ({C1_SQL})"
+TOP_FEATURES = f"""
+SELECT feature, {_r("abs(avg(value) FILTER (response = 1) - avg(value) FILTER (response = 0))", 'importance')}
+FROM {_unpivot(C2_SQL, C2_FEATURES, ['response'])} GROUP BY feature
+ORDER BY abs(avg(value) FILTER (response = 1) - avg(value) FILTER (response = 0)) DESC, feature LIMIT 10
+"""
+
 WIDE_MOMENTS = f"""
 SELECT feature, count(value) AS n, {_r('avg(value)', 'mean')}, {_r('stddev_pop(value)', 'std_pop')}, {_r('min(value)', 'min_value')}, {_r('max(value)', 'max_value')}
 FROM ({C6_SQL}) GROUP BY feature
@@ -515,6 +556,10 @@ ORACLE: dict[str, str] = {
     "oversample_weights": OVERSAMPLE_WEIGHTS,
     "multi_fit_lr": MULTI_FIT,
     "search_ledger": SEARCH_LEDGER,
+    "lasso_path": LASSO_PATH,
+    "newton_first_tree": NEWTON_TREE,
+    "project_features": PROJECT,
+    "top_features": TOP_FEATURES,
     "wide_moments": WIDE_MOMENTS,
     "wide_anova": WIDE_ANOVA,
     "wide_quartiles": WIDE_QUARTILES,
