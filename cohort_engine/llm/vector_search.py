@@ -4,8 +4,9 @@ Vectors are dealt into shards of about ``SHARD_ROWS`` rows by the hash of their
 vector that many rows share is spread too.  Each shard is one graph: its distinct
 vectors, the levels drawn from the shard's own generator, and for every level one flat
 array of neighbour positions (``degree`` slots a node, -1 for none).  Graphs are rows of
-an index table in the shared folder.  Queries travel in blocks to every shard; a block
-is searched there by walking all its queries at once, and the shards' nearest are merged.
+an index table in the shared folder.  Queries travel in blocks to every shard, where a
+graph is loaded once for ``BLOCKS`` of them; a block is searched by walking all its queries
+at once, and the shards' nearest are merged.
 
 Nearness is the inner product.  For the graph, vectors get one more component that
 makes all lengths equal (sqrt(max - |v|^2)), which turns it into an angle without
@@ -17,15 +18,13 @@ is a candidate.  A query asks for one more than ``k`` because it finds itself.
 
 Defined results: vectors that are NULL, empty, zero, of another dimension than most, or
 hold NULL or non-finite components take no part; rows that repeat an id are found once
-each; fewer than ``k`` candidates give all of them; an empty table gives an empty
+each, and as queries are asked once, with the smallest of their vectors; fewer than ``k`` candidates give all of them; an empty table gives an empty
 result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,8 +32,9 @@ from pyspark.sql import functions as F
 
 from cohort_engine.llm.common import prepare, table
 
-SHARD_ROWS = 4096        # rows of a shard, on average
-QUERY_BLOCK = 1024        # queries that travel together
+SHARD_ROWS = 16_384      # rows of a shard, on average
+QUERY_BLOCK = 1024       # queries that travel together
+BLOCKS = 64              # blocks that a loaded graph answers at once
 DEGREE = 24              # neighbours of a node on upper levels; twice as many on the lowest
 BUILD_WIDTH = 64         # candidates kept while a node is linked
 SEARCH_WIDTH = 96        # candidates kept while a query is answered
@@ -212,9 +212,8 @@ def build_index(vectors: DataFrame, shards: int, top: float, degree: int = DEGRE
             .applyInPandas(build, "shard int, graph binary").checkpoint())
 
 
-def search_graph(packed: bytes, ids: np.ndarray, q: np.ndarray, k: int, width: int) -> pd.DataFrame:
+def search_graph(g: dict, ids: np.ndarray, q: np.ndarray, k: int, width: int) -> pd.DataFrame:
     """The k nearest of every query in one shard, the query itself left out."""
-    g = pickle.loads(packed)
     graph = Graph.__new__(Graph)
     graph.x, graph.flat = g["x"], g["flat"]
     width = min(max(width, k + 1), len(graph.x))
@@ -250,24 +249,29 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", co
     vectors = clean_vectors(rows, key, column).checkpoint()
     shards = max(1, -(-vectors.count() // shard_rows))
     index = build_index(vectors, shards, longest(vectors))
-    wanted = clean_vectors(queries, key, column).checkpoint()
+    wanted = clean_vectors(queries, key, column).groupBy("id").agg(F.min("v").alias("v")).checkpoint()
     blocks = max(1, -(-wanted.count() // QUERY_BLOCK))
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"block": part["block"].iloc[:1], "ids": [part["id"].to_numpy(np.int64).tobytes()],
                              "q": [np.stack(part["v"].to_numpy()).astype("<f8").tobytes()]})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for packed, ids, q in zip(pdf["graph"], pdf["ids"], pdf["q"]):
-                ids = np.frombuffer(ids, np.int64)
-                yield search_graph(packed, ids, np.frombuffer(q, "<f8").reshape(len(ids), -1), k, width)
+    def search(blocks: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
+        if not len(blocks) or not len(graphs):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        g = pickle.loads(graphs["graph"].iloc[0])
+        found = []
+        for ids, q in zip(blocks["ids"], blocks["q"]):
+            ids = np.frombuffer(ids, np.int64)
+            found.append(search_graph(g, ids, np.frombuffer(q, "<f8").reshape(len(ids), -1), k, width))
+        return pd.concat(found, ignore_index=True)
 
     packed = (wanted.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(blocks)).cast("int"))
               .groupBy("block").applyInPandas(pack, "block int, ids binary, q binary"))
-    sent = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = (sent.join(index, "shard").select("graph", "ids", "q")
-             .mapInPandas(run, "query_id long, vec_id long, score double"))
+    sent = (packed.withColumn("deal", F.floor(F.col("block") / BLOCKS).cast("int"))
+            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
+    deals = index.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // BLOCKS))))
+    found = sent.groupBy("shard", "deal").cogroup(deals.groupBy("shard", "deal")).applyInPandas(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -58,6 +58,20 @@ def test_odd_vectors(spark):
     assert nearest(rows.limit(0), rows, 5).count() == 0 and nearest(rows, rows.limit(0), 5).count() == 0
 
 
+def test_repeated_query_rows_are_asked_once(spark, monkeypatch):
+    from cohort_engine.llm import vector_search as V
+    monkeypatch.setattr(V, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(V, "BLOCKS", 2)
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(200, 6)).astype(np.float32).astype(float)
+    ids = np.arange(200)
+    rows = frame(spark, ids, v)
+    got = nearest(rows, rows.where("vec_id % 20 = 0").unionByName(rows.where("vec_id = 40")), 7, shard_rows=60).toPandas()
+    assert got.groupby("query_id")["rank"].apply(lambda r: sorted(r) == list(range(1, 8))).all() and got["query_id"].nunique() == 10
+    for q, g in got.groupby("query_id"):
+        assert g.sort_values("rank")["vec_id"].tolist() == [i for i, _ in brute(ids, v, q, 7)]
+
+
 def test_every_node_can_be_found():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(900, 16)).astype(np.float32)
