@@ -8,10 +8,11 @@ for the first n mod shards shards, so counts differ by one at most (law ``rows``
 
 Only key counts per ring position (a table bounded by the ring's resolution, not by the
 data) reach the driver.  There the overflow is settled on the counts: each position gets
-ranges of key ranks with their shard and first slot.  Rows learn their rank with a
-window inside their own position and their shard with one broadcast join on the
-position, whose size is bounded by ``RING`` and the number of shards.  Everything that
-touches rows is a DataFrame expression.
+ranges of key ranks with their shard and first slot.  Rows learn their rank with windows
+over cells of their own position (``cell_ranks``: a position, or a key, of any number of
+rows is spread) and their shard with one broadcast join on the position, whose size is
+bounded by ``RING`` and the number of shards.  Everything that touches rows is a DataFrame
+expression.
 
 Defined results: NULL or repeated keys hash and rank as any other key (repeats get
 consecutive slots); NULL text has size 1 and the CRC of the empty string; an empty table
@@ -20,13 +21,14 @@ gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_engine.llm.common import bounded_rows, prepare, table
+from cohort_engine.llm.common import bounded_rows, cell_ranks, prepare, table
 
 RING = 1 << 14       # ring positions: the resolution of the ring
 VNODES = 64          # virtual nodes of each shard
+ROWS_PER_CELL = 5_000    # rows of one position that a window numbers at once
 
 
 def ring_nodes(spark: SparkSession, shards: int, vnodes: int = VNODES, ring: int = RING) -> list[tuple[int, int]]:
@@ -81,8 +83,10 @@ def assign_shards(rows: DataFrame, key: str, shards: int, vnodes: int = VNODES,
     counts = {r["pos"]: r["n"] for r in rows.groupBy(pos.alias("pos")).agg(F.count("*").alias("n")).collect()}
     ranges = settle(counts, ring_nodes(spark, shards, vnodes, ring), shards)
     plan = bounded_rows(spark, ranges, "pos:int,lo:long,hi:long,shard:int,slot0:long")
-    rank = F.row_number().over(Window.partitionBy("_pos").orderBy(F.xxhash64(F.lit("rank"), key), key)) - 1
-    ranked = rows.withColumn("_pos", pos).withColumn("_rank", rank)
+    # a position's rows are numbered cell by cell: by key, content and, for equal rows, where they lie, so that no key's rows meet in one task
+    here_n = bounded_rows(spark, [{"_pos": p, "_here": n} for p, n in counts.items()], "_pos:int,_here:long")
+    placed = rows.withColumn("_pos", pos).withColumn("_tie", F.monotonically_increasing_id()).join(F.broadcast(here_n), "_pos")      # at most RING rows
+    ranked = cell_ranks(placed, ["_pos"], F.ceil(F.col("_here") / ROWS_PER_CELL), [key, *(c for c in rows.columns if c != key), "_tie"], "_rank")
     here = (F.col("_pos") == F.col("pos")) & (F.col("_rank") >= F.col("lo")) & (F.col("_rank") < F.col("hi"))
     return (ranked.join(F.broadcast(plan), here)       # at most RING + shards * nodes ranges
             .withColumn("slot", F.col("slot0") + F.col("_rank") - F.col("lo"))

@@ -76,3 +76,14 @@ def test_odd_rows(spark):
     for r in got.itertuples():
         slots[r.shard].append(r.slot)
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_a_hot_key_is_spread_and_stays_gapless(spark, monkeypatch):
+    from cohort_engine.llm import sharding as S
+    monkeypatch.setattr(S, "ROWS_PER_CELL", 10)
+    rows = [(7, "the same")] * 300 + [(7, f"other {i}") for i in range(100)] + [(i, "x") for i in range(1000, 1500)]
+    got = shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), shards=6).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert len(got) == 900 and all(sorted(v) == list(range(150)) for v in by.values()) and len(by) == 6
