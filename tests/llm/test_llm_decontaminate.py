@@ -72,7 +72,7 @@ def test_rows_are_told_apart_by_id_and_text(spark):
     d, b = make(spark, [(None, f"x {item} y"), (None, "clean words only"), (1, "twelve clean words stand here and none of them hit at all ok"),
                         (1, f"so {item}"), (2, item), (2, item), (None, None)], [(7, item), (7, item)])
     got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.contaminated) for r in contamination(d, b).collect())
-    assert got == sorted([("None", 14, 12, 1, True), ("None", 3, 0, 0, False), ("1", 12, 0, 0, False), ("1", 13, 12, 1, True),
+    assert got == sorted([("None", 14, 12, 1, True), ("None", 3, 0, 0, False), ("1", 13, 0, 0, False), ("1", 13, 12, 1, True),
                           ("2", 12, 12, 1, True), ("2", 12, 12, 1, True), ("None", 0, 0, 0, False)])
 
 
