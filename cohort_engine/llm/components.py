@@ -16,7 +16,7 @@ def large_star(edges: DataFrame) -> DataFrame:
     """Every node hands its larger neighbours to the smallest node it knows."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))      # the small star drops repeats
 
 
 def small_star(edges: DataFrame) -> DataFrame:

@@ -18,17 +18,17 @@
 4. Confirmation on whole sets, by hubs: sets are made from the texts where they are needed,
    those of a hub's partners and the hub's own meet in tasks of bounded size, and nothing
    is stored.  First every class with its candidate of the most candidates (near copies
-   have such a hub in common); then, of all other pairs, those that join components.
+   have such a hub in common); then all other pairs but those whose hubs lead to one class.
 5. Components of the confirmed links by large-star and small-star steps.
 6. A region of more than ``NEIGHBOURS + 1`` classes is crowded: some of its pairs were never
-   neighbours.  If its classes are of one component, nothing can be missing; the classes of
-   all other crowded regions are searched by an exact prefix filter (``crowded_pairs``), and
-   what it finds joins components.
+   neighbours.  If its classes are of one component, nothing can be missing; in all other
+   crowded regions every two classes of different components are compared on whole sets, in
+   blocks (``crowded_links``).
 
 Tables between steps are written compressed to the shared folder and deleted after their
 last reader.  Candidates of the forest are linear in the number of classes: at most
-``TREES * NEIGHBOURS`` each.  Step 6 keeps links only, but compares in the worst case (a
-dense region of unlinked texts just below the threshold) as many pairs as the region has.
+``TREES * NEIGHBOURS`` each.  Step 6 passes links only on, but compares in the worst case (a
+dense region of unlinked texts) as many pairs as the region has.
 
 Defined results: NULL, empty and white-space texts have an empty set, no links, and
 themselves as component; equal rows that repeat a doc_id belong to one component, rows of
@@ -40,7 +40,6 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import partial
 from hashlib import blake2b
 
 import numpy as np
@@ -61,7 +60,8 @@ NEIGHBOURS = 4
 AGREE = 0.67             # share of places whose two bits agree: 0.85 expected at similarity 0.8, standard deviation 0.036
 DEAL_SHINGLES = 1 << 20  # shingles of a hub's partners that meet in one task, about
 BLOCK = 2048             # shingles hashed at once
-DEALT = 500              # holders of a shingle that are compared in one deal
+DEAL_MEMBERS = 4096      # classes of one block of a crowded region at most, about
+COLUMNS = 2048           # shingles whose holders are counted at once
 BROADCAST_IDS = 500_000  # ids (8 bytes each) broadcast at most
 
 _rng = np.random.default_rng(7)
@@ -261,58 +261,85 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Sc
     return out
 
 
-def mixed_members(classes: DataFrame, regions: DataFrame, components: DataFrame) -> DataFrame:
-    """(id): the classes of crowded regions whose classes are of several components."""
+def mixed_regions(classes: DataFrame, regions: DataFrame, components: DataFrame) -> DataFrame:
+    """(tree, k0, id, component): the classes of crowded regions whose classes are of several components."""
     rows = (classes.select("id", "sig").mapInPandas(region_rows, REGION_SCHEMA).select("tree", "k0", "id")
             .join(regions.where(F.col("members") > NEIGHBOURS + 1).select("tree", "k0"), ["tree", "k0"], "left_semi")
             .join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
     mixed = rows.groupBy("tree", "k0").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return rows.join(mixed, ["tree", "k0"], "left_semi").select("id").distinct()
+    return rows.join(mixed, ["tree", "k0"], "left_semi").select("tree", "k0", "id", "component")
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections between two lists of sets, by products of their 0/1 rows over a few shingles at a time."""
+    _, code, held = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in [*a, *b]])
+    shared = held[code] > 1
+    code, row = code[shared], row[shared]
+    order = np.argsort(code, kind="stable")
+    code, row = code[order], row[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, int)
+    column = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(code))))
+    for at in range(0, len(first), COLUMNS):
+        lo, hi = first[at], first[at + COLUMNS] if at + COLUMNS < len(first) else len(code)
+        x = np.zeros((len(a) + len(b), COLUMNS), np.float32)
+        x[row[lo:hi], column[lo:hi] - at] = 1
+        out += x[:len(a)] @ x[len(a):].T
+    return out.astype(np.int64)
+
+
+def spanning(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the pairs that join what earlier ones leave apart."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in pairs.tolist():
+        x, y = find(a), find(b)
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return out
 
 
-def crowded_pairs(members: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(hub, id): the similar enough pairs of the ``members`` (id, doc, n, component, digest) whose components differ, by an exact prefix filter.
+def crowded_links(rows: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(hub, id): links between different components within the regions of ``rows`` (tree, k0, id, component).
 
-    A shingle all of whose holders are in one component is in no intersection looked for, so only the others (mixed ones)
-    count.  They are put in one order for all sets, rare ones first; two sets with an intersection of c have a first
-    common shingle with at least c places from it to the end in both.  The smaller set of a pair indexes the places that
-    are enough for a partner of its own size, the larger one probes with those enough for any partner."""
-    def run(batches: Iterator[pd.DataFrame], head: bool) -> Iterator[pd.DataFrame]:
+    All classes of a region are compared on whole sets.  A region's classes are dealt to blocks of bounded size, and
+    every two blocks meet in a task of their own, which passes on what joins components, not every pair."""
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set = set()
         for pdf in batches:
-            rows, arrays = made_sets(pdf, seen, ["id"])
-            arrays = [a[:len(a) - -(-len(a) * PERCENT // 100) + 1] for a in arrays] if head else arrays
-            if arrays:
-                size = [len(a) for a in arrays]
-                yield pd.DataFrame({"shingle": np.concatenate(arrays).view(np.int64)} | {c: np.repeat(rows[c].to_numpy(np.int64), size) for c in ("id", "n", "component")})
-
-    def mixed_of(rows: DataFrame) -> DataFrame:
-        return (rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
-                .where("low < high").select("shingle", "holders"))
-
-    schema = "shingle long, id long, n long, component long"
-    # the same filter in the order of the hashes first, which needs a fifth of the shingles and no counts; rows that a
-    # repeated row made in another task as well are the same and fall together
-    heads = texts_of(docs, members).mapInPandas(partial(run, head=True), schema).select("shingle", "id", "component")
-    alive = scratch.put(heads.join(mixed_of(heads).select("shingle"), "shingle", "left_semi").select("id").distinct(), "alive")
-    rows = texts_of(docs, members.join(alive, "id", "left_semi")).mapInPandas(partial(run, head=False), schema)
-    mixed = mixed_of(rows)
-    held = scratch.put(rows.join(mixed, "shingle").groupBy("id", "component")
-                       .agg(F.min("n").alias("n"), F.sort_array(F.collect_set(F.struct("holders", "shingle"))).alias("ordered"))
-                       .withColumn("m", F.size("ordered").cast("long")).where(F.col("m") * 100 >= F.col("n") * PERCENT), "held")
-    first = F.floor((F.col("m") * 100 - F.col("n") * PERCENT) / 100).cast("int") + 1
-    places_of = (held.select("id", "component", "n", "m", F.col("ordered.shingle").alias("whole"), F.posexplode(F.slice("ordered", F.lit(1), first)).alias("place", "at"))
-                 .select("id", "component", "n", "whole", "at.shingle", (F.col("m") - F.col("place")).alias("left"),
-                         F.ceil(F.col("at.holders") / DEALT).cast("int").alias("deals")))
-    probe = places_of.withColumn("deal", F.pmod(F.xxhash64("id"), "deals").cast("int")).alias("p")
-    index = (places_of.where(F.col("left") * (100 + PERCENT) >= F.col("n") * 2 * PERCENT)
-             .withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).alias("i"))
-    size = F.expr(f"(i.n + p.n) * {PERCENT}")
-    enough = (F.col("i.left") * (100 + PERCENT) >= size) & (F.col("p.left") * (100 + PERCENT) >= size)
-    return (index.join(probe, (F.col("i.shingle") == F.col("p.shingle")) & (F.col("i.deal") == F.col("p.deal")) & F.expr("i.component <> p.component")
-                       & F.expr("(i.n < p.n OR i.n = p.n AND i.id < p.id)") & enough
-                       & (F.size(F.array_intersect("i.whole", "p.whole")) * (100 + PERCENT) >= size))
-            .select(F.greatest("i.id", "p.id").alias("id"), F.least("i.id", "p.id").alias("hub")).distinct())
+            kept, made = made_sets(pdf, seen, ["id", "tree", "k0", "x", "y"])
+            yield kept[["id", "component", "tree", "k0", "x", "y", "own"]].assign(shingles=[m.tobytes() for m in made])
+
+    def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates("id")
+        left, right = part[part["own"] == key[2]], part[part["own"] == key[3]]
+        a, b = ([np.frombuffer(x, np.uint64) for x in side["shingles"]] for side in (left, right))
+        if not a or not b:
+            return pd.DataFrame({"hub": [], "id": []})
+        both = shared_counts(a, b)
+        sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :]
+        near = (100 * both >= PERCENT * (sizes - both)) & (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :])
+        i, j = np.nonzero(near)
+        found = spanning(np.column_stack([left["id"].to_numpy()[i], right["id"].to_numpy()[j]]))
+        return pd.DataFrame(found, columns=["hub", "id"])
+
+    own = rows.join(classes.select("id", "n_shingles", "digest", "doc"), "id")
+    blocks = F.ceil(F.greatest(F.sum("n_shingles") / DEAL_SHINGLES, F.count("*") / DEAL_MEMBERS)).cast("int")
+    load = own.groupBy("tree", "k0").agg(blocks.alias("blocks"))
+    dealt = own.join(load, ["tree", "k0"]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    with_other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    roles = scratch.put(with_other.select("id", "component", "tree", "k0", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "digest", "doc"), "roles")
+    met = texts_of(docs, roles).mapInPandas(sets, "id long, component long, tree int, k0 long, x int, y int, own int, shingles binary")
+    return met.groupBy("tree", "k0", "x", "y").applyInPandas(compare, "hub long, id long")
 
 
 def hubs_first(pairs: DataFrame) -> DataFrame:
@@ -326,6 +353,15 @@ def hubs_first(pairs: DataFrame) -> DataFrame:
                         F.greatest("n_a", "n_b").alias("rank"))
 
 
+def tops(first: DataFrame) -> DataFrame:
+    """(node, component): the class three links up from each one's hub (near copies share it; it need not be the whole component)."""
+    up = first.select(F.col("id").alias("node"), F.col("hub").alias("component"))
+    for _ in range(2):
+        above = up.select(F.col("node").alias("component"), F.col("component").alias("above"))
+        up = up.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+    return up
+
+
 def joined_up(parts: DataFrame, links: DataFrame) -> DataFrame:
     """Components (node, component) with further links (hub, id)."""
     roots = parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -346,17 +382,17 @@ def links(classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     pairs = scratch.put(hubs_first(found), "hubs")
     scratch.drop("pairs")
     one_each = pairs.groupBy("id").agg(F.max_by("hub", F.struct("rank", (-F.col("hub")).alias("first"))).alias("hub"))
-    first = scratch.put(connected_components(confirmed(one_each, classes, docs, scratch, "first").select(F.col("id").alias("a"), F.col("hub").alias("b"))), "parts1")
-    other = scratch.put(apart(pairs.select("hub", "id"), first), "other")
-    scratch.drop("hubs")
-    second = scratch.put(joined_up(first, confirmed(other, classes, docs, scratch, "more")), "parts2")
-    scratch.drop("other", "parts1", "first-links", "more-links")
-    members = mixed_members(classes, regions, second).join(classes.select("id", F.col("n_shingles").alias("n"), "digest", "doc"), "id")
-    members = scratch.put(members.join(second.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "members")
+    first = confirmed(one_each, classes, docs, scratch, "first")
+    other = scratch.put(apart(pairs.select("hub", "id"), scratch.put(tops(first), "tops")), "other")
+    scratch.drop("hubs", "tops")
+    every = first.unionByName(confirmed(other, classes, docs, scratch, "more"))
+    second = scratch.put(connected_components(every.select(F.col("id").alias("a"), F.col("hub").alias("b"))), "parts2")
+    scratch.drop("other", "first-links", "more-links")
+    crowded = scratch.put(mixed_regions(classes, regions, second), "crowded")
     scratch.drop("regions")
-    missed = scratch.put(crowded_pairs(members, docs, scratch), "missed")
-    scratch.drop("alive", "held", "members")
-    return second if missed.isEmpty() else scratch.put(joined_up(second, confirmed(missed, classes, docs, scratch, "last")), "parts3")
+    missed = scratch.put(crowded_links(crowded, classes, docs, scratch), "missed")
+    scratch.drop("crowded", "roles")
+    return second if missed.isEmpty() else scratch.put(joined_up(second, missed), "parts3")
 
 
 def near_duplicates(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -78,6 +78,9 @@ def test_beyond_the_broadcast_bound_and_many_deals(spark, monkeypatch):
     from cohort_engine.llm import near_duplicates as N
     monkeypatch.setattr(N, "BROADCAST_IDS", 0)
     monkeypatch.setattr(N, "DEAL_SHINGLES", 100)
+    monkeypatch.setattr(N, "DEAL_MEMBERS", 7)
+    monkeypatch.setattr(N, "COLUMNS", 16)
+    monkeypatch.setattr(N, "NEIGHBOURS", 1)
     rnd = random.Random(2)
     base = [f"w{i}" for i in range(80)]
     rows = []
