@@ -18,7 +18,8 @@
 4. Confirmation on whole sets, by hubs: sets are made from the texts where they are needed,
    those of a hub's partners and the hub's own meet in tasks of bounded size, and nothing
    is stored.  First every class with its candidate of the most candidates (near copies
-   have such a hub in common); then all other pairs but those whose hubs lead to one class.
+   have such a hub in common); then one pair for every two components that candidates
+   connect; then all other pairs of different components.
 5. Components of the confirmed links by large-star and small-star steps.
 6. A region of more than ``NEIGHBOURS + 1`` classes is crowded: some of its pairs were never
    neighbours.  If its classes are of one component, nothing can be missing; in all other
@@ -353,15 +354,6 @@ def hubs_first(pairs: DataFrame) -> DataFrame:
                         F.greatest("n_a", "n_b").alias("rank"))
 
 
-def tops(first: DataFrame) -> DataFrame:
-    """(node, component): the class three links up from each one's hub (near copies share it; it need not be the whole component)."""
-    up = first.select(F.col("id").alias("node"), F.col("hub").alias("component"))
-    for _ in range(2):
-        above = up.select(F.col("node").alias("component"), F.col("component").alias("above"))
-        up = up.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
-    return up
-
-
 def joined_up(parts: DataFrame, links: DataFrame) -> DataFrame:
     """Components (node, component) with further links (hub, id)."""
     roots = parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -369,10 +361,10 @@ def joined_up(parts: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs (hub, id) of different components."""
+    """The pairs (hub, id) of different components (ch, ci)."""
     of_hub = parts.select(F.col("node").alias("hub"), F.col("component").alias("ch"))
     of_id = parts.select(F.col("node").alias("id"), F.col("component").alias("ci"))
-    return pairs.join(of_hub, "hub", "left").join(of_id, "id", "left").where(F.coalesce("ch", "hub") != F.coalesce("ci", "id")).select("hub", "id")
+    return pairs.join(of_hub, "hub", "left").join(of_id, "id", "left").select("hub", "id", F.coalesce("ch", "hub").alias("ch"), F.coalesce("ci", "id").alias("ci")).where("ch <> ci")
 
 
 def links(classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -383,11 +375,16 @@ def links(classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.drop("pairs")
     one_each = pairs.groupBy("id").agg(F.max_by("hub", F.struct("rank", (-F.col("hub")).alias("first"))).alias("hub"))
     first = confirmed(one_each, classes, docs, scratch, "first")
-    other = scratch.put(apart(pairs.select("hub", "id"), scratch.put(tops(first), "tops")), "other")
-    scratch.drop("hubs", "tops")
-    every = first.unionByName(confirmed(other, classes, docs, scratch, "more"))
-    second = scratch.put(connected_components(every.select(F.col("id").alias("a"), F.col("hub").alias("b"))), "parts2")
-    scratch.drop("other", "first-links", "more-links")
+    parts = scratch.put(connected_components(first.select(F.col("id").alias("a"), F.col("hub").alias("b"))), "parts0")
+    # one pair for every two components: near copies in many small components come together here
+    left = apart(pairs.select("hub", "id"), parts)
+    bridges = scratch.put(left.groupBy(F.least("ch", "ci").alias("low"), F.greatest("ch", "ci").alias("high"))
+                          .agg(F.min(F.struct("hub", "id")).alias("pair")).select("pair.hub", "pair.id"), "bridges")
+    parts = scratch.put(joined_up(parts, confirmed(bridges, classes, docs, scratch, "bridge")), "parts1")
+    other = scratch.put(apart(pairs.select("hub", "id"), parts).select("hub", "id").join(bridges, ["hub", "id"], "left_anti"), "other")
+    scratch.drop("hubs", "parts0", "bridges")
+    second = scratch.put(joined_up(parts, confirmed(other, classes, docs, scratch, "more")), "parts2")
+    scratch.drop("other", "parts1", "first-links", "bridge-links", "more-links")
     crowded = scratch.put(mixed_regions(classes, regions, second), "crowded")
     scratch.drop("regions")
     missed = scratch.put(crowded_links(crowded, classes, docs, scratch), "missed")
