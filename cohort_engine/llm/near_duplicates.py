@@ -252,13 +252,19 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Sc
     load = F.ceil((F.sum("n_shingles") + 1) / DEAL_SHINGLES).cast("int")
     partners = scratch.put(pairs.join(own, "id").select("id", "hub", "n_shingles", "digest", "doc"), f"{name}-partners")
     deals = partners.groupBy("hub").agg(load.alias("deals"))
-    dealt = partners.join(deals, "hub").select("id", "hub", F.pmod(F.xxhash64("id"), "deals").cast("int").alias("deal"), "digest", "doc")
+    many = scratch.put(deals.where("deals > 1"), f"{name}-many")           # mostly none: partners of over DEAL_SHINGLES shingles together
+    if many.isEmpty():
+        dealt = partners.withColumn("deal", F.lit(0))
+    else:
+        dealt = (partners.join(F.broadcast(many), "hub", "left")
+                 .withColumn("deal", F.pmod(F.xxhash64("id"), F.coalesce("deals", F.lit(1))).cast("int")))
+    dealt = dealt.select("id", "hub", "deal", "digest", "doc")
     hubs = (dealt.select("hub", "deal").distinct().join(own.select(F.col("id").alias("hub"), "digest", "doc"), "hub")
             .select(F.col("hub").alias("id"), "hub", "deal", "digest", "doc"))
     roles = scratch.put(dealt.unionByName(hubs), f"{name}-roles")
     out = scratch.put(texts_of(docs, roles).mapInPandas(sets, "id long, hub long, deal int, shingles binary").groupBy("hub", "deal")
                       .applyInPandas(compare, "hub long, id long"), f"{name}-links")
-    scratch.drop(f"{name}-partners", f"{name}-roles")
+    scratch.drop(f"{name}-partners", f"{name}-many", f"{name}-roles")
     return out
 
 
@@ -377,12 +383,15 @@ def links(classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     first = confirmed(one_each, classes, docs, scratch, "first")
     parts = scratch.put(connected_components(first.select(F.col("id").alias("a"), F.col("hub").alias("b"))), "parts0")
     # one pair for every two components: near copies in many small components come together here
-    left = apart(pairs.select("hub", "id"), parts)
+    left = scratch.put(apart(pairs.select("hub", "id"), parts), "left")
+    scratch.drop("hubs")
     bridges = scratch.put(left.groupBy(F.least("ch", "ci").alias("low"), F.greatest("ch", "ci").alias("high"))
                           .agg(F.min(F.struct("hub", "id")).alias("pair")).select("pair.hub", "pair.id"), "bridges")
     parts = scratch.put(joined_up(parts, confirmed(bridges, classes, docs, scratch, "bridge")), "parts1")
-    other = scratch.put(apart(pairs.select("hub", "id"), parts).select("hub", "id").join(bridges, ["hub", "id"], "left_anti"), "other")
-    scratch.drop("hubs", "parts0", "bridges")
+    # only pairs that are neither within a component nor compared yet are looked up again
+    unseen = left.select("hub", "id").join(bridges, ["hub", "id"], "left_anti")
+    other = scratch.put(apart(unseen, parts).select("hub", "id"), "other")
+    scratch.drop("left", "parts0", "bridges")
     second = scratch.put(joined_up(parts, confirmed(other, classes, docs, scratch, "more")), "parts2")
     scratch.drop("other", "parts1", "first-links", "bridge-links", "more-links")
     crowded = scratch.put(mixed_regions(classes, regions, second), "crowded")

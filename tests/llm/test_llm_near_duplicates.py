@@ -154,3 +154,23 @@ def all_pairs(texts):
         x, y = sorted((find(a), find(b)))
         parent[y] = x
     return {i: int(find(i)) for i in range(len(sets))}
+
+
+def test_pairs_are_dealt_without_a_join_where_every_hub_fits_a_task(spark, monkeypatch):
+    """op7, pipeline: only hubs with more than one task are looked up, and one with several loses no link."""
+    from cohort_engine.llm import near_duplicates as N
+    from cohort_engine.llm.scratch import Scratch
+    put, made = Scratch.put, {}
+
+    def counted(self, df, name):
+        made[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return put(self, df, name)
+
+    monkeypatch.setattr(Scratch, "put", counted)
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(n, " ".join(w if rnd.random() > 0.02 else f"v{n}" for w in base)) for n in range(40)]
+    small = result(spark, rows)
+    assert small == brute(rows) and made["first-roles"].count("Join") == 1        # the hub's own set only
+    monkeypatch.setattr(N, "DEAL_SHINGLES", 200)
+    assert result(spark, rows) == small and made["first-roles"].count("Join") > 1
