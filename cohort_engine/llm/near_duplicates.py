@@ -118,7 +118,7 @@ def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def region_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row for each class and tree: its place in that tree's order as three numbers of four 16-bit minhashes, and
-    two bits of all its minhashes as three numbers."""
+    two bits of all its minhashes as three numbers; ``id`` and other whole numbers of the class travel along."""
     turn = (np.arange(TREES)[:, None] * ROOT + np.arange(DEPTH)[None, :]) % HASHES
     shift = 2 * np.arange(32, dtype=np.uint64)
     for pdf in batches:
@@ -131,7 +131,7 @@ def region_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"tree": np.tile(np.arange(TREES, dtype=np.int32), len(pdf)),
                             "k0": packed[..., 0].ravel(), "k1": packed[..., 1].ravel(), "k2": packed[..., 2].ravel(),
                             "b0": np.repeat(bits[:, 0], TREES), "b1": np.repeat(bits[:, 1], TREES), "b2": np.repeat(bits[:, 2], TREES),
-                            "id": np.repeat(pdf["id"].to_numpy(np.int64), TREES)})
+                            **{c: np.repeat(pdf[c].to_numpy(np.int64), TREES) for c in pdf.columns if c != "sig"}})
 
 
 def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -270,9 +270,11 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Sc
 
 def mixed_regions(classes: DataFrame, regions: DataFrame, components: DataFrame) -> DataFrame:
     """(tree, k0, id, component): the classes of crowded regions whose classes are of several components."""
-    rows = (classes.select("id", "sig").mapInPandas(region_rows, REGION_SCHEMA).select("tree", "k0", "id")
-            .join(regions.where(F.col("members") > NEIGHBOURS + 1).select("tree", "k0"), ["tree", "k0"], "left_semi")
-            .join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")))
+    # a class gets its component once, before it stands in a region of every tree
+    placed = (classes.select("id", "sig").join(components.withColumnRenamed("node", "id"), "id", "left")
+              .select("id", "sig", F.coalesce("component", "id").alias("component")))
+    rows = (placed.mapInPandas(region_rows, f"{REGION_SCHEMA}, component long").select("tree", "k0", "id", "component")
+            .join(regions.where(F.col("members") > NEIGHBOURS + 1).select("tree", "k0"), ["tree", "k0"], "left_semi"))
     mixed = rows.groupBy("tree", "k0").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return rows.join(mixed, ["tree", "k0"], "left_semi").select("tree", "k0", "id", "component")
 

@@ -174,3 +174,20 @@ def test_pairs_are_dealt_without_a_join_where_every_hub_fits_a_task(spark, monke
     assert small == brute(rows) and made["first-roles"].count("Join") == 1        # the hub's own set only
     monkeypatch.setattr(N, "DEAL_SHINGLES", 200)
     assert result(spark, rows) == small and made["first-roles"].count("Join") > 1
+
+
+def test_a_class_gets_its_component_once_not_once_a_tree(spark):
+    """op7, pipeline: components are joined to classes, below the rows for every tree, and reach the mixed regions."""
+    import numpy as np
+
+    from cohort_engine.llm import near_duplicates as N
+    same = np.arange(N.HASHES, dtype="<u4").tobytes()
+    classes = spark.createDataFrame([(i, bytearray(same)) for i in range(8)], "id long, sig binary")
+    regions = classes.mapInPandas(N.region_rows, N.REGION_SCHEMA).groupBy("tree", "k0").count().withColumnRenamed("count", "members")
+    mixed = N.mixed_regions(classes, regions, spark.createDataFrame([(3, 1), (1, 1)], "node long, component long"))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInPandas") < plan.index("Join LeftOuter")        # the tree is printed from the top
+    rows = mixed.collect()
+    assert len(rows) == 8 * N.TREES and {(r.id, r.component) for r in rows} == {(i, 1 if i == 3 else i) for i in range(8)}
+    one = spark.createDataFrame([(i, 0) for i in range(8)], "node long, component long")
+    assert N.mixed_regions(classes, regions, one).count() == 0
