@@ -133,7 +133,7 @@ def fit_newton(df: DataFrame, cols: Sequence[str], label: str, trees: int = 100,
         return run
 
     def matrix(pdf: pd.DataFrame) -> np.ndarray:
-        return np.frombuffer(b"".join(pdf["codes"]), np.uint8).reshape(len(pdf), len(cols))
+        return np.frombuffer(b"".join(pdf["codes"]), np.uint8).reshape(len(pdf["codes"]), len(cols))
 
     schema = "codes binary, y double, w double, margin double"
     source = df.select(*(F.col(c).cast("double").alias(c) for c in cols), F.col(label).cast("double").alias("_y"), (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w"))
